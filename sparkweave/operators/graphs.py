@@ -6,13 +6,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkweave.session import shared_folder
+from sparkweave.sources.files import stored
 
 
 def _step(df: DataFrame) -> DataFrame:
-    """Cut the lineage of one level; the files lie in the shared checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write one level to the shared folder, so that no level is computed twice."""
+    return stored(df, "level")
 
 
 def hierarchy(nodes: DataFrame, node: str, parent: str, label: str, max_depth: int = 100) -> DataFrame:

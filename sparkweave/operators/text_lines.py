@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkweave.operators.ordered import running_totals
 
@@ -52,23 +52,14 @@ def with_context(
 def between_markers(lines: DataFrame, keys: Sequence[str], start: Column, end: Column) -> DataFrame:
     """Lines from a start marker through the next end marker, again and again per file.
 
-    A block opens at a start line and closes at the first later line that matches ``end``;
-    without one it runs to the end of the file. Starts inside an open block do not nest.
+    Without a closing line a block runs to the end of the file; a line that matches both
+    markers is a block of its own. Starts inside an open block do not nest.
     """
-    events = (
-        lines.withColumn("_s", start.cast("int"))
-        .withColumn("_e", end.cast("int"))
-        .withColumn("_ends", F.lit(None))
-        .drop("_ends")
-    )
-    # number of end lines strictly before each line splits the file into stretches, each
-    # with at most one end line (its last); a stretch is inside from its first start on
-    stretches = running_totals(events, keys, [F.col("line_no").asc()], "line_bin", {"_seen": F.col("_e")})
-    stretches = stretches.withColumn("_stretch", F.col("_seen") - F.col("_e"))
-    first = (
-        stretches.filter(F.col("_s") == 1)
-        .groupBy(*keys, "_stretch")
-        .agg(F.min("line_no").alias("_from"), F.min(F.when(F.col("_e") == 0, F.col("line_no"))).alias("_open"))
-    )
-    joined = stretches.join(first, [*keys, "_stretch"])
-    return joined.filter(F.col("line_no") >= F.col("_from")).drop("_s", "_e", "_seen", "_seen_all", "_stretch", "_from", "_open")
+    flagged = lines.withColumn("_s", start).withColumn("_e", end.cast("int"))
+    # the number of end lines before a line splits the file into stretches that close with an
+    # end line; a stretch is inside from its first start line on
+    counted = running_totals(flagged, keys, [F.col("line_no").asc()], "line_bin", {"_seen": F.col("_e")})
+    stretches = counted.withColumn("_stretch", F.col("_seen") - F.col("_e"))
+    first = stretches.filter("_s").groupBy(*keys, "_stretch").agg(F.min("line_no").alias("_from"))
+    inside = stretches.join(first, [*keys, "_stretch"]).filter(F.col("line_no") >= F.col("_from"))
+    return inside.select(*lines.columns)

@@ -198,7 +198,7 @@ WITH b AS (SELECT min(p_size) AS lo, max(p_size) AS hi FROM part), g AS (SELECT
 SELECT size, count(p_partkey) AS n FROM g LEFT JOIN part ON p_size = size GROUP BY 1""")
 def _(t):
     g = t.part.agg(F.min("p_size").alias("lo"), F.max("p_size").alias("hi")).select(
-        F.explode(F.sequence("lo", F.col("hi") + 2, F.lit(3))).cast("bigint").alias("size")
+        F.explode(F.expr("sequence(CAST(lo AS BIGINT), CAST(hi + 2 AS BIGINT), 3L)")).alias("size")
     )
     n = t.part.groupBy(F.col("p_size").cast("bigint").alias("size")).agg(n_rows().alias("n"))
     return g.join(n, "size", "left").fillna(0, ["n"])

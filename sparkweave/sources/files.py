@@ -35,14 +35,14 @@ def file_sizes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
 
 
 def write_partitioned(df: DataFrame, folder: str, columns: Sequence[str], mode: str = "errorifexists") -> None:
-    """Hive-style folders, each fed by the tasks that own its values."""
-    df.repartition(*columns).write.mode(mode).partitionBy(*columns).parquet(folder)
+    """Hive-style folders; rows gather by folder, and adaptive execution splits a hot folder over tasks."""
+    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(folder)
 
 
 def replace_partitions(df: DataFrame, folder: str, columns: Sequence[str]) -> None:
     """Overwrite only the partitions that occur in ``df``; all others stay as they are."""
     (
-        df.repartition(*columns)
+        df.hint("rebalance", *columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
