@@ -225,8 +225,8 @@ def _(t):
 
 
 @query("W21_aggregate_in_window", f"""
-SELECT o_orderstatus, year(o_orderdate)::INTEGER AS y, CAST(sum(sum({sql_units('o_totalprice')})) OVER (PARTITION BY o_orderstatus ORDER BY year(o_orderdate)) AS BIGINT) / 1e2 AS so_far
-FROM orders GROUP BY 1, 2""")
+SELECT o_orderstatus, y, CAST(sum(sum(u)) OVER (PARTITION BY o_orderstatus ORDER BY y) AS BIGINT) / 1e2 AS so_far
+FROM (SELECT o_orderstatus, year(o_orderdate)::INTEGER AS y, {sql_units('o_totalprice')} AS u FROM orders) GROUP BY o_orderstatus, y""")
 def _(t):
     t.register("orders")
     return t.spark.sql("""

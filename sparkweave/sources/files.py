@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkweave.session import new_folder
@@ -16,6 +17,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def stored_before(spark: SparkSession, folder: str, schema) -> DataFrame | None:
+    """The table in a folder, or None if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def round_trip(df: DataFrame, fmt: str, label: str, **options) -> DataFrame:
     """Write in ``fmt`` (csv, json, orc, parquet) and read back with the same schema."""
     folder = new_folder(df.sparkSession, label)

@@ -20,3 +20,13 @@ def bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int, sort:
         writer = writer.sortBy(*keys)
     writer.saveAsTable(name)
     return spark.table(name)
+
+
+def compact(spark, folder: str, schema, target_files: int) -> DataFrame:
+    """Rewrite the many small files of a folder as about ``target_files`` files in a new folder."""
+    from sparkweave.session import new_folder
+
+    out = new_folder(spark, "compacted")
+    # a rebalance splits and merges by size, so no file depends on one hot key
+    spark.read.schema(schema).parquet(folder).repartition(target_files).write.parquet(out)
+    return spark.read.schema(schema).parquet(out)
