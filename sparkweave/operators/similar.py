@@ -56,8 +56,8 @@ def jaccard(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def minhash_buckets(hashes: str, bands: int, rows: int, seed: int = 7) -> Column:
-    """One bucket per band: hash of ``rows`` minima of multiply-add permutations over 64-bit hashes."""
+def minhash_buckets(df: DataFrame, hashes: str, bands: int, rows: int, seed: int = 7) -> DataFrame:
+    """``id, bucket``, one row per band: hash of ``rows`` minima of multiply-add permutations over 64-bit hashes."""
     rng = np.random.default_rng(seed)
     a = rng.integers(1, 2**63, bands * rows, dtype=np.uint64) | np.uint64(1)
     c = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
@@ -73,13 +73,13 @@ def minhash_buckets(hashes: str, bands: int, rows: int, seed: int = 7) -> Column
 
         return s.map(one)
 
-    sig = signature(F.col(hashes))
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice(sig, i * rows + 1, F.lit(rows)))
+    signed = df.select("id", signature(hashes).alias("sig"))
+    return signed.select(
+        "id", F.explode(F.array(*[F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)])).alias("bucket")
     )
 
 
-def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float = 0.8, bands: int = 16, rows: int = 2) -> DataFrame:
+def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float = 0.8, bands: int = 20, rows: int = 4) -> DataFrame:
     """``id, leader, score``: exact copies (score 1) and near copies by Jaccard of word runs.
 
     Exact copies collapse first, so a text copied a million times is hashed once.
@@ -89,7 +89,7 @@ def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float =
     copies = salted_join(docs.select("id", "digest"), firsts, ["digest"], F.col("id"), SALTS).filter("id <> leader")
     unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi").select("id", shingles("t").alias("f"))
     features = stored(unique, "shingles")
-    members = features.select("id", F.explode(minhash_buckets("f", bands, rows)).alias("bucket"))
+    members = minhash_buckets(features, "f", bands, rows)
     near = link_to_leaders(members, features, jaccard, lambda s: s >= threshold)
     return copies.select("id", "leader", F.lit(1.0).alias("score")).unionByName(near)
 

@@ -221,8 +221,13 @@ def lsh_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k:
     return rescore(v.join(q, "bucket"), vectors, key, vector, queries, k)
 
 
-def pq_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, parts: int, codes: int) -> DataFrame:
-    """Product quantisation: one small code book per slice; scores are sums of table lookups."""
+def pq_search(
+    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, parts: int, codes: int, oversample: int
+) -> DataFrame:
+    """Product quantisation: one small code book per slice, scores by table lookups, then exact rescore.
+
+    Only the codes are scanned; full vectors are read for ``k * oversample`` candidates per query.
+    """
     width = dims // parts
     books = []
     for p in range(parts):
@@ -243,12 +248,12 @@ def pq_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k:
             for j, name in enumerate(names):
                 dist = sum(tables[j, p][c[:, p]] for p in range(parts))
                 s = np.round(-dist, 9)
-                best = np.lexsort((ids, -s))[:k]
+                best = np.lexsort((ids, -s))[: k * oversample]
                 yield pd.DataFrame({"query": name, key: ids[best], "score": s[best]})
 
     kind, qkind = vectors.schema[key].dataType.simpleString(), queries.schema["query"].dataType.simpleString()
     near = index.mapInPandas(run, f"query {qkind}, {key} {kind}, score double")
-    return best_per_query(near, key, k)
+    return rescore(best_per_query(near, key, k * oversample), vectors, key, vector, queries, k)
 
 
 def fuse(rankings: DataFrame, key: str, k: int = 60) -> DataFrame:

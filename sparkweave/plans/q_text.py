@@ -12,7 +12,7 @@ from sparkweave.operators.ordered import number_rows, running_totals
 from sparkweave.plans.common import n_rows, tagged
 from sparkweave.plans.registry import query
 
-SQL_WORDS = r"list_filter(regexp_split_to_array({}, '\s+'), x -> x <> '')"
+SQL_WORDS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> '')"
 
 
 def sql_word_chunks(size, overlap):
@@ -40,7 +40,7 @@ def _(t):
     return X.recursive_chunks(t.documents, "doc_id", "text", 500, SEPARATORS)
 
 
-SQL_SENT = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), x -> x <> '')"
+SQL_SENT = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
 
 
 @query("V04_sentence_windows", rf"""

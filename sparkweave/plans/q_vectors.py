@@ -25,7 +25,7 @@ def label_queries(t):
 
 @query("V10_distances", f"""
 WITH {SQL_E}, {SQL_QV} SELECT vec_id, round(list_cosine_similarity(v, qvec), 6) AS cosine, round(list_inner_product(v, qvec), 6) AS dot, round(list_distance(v, qvec), 6) AS l2,
- round(list_sum(list_transform(generate_series(1, len(v)), i -> abs(v[i] - qvec[i]))), 6) AS l1, len(list_filter(generate_series(1, len(v)), i -> (v[i] > 0) <> (qvec[i] > 0)))::INTEGER AS hamming FROM e JOIN qv ON query = label""")
+ round(list_sum(list_transform(generate_series(1, len(v)), lambda i: abs(v[i] - qvec[i]))), 6) AS l1, len(list_filter(generate_series(1, len(v)), lambda i: (v[i] > 0) <> (qvec[i] > 0)))::INTEGER AS hamming FROM e JOIN qv ON query = label""")
 def _(t):
     q = label_queries(t).withColumnRenamed("query", "label")
     v, c = F.col("embedding"), F.col("qvec")
@@ -37,7 +37,7 @@ def _(t):
 
 @query("V11_normalise", f"""
 WITH {SQL_E}, n AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS n FROM e)
-SELECT vec_id, round(n, 6) AS norm, abs(n - 1) > 0.001 AS unnormalised, round(sqrt(list_sum(list_transform(v, x -> (x / n) * (x / n)))), 6) AS after FROM n""")
+SELECT vec_id, round(n, 6) AS norm, abs(n - 1) > 0.001 AS unnormalised, round(sqrt(list_sum(list_transform(v, lambda x: (x / n) * (x / n)))), 6) AS after FROM n""")
 def _(t):
     n = t.embeddings.select("vec_id", "embedding", V.norm(F.col("embedding")).alias("n"))
     unit = F.transform("embedding", lambda x: x.cast("double") / F.col("n"))
@@ -68,19 +68,19 @@ def with_recall(t, approximate):
 
 @query("V14_ivf")
 def _(t):
-    return with_recall(t, V.ivf_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, 8, 3))
+    return with_recall(t, V.ivf_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, cells=8, probe=4))
 
 
 @query("V15_hyperplane_lsh")
 def _(t):
-    return with_recall(t, V.lsh_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, 8, 6))
+    return with_recall(t, V.lsh_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, tables=16, bits=5))
 
 
 @query("V18_sq8", f"""
 WITH {SQL_E}, b AS (SELECT list(lo ORDER BY i) AS lo, list(hi ORDER BY i) AS hi FROM (SELECT i, min(v[i]) AS lo, max(v[i]) AS hi FROM (SELECT v, unnest(generate_series(1, len(v))) AS i FROM e) GROUP BY 1)),
-c AS (SELECT vec_id, v, lo, hi, list_transform(generate_series(1, len(v)), i -> floor((v[i] - lo[i]) / (hi[i] - lo[i]) * 255 + 0.5)) AS c FROM e, b)
-SELECT vec_id, CAST(list_sum(c) AS BIGINT) AS code_sum, round(list_max(list_transform(generate_series(1, len(v)), i -> abs(v[i] - (lo[i] + c[i] / 255.0::DOUBLE * (hi[i] - lo[i]))))), 6) AS max_error,
- list_bool_and(list_transform(generate_series(1, len(v)), i -> abs(v[i] - (lo[i] + c[i] / 255.0::DOUBLE * (hi[i] - lo[i]))) <= (hi[i] - lo[i]) / 510 + 1e-9)) AS in_bound FROM c""")
+c AS (SELECT vec_id, v, lo, hi, list_transform(generate_series(1, len(v)), lambda i: floor((v[i] - lo[i]) / (hi[i] - lo[i]) * 255 + 0.5)) AS c FROM e, b)
+SELECT vec_id, CAST(list_sum(c) AS BIGINT) AS code_sum, round(list_max(list_transform(generate_series(1, len(v)), lambda i: abs(v[i] - (lo[i] + c[i] / 255.0::DOUBLE * (hi[i] - lo[i]))))), 6) AS max_error,
+ list_bool_and(list_transform(generate_series(1, len(v)), lambda i: abs(v[i] - (lo[i] + c[i] / 255.0::DOUBLE * (hi[i] - lo[i]))) <= (hi[i] - lo[i]) / 510 + 1e-9)) AS in_bound FROM c""")
 def _(t):
     lo, hi = V.sq8_bounds(t.embeddings, "embedding", DIMS)
     coded = t.embeddings.select("vec_id", F.col("embedding").alias("v"), lo.alias("lo"), hi.alias("hi"))
@@ -94,8 +94,8 @@ def _(t):
     )
 
 
-SQL_BITS = "list_sum(list_transform(generate_series(1, 64), i -> CASE WHEN {v}[i] > 0 THEN (1::HUGEINT << (i - 1)) ELSE 0::HUGEINT END))::HUGEINT"
-SQL_BINARY = f"""h AS (SELECT query, vec_id, v, qvec, len(list_filter(generate_series(1, 64), i -> (v[i] > 0) <> (qvec[i] > 0))) AS apart FROM e, qv),
+SQL_BITS = "list_sum(list_transform(generate_series(1, 64), lambda i: CASE WHEN {v}[i] > 0 THEN (1::HUGEINT << (i - 1)) ELSE 0::HUGEINT END))::HUGEINT"
+SQL_BINARY = f"""h AS (SELECT query, vec_id, v, qvec, len(list_filter(generate_series(1, 64), lambda i: (v[i] > 0) <> (qvec[i] > 0))) AS apart FROM e, qv),
 s AS (SELECT query, vec_id, round(list_cosine_similarity(v, qvec), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY apart, vec_id) AS r FROM h) WHERE r <= 40),
 binary_top AS (SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM s) WHERE place <= 10)"""
 
@@ -107,7 +107,7 @@ def _(t):
 
 @query("V20_product_quantisation")
 def _(t):
-    return with_recall(t, V.pq_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, 4, 16))
+    return with_recall(t, V.pq_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, parts=8, codes=16, oversample=8))
 
 
 @query("V21_recall", f"""
@@ -186,8 +186,8 @@ def _(t):
     e = t.embeddings.join(t.events.select(F.col("event_id").alias("vec_id"), "ts"), "vec_id")
     q = V.centroids(t.embeddings.withColumn("one", F.lit(1)), "one", "embedding", DIMS).select("qvec").scalar()
     age = F.lit("2024-02-01").cast("timestamp").cast("bigint") - F.date_trunc("second", "ts").cast("timestamp").cast("bigint")
-    score = F.pow(F.lit(0.99), age / 3600) + 0.1 * F.col("label") + V.cosine(F.col("embedding"), q)
-    return e.select("vec_id", F.round(score, 6).alias("score")).orderBy(F.col("score").desc(), "vec_id").limit(10)
+    score = F.pow(F.lit(0.99), age / 3600) + 0.1 * F.col("label") + V.cosine(F.col("embedding"), F.col("qvec"))
+    return e.withColumn("qvec", q).select("vec_id", F.round(score, 6).alias("score")).orderBy(F.col("score").desc(), "vec_id").limit(10)
 
 
 @query("V28_knowledge_triples", """
