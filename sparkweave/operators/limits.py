@@ -30,60 +30,37 @@ def token_bucket(df: DataFrame, key: str, at: str, row_id: str, capacity: float,
     """
     cut = bursts(df.select(key, at, row_id, bin_col), [key], at, capacity / per_second, [at, row_id], bin_col)
 
-    def run(ids, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, last = capacity, None
-        for pdf in batches:
-            allowed, left = [], []
-            for now in pdf[at].to_numpy():
-                if last is not None:
-                    tokens = min(capacity, tokens + (now - last) * per_second)
-                last = now
-                ok = tokens >= 1.0
-                tokens -= 1.0 if ok else 0.0
-                allowed.append(ok)
-                left.append(tokens)
-            yield pd.DataFrame({key: pdf[key], row_id: pdf[row_id], "allowed": allowed, "tokens": left})
-
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (key, row_id)}
-    ordered = cut.repartition(key, "burst").sortWithinPartitions(key, "burst", at, row_id)
-    return _grouped_in_order(ordered, [key, "burst"], run, f"{key} {kinds[key]}, {row_id} {kinds[row_id]}, allowed boolean, tokens double")
-
-
-def _grouped_in_order(df: DataFrame, keys: Sequence[str], run, schema: str) -> DataFrame:
-    """Run over sorted partitions, one call per key, without holding a group in memory.
-
-    ``df`` must be partitioned by ``keys`` and sorted by them and then by the wanted order.
-    """
-
-    def partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, feed = None, None
-        for pdf in batches:
-            ids = list(zip(*[pdf[k] for k in keys]))
-            start = 0
-            for i in range(1, len(ids) + 1):
-                if i == len(ids) or ids[i] != ids[start]:
-                    if ids[start] != current:
-                        current, feed = ids[start], _Feed(run, ids[start])
-                    yield from feed.push(pdf.iloc[start:i])
-                    start = i
+    def take(state, now):
+        tokens, last = state if state else (capacity, now)
+        tokens = min(capacity, tokens + (now - last) * per_second)
+        ok = tokens >= 1.0
+        tokens -= 1.0 if ok else 0.0
+        return (tokens, now), (ok, tokens)
 
-    return df.mapInPandas(partition, schema)
+    return _scan_in_order(cut, [key, "burst"], at, row_id, take, {"allowed": "boolean", "tokens": "double"}).drop("burst", at)
 
 
-class _Feed:
-    """Hands one key's pieces to its generator and returns what it yields for each."""
+def _scan_in_order(df: DataFrame, keys: Sequence[str], at: str, row_id: str, step, out: dict[str, str]) -> DataFrame:
+    """Add the ``out`` columns by ``step(state, at) -> (state, values)``, per key and in the order of ``at``.
 
-    def __init__(self, run, ids):
-        self.piece = None
-        self.out = run(ids, self._pieces())
+    Rows stream through sorted partitions, so only one state is held, never a group.
+    """
+    cols = [*keys, at, row_id]
+    ordered = df.select(*cols).repartition(*keys).sortWithinPartitions(*cols)
 
-    def _pieces(self):
-        while True:
-            yield self.piece
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, state = None, None
+        for pdf in batches:
+            rows = []
+            for ids, now in zip(zip(*[pdf[k] for k in keys]), pdf[at]):
+                if ids != current:
+                    current, state = ids, None
+                state, values = step(state, now)
+                rows.append(values)
+            yield pdf.assign(**{n: [r[i] for r in rows] for i, n in enumerate(out)})
 
-    def push(self, piece):
-        self.piece = piece
-        yield next(self.out)
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols] + [f"{n} {k}" for n, k in out.items()])
+    return ordered.mapInPandas(run, schema)
 
 
 def first_in_span(df: DataFrame, key: str, at: str, row_id: str, span: float, bin_col: str) -> DataFrame:
@@ -93,19 +70,11 @@ def first_in_span(df: DataFrame, key: str, at: str, row_id: str, span: float, bi
     """
     cut = bursts(df.select(key, at, row_id, bin_col), [key], at, span, [at, row_id], bin_col)
 
-    def run(ids, batches):
-        kept_at = None
-        for pdf in batches:
-            keep = []
-            for now in pdf[at].to_numpy():
-                ok = kept_at is None or now - kept_at >= span
-                kept_at = now if ok else kept_at
-                keep.append(ok)
-            yield pdf.loc[keep, [key, row_id]]
-
-    kinds = {c: df.schema[c].dataType.simpleString() for c in (key, row_id)}
-    ordered = cut.repartition(key, "burst").sortWithinPartitions(key, "burst", at, row_id)
-    return _grouped_in_order(ordered, [key, "burst"], run, f"{key} {kinds[key]}, {row_id} {kinds[row_id]}")
+    def keep(kept_at, now):
+        ok = kept_at is None or now - kept_at >= span
+        return (now if ok else kept_at), (ok,)
+
+    return _scan_in_order(cut, [key, "burst"], at, row_id, keep, {"kept": "boolean"}).filter("kept").select(key, row_id)
 
 
 def count_within(df: DataFrame, keys: Sequence[str], at: str, back: float, ahead: float, bin_width: float, name: str) -> DataFrame:

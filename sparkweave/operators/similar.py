@@ -42,13 +42,13 @@ def link_to_leaders(
     return links.groupBy("id", "leader").agg(F.max("score").alias("score"))
 
 
-def shingles(text: str, n: int = 3) -> Column:
-    """Distinct hashes of the runs of ``n`` lower-case words of the whole text (shorter texts give one)."""
-    w = F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "")
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, F.lit(n)), " "))
-    )
-    return F.array_distinct(runs)
+def shingles(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
+    """``id, f``: distinct hashes of the runs of ``n`` lower-case words of the whole text (shorter texts give one)."""
+    # the word list is a column of its own, so it is built once and not once per run
+    w = df.select(F.col(key).alias("id"), F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "").alias("w"))
+    last = F.greatest(F.size("w") - (n - 1), F.lit(1))
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, F.lit(n)), " ")))
+    return w.select("id", F.array_distinct(runs).alias("f"))
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -87,8 +87,8 @@ def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float =
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("t")).withColumn("digest", F.md5("t"))
     firsts = docs.groupBy("digest").agg(F.min("id").alias("leader"))
     copies = salted_join(docs.select("id", "digest"), firsts, ["digest"], F.col("id"), SALTS).filter("id <> leader")
-    unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi").select("id", shingles("t").alias("f"))
-    features = stored(unique, "shingles")
+    unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi")
+    features = stored(shingles(unique, "id", "t"), "shingles")
     members = minhash_buckets(features, "f", bands, rows)
     near = link_to_leaders(members, features, jaccard, lambda s: s >= threshold)
     return copies.select("id", "leader", F.lit(1.0).alias("score")).unionByName(near)

@@ -64,7 +64,8 @@ def _(t):
     return rows.groupBy("batch_id").agg(n_rows().alias("n")).filter("n > 0").agg(F.sum("n").alias("n"), n_rows().alias("batches"))
 
 
-SUM_U = [F.sum(M.units("value")).alias("u"), n_rows().alias("n")]
+def sum_u():
+    return [F.sum(M.units("value")).alias("u"), n_rows().alias("n")]
 
 
 def finished(df):
@@ -75,7 +76,7 @@ def finished(df):
 SELECT s AS start, s + INTERVAL 5 MINUTE AS "end", user_id, n, u / 1e2 AS total FROM (SELECT {sql_window(300)} AS s, user_id, count(*) AS n, CAST(sum({sql_units('value')}) AS BIGINT) AS u FROM events GROUP BY 1, 2)
 WHERE s + INTERVAL 5 MINUTE <= {sql_mark('10 MINUTE')}""")
 def _(t):
-    return finished(G.to_table(W.windowed(events(t), "ts", ["user_id"], SUM_U, "5 minutes", delay="10 minutes"), "tumbling"))
+    return finished(G.to_table(W.windowed(events(t), "ts", ["user_id"], sum_u(), "5 minutes", delay="10 minutes"), "tumbling"))
 
 
 SQL_HOP = f"""SELECT s AS start, s + INTERVAL 10 MINUTE AS "end", user_id, n, u / 1e2 AS total FROM (SELECT {sql_window(120)} - to_minutes(2 * k) AS s, user_id, count(*) AS n, CAST(sum({sql_units('value')}) AS BIGINT) AS u
@@ -84,7 +85,7 @@ SQL_HOP = f"""SELECT s AS start, s + INTERVAL 10 MINUTE AS "end", user_id, n, u
 
 @query("T02_hopping_window", SQL_HOP)
 def _(t):
-    return finished(G.to_table(W.windowed(events(t), "ts", ["user_id"], SUM_U, "10 minutes", "2 minutes", "10 minutes"), "hopping"))
+    return finished(G.to_table(W.windowed(events(t), "ts", ["user_id"], sum_u(), "10 minutes", "2 minutes", "10 minutes"), "hopping"))
 
 
 @query("T03_session_window", f"""
@@ -92,12 +93,12 @@ WITH a AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY
 b AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM a), s AS (SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n, CAST(sum({sql_units('value')}) AS BIGINT) / 1e2 AS total FROM b GROUP BY user_id, g)
 SELECT start, "end", user_id, n, total FROM s WHERE "end" <= {sql_mark('10 MINUTE')}""")
 def _(t):
-    return finished(G.to_table(W.sessions(events(t), "ts", ["user_id"], SUM_U, "2 hours", "10 minutes"), "sessions"))
+    return finished(G.to_table(W.sessions(events(t), "ts", ["user_id"], sum_u(), "2 hours", "10 minutes"), "sessions"))
 
 
 @query("T04_threshold_alert", f"SELECT start, \"end\", user_id, total FROM ({SQL_HOP}) WHERE total > 150")
 def _(t):
-    hops = W.windowed(events(t), "ts", ["user_id"], SUM_U, "10 minutes", "2 minutes", "10 minutes").filter("u > 15000")
+    hops = W.windowed(events(t), "ts", ["user_id"], sum_u(), "10 minutes", "2 minutes", "10 minutes").filter("u > 15000")
     return finished(G.to_table(hops, "alerts")).select("start", "end", "user_id", "total")
 
 
@@ -119,7 +120,7 @@ SELECT {sql_window(3600)} AS h, 'event_time' AS form, count(*) AS n FROM events
 SELECT {sql_window(3600, "ts + to_minutes(CAST(event_id % 90 AS BIGINT))")}, 'processing_time', count(*) FROM events GROUP BY 1""")
 def _(t):
     e = timed(t.events)
-    arrived = e.withColumn("ts", F.timestampadd("MINUTE", F.col("event_id") % 90, F.col("ts")))
+    arrived = e.withColumn("ts", F.expr("ts + make_dt_interval(0, 0, CAST(event_id % 90 AS INT))"))
     hours = lambda df: plain(W.windowed(df, "ts", [], [n_rows().alias("n")], "1 hour"), "start").select(F.col("start").alias("h"), "n")
     return tagged(event_time=hours(e), processing_time=hours(arrived))
 
@@ -201,7 +202,7 @@ def _(t):
 
 @query("T15_timer_processor", f"""
 WITH a AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 400 DAY THEN 0 ELSE 1 END AS opens FROM events)
-SELECT user_id, count(*) AS n, max(epoch_ms(ts)) AS last_ms FROM a GROUP BY 1 HAVING max(epoch_ms(ts)) + 86400000 < (SELECT max(epoch_ms(ts)) FROM events)""")
+SELECT user_id, count(*) AS n, max(epoch_us(ts) // 1000) AS last_ms FROM a GROUP BY 1 HAVING max(epoch_us(ts) // 1000) + 86400000 < (SELECT max(epoch_us(ts) // 1000) FROM events)""")
 def _(t):
     with G.rocksdb_state(t.spark):
         return G.to_table(Z.idle_counts(events(t).select("user_id", "ts"), "user_id", "ts", 86400, "0 seconds"), "timers")

@@ -56,7 +56,7 @@ class IdleTimer(StatefulProcessor):
             self.handle.deleteTimer(timer)
         for pdf in rows:
             n += len(pdf)
-            last = max(last, int(pdf[self.ts].max().timestamp() * 1000))
+            last = max(last, pdf[self.ts].max().value // 1_000_000)
         self.count.update((n, last))
         self.handle.registerTimer(last + self.idle_ms)
         yield from ()
