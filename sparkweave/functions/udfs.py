@@ -54,9 +54,9 @@ class ChunkWords:
     """Table function: word chunks of one text."""
 
     def eval(self, text: str, size: int, overlap: int):
-        w = (text or "").split()
-        for i, start in enumerate(range(0, len(w), size - overlap)):
-            yield i, " ".join(w[start : start + size])
+        found, step = (text or "").split(), size - overlap
+        for no in range(-(-len(found) // step)):
+            yield no, " ".join(found[no * step : no * step + size])
 
 
 def hash_embedder(dims: int) -> Callable[[Sequence[str]], np.ndarray]:

@@ -478,7 +478,7 @@ def _(t):
     # steps at one instant collapse: ends count first, so only the rise after them matters
     steps = (
         s.select(F.col("a").alias("x"), F.lit(1).alias("d")).union(s.select(F.col("b"), F.lit(-1)))
-        .groupBy("x").agg(F.sum("d").alias("d")).withColumn("b", F.floor(F.col("x") / 86400000000))
+        .groupBy("x").agg(F.sum("d").alias("d")).withColumn("b", F.floor(F.col("x") / 60000000))
     )
     run = running_totals(steps, [], [F.col("x").asc()], "b", {"c": F.col("d")})
     return run.agg(F.max("c").alias("peak"))

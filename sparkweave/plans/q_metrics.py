@@ -22,9 +22,10 @@ i AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS p
 
 def increases(t):
     """Counters that restart every day, from the running value of events per type."""
-    e = t.events.select("event_type", "ts", "event_id", day("ts").alias("d"), hour().alias("h"), M.units("value").alias("u"))
-    c = running_totals(e, ["event_type", "d"], [F.col("ts"), F.col("event_id")], "h", {"v": F.col("u")})
-    return X.counter_increases(c, ["event_type"], ["ts", "event_id"], "v", "d")
+    e = t.events.select("event_type", "ts", "event_id", day("ts").alias("d"), hour().alias("h"), F.date_trunc("minute", "ts").alias("minute"), M.units("value").alias("u"))
+    # a type may hold a third of all events, so it is worked on minute by minute
+    c = running_totals(e, ["event_type", "d"], [F.col("ts"), F.col("event_id")], "minute", {"v": F.col("u")})
+    return X.counter_increases(c, ["event_type"], ["ts", "event_id"], "v", "minute")
 
 
 @query("X01_counter_rate", f"""

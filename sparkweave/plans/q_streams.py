@@ -191,13 +191,12 @@ def instants(t):
 
 
 MINUTE = 60_000_000
-DAY = 86_400_000_000
 
 
 @query("T14_sliding_pairs", """
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE PRECEDING AND INTERVAL 30 MINUTE FOLLOWING) AS near FROM events""")
 def _(t):
-    return R.count_within(instants(t), ["user_id"], "at", 30 * MINUTE, 30 * MINUTE, DAY, "near").select("event_id", "near")
+    return R.count_within(instants(t), ["user_id"], "at", 30 * MINUTE, 30 * MINUTE, MINUTE, "near").select("event_id", "near")
 
 
 @query("T15_timer_processor", f"""
@@ -229,8 +228,8 @@ def _(t):
 
 @query("T18_time_bounded_dedup")
 def _(t):
-    e = instants(t).withColumn("content", F.sha2(F.concat_ws("|", "user_id", "event_type"), 256)).withColumn("d", F.floor(F.col("at") / DAY))
-    return R.first_in_span(e, "content", "at", "event_id", 300 * 60 * 1_000_000, "d")
+    e = instants(t).withColumn("content", F.sha2(F.concat_ws("|", "user_id", "event_type"), 256)).withColumn("minute", F.floor(F.col("at") / MINUTE))
+    return R.first_in_span(e, "content", "at", "event_id", 300 * 60 * 1_000_000, "minute")
 
 
 @query("T19_dead_letters", """
@@ -338,7 +337,7 @@ def _(t):
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS recent,
  count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) <= 2 AS allowed FROM events""")
 def _(t):
-    out = R.count_within(instants(t), ["user_id"], "at", 60 * MINUTE, 0, DAY, "recent")
+    out = R.count_within(instants(t), ["user_id"], "at", 60 * MINUTE, 0, MINUTE, "recent")
     return out.select("event_id", "recent", (F.col("recent") <= 2).alias("allowed"))
 
 
@@ -359,8 +358,8 @@ def _(t):
 
 @query("T29_token_bucket")
 def _(t):
-    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "d": F.floor(F.col("at") / DAY)})
-    return R.token_bucket(e, "user_id", "sec", "event_id", capacity=3.0, per_second=1 / 3600, bin_col="d")
+    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
+    return R.token_bucket(e, "user_id", "sec", "event_id", capacity=3.0, per_second=1 / 3600, bin_col="minute")
 
 
 @query("T30_pending_messages", """

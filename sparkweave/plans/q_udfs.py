@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from sparkweave.functions import udfs as U
@@ -13,7 +9,7 @@ from sparkweave.operators import limits as R
 from sparkweave.operators import text as X
 from sparkweave.operators import vectors as V
 from sparkweave.plans.common import n_rows, sql_units
-from sparkweave.plans.q_streams import DAY, instants
+from sparkweave.plans.q_streams import MINUTE, instants
 from sparkweave.plans.q_text import SQL_WORDS, sql_word_chunks
 from sparkweave.plans.registry import query
 
@@ -49,8 +45,8 @@ def _(t):
 
 @query("U05_grouped_map")
 def _(t):
-    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "d": F.floor(F.col("at") / DAY)})
-    out = R.token_bucket(e, "user_id", "sec", "event_id", capacity=5.0, per_second=1 / 1800, bin_col="d")
+    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
+    out = R.token_bucket(e, "user_id", "sec", "event_id", capacity=5.0, per_second=1 / 1800, bin_col="minute")
     return out.groupBy("user_id").agg(F.count_if(F.col("allowed")).alias("allowed"), n_rows().alias("n"))
 
 

@@ -11,7 +11,7 @@ from sparkweave.operators.ordered import number_rows, previous_of_key, running_t
 from sparkweave.plans.common import EMP, day, employees, month, n_rows, sql_mean, sql_tagged, sql_total, sql_units, tagged
 from sparkweave.plans.registry import query
 
-SALARY_BAND = 200.0
+SALARY_BAND = 20.0
 
 
 def banded(t):
@@ -28,8 +28,7 @@ def numbered(t):
 
 
 def orders_by_customer(t):
-    o = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", day("o_orderdate").alias("d"))
-    return o.withColumn("year", F.year("d"))
+    return t.orders.select("o_custkey", "o_orderkey", "o_totalprice", day("o_orderdate").alias("d"))
 
 
 def order_seq():
@@ -73,15 +72,14 @@ def _(t):
 @query("W04_running_total_rows", f"""
 SELECT o_orderkey, CAST(sum({sql_units('o_totalprice')}) OVER (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) / 1e2 AS running FROM orders""")
 def _(t):
-    o = orders_by_customer(t).withColumn("bin", F.trunc("d", "month"))
-    run = running_totals(o, [], order_seq(), "bin", {"u": M.units("o_totalprice")})
+    run = running_totals(orders_by_customer(t), [], order_seq(), "d", {"u": M.units("o_totalprice")})
     return run.select("o_orderkey", (F.col("u") / 100.0).alias("running"))
 
 
 @query("W05_running_total_per_key", f"""
 SELECT o_custkey, o_orderkey, CAST(sum({sql_units('o_totalprice')}) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) / 1e2 AS running FROM orders""")
 def _(t):
-    run = running_totals(orders_by_customer(t), ["o_custkey"], order_seq(), "year", {"u": M.units("o_totalprice")})
+    run = running_totals(orders_by_customer(t), ["o_custkey"], order_seq(), "d", {"u": M.units("o_totalprice")})
     return run.select("o_custkey", "o_orderkey", (F.col("u") / 100.0).alias("running"))
 
 
@@ -125,7 +123,7 @@ def _(t):
 
 
 def blocks_of_orders(t, before, after):
-    o = number_rows(orders_by_customer(t), ["o_custkey"], order_seq(), "year")
+    o = number_rows(orders_by_customer(t), ["o_custkey"], order_seq(), "d")
     return with_neighbours(o, ["o_custkey"], "rn", 1000, before, after)
 
 
@@ -303,9 +301,9 @@ def _(t):
     b = t.lineitem.select(
         "l_partkey", day("l_shipdate").alias("received"), "l_orderkey", "l_linenumber", "l_extendedprice",
         F.col("l_quantity").cast("bigint").alias("qty"),
-    ).withColumn("bin", F.trunc("received", "month"))
+    )
     order = [F.col(c) for c in ("received", "l_orderkey", "l_linenumber", "qty", "l_extendedprice")]
-    r = running_totals(b, ["l_partkey"], order, "bin", {"upto": F.col("qty")})
+    r = running_totals(b, ["l_partkey"], order, "received", {"upto": F.col("qty")})
     taken = F.when(F.col("upto") <= target, F.col("qty")).otherwise(target - (F.col("upto") - F.col("qty")))
     return r.filter(F.col("upto") - F.col("qty") < target).select(
         "l_partkey", "received", "l_orderkey", "l_linenumber", "qty", taken.alias("taken")
@@ -317,7 +315,7 @@ SQL_LEDGER = f"""SELECT user_id, event_id, ts, CASE event_type WHEN 'purchase' T
 
 def ledger(t):
     sign = F.when(F.col("event_type") == "purchase", -1).when(F.col("event_type").isin("signup", "click"), 1).otherwise(0)
-    return t.events.select("user_id", "event_id", "ts", (sign * M.units("value")).alias("u"), day("ts").alias("d"))
+    return t.events.select("user_id", "event_id", "ts", (sign * M.units("value")).alias("u"), F.date_trunc("minute", "ts").alias("minute"))
 
 
 @query("W29_account_statement", f"""
@@ -326,7 +324,7 @@ WITH l AS ({SQL_LEDGER}) SELECT user_id, event_id, u / 1e2 AS amount, CAST(sum(u
 def _(t):
     at = F.col("ts") <= F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
     run = running_totals(
-        ledger(t), ["user_id"], [F.col("ts"), F.col("event_id")], "d",
+        ledger(t), ["user_id"], [F.col("ts"), F.col("event_id")], "minute",
         {"bal": F.col("u"), "upto": F.when(at, F.col("u")).otherwise(0)},
     )
     return run.select(
@@ -338,7 +336,7 @@ def _(t):
 @query("W30_difference_from_previous", f"""
 SELECT o_custkey, o_orderkey, o_totalprice - lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS diff FROM orders""")
 def _(t):
-    p = previous_of_key(orders_by_customer(t), ["o_custkey"], order_seq(), "year", ["o_totalprice"])
+    p = previous_of_key(orders_by_customer(t), ["o_custkey"], order_seq(), "d", ["o_totalprice"])
     return p.select("o_custkey", "o_orderkey", (F.col("o_totalprice") - F.col("prev_o_totalprice")).alias("diff"))
 
 

@@ -27,6 +27,6 @@ def compact(spark, folder: str, schema, target_files: int) -> DataFrame:
     from sparkweave.session import new_folder
 
     out = new_folder(spark, "compacted")
-    # a rebalance splits and merges by size, so no file depends on one hot key
+    # rows are dealt out evenly, so no file depends on one hot key
     spark.read.schema(schema).parquet(folder).repartition(target_files).write.parquet(out)
     return spark.read.schema(schema).parquet(out)
