@@ -12,36 +12,66 @@ from sparkweave.operators.joins import salted_join
 from sparkweave.sources.files import stored
 
 SALTS = 8
+SMALL_BUCKET = 200
 
 
 def link_to_leaders(
-    members: DataFrame, features: DataFrame, score: Callable[[Column, Column], Column], keep: Callable[[Column], Column]
+    members: DataFrame,
+    features: DataFrame,
+    score: Callable[[Column, Column], Column],
+    local_score: Callable[[object, object], float],
+    keep: Callable,
 ) -> DataFrame:
     """``id, leader, score``: every member of a bucket linked to a leader it is similar to.
 
     ``members(id, bucket)``, ``features(id, f)``. In each round the lowest id of a bucket leads it;
-    members similar to it are linked and leave, the others stay for the next round under a new
-    leader. A bucket of n members thus costs n comparisons per leader, never n * n, and nobody is
-    left unverified. Rounds end when no bucket has two members.
+    members similar to it are linked and leave, the others go on under a new leader. A bucket thus
+    costs its members times its leaders, never all pairs, and nobody is left unverified. The first
+    round and all rounds of large buckets are joins; once every bucket left is small, the remaining
+    rounds of each run inside one task.
     """
-    open_, links = stored(members, "members"), None
+    open_, links = members, None
     while True:
         leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
         led = stored(salted_join(open_, leaders, ["bucket"], F.col("id"), SALTS).filter("id <> leader"), "led")
-        if led.isEmpty():
-            break
         pairs = led.select("id", "leader").distinct()
-        f = features.withColumnRenamed("f", "_f")
         lead = features.select(F.col("id").alias("leader"), F.col("f").alias("_lf"))
-        scored = salted_join(pairs.join(f, "id"), lead, ["leader"], F.col("id"), SALTS)
-        found = stored(scored.select("id", "leader", score(F.col("_f"), F.col("_lf")).alias("score")).filter(keep(F.col("score"))), "links")
+        scored = salted_join(pairs.join(features.withColumnRenamed("f", "_f"), "id"), lead, ["leader"], F.col("id"), SALTS)
+        verified = scored.select("id", "leader", score(F.col("_f"), F.col("_lf")).alias("score"))
+        found = stored(verified.filter(keep(F.col("score"))), "links")
         links = found if links is None else links.unionByName(found)
         open_ = stored(led.join(found.select("id", "leader"), ["id", "leader"], "left_anti").select("id", "bucket"), "members")
-    if links is None:
-        return features.select("id", F.col("id").alias("leader"), F.lit(0.0).alias("score")).limit(0)
+        sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        largest = sizes.agg(F.max("n")).first()[0]
+        if largest is None:
+            break
+        if largest <= SMALL_BUCKET:
+            left = open_.join(sizes, "bucket").join(features, "id").select("bucket", "id", "f")
+            links = links.unionByName(_finish_small(left, local_score, keep))
+            break
     return links.groupBy("id", "leader").agg(F.max("score").alias("score"))
 
 
+def _finish_small(left: DataFrame, local_score, keep) -> DataFrame:
+    """The same rounds inside buckets of at most ``SMALL_BUCKET`` members."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        waiting, rows = list(zip(pdf["id"], pdf["f"])), []
+        while len(waiting) > 1:
+            (leader, lf), others, waiting = waiting[0], waiting[1:], []
+            for i, f in others:
+                s = local_score(f, lf)
+                if keep(s):
+                    rows.append((i, leader, s))
+                else:
+                    waiting.append((i, f))
+        return pd.DataFrame(rows, columns=["id", "leader", "score"])
+
+    kind = left.schema["id"].dataType.simpleString()
+    return left.groupBy("bucket").applyInPandas(run, f"id {kind}, leader {kind}, score double")
+
+
 def shingles(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
     """``id, f``: distinct hashes of the runs of ``n`` lower-case words of the whole text (shorter texts give one)."""
     # the word list is a column of its own, so it is built once and not once per run
@@ -56,6 +86,11 @@ def jaccard(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def local_jaccard(a, b) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
 def minhash_buckets(df: DataFrame, hashes: str, bands: int, rows: int, seed: int = 7) -> DataFrame:
     """``id, bucket``, one row per band: hash of ``rows`` minima of multiply-add permutations over 64-bit hashes."""
     rng = np.random.default_rng(seed)
@@ -90,7 +125,7 @@ def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float =
     unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi")
     features = stored(shingles(unique, "id", "t"), "shingles")
     members = minhash_buckets(features, "f", bands, rows)
-    near = link_to_leaders(members, features, jaccard, lambda s: s >= threshold)
+    near = link_to_leaders(members, features, jaccard, local_jaccard, lambda s: s >= threshold)
     return copies.select("id", "leader", F.lit(1.0).alias("score")).unionByName(near)
 
 
@@ -115,6 +150,14 @@ def simhash(text: str) -> Column:
     return vote(F.transform(w, lambda x: F.xxhash64(x)))
 
 
+def _bits_apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)).cast("double")
+
+
+def _local_bits_apart(a, b) -> float:
+    return float(((int(a) ^ int(b)) & (2**64 - 1)).bit_count())
+
+
 def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3) -> DataFrame:
     """``id, leader, score`` (score = differing bits) for pages whose fingerprints differ in few bits.
 
@@ -135,5 +178,5 @@ def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3)
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in choices]
     keys = F.array(*[F.xxhash64(F.lit(n), F.col("f").bitwiseAND(F.lit(m).cast("bigint"))) for n, m in enumerate(signed)])
     members = unique.select("id", F.explode(keys).alias("bucket"))
-    near = link_to_leaders(members, unique, lambda a, b: F.bit_count(a.bitwiseXOR(b)).cast("double"), lambda s: s <= max_bits)
+    near = link_to_leaders(members, unique, _bits_apart, _local_bits_apart, lambda s: s <= max_bits)
     return copies.select("id", "leader", F.lit(0.0).alias("score")).unionByName(near)

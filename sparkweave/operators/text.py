@@ -9,8 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkweave.operators.joins import salted_join
-
 
 def words(text: Column | str) -> Column:
     """Words between white space, empty ones left out."""
@@ -131,20 +129,23 @@ def semantic_chunks(df: DataFrame, key: str, text: str, threshold: float) -> Dat
     return df.select(key, F.posexplode(chunks(sentences(text))).alias("chunk_no", "chunk"))
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, term, tf`` of lower-case words."""
-    return df.select(key, F.explode(words(F.lower(text))).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+def postings(df: DataFrame, key: str, text: str, terms: DataFrame | None = None) -> DataFrame:
+    """``key, dl, term, tf`` of lower-case words, ``dl`` being the document's word count; only ``terms`` if given."""
+    doc = df.select(key, words(F.lower(text)).alias("_w"))
+    flat = doc.select(key, F.size("_w").alias("dl"), F.explode("_w").alias("term"))
+    if terms is not None:
+        flat = flat.join(terms, "term", "left_semi")
+    return flat.groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
     """``tf / length * ln(N / df)`` per document and term."""
-    tf = term_counts(df, key, text)
-    lengths = df.select(key, F.size(words(text)).alias("n_words"))
-    # a term of a third of all documents is spread over tasks
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = postings(df, key, text)
+    # a term of a third of all documents makes one large join partition, which adaptive execution splits
+    frequency = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = df.agg(F.count(F.lit(1))).scalar()
-    scored = salted_join(tf, df_, ["term"], F.col(key)).join(lengths, key)
-    return scored.select(key, "term", "tf", (F.col("tf") / F.col("n_words") * F.log(n / F.col("df"))).alias("tf_idf"))
+    scored = tf.join(frequency, "term")
+    return scored.select(key, "term", "tf", (F.col("tf") / F.col("dl") * F.log(n / F.col("df"))).alias("tf_idf"))
 
 
 def bm25(df: DataFrame, key: str, text: str, queries: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
@@ -152,17 +153,12 @@ def bm25(df: DataFrame, key: str, text: str, queries: DataFrame, k1: float = 1.5
 
     Only postings of query terms leave the scan; document lengths come along with them.
     """
-    doc = df.select(key, words(F.lower(text)).alias("_w")).withColumn("dl", F.size("_w"))
-    stats = doc.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg"))
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(words(text))).alias("avg"))
     n, avg = stats.select("n").scalar(), stats.select("avg").scalar()
-    terms = queries.select("term").distinct()
-    post = (
-        doc.select(key, "dl", F.explode("_w").alias("term")).join(terms, "term", "left_semi")
-        .groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    )
-    dfs = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = queries.join(dfs, "term").select("query", "term", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
-    hits = salted_join(post, weighted, ["term"], F.col(key))
+    post = postings(df, key, text, queries.select("term").distinct())
+    frequency = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weighted = queries.join(frequency, "term").select("query", "term", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
+    hits = post.join(weighted, "term")
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avg))
     return hits.groupBy("query", key).agg(F.sum(part).alias("score"))
 

@@ -333,7 +333,7 @@ SQL_TOKENS = r"""tok AS (SELECT doc_id, lower(w) AS w FROM (SELECT doc_id, unnes
 
 
 def tokens(t):
-    return t.documents.select("doc_id", F.explode(F.split("text", r"[ \n]+")).alias("w")).filter("w <> ''").select(
+    return t.spread("documents").select("doc_id", F.explode(F.split("text", r"[ \n]+")).alias("w")).filter("w <> ''").select(
         "doc_id", F.lower("w").alias("w")
     )
 

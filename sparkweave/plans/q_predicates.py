@@ -213,7 +213,7 @@ SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE regexp_matches(lower(li
 FROM l GROUP BY doc_id""")
 def _(t):
     pattern = "the|der"
-    lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    lines = t.spread("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
     return lines.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(L.matches("line", pattern, ignore_case=True)).alias("ignore_case"),

@@ -46,14 +46,14 @@ def _(t):
 SELECT doc_id, md5(regexp_replace(regexp_replace(text, '([A-Za-z]+)@([A-Za-z]+)', '\2 at \1', 'g'), 'the', 'THE', 'gi')) AS changed FROM documents""")
 def _(t):
     swapped = F.regexp_replace("text", "([A-Za-z]+)@([A-Za-z]+)", "$2 at $1")
-    return t.documents.select("doc_id", F.md5(F.regexp_replace(swapped, "(?i)the", "THE")).alias("changed"))
+    return t.spread("documents").select("doc_id", F.md5(F.regexp_replace(swapped, "(?i)the", "THE")).alias("changed"))
 
 
 @query("F05_translate_squeeze", """
 SELECT doc_id, md5(translate(text, 'abc', 'xyz')) AS translated, length(regexp_replace(text, ' +', ' ', 'g')) AS squeezed,
  length(translate(text, 'aeiou', '')) AS deleted, length(regexp_replace(text, '[^a-z]', '', 'g')) AS kept FROM documents""")
 def _(t):
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", F.md5(F.translate("text", "abc", "xyz")).alias("translated"),
         F.length(F.regexp_replace("text", " +", " ")).alias("squeezed"), F.length(F.translate("text", "aeiou", "")).alias("deleted"),
         F.length(F.regexp_replace("text", "[^a-z]", "")).alias("kept"),
@@ -268,7 +268,7 @@ def _(t):
 @query("F23_extract_all", r"""
 SELECT doc_id, array_to_string(regexp_extract_all(text, '@([A-Za-z0-9.-]+)', 1), ' ') AS domains, len(regexp_extract_all(text, '[0-9]+')) AS numbers FROM documents""")
 def _(t):
-    return t.documents.select(
+    return t.spread("documents").select(
         "doc_id", F.array_join(F.regexp_extract_all("text", F.lit("(?<=@)[A-Za-z0-9.-]+"), F.lit(0)), " ").alias("domains"),
         F.size(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0))).alias("numbers"),
     )

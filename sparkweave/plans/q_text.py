@@ -11,6 +11,7 @@ from sparkweave.operators.aggregates import top_n_per_group
 from sparkweave.operators.ordered import number_rows, running_totals
 from sparkweave.plans.common import n_rows, tagged
 from sparkweave.plans.registry import query
+from sparkweave.sources.files import stored
 
 SQL_WORDS = r"list_filter(regexp_split_to_array({}, '\s+'), lambda x: x <> '')"
 
@@ -22,13 +23,13 @@ def sql_word_chunks(size, overlap):
 
 @query("V01_word_chunks", f"SELECT doc_id, chunk_no, md5(chunk) AS chunk FROM ({sql_word_chunks(300, 50)})")
 def _(t):
-    return X.word_chunks(t.documents, "text", 300, 50, "doc_id").withColumn("chunk", F.md5("chunk"))
+    return X.word_chunks(t.spread("documents"), "text", 300, 50, "doc_id").withColumn("chunk", F.md5("chunk"))
 
 
 @query("V02_char_chunks", """
 SELECT doc_id, (i // 450)::INTEGER AS chunk_no, md5(substring(text, i + 1, 500)) AS chunk FROM (SELECT doc_id, text, unnest(generate_series(0, length(text) - 1, 450)) AS i FROM documents WHERE length(text) > 0)""")
 def _(t):
-    return X.char_chunks(t.documents, "text", 500, 50, "doc_id").withColumn("chunk", F.md5("chunk"))
+    return X.char_chunks(t.spread("documents"), "text", 500, 50, "doc_id").withColumn("chunk", F.md5("chunk"))
 
 
 # fixed values: separators from coarse to fine
@@ -37,7 +38,7 @@ SEPARATORS = ["\n\n", "\n", ".", "!", "?", ",", " ", ""]
 
 @query("V03_recursive_chunks")
 def _(t):
-    return X.recursive_chunks(t.documents, "doc_id", "text", 500, SEPARATORS)
+    return X.recursive_chunks(t.spread("documents"), "doc_id", "text", 500, SEPARATORS)
 
 
 SQL_SENT = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '')"
@@ -47,12 +48,12 @@ SQL_SENT = r"list_filter(string_split(regexp_replace(text, '([.!?])\s+', '\1' ||
 SELECT doc_id, (i - 1)::INTEGER AS sentence_no, md5(s[i]) AS sentence, md5(array_to_string(s[greatest(i - 1, 1):i + 1], ' ')) AS "window"
 FROM (SELECT doc_id, s, unnest(generate_series(1, len(s))) AS i FROM (SELECT doc_id, {SQL_SENT} AS s FROM documents))""")
 def _(t):
-    return X.sentence_windows(t.documents, "text", 1, "doc_id").withColumns({"sentence": F.md5("sentence"), "window": F.md5("window")})
+    return X.sentence_windows(t.spread("documents"), "text", 1, "doc_id").withColumns({"sentence": F.md5("sentence"), "window": F.md5("window")})
 
 
 @query("V05_semantic_chunks")
 def _(t):
-    return X.semantic_chunks(t.documents, "doc_id", "text", 0.75)
+    return X.semantic_chunks(t.spread("documents"), "doc_id", "text", 0.75)
 
 
 @query("V06_parent_child_chunks", rf"""
@@ -62,7 +63,7 @@ c AS (SELECT doc_id, chunk_no AS parent_no, (i // 60)::INTEGER AS child_no, arra
 SELECT p.doc_id AS doc_id, p.chunk_no AS parent_no, hits, md5(p.chunk) AS parent FROM p JOIN
  (SELECT doc_id, parent_no, count(*) AS hits FROM c WHERE contains(child, '@') GROUP BY 1, 2) h ON h.doc_id = p.doc_id AND h.parent_no = p.chunk_no""")
 def _(t):
-    parents = X.word_chunks(t.documents, "text", 300, 0, "doc_id").withColumnsRenamed({"chunk_no": "parent_no", "chunk": "parent"})
+    parents = X.word_chunks(t.spread("documents"), "text", 300, 0, "doc_id").withColumnsRenamed({"chunk_no": "parent_no", "chunk": "parent"})
     children = X.word_chunks(parents, "parent", 60, 0, "doc_id", "parent_no")
     hits = children.filter(F.col("chunk").contains("@")).groupBy("doc_id", "parent_no").agg(n_rows().alias("hits"))
     return parents.join(hits, ["doc_id", "parent_no"]).withColumn("parent", F.md5("parent"))
@@ -73,7 +74,7 @@ WITH b AS (SELECT page_id, unnest(string_split(regexp_replace(html, '(<(?:h[1-6]
 x AS (SELECT page_id, regexp_extract(block, '^<([a-z0-9]+)', 1) AS tag, trim(regexp_replace(regexp_replace(block, '<[^>]*>', ' ', 'g'), '[ \n\t\r]+', ' ', 'g'), ' ') AS txt FROM b)
 SELECT page_id, tag, count(*) AS blocks, CAST(sum(length(txt)) AS BIGINT) AS chars FROM x WHERE txt <> '' GROUP BY 1, 2""")
 def _(t):
-    blocks = t.pages.select("page_id", F.explode(F.split("html", r"(?=<(?:h[1-6]|p|li|article|title)[ >])")).alias("block"))
+    blocks = t.spread("pages").select("page_id", F.explode(F.split("html", r"(?=<(?:h[1-6]|p|li|article|title)[ >])")).alias("block"))
     txt = F.trim(F.regexp_replace(F.regexp_replace("block", "<[^>]*>", " "), "[ \n\t\r]+", " "))
     x = blocks.select("page_id", F.regexp_extract("block", "^<([a-z0-9]+)", 1).alias("tag"), txt.alias("txt"))
     return x.filter("txt <> ''").groupBy("page_id", "tag").agg(n_rows().alias("blocks"), F.sum(F.length("txt")).cast("bigint").alias("chars"))
@@ -86,12 +87,12 @@ SQL_TF = rf"tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unne
 WITH {SQL_TF}, d AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)
 SELECT doc_id, term, tf, round(tf / dl * ln((SELECT count(*) FROM documents) / df), 6) AS tf_idf FROM tf JOIN d USING (term) JOIN ln USING (doc_id)""")
 def _(t):
-    return X.tf_idf(t.documents, "doc_id", "text").withColumn("tf_idf", F.round("tf_idf", 6))
+    return X.tf_idf(t.spread("documents"), "doc_id", "text").withColumn("tf_idf", F.round("tf_idf", 6))
 
 
 def language_queries(t):
     """Per language, its three most frequent words of six letters or more: a query set from the data."""
-    tok = t.documents.select("lang", F.explode(X.words(F.lower("text"))).alias("term")).filter(F.length("term") >= 6)
+    tok = t.spread("documents").select("lang", F.explode(X.words(F.lower("text"))).alias("term")).filter(F.length("term") >= 6)
     counts = tok.groupBy("lang", "term").agg(n_rows().alias("n"))
     top = top_n_per_group(counts, ["lang"], [F.col("n").desc(), F.col("term")], 3)
     return top.select(F.col("lang").alias("query"), "term")
@@ -104,7 +105,9 @@ bm AS (SELECT query, doc_id, round(sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf
 
 
 def bm25_ranking(t, k):
-    scores = X.bm25(t.documents, "doc_id", "text", language_queries(t)).withColumn("score", F.round("score", 6))
+    # the query terms are a few rows; written once, they are not counted again for every use
+    queries = stored(language_queries(t), "queries")
+    scores = X.bm25(t.spread("documents"), "doc_id", "text", queries).withColumn("score", F.round("score", 6))
     return top_n_per_group(scores, ["query"], [F.col("score").desc(), F.col("doc_id")], k).withColumnRenamed("rank", "place")
 
 
@@ -116,12 +119,12 @@ def _(t):
 
 @query("V16_minhash_near_duplicates")
 def _(t):
-    return N.near_duplicate_texts(t.documents, "doc_id", "text", 0.8)
+    return N.near_duplicate_texts(t.spread("documents"), "doc_id", "text", 0.8)
 
 
 @query("V17_simhash_near_duplicates")
 def _(t):
-    return N.near_duplicate_pages(t.pages, "page_id", "html", 3)
+    return N.near_duplicate_pages(t.spread("pages"), "page_id", "html", 3)
 
 
 def sql_pii(c):
@@ -136,7 +139,7 @@ def sql_redacted(c):
 
 @query("V30_pii", f"SELECT doc_id, concat_ws(',', {sql_pii('text')}) AS kinds, md5({sql_redacted('text')}) AS redacted FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.array_join(X.pii_types("text"), ",").alias("kinds"), F.md5(X.redact("text")).alias("redacted"))
+    return t.spread("documents").select("doc_id", F.array_join(X.pii_types("text"), ",").alias("kinds"), F.md5(X.redact("text")).alias("redacted"))
 
 
 def sql_has(c, phrases):
@@ -232,7 +235,7 @@ def _(t):
         (~F.col("lang").isin("en", "de", "fr"), F.concat(F.lit("invalid label: "), "lang")),
         (F.size(X.words("text")) > 500, F.lit("input too long")),
     ])
-    return t.documents.select("doc_id", reason.alias("reason"))
+    return t.spread("documents").select("doc_id", reason.alias("reason"))
 
 
 @query("V37_balanced_sample", """
@@ -255,7 +258,7 @@ def _(t):
 SELECT doc_id, len({SQL_WORDS.format('text')})::INTEGER AS tokens, len({SQL_WORDS.format('text')}) / 1e6 * 0.15::DOUBLE AS cost_usd, len({SQL_WORDS.format('text')}) + 500 > 1000 AS over_budget FROM documents""")
 def _(t):
     tokens = F.size(X.words("text"))
-    return t.documents.select("doc_id", tokens.alias("tokens"), (tokens / 1e6 * 0.15).alias("cost_usd"), (tokens + 500 > 1000).alias("over_budget"))
+    return t.spread("documents").select("doc_id", tokens.alias("tokens"), (tokens / 1e6 * 0.15).alias("cost_usd"), (tokens + 500 > 1000).alias("over_budget"))
 
 
 @query("V40_context_trim", """

@@ -26,7 +26,7 @@ def _(t):
 @query("U02_vectorised_scalar", rf"SELECT doc_id, len({SQL_WORDS.format('text')})::BIGINT AS n_words, true AS agrees FROM documents")
 def _(t):
     native = F.size(X.words("text")).cast("bigint")
-    both = t.documents.select("doc_id", U.word_count("text").alias("n_words"), native.alias("native"))
+    both = t.spread("documents").select("doc_id", U.word_count("text").alias("n_words"), native.alias("native"))
     return both.select("doc_id", "n_words", (F.col("n_words") == F.col("native")).alias("agrees"))
 
 
@@ -63,5 +63,5 @@ def _(t):
 
 @query("U07_batch_embedding")
 def _(t):
-    vectors = U.embed_batches(t.documents, "doc_id", "text", U.hash_embedder(64), batch_size=32, retries=2)
+    vectors = U.embed_batches(t.spread("documents"), "doc_id", "text", U.hash_embedder(64), batch_size=32, retries=2)
     return vectors.select("doc_id", F.size("embedding").alias("dims"), F.round(V.norm(F.col("embedding")), 3).alias("norm"))

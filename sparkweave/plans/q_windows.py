@@ -349,7 +349,7 @@ c AS (SELECT *, max(is_match::INT) OVER (PARTITION BY doc_id ORDER BY line_no RO
  CAST(sum(is_match::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS BIGINT) AS k FROM h)
 SELECT doc_id, line_no, is_match, is_match AND k <= 2 AS among_first FROM c WHERE near = 1""")
 def _(t):
-    lines = L.lines_of(t.documents, "text", "doc_id")
+    lines = L.lines_of(t.spread("documents"), "text", "doc_id")
     near = L.with_context(lines, ["doc_id"], L.matches("line", "http|@"), 2, 1)
     first = top_n_per_group(near.filter("is_match"), ["doc_id"], [F.col("line_no")], 2).select(
         "doc_id", "line_no", F.lit(True).alias("among_first")
@@ -365,5 +365,5 @@ g AS (SELECT *, sum(e::INT) OVER (PARTITION BY doc_id ORDER BY line_no) - e::INT
 h AS (SELECT *, min(CASE WHEN s THEN line_no END) OVER (PARTITION BY doc_id, k) AS start_no FROM g)
 SELECT doc_id, line_no, line FROM h WHERE line_no >= start_no""")
 def _(t):
-    lines = L.lines_of(t.documents, "text", "doc_id")
+    lines = L.lines_of(t.spread("documents"), "text", "doc_id")
     return L.between_markers(lines, ["doc_id"], L.matches("line", "The|Der"), L.matches("line", "and|und")).drop("line_bin")

@@ -40,6 +40,14 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
+    def spread(self, name: str) -> DataFrame:
+        """The table over at least as many partitions as there are cores, for costly work per row.
+
+        A table of many files is read as it is; only one with fewer splits than cores is dealt out anew.
+        """
+        df, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
     def register(self, *names: str) -> None:
         for name in names:
             getattr(self, name).createOrReplaceTempView(name)
