@@ -18,7 +18,7 @@ def spark():
         "tests", "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": work, "spark.sql.warehouse.dir": f"{work}/warehouse",
+            "spark.checkpoint.dir": work, "spark.sql.maxMetadataStringLength": "10000", "spark.sql.warehouse.dir": f"{work}/warehouse",
         },
     )
     session.sparkContext.setLogLevel("OFF")
