@@ -71,6 +71,13 @@ def range_lookup(
     return p.join(r, on, how).drop("_bin")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join in which null keys match each other."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def counts_below(
     points: DataFrame, asks: DataFrame, keys: Sequence[str], value: str, bin_width: Column | float, inclusive: bool,
     name: str,
@@ -86,7 +93,7 @@ def counts_below(
     a = asks.select(*keys, value).distinct().withColumns({"_one": F.lit(0).cast("bigint"), "_tag": F.lit(second)})
     both = p.unionByName(a).withColumn("_bin", F.floor(F.col(value) / bin_width))
     out = running_totals(both, keys, [F.col(value).asc(), F.col("_tag").asc()], "_bin", {name: F.col("_one")})
-    return asks.join(out.filter(F.col("_tag") == second).select(*keys, value, name), [*keys, value])
+    return join_null_safe(asks, out.filter(F.col("_tag") == second).select(*keys, value, name), [*keys, value])
 
 
 def overlap_counts(intervals: DataFrame, keys: Sequence[str], start: str, end: str, bin_width: float) -> DataFrame:
@@ -116,22 +123,23 @@ def asof_join(
 
     ``bin_of`` maps a time column to a bin that rises with time (for example the month).
     Versions and facts meet in one ordered pass per key and bin; the state at the start of a
-    bin comes from a table with one row per key and bin. One version per key and time.
+    bin joins it as one more row ahead of the others. One version per key and time.
     """
     fact_cols = [c for c in facts.columns if c not in keys]
     v = versions.select(
-        *keys, F.col(version_time).alias("_t"), F.lit(0).alias("_tag"), F.struct(*fields).alias("_v")
+        *keys, F.col(version_time).alias("_t"), F.lit(1).alias("_tag"), F.struct(*fields).alias("_v")
     )
-    f = facts.select(*keys, F.col(fact_time).alias("_t"), F.lit(1).alias("_tag"), F.struct(*fact_cols).alias("_f"))
+    f = facts.select(*keys, F.col(fact_time).alias("_t"), F.lit(2).alias("_tag"), F.struct(*fact_cols).alias("_f"))
     both = v.unionByName(f, allowMissingColumns=True).withColumn("_bin", bin_of(F.col("_t")))
-    carry = both.groupBy(*keys, "_bin").agg(
+    ends = both.groupBy(*keys, "_bin").agg(
         F.max_by("_v", F.when(F.col("_v").isNotNull(), F.col("_t"))).alias("_end")
     )
     earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select(*keys, "_bin", F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
-    local = Window.partitionBy(*keys, "_bin").orderBy("_t", "_tag").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_v", F.last("_v", ignorenulls=True).over(local)).filter(F.col("_tag") == 1)
-    out = out.join(carry, [*keys, "_bin"], "left").withColumn("_v", F.coalesce("_v", "_start"))
+    starts = ends.select(*keys, "_bin", F.last("_end", ignorenulls=True).over(earlier).alias("_v"), F.lit(0).alias("_tag"))
+    everything = both.unionByName(starts, allowMissingColumns=True)
+    first = F.when(F.col("_tag") == 0, 0).otherwise(1)
+    local = Window.partitionBy(*keys, "_bin").orderBy(first, "_t", "_tag").rowsBetween(Window.unboundedPreceding, 0)
+    out = everything.withColumn("_v", F.last("_v", ignorenulls=True).over(local)).filter(F.col("_tag") == 2)
     return out.select(*keys, "_f.*", *[F.col("_v").getField(c).alias(c) for c in fields])
 
 

@@ -36,20 +36,26 @@ def running_totals(
     descending: bool = False,
     ties_together: bool = False,
 ) -> DataFrame:
-    """Add a running total per entry of ``values``, and ``<name>_all`` with the key's total.
+    """Add a running total per entry of ``values`` (nulls count as zero), and ``<name>_all`` with the key's total.
 
     ``bin_col`` must rise (or fall, if ``descending``) with ``order``, and equal order keys
     must share a bin. ``ties_together`` gives the RANGE frame instead of the ROWS frame.
+
+    The total of all earlier bins joins each bin as one more row ahead of its own rows, so the
+    data moves once, by key and bin, and null keys form a group like any other.
     """
-    offsets = bin_offsets(df, keys, bin_col, {n: F.sum(v) for n, v in values.items()}, descending)
-    local = Window.partitionBy(*keys, bin_col).orderBy(*order)
-    if not ties_together:
-        local = local.rowsBetween(Window.unboundedPreceding, 0)
-    out = df.select("*", *[F.sum(v).over(local).alias(f"_{n}") for n, v in values.items()])
-    out = out.join(offsets, [*keys, bin_col], "left")
+    rows = df.withColumns({f"_v_{n}": F.coalesce(v, F.lit(0)) for n, v in values.items()})
+    offsets = bin_offsets(rows, keys, bin_col, {n: F.sum(f"_v_{n}") for n in values}, descending)
+    both = rows.withColumn("_own", F.lit(1)).unionByName(offsets.withColumn("_own", F.lit(0)), allowMissingColumns=True)
+    bin_rows = Window.partitionBy(*keys, bin_col).orderBy("_own", *order)
+    so_far = bin_rows.rowsBetween(Window.unboundedPreceding, 0)
+    added = []
     for n in values:
-        out = out.withColumn(n, F.col(f"_{n}") + F.col(f"{n}_before")).drop(f"_{n}", f"{n}_before")
-    return out
+        local = F.sum(f"_v_{n}").over(bin_rows if ties_together else so_far)
+        added.append((local + F.first(f"{n}_before").over(so_far)).alias(n))
+        added.append(F.first(f"{n}_all").over(so_far).alias(f"{n}_all"))
+    kept = [c for c in df.columns if c not in values]
+    return both.select(*kept, "_own", *added).filter("_own = 1").drop("_own")
 
 
 def number_rows(
@@ -78,23 +84,11 @@ def value_positions(
         .agg(F.count(F.lit(1)).alias("ties"))
         .withColumn("_bin", F.floor(F.col(value) / bin_width))
     )
-    offsets = bin_offsets(
-        counts, keys, "_bin", {"rows": F.sum("ties"), "vals": F.count(F.lit(1))}, descending
-    )
     order = F.col(value).desc() if descending else F.col(value).asc()
-    local = Window.partitionBy(*keys, "_bin").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        counts.withColumn("_r", F.coalesce(F.sum("ties").over(local), F.lit(0)))
-        .withColumn("_v", F.coalesce(F.count("ties").over(local), F.lit(0)))
-        .join(offsets, [*keys, "_bin"])
-        .select(
-            *keys,
-            value,
-            "ties",
-            (F.col("_r") + F.col("rows_before")).alias("before"),
-            (F.col("_v") + F.col("vals_before")).alias("dense_before"),
-            F.col("rows_all").alias("total"),
-        )
+    upto = running_totals(counts, keys, [order], "_bin", {"_r": F.col("ties"), "_v": F.lit(1).cast("bigint")}, descending)
+    return upto.select(
+        *keys, value, "ties", (F.col("_r") - F.col("ties")).alias("before"), (F.col("_v") - 1).alias("dense_before"),
+        F.col("_r_all").alias("total"),
     )
 
 
@@ -149,17 +143,13 @@ def previous_of_key(
 ) -> DataFrame:
     """Add ``prev_<field>`` from the preceding row of the key (null for its first row).
 
-    Inside a bin this is a plain ``lag``; the first row of a bin takes the last row of the
-    key's previous non-empty bin.
+    Inside a bin this is a plain ``lag``; the last row of the key's previous non-empty bin joins
+    the bin as one more row ahead of its own.
     """
     packed = F.struct(*[F.col(f) for f in fields])
-    local = Window.partitionBy(*keys, bin_col).orderBy(*order)
-    marked = df.select("*", F.lag(packed).over(local).alias("_p"), F.row_number().over(local).alias("_i"))
-    ordering = F.struct(*order)
-    last = df.groupBy(*keys, bin_col).agg(F.max_by(packed, ordering).alias("_l"))
-    last = last.withColumn("_l", F.lag("_l").over(Window.partitionBy(*keys).orderBy(bin_col)))
-    out = marked.join(last, [*keys, bin_col], "left")
-    prev = F.when(F.col("_i") == 1, F.col("_l")).otherwise(F.col("_p"))
-    for f in fields:
-        out = out.withColumn(f"prev_{f}", prev.getField(f))
-    return out.drop("_p", "_i", "_l")
+    last = df.groupBy(*keys, bin_col).agg(F.max_by(packed, F.struct(*order)).alias("_last"))
+    carried = last.withColumn("_p", F.lag("_last").over(Window.partitionBy(*keys).orderBy(bin_col))).drop("_last")
+    both = df.withColumns({"_p": packed, "_own": F.lit(1)}).unionByName(carried.withColumn("_own", F.lit(0)), allowMissingColumns=True)
+    before = F.lag("_p").over(Window.partitionBy(*keys, bin_col).orderBy("_own", *order))
+    out = both.withColumn("_b", before).filter("_own = 1")
+    return out.select(*df.columns, *[F.col("_b").getField(f).alias(f"prev_{f}") for f in fields])

@@ -49,6 +49,15 @@ def test_running_totals_with_ties(hot):
             assert got[i] == sum(v for u, _, v in rows if u <= t)
 
 
+def test_null_keys_and_null_values(spark):
+    df = spark.createDataFrame([(None, 1, 1, 5), (None, 9, 2, None), (1, 1, 3, None), (1, 20, 4, 2)], SCHEMA).withColumn("bin", F.floor(F.col("t") / 7))
+    order = [F.col("t"), F.col("id")]
+    assert {r["id"]: r["s"] for r in O.running_totals(df, ["k"], order, "bin", {"s": F.col("v")}).collect()} == {1: 5, 2: 5, 3: 0, 4: 2}
+    assert {r["id"]: r["prev_v"] for r in O.previous_of_key(df, ["k"], order, "bin", ["v"]).collect()} == {1: None, 2: 5, 3: None, 4: None}
+    near = R.count_within(df, ["k"], "t", 10, 0, 4, "n")
+    assert {r["id"]: r["n"] for r in near.collect()} == {1: 1, 2: 2, 3: 1, 4: 1}
+
+
 def test_descending_numbers(hot):
     n = O.number_rows(hot, ["k"], [F.col("t").desc(), F.col("id").desc()], "bin", descending=True)
     got = {r["id"]: r["rn"] for r in n.collect()}
