@@ -103,11 +103,18 @@ def overlap_counts(intervals: DataFrame, keys: Sequence[str], start: str, end: s
     Requires ``start < end``.
     """
     rest = intervals.columns
-    starts = intervals.select(*keys, F.col(start).alias("_x"))
-    ends = intervals.select(*keys, F.col(end).alias("_x"))
-    a = counts_below(starts, intervals.withColumn("_x", F.col(end)), keys, "_x", bin_width, False, "_begun")
-    b = counts_below(ends, a.withColumn("_x", F.col(start)), keys, "_x", bin_width, True, "_over")
-    return b.select(*rest, (F.col("_begun") - F.col("_over") - 1).alias("overlaps"))
+    edges = F.array(
+        F.struct(F.col(start).alias("_x"), F.lit(1).alias("_s"), F.lit(0).alias("_e")),
+        F.struct(F.col(end).alias("_x"), F.lit(0).alias("_s"), F.lit(1).alias("_e")),
+    )
+    # equal instants of a key collapse, so one running pass over distinct instants answers both counts
+    points = intervals.select(*keys, F.inline(edges)).groupBy(*keys, "_x").agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
+    points = points.withColumn("_bin", F.floor(F.col("_x") / bin_width))
+    run = running_totals(points, keys, [F.col("_x").asc()], "_bin", {"_starts": F.col("_s"), "_ends": F.col("_e")})
+    begun = run.select(*keys, F.col("_x").alias(end), (F.col("_starts") - F.col("_s")).alias("_begun"))
+    over = run.select(*keys, F.col("_x").alias(start), F.col("_ends").alias("_over"))
+    both = join_null_safe(join_null_safe(intervals, begun, [*keys, end]), over, [*keys, start])
+    return both.select(*rest, (F.col("_begun") - F.col("_over") - 1).alias("overlaps"))
 
 
 def asof_join(

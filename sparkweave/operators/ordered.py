@@ -95,24 +95,45 @@ def value_positions(
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float], bin_width: float
 ) -> DataFrame:
-    """Exact interpolated (``<name>``) and discrete (``<name>_disc``) quantiles per key."""
-    pos = value_positions(df, keys, value, bin_width)
+    """Exact interpolated (``<name>``) and discrete (``<name>_disc``) quantiles per key.
+
+    A histogram by bin tells which bins hold the wanted ranks; only the rows of those few bins are
+    ordered. The bin list is written to the shared folder, so that its size decides the join.
+    """
+    from sparkweave.sources.files import stored
+
     last = F.col("total") - 1
-    aggs = []
+    ranks = {}  # name -> (low, high, share between them, discrete), all zero-based
     for name, p in probabilities.items():
         spot = last * F.lit(float(p))
-        low, high = F.floor(spot), F.ceil(spot)
         # the discrete form takes the first value whose share of rows reaches p
-        disc = F.greatest(F.ceil(F.col("total") * F.lit(float(p))) - 1, F.lit(0))
+        ranks[name] = (F.floor(spot), F.ceil(spot), spot - F.floor(spot), F.greatest(F.ceil(F.col("total") * F.lit(float(p))) - 1, F.lit(0)))
 
-        def at(place):
-            return F.max(
-                F.when((F.col("before") <= place) & (place < F.col("before") + F.col("ties")), F.col(value))
-            )
+    def covers(n, place):
+        return (F.col("before") <= place) & (place < F.col("before") + n)
 
-        part = F.max(spot - low)
-        aggs.append((at(low) + (at(high) - at(low)) * part).alias(name))
-        aggs.append(at(disc).alias(f"{name}_disc"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value).withColumn("_bin", F.floor(F.col(value) / bin_width))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n")).select(
+        *keys, "_bin", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("before"), F.sum("_n").over(whole).alias("total")
+    )
+    wanted = F.lit(False)
+    for low, high, _, disc in ranks.values():
+        wanted = wanted | covers(F.col("_n"), low) | covers(F.col("_n"), high) | covers(F.col("_n"), disc)
+    needed = stored(bins.filter(wanted).drop("_n"), "bins").withColumnsRenamed({k: f"_k_{k}" for k in keys}).withColumnRenamed("_bin", "_need")
+    on = F.col("_bin") == F.col("_need")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    values = rows.join(needed, on).groupBy(*keys, "_bin", value).agg(
+        F.count(F.lit(1)).alias("ties"), F.first("before").alias("_base"), F.first("total").alias("total")
+    )
+    local = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    pos = values.withColumn("before", F.col("_base") + F.coalesce(F.sum("ties").over(local), F.lit(0)))
+    aggs = []
+    for name, (low, high, part, disc) in ranks.items():
+        at_low, at_high, at_disc = (F.max(F.when(covers(F.col("ties"), r), F.col(value))) for r in (low, high, disc))
+        aggs += [(at_low + (at_high - at_low) * F.max(part)).alias(name), at_disc.alias(f"{name}_disc")]
     return pos.groupBy(*keys).agg(*aggs) if keys else pos.agg(*aggs)
 
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkweave.operators.joins import salted_join
+from sparkweave.operators.text import words
 from sparkweave.sources.files import stored
 
 SALTS = 8
@@ -75,7 +76,7 @@ def _finish_small(left: DataFrame, local_score, keep) -> DataFrame:
 def shingles(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
     """``id, f``: distinct hashes of the runs of ``n`` lower-case words of the whole text (shorter texts give one)."""
     # the word list is a column of its own, so it is built once and not once per run
-    w = df.select(F.col(key).alias("id"), F.filter(F.split(F.lower(text), r"\s+"), lambda x: x != "").alias("w"))
+    w = df.select(F.col(key).alias("id"), words(F.lower(text)).alias("w"))
     last = F.greatest(F.size("w") - (n - 1), F.lit(1))
     runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, F.lit(n)), " ")))
     return w.select("id", F.array_distinct(runs).alias("f"))
@@ -146,7 +147,7 @@ def simhash(text: str) -> Column:
 
         return s.map(one)
 
-    w = F.filter(F.split(F.lower(text), r"\W+"), lambda x: x != "")
+    w = F.array_remove(F.split(F.lower(text), r"\W+"), "")
     return vote(F.transform(w, lambda x: F.xxhash64(x)))
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def words(text: Column | str) -> Column:
     """Words between white space, empty ones left out."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.array_remove(F.split(text, r"\s+"), "")
 
 
 def word_chunks(df: DataFrame, text: str, size: int, overlap: int, *keep: str) -> DataFrame:
@@ -71,7 +70,7 @@ def recursive_chunks(df: DataFrame, key: str, text: str, size: int, separators:
 
 def sentences(text: Column | str) -> Column:
     """Sentences: cut at white space after a full stop, question or exclamation mark."""
-    return F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: s != "")
+    return F.array_remove(F.split(text, r"(?<=[.!?])\s+"), "")
 
 
 def sentence_windows(df: DataFrame, text: str, around: int, *keep: str) -> DataFrame:
