@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate
+from sparkweave.llm import decontaminate, quality_rules, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,50 @@ def op7(t: Tables) -> DataFrame:
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query("op8_quality_rules")
+def op8(t: Tables) -> DataFrame:
+    return quality_rules.judge(t.documents).select(
+        F.col("_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance",
+    )
+
+
+#: Fixed values of the contract.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+@query(
+    "op10_url_filter",
+    r"""
+    WITH RECURSIVE rules(action, rule) AS (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'),
+      ('block', 'net/es/'), ('block', 'net/fr/')),
+    links AS (
+      SELECT DISTINCT url, regexp_extract(tag, 'href\s*=\s*"([^"]*)"', 1) AS target FROM (
+        SELECT url, unnest(regexp_extract_all(html, '(?i)<link\b[^>]*\brel\s*=\s*"?canonical\b[^>]*>')) AS tag FROM pages WHERE html ILIKE '%canonical%')
+      UNION
+      SELECT DISTINCT url, trim(regexp_extract(tag, '(?i)url\s*=\s*([^"''>]*)', 1)) FROM (
+        SELECT url, unnest(regexp_extract_all(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*"?refresh\b[^>]*>')) AS tag FROM pages WHERE html ILIKE '%refresh%')),
+    urls AS (SELECT url FROM pages UNION SELECT url FROM links UNION SELECT target FROM links WHERE target <> ''),
+    parts AS (
+      SELECT url, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1), '') AS path, coalesce(regexp_extract(url, '^.*?://[^?#]*(\?[^#]*)', 1), '') AS query FROM urls),
+    ruled AS (
+      SELECT p.*, host || path || query AS node, r.rule, r.action FROM parts p LEFT JOIN rules r
+        ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+          AND starts_with(path, substr(rule, length(split_part(rule, '/', 1)) + 1))
+      QUALIFY row_number() OVER (PARTITION BY url ORDER BY length(rule) DESC NULLS LAST) = 1),
+    pairs AS (SELECT a.node AS a, b.node AS b FROM links l JOIN ruled a ON a.url = l.url JOIN ruled b ON b.url = l.target),
+    reach(node) AS (
+      SELECT node FROM ruled WHERE action = 'block' AND (node IN (SELECT a FROM pairs) OR node IN (SELECT b FROM pairs))
+      UNION
+      SELECT CASE WHEN p.a = r.node THEN p.b ELSE p.a END FROM reach r JOIN pairs p ON p.a = r.node OR p.b = r.node)
+    SELECT page_id, host, path, rule, coalesce(action, CASE WHEN node IN (SELECT node FROM reach) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM pages p JOIN ruled r ON p.url IS NOT DISTINCT FROM r.url
+    """,
+)
+def op10(t: Tables) -> DataFrame:
+    verdicts = url_filter.judge_pages(t.pages, url_filter.rule_table(t.spark, URL_RULES))
+    return verdicts.select("page_id", "host", "path", "rule", "verdict")
