@@ -46,3 +46,12 @@ def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
 def fold(bucket: Column, of: int) -> Column:
     """``crc32(id as text) mod of``, the fold of a row."""
     return F.crc32(bucket.cast("string").cast("binary")) % of
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body (or a lambda in it) names it.
+
+    A column that a later projection names once may be copied into it by the optimizer, also into a lambda,
+    where it would be computed again for every element.
+    """
+    return F.transform(F.array(value), body)[0]

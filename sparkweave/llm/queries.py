@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, quality_rules, url_filter
+from sparkweave.llm import decontaminate, pii, quality_rules, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,20 @@ def op7(t: Tables) -> DataFrame:
     )
 
 
+@query("op5_pii")
+def op5(t: Tables) -> DataFrame:
+    found = pii.find(t.documents)
+    base = F.filter("spans", lambda s: s["kind"] < pii.KINDS.index("term"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("_id").alias("doc_id"), *[count(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op8_quality_rules")
 def op8(t: Tables) -> DataFrame:
     return quality_rules.judge(t.documents).select(
