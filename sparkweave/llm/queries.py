@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, pii, quality_rules, url_filter
+from sparkweave.llm import decontaminate, ngram_join, pii, quality_rules, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +77,35 @@ def op5(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "op6_ngram_join",
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    shingles AS (
+      SELECT DISTINCT doc_id, hash(w[i:i + 3]) AS s FROM (
+        SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    sets AS (SELECT doc_id, hash(list(s ORDER BY s)) AS h FROM shingles GROUP BY doc_id),
+    firsts AS (SELECT h, min(doc_id) AS first FROM sets GROUP BY h),
+    picked AS (SELECT s.doc_id, s.s, z.n FROM shingles s JOIN firsts f ON f.first = s.doc_id JOIN sizes z ON z.doc_id = s.doc_id),
+    shared AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) - count(*) AS u, count(*) AS c
+      FROM picked a JOIN picked b ON a.s = b.s AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 85
+      GROUP BY a.doc_id, b.doc_id),
+    links AS (SELECT a, b FROM shared WHERE 100 * c >= 85 * u UNION SELECT b, a FROM shared WHERE 100 * c >= 85 * u),
+    reach(node, goal) AS (SELECT first, first FROM firsts UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.goal),
+    best AS (SELECT node, min(goal) AS component_id FROM reach GROUP BY node)
+    SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(b.component_id, d.doc_id) AS component_id
+    FROM documents d LEFT JOIN sizes z USING (doc_id) LEFT JOIN sets s USING (doc_id) LEFT JOIN firsts f ON f.h = s.h
+      LEFT JOIN best b ON b.node = f.first
+    """,
+)
+def op6(t: Tables) -> DataFrame:
+    return ngram_join.join_components(t.documents)
+
+
 @query("op8_quality_rules")
 def op8(t: Tables) -> DataFrame:
     return quality_rules.judge(t.documents).select(
