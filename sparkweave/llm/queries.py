@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, ngram_join, pii, quality_rules, url_filter
+from sparkweave.llm import decontaminate, mixing, ngram_join, pii, quality_rules, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op7(t: Tables) -> DataFrame:
     )
 
 
+@query("op2_mixing")
+def op2(t: Tables) -> DataFrame:
+    rates = mixing.mixing_rates(t.documents)
+    return rates.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken", "rate", "copies")
+
+
 @query("op5_pii")
 def op5(t: Tables) -> DataFrame:
     found = pii.find(t.documents)
