@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, mixing, ngram_join, pii, quality_rff, quality_rules, url_filter
+from sparkweave.llm import decontaminate, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,11 @@ def op2(t: Tables) -> DataFrame:
     return rates.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", "taken", "rate", "copies")
 
 
+@query("op3_language")
+def op3(t: Tables) -> DataFrame:
+    return language_id.identify(t.documents).select(F.col("_id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 @query("op4_quality")
 def op4(t: Tables) -> DataFrame:
     scores = quality_rff.score_documents(t.documents, t.labels)
