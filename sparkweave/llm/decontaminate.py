@@ -58,10 +58,16 @@ def benchmark_hits(
         starts = F.expr(f"CASE WHEN size(_w) >= {k} THEN sequence(1, size(_w) - {k - 1}) ELSE cast(array() AS array<int>) END")
         return F.transform(starts, one)
 
-    empty = F.expr("cast(array() AS array<struct<at: int, width: int, h: bigint>>)")
-    probes = words.select("_id", "_print", F.inline(F.concat(empty, *[at_width(k) for k in widths])))
-    found = probes.join(broadcast_within(known), ["width", "h"])
-    hits = stored(found.groupBy("_id", "_print").agg(F.sort_array(F.collect_set(F.struct("at", "width", "h"))).alias("_hits")), "hits")
+    # one pass over the texts: a first entry of width 0 carries the number of words and counts repeated rows
+    head = F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("width"), F.size("_w").cast("bigint").alias("h")))
+    probes = words.select("_id", "_print", F.inline(F.concat(head, *[at_width(k) for k in widths])))
+    found = probes.join(broadcast_within(known.withColumn("_known", F.lit(True))), ["width", "h"], "left").filter("_known OR width = 0")
+    is_head = F.col("width") == 0
+    per_doc = stored(found.groupBy("_id", "_print").agg(
+        F.max(F.when(is_head, F.col("h"))).alias("n_words"), F.count(F.when(is_head, True)).alias("_rows"),
+        F.sort_array(F.collect_set(F.when(~is_head, F.struct("at", "width", "h")))).alias("_hits"),
+    ), "hits")
+    hits = per_doc.filter(F.size("_hits") > 0).select("_id", "_print", "_hits")
 
     # the few documents with hits are read once more, and each hit is verified on the words themselves
     keys = broadcast_within(hits.select("_id", "_print"))
@@ -87,8 +93,7 @@ def benchmark_hits(
                             array(struct(element_at(done, -1).first AS first, greatest(element_at(done, -1).last, x.last) AS last)))
                 ELSE concat(done, array(x)) END)"""
     )).select(F.col("_id").alias("_mid"), F.col("_print").alias("_mprint"), "spans", "items")
-    n_words = F.coalesce(F.regexp_count(F.col("_text"), F.lit(ANY_CASE_WORD)), F.lit(0))
-    counted = base.select("_id", "_print", n_words.cast("bigint").alias("n_words"))
+    counted = per_doc.select("_id", "_print", "n_words", F.explode(F.sequence(F.lit(1), F.col("_rows"))).alias("_copy"))
     joined = counted.join(marks, counted["_id"].eqNullSafe(marks["_mid"]) & (counted["_print"] == marks["_mprint"]), "left")
     return joined.select(
         "_id", "_print", "n_words",
