@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, url_filter
+from sparkweave.llm import decontaminate, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,12 @@ def op8(t: Tables) -> DataFrame:
     )
 
 
+@query("op9_toxicity")
+def op9(t: Tables) -> DataFrame:
+    scores = toxicity.score_documents(t.documents, t.labels)
+    return scores.select(F.col("_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 #: Fixed values of the contract.
 URL_RULES = [
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
