@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
+from sparkweave.llm import decontaminate, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,12 @@ def op7(t: Tables) -> DataFrame:
     )
 
 
+@query("op1_html_text")
+def op1(t: Tables) -> DataFrame:
+    texts = html_crf.extract(t.pages)
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query("op2_mixing")
 def op2(t: Tables) -> DataFrame:
     rates = mixing.mixing_rates(t.documents)
