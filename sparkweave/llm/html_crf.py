@@ -37,12 +37,12 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Block:
-    """A run of text between block tags: its text, the tags and names around it, and how much of it is linked."""
+    """A run of text between block tags: its text, tags and names around it, those right around it, and linked characters."""
 
-    __slots__ = ("text", "around", "linked", "parent")
+    __slots__ = ("text", "around", "linked", "near")
 
-    def __init__(self, text: str, around: frozenset, linked: int, parent: str):
-        self.text, self.around, self.linked, self.parent = text, around, linked, parent
+    def __init__(self, text: str, around: frozenset, linked: int, near: set):
+        self.text, self.around, self.linked, self.near = text, around, linked, near
 
 
 def _attribute_names(attributes: str) -> list[str]:
@@ -62,6 +62,8 @@ def leaf_blocks(page: str) -> list[Block]:
     open_: list[tuple[str, list[str]]] = []
     count: dict[str, int] = {}  # open tags and names, with their number
     depth: dict[str, int] = {}  # open elements by tag
+    outer: list[list[str]] = []  # open block elements
+    named: list[list[str]] = []  # those of them with a class or an id
     parts: list[str] = []
     state = [0, 0, 0]  # skipped elements open, links open, linked characters
     around: frozenset | None = None
@@ -73,8 +75,8 @@ def leaf_blocks(page: str) -> list[Block]:
             if text:
                 if around is None:
                     around = frozenset(count)
-                parent = next((t for t, _ in reversed(open_) if t not in INLINE), "")
-                blocks.append(Block(text, around, state[2], parent))
+                near = {*(outer[-1] if outer else ()), *(named[-1] if named else ())}
+                blocks.append(Block(text, around, state[2], near))
             parts.clear()
         state[2] = 0
 
@@ -93,6 +95,9 @@ def leaf_blocks(page: str) -> list[Block]:
         state[0] -= tag in SKIPPED
         state[1] -= tag == "a"
         if names:
+            outer.pop()
+            if len(names) > 1:
+                named.pop()
             add(names, -1)
             around = None
 
@@ -138,6 +143,9 @@ def leaf_blocks(page: str) -> list[Block]:
         state[0] += tag in SKIPPED
         state[1] += tag == "a"
         if names:
+            outer.append(names)
+            if len(names) > 1:
+                named.append(names)
             add(names, 1)
             around = None
         if tag in RAW:  # nothing in it is markup but its own end
@@ -157,7 +165,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
         t = b.text
         words = t.count(" ") + 1
         stops = t.count(".") + t.count("!") + t.count("?")
-        f = ["always", *b.around, f"parent:{b.parent}", f"words:{min(6, words.bit_length())}", f"linked:{min(3, 4 * b.linked // max(1, len(t)))}"]
+        f = ["always", *b.around, *(f"in:{x}" for x in b.near), f"words:{min(6, words.bit_length())}", f"linked:{min(3, 4 * b.linked // max(1, len(t)))}"]
         f.append("stop" if t[-1] in ".!?:;\"')…" else "no stop")
         if words >= 8 and stops:
             f.append("sentences")
@@ -175,7 +183,7 @@ def features(blocks: list[Block]) -> list[list[str]]:
 _GOOD, _BAD = 1, 0
 
 
-def labelled_pages(number: int = 500, seed: int = 1) -> list[tuple[str, list[int]]]:
+def labelled_pages(number: int = 1000, seed: int = 1) -> list[tuple[str, list[int]]]:
     """Labelled training pages ``(html, label per leaf block)``, drawn from page grammars of many kinds.
 
     Menus, headers, breadcrumbs, notices, adverts, sidebars, forms, related links, comments and footers, around and
@@ -277,20 +285,20 @@ def labelled_pages(number: int = 500, seed: int = 1) -> list[tuple[str, list[int
         labels += [_GOOD] * bool(out[0])
         for _ in range(rng.randint(1, 9)):
             draw = rng.random()
-            if draw < 0.8:
+            if draw < 0.72:
                 out.append(paragraph())
                 labels.append(_GOOD)
-            elif draw < 0.86:
+            elif draw < 0.78:
                 out.append(f"<h2>{phrase(1, 6)}</h2>")
                 labels.append(_GOOD)
-            elif draw < 0.91:
+            elif draw < 0.83:
                 n = rng.randint(2, 4)
                 out.append("<ul>" + "".join(f"<li>{sentence(2, 12)}</li>" for _ in range(n)) + "</ul>")
                 labels += [_GOOD] * n
-            elif draw < 0.94:
+            elif draw < 0.86:
                 out.append(f"<blockquote><p>{sentence()}</p></blockquote>")
                 labels.append(_GOOD)
-            elif draw < 0.96:
+            elif draw < 0.88:
                 out.append(f"<table><tr><td>{phrase()}</td><td>{phrase()}</td></tr></table>")
                 labels += [_GOOD, _GOOD]
             else:
@@ -303,16 +311,21 @@ def labelled_pages(number: int = 500, seed: int = 1) -> list[tuple[str, list[int
             labels += bad
         body = "".join(out)
         kind = rng.random()
-        if kind < 0.55:
+        if kind < 0.45:
             return f"<article{rng.choice(['', '', pick('post', 'entry', 'story')])}>{body}</article>", labels
-        if kind < 0.7:
+        if kind < 0.57:
             return f"<main{rng.choice(['', pick('content')])}>{body}</main>", labels
-        if kind < 0.95:
+        if kind < 0.82:
             return f"<div{pick('content', 'article', 'post', 'entry-content', 'story', 'article-body', 'main', 'post-content', 'text')}>{body}</div>", labels
         return body, labels
 
     pages = []
     for _ in range(number):
+        if rng.random() < 0.05:  # nothing but the article
+            body, labels = article()
+            if len(leaf_blocks(body)) == len(labels):
+                pages.append((body, labels))
+            continue
         parts = [x() for x in (notice, header, menu) if rng.random() < 0.6]
         rng.shuffle(parts)
         parts += [x() for x in (share, advert, advert) if rng.random() < 0.4]
