@@ -9,87 +9,23 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from sparkweave.llm.arrow_text import PLACE, U, each_words, mix
 from sparkweave.llm.common import broadcast_within
 from sparkweave.llm.components import connected_components
 from sparkweave.sources.files import stored
 
-CHUNK = 1 << 20  # bytes of text worked on at once
 SEEDS = 8  # partitions tried for a set whose segments are too thin
 SKETCH_BITS = 1024
 SAMPLE = 64  # one set in so many is counted to find common shingles; steers cost, never results
 COMMON = 500  # a shingle in one of so many sets, or more, does not tell sets apart
+BLOCK = 4096  # members of a bucket compared in one task
 VERIFY_COST = 20  # cost of a meeting, in signatures
 
-_U = np.uint64
-_TABLE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_TABLE[65:91] = _TABLE[97:123]  # A-Z count as a-z
-_WORD_BYTE = np.ones(256, dtype=bool)
-_WORD_BYTE[[9, 10, 11, 12, 13, 32]] = False
-_BASE = 0x9E3779B97F4A7C15 | 1
-_PLACE = np.random.default_rng(21).integers(1, 2**63, 64, dtype=np.uint64) * _U(2) + _U(1)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit values (the finaliser of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64)
-    up[:1] = down[:1] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def _hash_words(buf: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of a buffer, and for each text (beginning at ``first``) the number of words before it."""
-    n = len(buf)
-    inside = _WORD_BYTE[buf]
-    begins, ends = inside.copy(), inside.copy()
-    begins[1:] &= ~inside[:-1]
-    ends[:-1] &= ~inside[1:]
-    at = first[(first > 0) & (first < n)]
-    begins[at] = inside[at]
-    ends[at - 1] = inside[at - 1]
-    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(max(CHUNK, 1 << max(n - 1, 1).bit_length()))
-    run = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[buf] * up[:n], out=run[1:])
-    words = mix((run[ends] - run[begins]) * down[begins] + (ends - begins).astype(np.uint64) * _PLACE[40])
-    return words, np.searchsorted(begins, first)
-
-
-def _long_text(buf: np.ndarray) -> np.ndarray:
-    """Word hashes of one text of any length, in pieces that end between words."""
-    out, at = [], 0
-    while at < len(buf):
-        end = min(at + CHUNK, len(buf))
-        if end < len(buf):
-            gaps = np.flatnonzero(~_WORD_BYTE[buf[at:end]])
-            if len(gaps):
-                end = at + int(gaps[-1]) + 1
-            else:  # one word longer than a chunk
-                while end < len(buf) and _WORD_BYTE[buf[end]]:
-                    end += 1
-                lower = bytes(buf[at:end]).lower()
-                out.append(np.array([xxhash.xxh64_intdigest(lower)], dtype=np.uint64))
-                at = end
-                continue
-        out.append(_hash_words(buf[at:end], np.zeros(1, dtype=np.int64))[0])
-        at = end
-    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
-
-
 def _shingle_set(words: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct shingles; a text of fewer words is one shingle, no words are none."""
     k = min(n, len(words))
@@ -97,38 +33,23 @@ def _shingle_set(words: np.ndarray, n: int) -> np.ndarray:
         return words
     total = np.zeros(len(words) - k + 1, dtype=np.uint64)
     for i in range(k):
-        total += words[i : len(words) - k + 1 + i] * _PLACE[i]
-    return np.unique(mix(total + _U(k) * _PLACE[41]))
+        total += words[i : len(words) - k + 1 + i] * PLACE[i]
+    return np.unique(mix(total + U(k) * PLACE[41]))
 
 
 def shingle_sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The set of each text of an Arrow column, in order; null counts as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
-    _, at, data = texts.buffers()
-    at = np.frombuffer(at, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
-    i = 0
-    while i < len(texts):
-        j = max(i + 1, int(np.searchsorted(at, at[i] + CHUNK, side="right")) - 1)
-        j = min(j, len(texts))
-        buf = data[at[i] : at[j]]
-        if j == i + 1 and len(buf) > CHUNK:
-            yield _shingle_set(_long_text(buf), n)
-        else:
-            words, before = _hash_words(buf, at[i : j + 1] - at[i]) if len(buf) else (np.empty(0, dtype=np.uint64), np.zeros(j - i + 1, dtype=np.int64))
-            for k in range(j - i):
-                yield _shingle_set(words[before[k] : before[k + 1]], n)
-        i = j
+    return (_shingle_set(words, n) for words in each_words(texts))
 
 
 def digest(s: np.ndarray) -> int:
     """Signed 64-bit identity of a set."""
-    return int(mix(np.array([mix(s ^ _PLACE[42]).sum(dtype=np.uint64) + _U(len(s))], dtype=np.uint64)).view(np.int64)[0])
+    return int(mix(np.array([mix(s ^ PLACE[42]).sum(dtype=np.uint64) + U(len(s))], dtype=np.uint64)).view(np.int64)[0])
 
 
 def sketch(s: np.ndarray) -> bytes:
     """Parities of the set in ``SKETCH_BITS`` places; sets differ in at least as many shingles as sketches in bits."""
-    return np.packbits(np.bincount((s >> _U(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
+    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
 
 
 # -- size bands and the allocation of segments
@@ -197,7 +118,7 @@ def signatures(s: np.ndarray, common: np.ndarray, table: list[tuple[int, int, in
     own = int(np.searchsorted(lows, n, side="right")) - 1
     at = np.searchsorted(common, s)
     rare = (common[np.minimum(at, len(common) - 1)] != s) if len(common) else np.ones(n, dtype=bool)
-    value = mix(s ^ _PLACE[43])
+    value = mix(s ^ PLACE[43])
     for band in (own, own + 1):
         if band >= len(table):
             break
@@ -207,7 +128,7 @@ def signatures(s: np.ndarray, common: np.ndarray, table: list[tuple[int, int, in
             continue
         need = most_apart(n, min(high, n * 100 // percent), percent) + 1
         for seed in range(SEEDS):
-            segment = ((s * _PLACE[50 + seed]) >> _U(33)).astype(np.int64) % m
+            segment = ((s * PLACE[50 + seed]) >> U(33)).astype(np.int64) % m
             telling = np.bincount(segment, weights=rare, minlength=m)
             is_deletion = np.arange(m) < deletion
             enough = np.where(is_deletion, telling >= 3, telling >= 2)
@@ -216,7 +137,7 @@ def signatures(s: np.ndarray, common: np.ndarray, table: list[tuple[int, int, in
             order = np.argsort(segment, kind="stable")
             run = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(value[order], dtype=np.uint64)])
             ends = np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(np.bincount(segment, minlength=m))])
-            tag = np.arange(m, dtype=np.uint64) * _PLACE[44] + np.full(m, band * SEEDS + seed + 1, dtype=np.uint64) * _PLACE[45]
+            tag = np.arange(m, dtype=np.uint64) * PLACE[44] + np.full(m, band * SEEDS + seed + 1, dtype=np.uint64) * PLACE[45]
             total = run[ends[1:]] - run[ends[:-1]] + tag
             out.append(total[listed])
             if deletion:
@@ -310,6 +231,61 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, te
     return both.filter(shared * 100 >= union * percent).select("a", "b")
 
 
+def _unlike_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: members of one bucket that are in different components and near enough by size and sketch.
+
+    Buckets are compared inside tasks, in blocks of about ``BLOCK`` members, on sketches of ``SKETCH_BITS`` bits; only
+    pairs that pass come out. A bucket of more members is cut by node hash and its blocks meet in tasks of their own,
+    so memory is bounded and no bucket is too large. Sketches never rule out a link.
+    """
+    mixed = members.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_size"))
+    mixed = mixed.filter("_lo <> _hi").select("sig", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    rest = members.join(mixed, "sig").withColumn("_own", own)
+    other = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    keyed = other.select("sig", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).cast("int").alias("side"), "node", "comp")
+    keyed = keyed.join(nodes.select("node", "n", "sketch"), "node").select("sig", "i", "j", "side", "node", "comp", "n", "sketch")
+    dealt = keyed.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+
+    def near(table: pa.Table) -> pa.RecordBatch:
+        node, comp, n, side = (table.column(c).to_numpy() for c in ("node", "comp", "n", "side"))
+        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), -1)
+        within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        left = np.arange(len(node)) if within else np.flatnonzero(side == 0)
+        right = left if within else np.flatnonzero(side == 1)
+        found = []
+        step = max(1, 200_000 // max(1, len(right)))
+        for k in range(0, len(left), step):
+            x = left[k : k + step]
+            total = n[x][:, None] + n[right][None, :]
+            less = np.minimum(n[x][:, None], n[right][None, :])
+            may = (comp[x][:, None] != comp[right][None, :]) & (less * 100 >= (total - less) * percent)
+            if within:
+                may &= x[:, None] < right[None, :]
+            r, c = np.nonzero(may)
+            for m in range(0, len(r), 50_000):
+                rr, cc = r[m : m + 50_000], c[m : m + 50_000]
+                apart = np.bitwise_count(bits[x[rr]] ^ bits[right[cc]]).sum(axis=1)
+                ok = apart <= total[rr, cc] * (100 - percent) // (100 + percent)
+                found.append(np.stack([node[x[rr[ok]]], node[right[cc[ok]]]]))
+        both = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # the group that may go on in the next batch
+        for batch in batches:
+            table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+            key = np.stack([table.column(c).to_numpy() for c in ("sig", "i", "j")])
+            starts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1])
+            for lo, hi in zip(starts[:-1], starts[1:]):
+                yield near(table.slice(lo, hi - lo))
+            held = [table.slice(starts[-1])]
+        if held and len(held[0]):
+            yield near(held[0])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def _leader_pairs(members: DataFrame, salt: int) -> DataFrame:
     """Each member of a bucket with the bucket's leader, unless both are in one component already.
 
@@ -324,14 +300,14 @@ def _leader_pairs(members: DataFrame, salt: int) -> DataFrame:
 
 
 def join_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, rounds: int = 3
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, rounds: int = 2
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per document.
 
     Documents link when the Jaccard similarity of their ``n``-word shingle sets is ``percent`` or more; a component
     is what links reach, named by its smallest id. Equal sets are one node from the start, so copies cost nothing.
     Members of a bucket first meet a leader, in ``rounds`` rounds with other leaders; then all members that are
-    still in different components meet, so no link between components is lost.
+    still in different components are compared in blocks, so no link between components is lost.
 
     Bounds: text is worked on in chunks; a set holds eight bytes a shingle. Sets and shingles are compared by
     64-bit hashes. Defined cases: null or empty text has no shingles and links with nothing; a text of fewer than
@@ -361,10 +337,7 @@ def join_components(
         if turn < rounds:
             pairs = _leader_pairs(labelled, turn)
         else:
-            mixed = labelled.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("sig")
-            rest = labelled.join(mixed, "sig")
-            one, two = rest.select("sig", F.col("node").alias("a"), F.col("comp").alias("_ca")), rest.select("sig", F.col("node").alias("b"), F.col("comp").alias("_cb"))
-            pairs = one.join(two, "sig").filter("a < b AND _ca <> _cb").select("a", "b").distinct()
+            pairs = _unlike_pairs(labelled, nodes, percent)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
