@@ -78,22 +78,3 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """First ``n`` rows per key; each task sends at most the rows that can still win."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", rank().over(w)).filter(F.col("rank") <= n)
-
-
-def hash_ring(spark, shards: int, vnodes: int, space: int = 2**32) -> DataFrame:
-    """Ring segments ``[low, high)`` and the shard that owns each, from hashed virtual nodes.
-
-    A key belongs to the first virtual node at or after its hash, so segments end at nodes.
-    """
-    points = spark.range(shards * vnodes).select(
-        (F.col("id") % shards).alias("shard"),
-        F.conv(F.substring(F.md5(F.concat_ws("-", (F.col("id") % shards).cast("string"), F.expr(f"id div {shards}").cast("string"))), 1, 8), 16, 10)
-        .cast("bigint")
-        .alias("at"),
-    )
-    w = Window.orderBy("at", "shard")  # as many rows as virtual nodes
-    seg = points.withColumn("low", F.coalesce(F.lag("at").over(w) + 1, F.lit(0))).withColumn("high", F.col("at") + 1)
-    last = seg.agg(F.max("at")).scalar()
-    first_shard = points.agg(F.min_by("shard", F.struct("at", "shard"))).scalar()
-    tail = spark.range(1).select(first_shard.alias("shard"), (last + 1).alias("low"), F.lit(space).cast("bigint").alias("high"))
-    return seg.select("shard", "low", "high").unionByName(tail).filter(F.col("low") < F.col("high"))

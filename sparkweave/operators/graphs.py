@@ -14,8 +14,11 @@ def _step(df: DataFrame) -> DataFrame:
     return stored(df, "level")
 
 
-def hierarchy(nodes: DataFrame, node: str, parent: str, label: str, max_depth: int = 100) -> DataFrame:
-    """``node``, ``level`` (roots are 1) and ``path`` of labels joined by `` > ``, one join per level."""
+def hierarchy(nodes: DataFrame, node: str, parent: str, label: str) -> DataFrame:
+    """``node``, ``level`` (roots are 1) and ``path`` of labels joined by `` > ``, one join per level.
+
+    Goes on to the deepest level. A path cannot be longer than there are nodes; one that is shows a cycle and raises.
+    """
     frontier = _step(
         nodes.filter(F.col(parent).isNull()).select(node, F.lit(1).alias("level"), F.col(label).cast("string").alias("path"))
     )
@@ -23,7 +26,10 @@ def hierarchy(nodes: DataFrame, node: str, parent: str, label: str, max_depth: i
     children = nodes.filter(F.col(parent).isNotNull()).select(
         F.col(node).alias("_child"), F.col(parent).alias("_parent"), F.col(label).cast("string").alias("_label")
     )
-    for _ in range(max_depth):
+    n_nodes = nodes.count()
+    while True:
+        if len(levels) > n_nodes:
+            raise ValueError("the hierarchy has a cycle")
         frontier = _step(
             children.join(frontier, F.col("_parent") == F.col(node)).select(
                 F.col("_child").alias(node),

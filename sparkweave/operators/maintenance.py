@@ -163,12 +163,22 @@ def sync_plan(known: DataFrame, incoming: DataFrame, key: str, content: Sequence
 
 
 def load_range(
-    watermark: dt.date | None, today: dt.date, lookback_days: int = 1, bootstrap_days: int = 7, cap_days: int = 30
+    watermark: dt.date | None, today: dt.date, lookback_days: int = 1, bootstrap_days: int = 7
 ) -> tuple[dt.date, dt.date]:
-    """Days an incremental run reads, both ends included."""
+    """Days an incremental run reads, both ends included: all since the watermark, however long the pause was."""
     if watermark is None:
         return today - dt.timedelta(days=bootstrap_days - 1), today
-    return max(watermark - dt.timedelta(days=lookback_days), today - dt.timedelta(days=cap_days)), today
+    return watermark - dt.timedelta(days=lookback_days), today
+
+
+def portions(low: dt.date, high: dt.date, days: int = 30) -> list[tuple[dt.date, dt.date]]:
+    """A range of days cut into runs of at most ``days``, without gap or overlap, for loads after a long pause."""
+    out = []
+    while low <= high:
+        end = min(high, low + dt.timedelta(days=days - 1))
+        out.append((low, end))
+        low = end + dt.timedelta(days=1)
+    return out
 
 
 class Watermark:

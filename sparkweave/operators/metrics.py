@@ -72,11 +72,12 @@ def held_alerts(points: DataFrame, keys: Sequence[str], step: str, firing: Colum
     return out.filter(F.col("steps") >= for_steps).drop("_g")
 
 
-def trace_tree(spans: DataFrame, max_depth: int = 100) -> DataFrame:
+def trace_tree(spans: DataFrame) -> DataFrame:
     """``spans(trace, span, parent, duration)`` plus ``depth``, ``self_time`` and ``critical_child``.
 
     Self time is the duration less that of the direct children; the critical child is the longest
-    one (lowest id on ties). Depth comes from one join per level.
+    one (lowest id on ties). Depth comes from one join per level, down to the deepest one; more levels than spans
+    show a cycle and raise.
     """
     children = spans.filter(F.col("parent").isNotNull()).groupBy("trace", F.col("parent").alias("span")).agg(
         F.sum("duration").alias("_in_children"), F.min_by("span", F.struct(-F.col("duration"), F.col("span"))).alias("critical_child")
@@ -84,7 +85,11 @@ def trace_tree(spans: DataFrame, max_depth: int = 100) -> DataFrame:
     base = spans.join(children, ["trace", "span"], "left").withColumn("self_time", F.col("duration") - F.coalesce("_in_children", F.lit(0)))
     frontier = stored(spans.filter(F.col("parent").isNull()).select("trace", "span", F.lit(0).alias("depth")), "depth")
     depths, links = frontier, spans.filter(F.col("parent").isNotNull()).select("trace", F.col("span").alias("_s"), F.col("parent").alias("span"))
-    for depth in range(1, max_depth + 1):
+    depth, n_spans = 0, spans.count()
+    while True:
+        depth += 1
+        if depth > n_spans + 1:
+            raise ValueError("the trace has a cycle")
         frontier = stored(
             links.join(frontier, ["trace", "span"]).select("trace", F.col("_s").alias("span"), F.lit(depth).alias("depth")), "depth"
         )

@@ -27,25 +27,20 @@ def _(t):
     return t.orders.join(t.customer, on).select("o_orderkey", "c_name")
 
 
-def big_orders(t, limit=450000):
-    return t.orders.filter(F.col("o_totalprice") > limit)
-
-
 @query("J03_left", """
-SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) o
-ON o_custkey = c_custkey""")
+SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
 def _(t):
-    return t.customer.join(big_orders(t), F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "o_orderkey")
+    return t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", "o_orderkey")
 
 
 @query("J04_right_and_left_rewrite", sql_tagged(
-    right="SELECT c_custkey, o_orderkey FROM (SELECT * FROM orders WHERE o_totalprice > 450000) o RIGHT JOIN customer ON o_custkey = c_custkey",
-    left="SELECT c_custkey, o_orderkey FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) o ON o_custkey = c_custkey"))
+    right="SELECT c_custkey, o_orderkey FROM orders RIGHT JOIN customer ON o_custkey = c_custkey",
+    left="SELECT c_custkey, o_orderkey FROM customer LEFT JOIN orders ON o_custkey = c_custkey"))
 def _(t):
     on = F.col("o_custkey") == F.col("c_custkey")
     return tagged(
-        right=big_orders(t).join(t.customer, on, "right").select("c_custkey", "o_orderkey"),
-        left=t.customer.join(big_orders(t), on, "left").select("c_custkey", "o_orderkey"),
+        right=t.orders.join(t.customer, on, "right").select("c_custkey", "o_orderkey"),
+        left=t.customer.join(t.orders, on, "left").select("c_custkey", "o_orderkey"),
     )
 
 
@@ -126,10 +121,10 @@ def _(t):
 
 
 def urgent(t):
-    return t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= "2000-01-01"))
+    return t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
 
 
-SQL_URGENT = "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= '2000-01-01'"
+SQL_URGENT = "SELECT * FROM orders WHERE o_orderpriority = '1-URGENT'"
 
 
 @query("J11_anti_left_is_null", f"""

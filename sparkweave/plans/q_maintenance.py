@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkweave.functions import money as M
 from sparkweave.functions import scalars as S
@@ -45,19 +46,19 @@ def order_stats(t):
 
 @query("M02_customer_dimension", f"""
 WITH o AS ({SQL_STG}), s AS (SELECT customer_id, count(*) AS total_orders, {sql_total('amount_usd')} AS lifetime_value, max(ordered_at)::DATE AS last_order FROM o
-  WHERE ordered_at < '1995-03-01' GROUP BY 1)
+  GROUP BY 1)
 SELECT c_custkey AS customer_id, c_name AS full_name,
  CASE WHEN total_orders IS NULL THEN 'new' WHEN total_orders = 1 THEN 'one_time' WHEN total_orders < 5 THEN 'occasional' WHEN total_orders < 20 THEN 'regular' ELSE 'vip' END AS segment,
  CASE WHEN coalesce(lifetime_value, 0) = 0 THEN 'no_spend' WHEN lifetime_value < 100000 THEN 'low_value' WHEN lifetime_value < 500000 THEN 'mid_value' WHEN lifetime_value < 2000000 THEN 'high_value' ELSE 'premium' END AS tier,
- coalesce(total_orders, 0) AS total_orders, coalesce(lifetime_value, 0) AS lifetime_value, date_diff('day', last_order, DATE '1995-06-01') AS days_since_last,
- coalesce(date_diff('day', last_order, DATE '1995-06-01') > 120, false) AS is_churned
+ coalesce(total_orders, 0) AS total_orders, coalesce(lifetime_value, 0) AS lifetime_value, date_diff('day', last_order, DATE '2001-10-01') AS days_since_last,
+ coalesce(date_diff('day', last_order, DATE '2001-10-01') > 120, false) AS is_churned
 FROM customer LEFT JOIN s ON s.customer_id = c_custkey""")
 def _(t):
-    stats = staged_orders(t).filter(F.col("ordered_at") < "1995-03-01").groupBy("customer_id").agg(
+    stats = staged_orders(t).groupBy("customer_id").agg(
         n_rows().alias("total_orders"), M.total("amount_usd").alias("lifetime_value"), F.max(day("ordered_at")).alias("last_order")
     )
     n, v = F.col("total_orders"), F.col("lifetime_value")
-    since = F.date_diff(F.lit("1995-06-01").cast("date"), F.col("last_order"))
+    since = F.date_diff(F.lit("2001-10-01").cast("date"), F.col("last_order"))
     segment = F.when(n.isNull(), "new").otherwise(S.buckets(n, [(2, "one_time"), (5, "occasional"), (20, "regular")], "vip"))
     tier = F.when(F.coalesce(v, F.lit(0.0)) == 0, "no_spend").otherwise(
         S.buckets(v, [(100000, "low_value"), (500000, "mid_value"), (2000000, "high_value")], "premium")
@@ -362,15 +363,16 @@ def _(t):
 
 
 @query("M22_watermark_extract", """
-WITH r(run, lo, hi) AS (VALUES (1, DATE '1998-03-04', DATE '1998-03-10'), (2, DATE '1998-03-31', DATE '1998-04-30'), (3, DATE '1998-04-29', DATE '1998-05-02'))
+WITH d(run, hi) AS (VALUES (1, DATE '1998-03-10'), (2, DATE '1998-04-30'), (3, DATE '1998-05-02')),
+r AS (SELECT run, coalesce(lag(hi) OVER (ORDER BY run) - 1, hi - 6)::DATE AS lo, hi FROM d)
 SELECT run, lo, hi, count(o_orderkey) AS loaded FROM r LEFT JOIN orders ON o_orderdate::DATE BETWEEN lo AND hi GROUP BY 1, 2, 3""")
 def _(t):
     mark = K.Watermark(t.spark, new_folder(t.spark, "watermark"))
     runs = []
     for run, today in enumerate([dt.date(1998, 3, 10), dt.date(1998, 4, 30), dt.date(1998, 5, 2)], 1):
         lo, hi = K.load_range(mark.read(), today)
-        batch = t.orders.filter(day("o_orderdate").between(lo, hi))
-        loaded = files.stored(batch, "batch").agg(
+        parts = [files.stored(t.orders.filter(day("o_orderdate").between(*p)), "batch") for p in K.portions(lo, hi)]
+        loaded = reduce(DataFrame.unionByName, parts).agg(
             F.lit(run).alias("run"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"), n_rows().alias("loaded")
         )
         mark.write(today)  # only after the batch is stored

@@ -265,20 +265,20 @@ def islands(active, keys, rank):
     return grouped.groupBy(*keys, "g").agg(F.min("d").alias("start"), F.max("d").alias("stop"), n_rows().alias("days")).drop("g")
 
 
-SQL_ACTIVE = "SELECT DISTINCT user_id, ts::DATE AS d FROM events WHERE event_type = 'purchase'"
+SQL_ACTIVE = "SELECT DISTINCT user_id, ts::DATE AS d FROM events"
 
 
 @query("W25_gaps_and_islands", f"""
 SELECT user_id, min(d) AS start, max(d) AS stop, count(*) AS days FROM (SELECT *, d - CAST(row_number() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS g FROM ({SQL_ACTIVE})) GROUP BY user_id, g""")
 def _(t):
-    active = t.events.filter("event_type = 'purchase'").select("user_id", day("ts").alias("d")).distinct()
+    active = t.events.select("user_id", day("ts").alias("d")).distinct()
     return islands(active, ["user_id"], F.row_number)
 
 
 @query("W26_longest_streak", f"""
 SELECT user_id, max(days) AS longest FROM (SELECT user_id, count(*) AS days FROM (SELECT *, d - CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY d) AS INTEGER) AS g FROM ({SQL_ACTIVE})) GROUP BY user_id, g) GROUP BY 1""")
 def _(t):
-    active = t.events.filter("event_type = 'purchase'").select("user_id", day("ts").alias("d")).distinct()
+    active = t.events.select("user_id", day("ts").alias("d")).distinct()
     return islands(active, ["user_id"], F.dense_rank).groupBy("user_id").agg(F.max("days").alias("longest"))
 
 

@@ -25,7 +25,7 @@ class RunLog:
             result = work()
             rows = result.count()
         except Exception as e:
-            self._append(name, "failed", time.monotonic() - started, None, str(e)[:1000])
+            self._append(name, "failed", time.monotonic() - started, None, str(e))
             raise
         self._append(name, "success", time.monotonic() - started, rows, None)
         return result

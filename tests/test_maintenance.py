@@ -69,7 +69,10 @@ def test_load_range():
     day = dt.date
     assert K.load_range(None, day(2024, 1, 10)) == (day(2024, 1, 4), day(2024, 1, 10))
     assert K.load_range(day(2024, 1, 8), day(2024, 1, 10)) == (day(2024, 1, 7), day(2024, 1, 10))
-    assert K.load_range(day(2023, 1, 1), day(2024, 1, 31)) == (day(2024, 1, 1), day(2024, 1, 31))
+    assert K.load_range(day(2023, 1, 1), day(2024, 1, 31)) == (day(2022, 12, 31), day(2024, 1, 31))
+    parts = K.portions(day(2022, 12, 31), day(2024, 1, 31))
+    days = [a + dt.timedelta(days=i) for a, b in parts for i in range((b - a).days + 1)]
+    assert days == [day(2022, 12, 31) + dt.timedelta(days=i) for i in range(397)]
 
 
 def test_watermark_survives_and_rises(spark):
@@ -203,3 +206,21 @@ def test_mean_of_means_golden(spark):
     g = df.groupBy("g").agg(F.sum("v").alias("s"), F.count("v").alias("n"))
     r = g.agg((F.sum("s") / F.sum("n")).alias("right"), F.avg(F.col("s") / F.col("n")).alias("wrong")).first()
     assert (r["right"], r["wrong"]) == (55000.0, 75000.0)
+
+
+def test_deep_hierarchy_and_cycle(spark):
+    deep = spark.createDataFrame([(i, i - 1 if i else None) for i in range(130)], "id int, parent int")
+    got = G.hierarchy(deep, "id", "parent", "id").agg(F.count(F.lit(1)).alias("n"), F.max("level").alias("deepest")).first()
+    assert (got["n"], got["deepest"]) == (130, 130)
+    # a node with two parents, one of them below it
+    loop = spark.createDataFrame([(1, None), (2, 1), (2, 3), (3, 2)], "id int, parent int")
+    with pytest.raises(ValueError, match="cycle"):
+        G.hierarchy(loop, "id", "parent", "id")
+
+
+def test_totals_beyond_bigint(spark):
+    from sparkweave.functions import money as M
+
+    big = spark.createDataFrame([(9.0e15, 1), (9.0e15, 1), (-1.25, 1), (-0.5, 2), (None, 2)], "v double, k int").crossJoin(spark.range(20))
+    got = {r["k"]: (r["t"], r["m"]) for r in big.groupBy("k").agg(M.total("v", 3).alias("t"), M.mean("v", 3).alias("m")).collect()}
+    assert got[1][0] == pytest.approx(3.6e17, rel=1e-15) and got[2] == (-10.0, -0.5)
