@@ -1,4 +1,4 @@
-"""Near duplicates without all-pairs work: leaders of hash buckets, verified exactly."""
+"""Near duplicates by hash buckets: leaders first, then what is left apart; every link verified exactly."""
 
 from __future__ import annotations
 
@@ -8,69 +8,47 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkweave.operators.graphs import connected_components
 from sparkweave.operators.joins import salted_join
 from sparkweave.operators.text import words
 from sparkweave.sources.files import stored
 
 SALTS = 8
-SMALL_BUCKET = 200
 
 
-def link_to_leaders(
-    members: DataFrame,
-    features: DataFrame,
-    score: Callable[[Column, Column], Column],
-    local_score: Callable[[object, object], float],
-    keep: Callable,
+def verified_links(
+    members: DataFrame, features: DataFrame, score: Callable[[Column, Column], Column], keep: Callable, rounds: int = 1
 ) -> DataFrame:
-    """``id, leader, score``: every member of a bucket linked to a leader it is similar to.
+    """``id, leader, score``: verified links that join whatever pairs of one bucket are similar.
 
-    ``members(id, bucket)``, ``features(id, f)``. In each round the lowest id of a bucket leads it;
-    members similar to it are linked and leave, the others go on under a new leader. A bucket thus
-    costs its members times its leaders, never all pairs, and nobody is left unverified. The first
-    round and all rounds of large buckets are joins; once every bucket left is small, the remaining
-    rounds of each run inside one task.
+    ``members(id, bucket)``, ``features(id, f)``. First every member of a bucket meets its leader (in ``rounds`` rounds,
+    the lowest id of the bucket first); the links found are closed to components. Then all members of a bucket that
+    are still in different components meet. A similar pair is thus linked or inside one component: the closure of
+    the links is that of all similar pairs that share a bucket, and the number of rounds is fixed. Members of
+    one component are never paired, so a bucket of alike members costs its size; unlike ones cost their pairs.
     """
-    open_, links = members, None
-    while True:
-        leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        led = stored(salted_join(open_, leaders, ["bucket"], F.col("id"), SALTS).filter("id <> leader"), "led")
-        pairs = led.select("id", "leader").distinct()
+    members = stored(members.select("id", "bucket").distinct(), "members")
+    labelled, links, done = members.withColumn("comp", F.col("id")), None, None
+    for turn in range(rounds + 1):
+        rank = F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id", "comp") if turn else F.struct(F.lit(0).alias("h"), "id", "comp")
+        mixed = labelled.groupBy("bucket").agg(F.min(rank).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        if turn < rounds:
+            others = mixed.select("bucket", F.col("lead.id").alias("_id"), F.col("lead.comp").alias("_comp"))
+        else:
+            others = labelled.join(mixed.select("bucket"), "bucket").select("bucket", F.col("id").alias("_id"), F.col("comp").alias("_comp"))
+        met = salted_join(labelled, others, ["bucket"], F.col("id"), SALTS).filter("comp <> _comp")
+        pairs = met.select(F.greatest("id", "_id").alias("id"), F.least("id", "_id").alias("leader")).distinct()
+        pairs = stored(pairs if done is None else pairs.join(done, ["id", "leader"], "left_anti"), "pairs")
+        done = pairs if done is None else done.unionByName(pairs)
         lead = features.select(F.col("id").alias("leader"), F.col("f").alias("_lf"))
         scored = salted_join(pairs.join(features.withColumnRenamed("f", "_f"), "id"), lead, ["leader"], F.col("id"), SALTS)
         verified = scored.select("id", "leader", score(F.col("_f"), F.col("_lf")).alias("score"))
         found = stored(verified.filter(keep(F.col("score"))), "links")
         links = found if links is None else links.unionByName(found)
-        open_ = stored(led.join(found.select("id", "leader"), ["id", "leader"], "left_anti").select("id", "bucket"), "members")
-        sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        largest = sizes.agg(F.max("n")).first()[0]
-        if largest is None:
-            break
-        if largest <= SMALL_BUCKET:
-            left = open_.join(sizes, "bucket").join(features, "id").select("bucket", "id", "f")
-            links = links.unionByName(_finish_small(left, local_score, keep))
-            break
-    return links.groupBy("id", "leader").agg(F.max("score").alias("score"))
-
-
-def _finish_small(left: DataFrame, local_score, keep) -> DataFrame:
-    """The same rounds inside buckets of at most ``SMALL_BUCKET`` members."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id")
-        waiting, rows = list(zip(pdf["id"], pdf["f"])), []
-        while len(waiting) > 1:
-            (leader, lf), others, waiting = waiting[0], waiting[1:], []
-            for i, f in others:
-                s = local_score(f, lf)
-                if keep(s):
-                    rows.append((i, leader, s))
-                else:
-                    waiting.append((i, f))
-        return pd.DataFrame(rows, columns=["id", "leader", "score"])
-
-    kind = left.schema["id"].dataType.simpleString()
-    return left.groupBy("bucket").applyInPandas(run, f"id {kind}, leader {kind}, score double")
+        if turn < rounds:
+            named = connected_components(links.select(F.col("id").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("node", "id")
+            labelled = members.join(named, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("comp"))
+    return links
 
 
 def shingles(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
@@ -87,11 +65,6 @@ def jaccard(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
-def local_jaccard(a, b) -> float:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both)
-
-
 def minhash_buckets(df: DataFrame, hashes: str, bands: int, rows: int, seed: int = 7) -> DataFrame:
     """``id, bucket``, one row per band: hash of ``rows`` minima of multiply-add permutations over 64-bit hashes."""
     rng = np.random.default_rng(seed)
@@ -126,7 +99,7 @@ def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float =
     unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi")
     features = stored(shingles(unique, "id", "t"), "shingles")
     members = minhash_buckets(features, "f", bands, rows)
-    near = link_to_leaders(members, features, jaccard, local_jaccard, lambda s: s >= threshold)
+    near = verified_links(members, features, jaccard, lambda s: s >= threshold)
     return copies.select("id", "leader", F.lit(1.0).alias("score")).unionByName(near)
 
 
@@ -155,15 +128,11 @@ def _bits_apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("double")
 
 
-def _local_bits_apart(a, b) -> float:
-    return float(((int(a) ^ int(b)) & (2**64 - 1)).bit_count())
-
-
 def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3) -> DataFrame:
     """``id, leader, score`` (score = differing bits) for pages whose fingerprints differ in few bits.
 
     Six blocks of bits: with at most three differing bits, three blocks agree. Buckets are all
-    choices of three blocks, so no close pair is missed and a bucket key has 30 bits or more.
+    choices of three blocks, so every close pair shares a bucket, and a bucket key has 30 bits or more.
     """
     if max_bits > 3:
         raise ValueError("six blocks find up to three differing bits")
@@ -179,5 +148,5 @@ def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3)
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in choices]
     keys = F.array(*[F.xxhash64(F.lit(n), F.col("f").bitwiseAND(F.lit(m).cast("bigint"))) for n, m in enumerate(signed)])
     members = unique.select("id", F.explode(keys).alias("bucket"))
-    near = link_to_leaders(members, unique, _bits_apart, _local_bits_apart, lambda s: s <= max_bits)
+    near = verified_links(members, unique, _bits_apart, lambda s: s <= max_bits)
     return copies.select("id", "leader", F.lit(0.0).alias("score")).unionByName(near)

@@ -57,11 +57,30 @@ def test_near_duplicate_texts_match_brute_force(spark):
     assert closure([(r["id"], r["leader"]) for r in got]) == closure(want)
 
 
-def test_large_and_small_bucket_paths_agree(spark, monkeypatch):
-    df = spark.createDataFrame(list(enumerate(make_texts())), "id int, t string")
-    small = {tuple(r) for r in N.near_duplicate_texts(df, "id", "t", 0.97).collect()}
-    monkeypatch.setattr(N, "SMALL_BUCKET", 0)  # joins only
-    assert {tuple(r) for r in N.near_duplicate_texts(df, "id", "t", 0.97).collect()} == small
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_chains_are_closed(spark, rounds):
+    """Members that only others of the bucket draw in, in one bucket and over several."""
+    prints = [0, 7, 63, 511, 4095, 1 << 40, (1 << 40) + 7, (1 << 40) + 63, 1 << 50, 7 << 50]
+    features = spark.createDataFrame(list(enumerate(prints)), "id int, f bigint")
+    members = features.select("id", F.lit(1).alias("bucket")).unionByName(features.filter("id > 3").select("id", F.lit(2).alias("bucket")))
+    links = N.verified_links(members, features, N._bits_apart, lambda s: s <= 3, rounds).collect()
+    near = [(b, a) for a in range(len(prints)) for b in range(a + 1, len(prints)) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    assert {(r["id"], r["leader"]) for r in links} <= set(near)
+    assert closure([(r["id"], r["leader"]) for r in links]) == closure(near)
+
+
+def test_chain_of_texts_is_closed(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in rng.integers(0, 400, 80)]
+    texts = []
+    for step in range(16):
+        words = list(words)
+        words[step * 4 + 3] = f"step{step}"
+        texts.append(" ".join(words))
+    order = rng.permutation(16)
+    df = spark.createDataFrame([(int(i), texts[k]) for i, k in enumerate(order)], "id int, t string")
+    got = N.near_duplicate_texts(df, "id", "t", 0.8).collect()
+    assert closure([(r["id"], r["leader"]) for r in got]) == {frozenset(range(16))}
 
 
 def test_near_duplicate_pages_match_brute_force(spark):
