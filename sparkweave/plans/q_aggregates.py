@@ -172,17 +172,25 @@ def _(t):
     )
 
 
-@query("A16_approximate_distinct")
+@query("A16_approximate_distinct", """
+SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, true AS within_bound FROM lineitem GROUP BY 1""")
 def _(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", 0.0081).alias("orders"))
+    # a sketch passes if it is within four standard errors of the exact count
+    error = 0.0081
+    sketch = t.lineitem.groupBy("l_returnflag").agg(F.approx_count_distinct("l_orderkey", error).alias("about"))
+    exact = t.lineitem.select("l_returnflag", "l_orderkey").distinct().groupBy("l_returnflag").agg(n_rows().alias("orders"))
+    close = F.abs(F.col("about") - F.col("orders")) <= 4 * error * F.col("orders") + 1
+    return sketch.join(exact, "l_returnflag").select("l_returnflag", "orders", close.alias("within_bound"))
 
 
-@query("A17_mergeable_sketches")
+@query("A17_mergeable_sketches", """
+SELECT date_trunc('month', ts)::DATE AS m, count(DISTINCT ts::DATE) AS days, count(DISTINCT user_id) AS users, true AS within_bound FROM events GROUP BY 1""")
 def _(t):
     daily = t.events.groupBy(day("ts").alias("d")).agg(F.hll_sketch_agg("user_id", 14).alias("sketch"))
-    return daily.groupBy(month("d").alias("m")).agg(
-        n_rows().alias("days"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users")
-    )
+    merged = daily.groupBy(month("d").alias("m")).agg(n_rows().alias("days"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
+    seen = t.events.select(month("ts").alias("m"), "user_id").distinct().groupBy("m").agg(n_rows().alias("users"))
+    close = F.abs(F.col("about") - F.col("users")) <= 0.04 * F.col("users") + 1
+    return merged.join(seen, "m").select("m", "days", "users", close.alias("within_bound"))
 
 
 @query("A18_ordered_string_aggregation", """

@@ -34,7 +34,7 @@ def _(t):
     return files.round_trip(t.orders.select("o_orderkey", "o_totalprice", day("o_orderdate").alias("d")), "orc", "orc")
 
 
-@query("S05_format_sizes")
+@query("S05_format_sizes", "SELECT count(*) AS csv_rows, count(*) AS parquet_rows, true AS parquet_is_smaller FROM orders")
 def _(t):
     folder = new_folder(t.spark, "sizes")
     t.orders.write.option("header", True).csv(f"{folder}/csv")
@@ -43,9 +43,12 @@ def _(t):
         csv=files.file_sizes(t.spark, f"{folder}/csv", "*.csv"), parquet=files.file_sizes(t.spark, f"{folder}/parquet", "*.parquet")
     )
     by_form = {f: F.sum(F.when(F.col("form") == f, F.col("length"))) for f in ("csv", "parquet")}
-    return sizes.agg(
-        by_form["csv"].alias("csv_bytes"), by_form["parquet"].alias("parquet_bytes"), (by_form["csv"] / by_form["parquet"]).alias("ratio")
-    )
+    rows = {
+        "csv": t.spark.read.option("header", True).schema(t.orders.schema).csv(f"{folder}/csv"),
+        "parquet": t.spark.read.schema(t.orders.schema).parquet(f"{folder}/parquet"),
+    }
+    counts = [df.agg(n_rows()).scalar().alias(f"{form}_rows") for form, df in rows.items()]
+    return sizes.agg((by_form["csv"] > by_form["parquet"]).alias("parquet_is_smaller")).select(*counts, "parquet_is_smaller")
 
 
 @query("S06_rows_to_table", """
@@ -90,13 +93,14 @@ def _(t):
     return parsed.select("p.id", F.inline(F.arrays_zip("p.hourly.time", "p.hourly.price", "p.hourly.status")))
 
 
-@query("S10_bronze_ingest")
+@query("S10_bronze_ingest", "SELECT 'events.parquet' AS _file, 'events' AS _source, 'batch-1' AS _batch_id, count(*) AS n FROM events")
 def _(t):
     folder = new_folder(t.spark, "bronze")
     raw = files.ingest_raw(t.events, "events", "batch-1")
     raw.write.partitionBy("ingest_date").parquet(folder)
     back = t.spark.read.schema(raw.schema).parquet(folder)
-    return back.groupBy("_file", "_source", "_batch_id").agg(n_rows().alias("n"))
+    name = F.regexp_extract("_file", "([^/]+)$", 1).alias("_file")
+    return back.groupBy(name, "_source", "_batch_id").agg(n_rows().alias("n"))
 
 
 @query("S11_schema_on_read", "SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, count(*) AS n FROM events GROUP BY 1")
@@ -123,7 +127,7 @@ def _(t):
     return t.spark.read.schema(o.schema).parquet(folder).groupBy("year").agg(n_rows().alias("n"), F.max("o_totalprice").alias("top"))
 
 
-@query("S14_compaction")
+@query("S14_compaction", "SELECT count(*) AS n, 4::BIGINT AS files_after, 40::BIGINT AS files_before FROM lineitem")
 def _(t):
     small = new_folder(t.spark, "small_files")
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_extendedprice")

@@ -226,7 +226,13 @@ def _(t):
     return G.run_steps(t.spark, [first.unionByName(again), again], build, "idempotent")
 
 
-@query("T18_time_bounded_dedup")
+@query("T18_time_bounded_dedup", """
+WITH RECURSIVE e AS (SELECT event_id, sha256(concat_ws('|', user_id, event_type)) AS content, epoch_us(ts) AS at_us,
+  row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT content, event_id, rn, at_us AS kept_at, true AS kept FROM e WHERE rn = 1 UNION ALL
+ SELECT e.content, e.event_id, e.rn, CASE WHEN at_us - kept_at >= 18000000000 THEN at_us ELSE kept_at END, at_us - kept_at >= 18000000000
+ FROM r JOIN e ON e.content = r.content AND e.rn = r.rn + 1)
+SELECT content, event_id FROM r WHERE kept""")
 def _(t):
     e = instants(t).withColumn("content", F.sha2(F.concat_ws("|", "user_id", "event_type"), 256)).withColumn("minute", F.floor(F.col("at") / MINUTE))
     return R.first_in_span(e, "content", "at", "event_id", 300 * 60 * 1_000_000, "minute")
@@ -356,7 +362,16 @@ def _(t):
     )
 
 
-@query("T29_token_bucket")
+def sql_token_bucket(capacity, rate):
+    """One request after the other, without cutting into bursts."""
+    return f"""RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS sec, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+s AS (SELECT user_id, event_id, rn, sec, true AS allowed, {capacity}::DOUBLE - 1 AS tokens FROM e WHERE rn = 1 UNION ALL
+ SELECT user_id, event_id, rn, sec, filled >= 1, filled - CASE WHEN filled >= 1 THEN 1 ELSE 0 END FROM (
+  SELECT e.user_id, e.event_id, e.rn, e.sec, least({capacity}::DOUBLE, s.tokens + (e.sec - s.sec) * (1::DOUBLE / {rate})) AS filled
+  FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1))"""
+
+
+@query("T29_token_bucket", f"WITH {sql_token_bucket(3, 3600)} SELECT user_id, event_id, allowed, tokens FROM s")
 def _(t):
     e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
     return R.token_bucket(e, "user_id", "sec", "event_id", capacity=3.0, per_second=1 / 3600, bin_col="minute")

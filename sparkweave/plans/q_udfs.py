@@ -9,7 +9,7 @@ from sparkweave.operators import limits as R
 from sparkweave.operators import text as X
 from sparkweave.operators import vectors as V
 from sparkweave.plans.common import n_rows, sql_units
-from sparkweave.plans.q_streams import MINUTE, instants
+from sparkweave.plans.q_streams import MINUTE, instants, sql_token_bucket
 from sparkweave.plans.q_text import SQL_WORDS, sql_word_chunks
 from sparkweave.plans.registry import query
 
@@ -43,7 +43,8 @@ def _(t):
     return t.spark.sql("SELECT doc_id, c.chunk_no, md5(c.chunk) AS chunk FROM documents, LATERAL chunk_words(text, 300, 50) c")
 
 
-@query("U05_grouped_map")
+@query("U05_grouped_map", f"""WITH {sql_token_bucket(5, 1800)}
+SELECT user_id, count(*) FILTER (WHERE allowed) AS allowed, count(*) AS n FROM s GROUP BY 1""")
 def _(t):
     e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
     out = R.token_bucket(e, "user_id", "sec", "event_id", capacity=5.0, per_second=1 / 1800, bin_col="minute")
