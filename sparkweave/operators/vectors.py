@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkweave.sources.files import stored
+from sparkweave.session import new_folder
+from sparkweave.sources.files import stored, write_partitioned
 
-MAX_QUERIES = 10_000
+MAX_QUERIES = 10_000  # in one portion
 
 
 def _d(v: Column) -> Column:
@@ -58,12 +61,25 @@ def centroids(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
     return means.select(key, F.array(*[F.round(f"_{i}", 9) for i in range(dims)]).alias("qvec"))
 
 
-def bounded_queries(queries: DataFrame, limit: int = MAX_QUERIES) -> list:
-    """Query vectors as driver rows; refuses a set that is not query sized."""
-    rows = queries.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} query vectors: run them in portions")
-    return rows
+def in_portions(queries: DataFrame, search: Callable[[list], DataFrame], limit: int | None = None) -> DataFrame:
+    """``search(rows)`` over any number of queries: one scan for each portion of about ``limit`` of them.
+
+    A portion's vectors are sent to every task; with several portions each result is stored before the next one
+    starts, so the driver holds one at a time.
+    """
+    asked = stored(queries, "queries")
+    parts = max(1, math.ceil(asked.count() / (limit or MAX_QUERIES)))
+    if parts == 1:
+        return search(asked.collect())
+    part, done = F.pmod(F.xxhash64("query"), F.lit(parts)), []
+    for i in range(parts):
+        done.append(stored(search(asked.filter(part == i).collect()), "portion"))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` best scores, ties by id."""
+    return np.lexsort((ids, -scores))[:k]
 
 
 def top_k(
@@ -71,20 +87,25 @@ def top_k(
 ) -> DataFrame:
     """Exact ``k`` nearest vectors per query: ``query, <key>, score, place``.
 
-    ``queries(query, qvec, <match>)`` is a small set. Each task scores whole batches by a matrix
-    product and passes on only rows that can still be among the best ``k``; ``match`` columns must
-    be equal on both sides (a filter per query). Scores are rounded so that ties break by key.
+    ``queries(query, qvec, <match>)``. Each task scores whole batches by a matrix product and passes on only rows
+    that can still be among the best ``k``; ``match`` columns must be equal on both sides (a filter per query).
+    Scores are rounded so that ties break by key.
     """
-    rows = bounded_queries(queries)
+    scored = in_portions(queries.select("query", "qvec", *match), lambda rows: _scored(vectors, key, vector, queries, rows, k, match, measure))
+    return best_per_query(scored, key, k)
+
+
+def _scored(vectors: DataFrame, key: str, vector: str, queries: DataFrame, rows: list, k: int, match: Sequence[str], measure: str) -> DataFrame:
+    """The rows of each task that can be among the best ``k`` of one portion of queries."""
     names = [r["query"] for r in rows]
-    q = np.array([r["qvec"] for r in rows], dtype=np.float64)
+    q = np.array([r["qvec"] for r in rows], dtype=np.float64).reshape(len(rows), -1 if rows else 1)
     wanted = [tuple(r[m] for m in match) for r in rows]
     if measure == "cosine":
         q = q / np.where((n := np.linalg.norm(q, axis=1, keepdims=True)) > 0, n, 1.0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
+            if not len(pdf) or not names:
                 continue
             v = np.stack(pdf[vector].to_numpy()).astype(np.float64)
             if measure == "cosine":
@@ -100,16 +121,14 @@ def top_k(
                         ok &= pdf[m].to_numpy() == want
                     s, keys = s[ok], keys[ok]
                 s = np.round(s, 6)
-                if len(s) > k:
-                    best = np.lexsort((keys, -s))[:k]
-                    s, keys = s[best], keys[best]
+                best = _best(keys, s, k)
+                s, keys = s[best], keys[best]
                 if len(s):
                     yield pd.DataFrame({"query": name, key: keys, "score": s})
 
     kind = {f: vectors.schema[f].dataType.simpleString() for f in (key,)}
     qkind = queries.schema["query"].dataType.simpleString()
-    part = vectors.select(key, vector, *match).mapInPandas(run, f"query {qkind}, {key} {kind[key]}, score double")
-    return best_per_query(part, key, k)
+    return vectors.select(key, vector, *match).mapInPandas(run, f"query {qkind}, {key} {kind[key]}, score double")
 
 
 def best_per_query(scored: DataFrame, key: str, k: int) -> DataFrame:
@@ -119,13 +138,24 @@ def best_per_query(scored: DataFrame, key: str, k: int) -> DataFrame:
 
 def hamming_rescore(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, oversample: int) -> DataFrame:
     """Two stages: the ``k * oversample`` nearest by sign bits, then exact cosine among them."""
-    rows = bounded_queries(queries.select("query", "qvec", sign_bits(F.col("qvec")).alias("qbits")))
-    literal = F.array(*[F.struct(F.lit(r["query"]).alias("query"), F.lit(r["qbits"]).cast("bigint").alias("qbits")) for r in rows])
-    coded = vectors.select(key, sign_bits(F.col(vector)).alias("bits"))
-    apart = coded.select(key, "bits", F.inline(literal)).select("query", key, F.bit_count(F.col("bits").bitwiseXOR(F.col("qbits"))).alias("bits_apart"))
-    w = Window.partitionBy("query").orderBy("bits_apart", key)
-    shortlist = apart.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k * oversample).drop("_r")
-    return rescore(shortlist, vectors, key, vector, queries, k)
+    coded = stored(vectors.select(key, sign_bits(F.col(vector)).alias("bits")), "bits")
+    kind, qkind = vectors.schema[key].dataType.simpleString(), queries.schema["query"].dataType.simpleString()
+
+    def search(rows: list) -> DataFrame:
+        names, asked = [r["query"] for r in rows], np.array([r["qbits"] for r in rows], dtype=np.int64)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                ids, bits = pdf[key].to_numpy(), pdf["bits"].to_numpy(dtype=np.int64)
+                for name, own in zip(names, asked):
+                    alike = -np.bitwise_count((bits ^ own).view(np.uint64)).astype(np.float64)
+                    best = _best(ids, alike, k * oversample)
+                    yield pd.DataFrame({"query": name, key: ids[best], "score": alike[best]})
+
+        return coded.mapInPandas(run, f"query {qkind}, {key} {kind}, score double")
+
+    near = in_portions(queries.select("query", sign_bits(F.col("qvec")).alias("qbits")), search)
+    return rescore(best_per_query(near, key, k * oversample), vectors, key, vector, queries, k)
 
 
 def rescore(candidates: DataFrame, vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int) -> DataFrame:
@@ -182,19 +212,26 @@ def nearest_center(centers: np.ndarray):
 
 
 def ivf_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, cells: int, probe: int) -> DataFrame:
-    """Inverted file: vectors stored by nearest center; a query reads only its ``probe`` nearest cells."""
+    """Inverted file: vectors stored in one folder per nearest center; a search reads only the folders its queries probe.
+
+    Queries stay a frame: each is joined to its ``probe`` nearest cells. Only the numbers of the probed cells, at
+    most ``cells``, come to the driver, to prune the folders before anything is read.
+    """
     centers = kmeans_centers(vectors, vector, cells)
-    index = stored(vectors.select(key, vector, nearest_center(centers)(vector).alias("cell")), "ivf")
-    rows = bounded_queries(queries)
-    probes = []
-    for r in rows:
-        d = ((centers - np.array(r["qvec"])) ** 2).sum(1)
-        probes += [(r["query"], int(c)) for c in np.argsort(d, kind="stable")[:probe]]
-    qkind = queries.schema["query"].dataType.simpleString()
-    plan = vectors.sparkSession.createDataFrame(probes, f"query {qkind}, cell int")
-    # the probe list is queries times probes, far below the index it meets
-    pairs = index.join(F.broadcast(plan), "cell").join(F.broadcast(queries.sparkSession.createDataFrame(
-        [(r["query"], [float(x) for x in r["qvec"]]) for r in rows], f"query {qkind}, qvec array<double>")), "query")
+    folder = new_folder(vectors.sparkSession, "ivf")
+    coded = vectors.select(key, vector, nearest_center(centers)(vector).alias("cell"))
+    write_partitioned(coded, folder, ["cell"])
+    index = vectors.sparkSession.read.schema(coded.schema).parquet(folder)
+
+    @F.pandas_udf("array<int>")
+    def nearest(s: pd.Series) -> pd.Series:
+        v = np.stack(s.to_numpy()).astype(np.float64)
+        d = ((v[:, None, :] - centers[None, :, :]) ** 2).sum(2)
+        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :probe].astype(np.int32)))
+
+    plan = stored(queries.select("query", "qvec", F.explode(nearest(F.transform("qvec", lambda x: x.cast("double")))).alias("cell")), "probes")
+    probed = [r[0] for r in plan.select("cell").distinct().collect()]
+    pairs = index.filter(F.col("cell").isin(probed)).join(plan, "cell")
     return best_per_query(pairs.select("query", key, F.round(cosine(F.col("qvec"), F.col(vector)), 6).alias("score")), key, k)
 
 
@@ -228,31 +265,32 @@ def pq_search(
 
     Only the codes are scanned; full vectors are read for ``k * oversample`` candidates per query.
     """
-    width = dims // parts
-    books = []
+    width, books = dims // parts, []
+    vectors = stored(vectors.select(key, vector), "vectors")  # the code books read it many times
     for p in range(parts):
         piece = vectors.select(F.slice(vector, p * width + 1, width).alias("x"))
         books.append(kmeans_centers(piece, "x", codes, seed=100 + p))
-    rows = bounded_queries(queries)
-    tables = np.array([[((books[p] - np.array(r["qvec"][p * width : (p + 1) * width])) ** 2).sum(1) for p in range(parts)] for r in rows])
-    names = [r["query"] for r in rows]
     encoded = vectors.select(key, F.array(*[nearest_center(books[p])(F.slice(vector, p * width + 1, width)) for p in range(parts)]).alias("codes"))
     index = stored(encoded, "pq")
+    kind, qkind = vectors.schema[key].dataType.simpleString(), queries.schema["query"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            c = np.stack(pdf["codes"].to_numpy())
-            ids = pdf[key].to_numpy()
-            for j, name in enumerate(names):
-                dist = sum(tables[j, p][c[:, p]] for p in range(parts))
-                s = np.round(-dist, 9)
-                best = np.lexsort((ids, -s))[: k * oversample]
-                yield pd.DataFrame({"query": name, key: ids[best], "score": s[best]})
+    def search(rows: list) -> DataFrame:
+        tables = np.array([[((books[p] - np.array(r["qvec"][p * width : (p + 1) * width])) ** 2).sum(1) for p in range(parts)] for r in rows])
+        names = [r["query"] for r in rows]
 
-    kind, qkind = vectors.schema[key].dataType.simpleString(), queries.schema["query"].dataType.simpleString()
-    near = index.mapInPandas(run, f"query {qkind}, {key} {kind}, score double")
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if not len(pdf):
+                    continue
+                c, ids = np.stack(pdf["codes"].to_numpy()), pdf[key].to_numpy()
+                for j, name in enumerate(names):
+                    s = np.round(-sum(tables[j, p][c[:, p]] for p in range(parts)), 9)
+                    best = _best(ids, s, k * oversample)
+                    yield pd.DataFrame({"query": name, key: ids[best], "score": s[best]})
+
+        return index.mapInPandas(run, f"query {qkind}, {key} {kind}, score double")
+
+    near = in_portions(queries.select("query", "qvec"), search)
     return rescore(best_per_query(near, key, k * oversample), vectors, key, vector, queries, k)
 
 

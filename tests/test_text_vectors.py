@@ -187,9 +187,18 @@ def test_filtered_top_k(cloud):
     assert pairs(V.top_k(vectors, "id", "v", q, 5, match=["tenant"])) == best(sims, 5, lambda i: i % 3 == 2)
 
 
-def test_query_set_must_be_small(cloud, monkeypatch):
-    with pytest.raises(ValueError):
-        V.bounded_queries(cloud[1], limit=3)
+def test_any_number_of_queries(cloud, monkeypatch):
+    vectors, queries, sims = cloud
+    few = {tuple(r) for r in V.hamming_rescore(vectors, "id", "v", queries, 10, 6).collect()}
+    monkeypatch.setattr(V, "MAX_QUERIES", 2)
+    assert pairs(V.top_k(vectors, "id", "v", queries, 7)) == best(sims, 7)
+    assert {tuple(r) for r in V.hamming_rescore(vectors, "id", "v", queries, 10, 6).collect()} == few
+
+
+def test_inverted_file_reads_probed_cells_only(cloud):
+    vectors, queries, _ = cloud
+    text = V.ivf_search(vectors, "id", "v", queries.limit(1), 5, 6, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [cell" in text
 
 
 @pytest.mark.parametrize("search,floor", [
