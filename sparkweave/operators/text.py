@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def words(text: Column | str) -> Column:
@@ -90,42 +91,30 @@ def sentence_windows(df: DataFrame, text: str, around: int, *keep: str) -> DataF
 
 def hashed_counts(text: str, dims: int = 256) -> np.ndarray:
     """Word counts folded into ``dims`` slots; the slot of a word never changes between runs."""
-    out = np.zeros(dims)
-    for w in text.lower().split():
-        h = 2166136261
-        for b in w.encode("utf-8"):
-            h = ((h ^ b) * 16777619) & 0xFFFFFFFF
-        out[h % dims] += 1.0
-    return out
-
-
-def cosine(a: np.ndarray, b: np.ndarray) -> float:
-    n = float(np.linalg.norm(a) * np.linalg.norm(b))
-    return float(a @ b) / n if n else 0.0
-
-
-def join_similar(parts: Sequence[str], threshold: float, embed=hashed_counts) -> list[str]:
-    """Neighbouring parts run together while their similarity is at least ``threshold``."""
-    out: list[list[str]] = []
-    last = None
-    for p in parts:
-        v = embed(p)
-        if last is not None and cosine(last, v) >= threshold:
-            out[-1].append(p)
-        else:
-            out.append([p])
-        last = v
-    return [" ".join(x) for x in out]
+    slots = [zlib.crc32(w.encode()) % dims for w in text.lower().split()]
+    return np.bincount(slots, minlength=dims).astype(float) if slots else np.zeros(dims)
 
 
 def semantic_chunks(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
-    """Chunks that end where the next sentence is no longer similar to the one before."""
+    """``<key>, chunk_no, chunk``: a chunk ends where the next sentence is unlike the one before it.
 
-    @F.pandas_udf("array<string>")
-    def chunks(s: pd.Series) -> pd.Series:
-        return s.map(lambda parts: join_similar(list(parts), threshold))
+    Alike is a cosine of word counts of ``threshold`` or more. Counts of neighbouring sentences meet in an equi join on
+    the word, so a long sentence costs its length; a running sum over the cuts numbers the chunks of a text.
+    """
+    place = [key, "_print", "_no"]
+    s = df.select(key, F.xxhash64(text).alias("_print"), F.posexplode(sentences(text)).alias("_no", "_s")).distinct()
+    counts = s.select(*place, F.explode(words(F.lower("_s"))).alias("_word")).groupBy(*place, "_word").agg(F.count(F.lit(1)).alias("_c"))
+    norms = counts.groupBy(*place).agg(F.sum(F.col("_c") * F.col("_c")).alias("_n"))
+    before = counts.select(key, "_print", (F.col("_no") + 1).alias("_no"), "_word", F.col("_c").alias("_b"))
+    dots = counts.join(before, [*place, "_word"]).groupBy(*place).agg(F.sum(F.col("_c") * F.col("_b")).alias("_dot"))
+    in_text = Window.partitionBy(key, "_print").orderBy("_no")
+    both = s.join(norms, place, "left").join(dots, place, "left").withColumn("_m", F.lag("_n").over(in_text))
+    alike = F.coalesce(F.col("_dot"), F.lit(0)) / F.sqrt(F.col("_n").cast("double") * F.col("_m")) >= threshold
+    cut = both.withColumn("_cut", F.when(alike, 0).otherwise(1))
+    numbered = cut.withColumn("chunk_no", (F.sum("_cut").over(in_text.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int"))
+    pieces = numbered.groupBy(key, "_print", "chunk_no").agg(F.sort_array(F.collect_list(F.struct("_no", "_s"))).alias("_p"))
+    return pieces.select(key, "chunk_no", F.array_join(F.transform("_p", lambda x: x["_s"]), " ").alias("chunk"))
 
-    return df.select(key, F.posexplode(chunks(sentences(text))).alias("chunk_no", "chunk"))
 
 
 def postings(df: DataFrame, key: str, text: str, terms: DataFrame | None = None) -> DataFrame:

@@ -51,9 +51,17 @@ def _(t):
     return X.sentence_windows(t.spread("documents"), "text", 1, "doc_id").withColumns({"sentence": F.md5("sentence"), "window": F.md5("window")})
 
 
-@query("V05_semantic_chunks")
+@query("V05_semantic_chunks", rf"""
+WITH s AS (SELECT doc_id, s[i] AS sent, i - 1 AS no FROM (SELECT doc_id, s, unnest(generate_series(1, len(s))) AS i FROM (SELECT doc_id, {SQL_SENT} AS s FROM documents))),
+w AS (SELECT doc_id, no, word, count(*) AS c FROM (SELECT doc_id, no, unnest(list_filter(string_split_regex(lower(sent), '\s+'), lambda x: x <> '')) AS word FROM s) GROUP BY ALL),
+n AS (SELECT doc_id, no, sum(c * c) AS n2 FROM w GROUP BY ALL),
+d AS (SELECT a.doc_id, a.no, sum(a.c * b.c) AS dot FROM w a JOIN w b ON a.doc_id = b.doc_id AND a.word = b.word AND a.no = b.no + 1 GROUP BY ALL),
+f AS (SELECT s.doc_id, s.no, sent, CASE WHEN coalesce(dot, 0) / sqrt(n.n2::DOUBLE * p.n2) >= 0.75 THEN 0 ELSE 1 END AS cut FROM s JOIN n USING (doc_id, no)
+ LEFT JOIN n p ON p.doc_id = s.doc_id AND p.no = s.no - 1 LEFT JOIN d ON d.doc_id = s.doc_id AND d.no = s.no),
+g AS (SELECT doc_id, no, sent, sum(cut) OVER (PARTITION BY doc_id ORDER BY no) - 1 AS chunk_no FROM f)
+SELECT doc_id, chunk_no::INTEGER AS chunk_no, md5(string_agg(sent, ' ' ORDER BY no)) AS chunk FROM g GROUP BY 1, 2""")
 def _(t):
-    return X.semantic_chunks(t.spread("documents"), "doc_id", "text", 0.75)
+    return X.semantic_chunks(t.spread("documents"), "doc_id", "text", 0.75).withColumn("chunk", F.md5("chunk"))
 
 
 @query("V06_parent_child_chunks", rf"""
@@ -190,6 +198,7 @@ def _(t):
     return back.select("doc_id", "r.instruction", F.md5("r.input").alias("input"), "r.output", F.col("r").isNotNull().alias("parses"))
 
 
+#: Fixed values.
 ROLES = {"user": "human", "assistant": "gpt", "system": "system"}
 TURNS_PER_RECORD = 1000
 

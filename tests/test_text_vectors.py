@@ -128,9 +128,10 @@ def test_recursive_split_prefers_coarse_separators():
     assert X.split_recursively("aaaa\n\nbbbb", 7, ["\n\n", " "]) == ["aaaa\n\n", "bbbb"]
 
 
-def test_similar_parts_join():
-    assert X.join_similar(["red green blue", "red green blue sky", "one two three"], 0.75) == ["red green blue red green blue sky", "one two three"]
-    assert X.join_similar([], 0.75) == []
+def test_similar_sentences_join(spark):
+    df = spark.createDataFrame([(1, "Red green blue. Red green blue. One two three. One."), (2, "")], "id int, t string")
+    got = [(r["id"], r["chunk_no"], r["chunk"]) for r in X.semantic_chunks(df, "id", "t", 0.75).orderBy("id", "chunk_no").collect()]
+    assert got == [(1, 0, "Red green blue. Red green blue."), (1, 1, "One two three."), (1, 2, "One.")]
 
 
 def test_sentence_windows(spark):
