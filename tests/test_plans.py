@@ -53,7 +53,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tables, plan):
 
 
 def test_large_side_is_not_broadcast(spark):
-    assert J.broadcast_checked(spark.range(100), limit=10)._jdf.queryExecution().analyzed().toString().find("broadcast") < 0
+    assert J.broadcast_checked(spark.range(100), limit=1000)._jdf.queryExecution().analyzed().toString().find("broadcast") < 0
 
 
 REFERENCE_ONLY = {"J06_cross_reference_tables", "J32_nested_loop_reference_tables"}
@@ -62,7 +62,7 @@ REFERENCE_ONLY = {"J06_cross_reference_tables", "J32_nested_loop_reference_table
 def test_no_cross_products(spark, sf):
     bad = []
     for name, fn in QUERIES.items():
-        if name[0] in "TSUV" or name in REFERENCE_ONLY:
+        if name[0] == "T" or name in REFERENCE_ONLY:  # streams have no plan of their own here
             continue
         text = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         if "CartesianProduct" in text or "BroadcastNestedLoopJoin" in text:
