@@ -9,6 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkweave.sources.files import stored
+
 
 def words(text: Column | str) -> Column:
     """Words between white space, empty ones left out."""
@@ -117,12 +119,14 @@ def semantic_chunks(df: DataFrame, key: str, text: str, threshold: float) -> Dat
 
 
 
-def postings(df: DataFrame, key: str, text: str, terms: DataFrame | None = None) -> DataFrame:
-    """``key, dl, term, tf`` of lower-case words, ``dl`` being the document's word count; only ``terms`` if given."""
-    doc = df.select(key, words(F.lower(text)).alias("_w"))
+def postings(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, dl, term, tf`` of lower-case words, ``dl`` being the document's word count.
+
+    Texts are dealt out by key before they are cut into words; the counts then need no shuffle of their own, and a text
+    is smaller than its postings.
+    """
+    doc = df.select(key, F.lower(text).alias("_t")).repartition(key).select(key, words("_t").alias("_w"))
     flat = doc.select(key, F.size("_w").alias("dl"), F.explode("_w").alias("term"))
-    if terms is not None:
-        flat = flat.join(terms, "term", "left_semi")
     return flat.groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -139,11 +143,16 @@ def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
 def bm25(df: DataFrame, key: str, text: str, queries: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """BM25 of every document that shares a term with a query; ``queries(query, term)`` is small.
 
-    Only postings of query terms leave the scan; document lengths come along with them.
+    Texts are cut into words once: their lengths and the words that a query asks for are stored, and all else
+    follows from those.
     """
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(words(text))).alias("avg"))
+    # the terms of the query set; a set too large for one array belongs in a join of postings
+    asked = F.array(*[F.lit(r["term"]) for r in queries.select("term").distinct().collect()]).cast("array<string>")
+    cut = df.select(key, words(F.lower(text)).alias("_w"))
+    doc = stored(cut.select(key, F.size("_w").alias("dl"), F.filter("_w", lambda x: F.array_contains(asked, x)).alias("_t")), "query-words")
+    stats = doc.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg"))
     n, avg = stats.select("n").scalar(), stats.select("avg").scalar()
-    post = postings(df, key, text, queries.select("term").distinct())
+    post = doc.select(key, "dl", F.explode("_t").alias("term")).groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     frequency = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weighted = queries.join(frequency, "term").select("query", "term", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
     hits = post.join(weighted, "term")
