@@ -48,14 +48,24 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
     return kept.filter((nulls == 0) & (F.col(key).isNotNull() | (rows == 0)))
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def measured_salts(df: DataFrame, keys: Sequence[str]) -> int:
+    """How many tasks the hottest key needs at ``ROWS_PER_TASK`` rows each; one counting pass, summed up in the tasks."""
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    return -(-most // ROWS_PER_TASK)
+
+
 def salted_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], salt_from: Column, salts: int = 16, how: str = "inner"
+    big: DataFrame, small: DataFrame, keys: Sequence[str], salt_from: Column, salts: int | None = None, how: str = "inner"
 ) -> DataFrame:
-    """Equi join whose hot keys are spread over ``salts`` tasks.
+    """Equi join whose hot keys are spread over ``salts`` tasks; by default as many as the hottest key needs.
 
     Rows of ``big`` get a salt from ``salt_from`` (a value that varies inside a key); each row
     of ``small`` is copied once per salt. ``how`` may be inner, left or left_semi.
     """
+    salts = salts or measured_salts(big, keys)
     left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

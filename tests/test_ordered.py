@@ -144,7 +144,15 @@ def test_bounded_cross_refuses_large_sides(spark):
         J.bounded_cross(spark.range(50), spark.range(3), limit=10)
 
 
-def test_salted_join_equals_plain_join(hot, spark):
+def test_salts_follow_the_hottest_key(hot, monkeypatch):
+    monkeypatch.setattr(J, "ROWS_PER_TASK", 7)
+    most = hot.groupBy("k").count().agg(F.max("count")).first()[0]
+    assert J.measured_salts(hot, ["k"]) == -(-most // 7)
+    assert J.measured_salts(hot.limit(0), ["k"]) == 1
+
+
+def test_salted_join_equals_plain_join(hot, spark, monkeypatch):
+    monkeypatch.setattr(J, "ROWS_PER_TASK", 7)
     small = spark.createDataFrame([(k, f"n{k}") for k in range(10)], "k int, name string")
     a = J.salted_join(hot, small, ["k"], F.col("id")).select("id", "name")
     b = hot.join(small, "k").select("id", "name")
