@@ -219,7 +219,7 @@ def _(t):
         o.filter("o_orderstatus = 'F'").groupBy("o_custkey", F.col("d").alias("valid_from")).agg(F.max("o_orderpriority").alias("tier"))
     )
     facts = o.filter("o_orderstatus = 'O'").select("o_custkey", "o_orderkey", "d")
-    return J.asof_join(facts, versions, ["o_custkey"], "d", "valid_from", ["valid_from", "tier"], lambda c: F.trunc(c, "year"))
+    return J.asof_join(facts, versions, ["o_custkey"], "d", "valid_from", ["valid_from", "tier"], lambda c: F.trunc(c, "month"))
 
 
 @query("J21_case_folded_key", """
