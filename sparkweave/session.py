@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import sparkweave
+
 
 def build_session(app_name: str = "sparkweave", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and the time zone pinned to UTC."""
@@ -24,23 +25,9 @@ def build_session(app_name: str = "sparkweave", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ship_package(spark)
-    return spark
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Let workers import this package wherever the session was started; once per application.
-
-    The archive is made on the driver, which serves it to the executors.
-    """
-    context = spark.sparkContext
-    if getattr(context, "_sparkweave_shipped", False):
-        return
-    home = os.path.dirname(os.path.abspath(__file__))
-    base = os.path.join(tempfile.mkdtemp(prefix="package-"), "sparkweave")
-    context.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(home), os.path.basename(home)))
-    context._sparkweave_shipped = True
+    # functions of this package travel as values, so workers need not be able to import it
+    cloudpickle.register_pickle_by_value(sparkweave)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-# stream workers do not see added Python files, so the processors travel as values
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 class LatestValue(StatefulProcessor):
     """Changelog table: the last value per key by sequence; a null value deletes the key."""
