@@ -27,20 +27,20 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return left["_id"].eqNullSafe(right["_id"]) & (left["_print"] == right["_print"])
 
 
-def size_in_bytes(df: DataFrame) -> int:
-    """Bytes of the values of a frame, with 32 more per row; counted, not estimated."""
-    width = F.lit(32).cast("bigint")
+def size_in_bytes(df: DataFrame, more: Column | None = None) -> int:
+    """Bytes of the values of a frame, with 32 more per row; counted, not estimated. ``more``: width of nested columns."""
+    width = F.lit(32).cast("bigint") if more is None else F.lit(32).cast("bigint") + more
     for name, kind in df.dtypes:
         width = width + (F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) if kind in ("string", "binary") else F.lit(16))
     return df.agg(F.sum(width)).first()[0] or 0
 
 
-def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES, more: Column | None = None) -> DataFrame:
     """A broadcast hint if the counted size is within ``limit``; else the frame itself, which is then joined by shuffle.
 
-    Only for frames of flat columns that are cheap to read twice (stored, or small inputs).
+    Only for frames that are cheap to read twice (stored, or small inputs). Nested columns need ``more``, their width.
     """
-    return F.broadcast(df) if size_in_bytes(df) <= limit else df
+    return F.broadcast(df) if size_in_bytes(df, more) <= limit else df
 
 
 def fold(bucket: Column, of: int) -> Column:

@@ -362,11 +362,13 @@ def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Texts without words belong to nothing and all stay.
     """
-    marks = join_components(docs, doc_id, text, **how)
-    keep = marks.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_llm_id")).distinct()
-    keep = stored(keep, "kept")
-    kept = docs.join(keep, docs[doc_id].eqNullSafe(keep["_llm_id"]), "left_semi")
-    twice = kept.groupBy(doc_id).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col(doc_id).alias("_llm_twice"))
+    marks = stored(join_components(docs, doc_id, text, **how), "marks")
+    gone = marks.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_llm_id")).distinct()
+    # what goes is the smaller part; its ids are broadcast within the bound, so texts are not moved
+    named = marks.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_named")).distinct()
+    gone = broadcast_within(stored(gone.join(named, F.col("_llm_id").eqNullSafe(F.col("_named")), "left_anti"), "gone"))
+    kept = docs.join(gone, docs[doc_id].eqNullSafe(gone["_llm_id"]), "left_anti")
+    twice = marks.groupBy(F.col("doc_id").alias("_llm_twice")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     twice = broadcast_within(stored(twice, "repeated"))
     again = F.col(doc_id).eqNullSafe(F.col("_llm_twice")) & F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([doc_id]))

@@ -224,7 +224,8 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **limi
     """
     spans = find(docs, doc_id, text, **limits).filter(F.size("spans") > 0).dropDuplicates(["_id", "_print"])
     spans = spans.select(F.col("_id").alias("_llm_id"), F.col("_print").alias("_llm_print"), F.col("spans").alias("_llm_spans"))
-    spans = stored(spans, "spans")  # arrays have no counted size: the join is left to adaptive execution
+    width = F.aggregate("_llm_spans", F.lit(0).cast("bigint"), lambda n, s: n + 64 + F.octet_length(s["value"]))
+    spans = broadcast_within(stored(spans, "spans"), more=width)
     same = F.col(doc_id).eqNullSafe(spans["_llm_id"]) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == spans["_llm_print"])
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
     # the end so far and the pieces of the new text
