@@ -60,10 +60,14 @@ def most_apart(x: int, y: int, percent: int) -> int:
 
 
 def bands(largest: int, percent: int) -> list[tuple[int, int]]:
-    """Size bands: what links to a set of a band is in that band or a neighbour of it."""
+    """Size bands: what links to a set of a band is in that band or a neighbour of it.
+
+    A band spans two steps of the size ratio, so only the larger half of its sets is indexed for the next band too.
+    """
     out, low = [], 1
     while low <= largest:
         high = max(low, low * 100 // percent)
+        high = max(high, high * 100 // percent)
         out.append((low, high))
         low = high + 1
     return out
@@ -305,7 +309,7 @@ def join_components(
     """``doc_id, n_shingles, component_id``, one row per document.
 
     Documents link when the Jaccard similarity of their ``n``-word shingle sets is ``percent`` or more; a component
-    is what links reach, named by its smallest id. Equal sets are one node from the start, so copies cost nothing.
+    is what links reach, named by its smallest id. Equal sets are one node, so copies are never compared.
     Members of a bucket first meet a leader, in ``rounds`` rounds with other leaders; then all members that are
     still in different components are compared in blocks, so no link between components is lost.
 
@@ -326,8 +330,8 @@ def join_components(
     per_band = dict((r[0], r[1]) for r in counts)  # at most a hundred or so bands
     table = [(low, high, *allocate(low, high, per_band.get(i, 0) + per_band.get(i - 1, 0), percent)) for i, (low, high) in enumerate(limits)]
 
-    reps = docs.join(broadcast_within(nodes.select(F.col("doc").alias("_doc"))), F.col(doc_id).eqNullSafe(F.col("_doc")), "left_semi")
-    sigs = _signature_rows(reps, text, n, common, table, percent)
+    # copies write the same rows, which fall together in the grouped minimum; picking one of them would move the texts
+    sigs = _signature_rows(docs, text, n, common, table, percent)
     shared = sigs.groupBy("sig").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo <> _hi").select("sig")
     members = stored(sigs.join(shared, "sig").distinct(), "members")
 
