@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkweave.llm.common import BLANK, WORD, ascii_lower, broadcast_within, let, row_identity, same_row
+from sparkweave.llm.ngram_join import _leader_pairs
+from sparkweave.operators.graphs import connected_components
 from sparkweave.sources.files import stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -120,57 +122,105 @@ def _term_places(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_terms", F.filter(inner, lambda x: x["value"] != ""))
 
 
+def _shingles(text: Column) -> Column:
+    """Distinct hashes of the runs of five words; a shorter text is one run."""
+    words = F.array_remove(F.split(ascii_lower(text), f"{BLANK}+"), "")
+
+    def runs(w):
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - 5, F.lit(0)))
+        return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)])))
+
+    return let(words, runs)
+
+
+def _families(texts: DataFrame) -> DataFrame:
+    """``node, family`` for texts (``_print, _t``, each once) that have near copies: half or more of their runs of five words in common.
+
+    Sets that link share one of the rarest half of their runs, so every link is a meeting there, verified on the whole
+    sets. As in the n-gram join, members first meet a leader and those left apart then meet each other.
+    """
+    sets = stored(texts.select(F.col("_print").alias("node"), _shingles(F.col("_t")).alias("s")), "family-sets")
+    runs = sets.select("node", F.size("s").alias("n"), F.explode("s").alias("sig"))
+    shared = runs.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    lists = runs.join(shared, "sig").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "sig"))).alias("l"))
+    # the prefix is half of the set and one more; runs of one text only come first in it and meet nothing
+    take = F.floor(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("l"))
+    members = stored(lists.filter(take > 0).select("node", F.explode(F.slice("l", F.lit(1), take)).alias("x")).select("x.sig", "node"), "family-members")
+
+    done = links = comps = None
+    labelled = members.withColumn("comp", F.col("node"))
+    for turn in range(2):
+        if turn == 0:
+            pairs = _leader_pairs(labelled, turn)
+        else:
+            left, right = (labelled.select("sig", F.col("node").alias(x), F.col("comp").alias(f"_c{x}")) for x in "ab")
+            pairs = left.join(right, "sig").filter("a < b AND _ca <> _cb").select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+        done = pairs = stored(pairs, "family-pairs")
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("_b")), "b")
+        alike = 3 * F.size(F.array_intersect("_a", "_b")) >= F.size("_a") + F.size("_b")
+        found = stored(both.filter(alike).select("a", "b"), "family-links")
+        if comps is not None and found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        comps = stored(connected_components(links), "families")
+        labelled = members.join(comps, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("comp"))
+    return comps.select("node", F.col("component").alias("family"))
+
+
 def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, support: int = 3) -> DataFrame:
     """``term, strength``: terms whose presence discloses a protected entity.
 
     With n(.) counted over all documents, PMI(e; t) = log2(n(e, t) N / (n(e) n(t))) is what term t tells about
     entity e, and IC(e) = log2(N / n(e)) is all there is to tell. A term is revealing if PMI reaches ``alpha`` of
     IC for some entity. A term meets the entities next to it on either side, at any distance, so a text costs its
-    length and not entities times terms. The evidence must be ``support`` documents or more, and not mainly copies:
-    no family of texts with one least word hash may give more than half of it.
+    length and not entities times terms. Near copies among the documents with identifiers are a family, and every
+    count takes a family once. The evidence must be ``support`` families or more.
 
     ``spans``: stored ``_id, _print, spans`` of documents with identifiers. ``docs``: ``_id, _print, _t``.
     """
     n_docs = docs.agg(F.count(F.lit(1))).first()[0]
     keys = broadcast_within(spans.select("_id", "_print").distinct())
-    held = docs.join(keys, same_row(docs, keys), "left_semi")
+    rows = stored(docs.join(keys, same_row(docs, keys), "left_semi").groupBy("_print").agg(F.count(F.lit(1)).alias("n_rows"), F.first("_t").alias("_t")), "held-texts")
+    families = broadcast_within(_families(rows.select("_print", "_t")))
+    # one row per text: equal texts have equal spans and terms
+    held = rows.join(families, F.col("_print") == F.col("node"), "left").withColumn("family", F.coalesce("family", "_print")).drop("node")
+    held = stored(held.withColumn("_held_terms", _terms(F.col("_t"))), "held")
+    n_rows, n_families = held.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.count_distinct("family")).first()
+    n_docs += n_families - n_rows
+    terms = held.select("family", "n_rows", F.explode("_held_terms").alias("term"))
+    terms = terms.groupBy("term", "family").agg(F.sum("n_rows").alias("n_rows"))
     near = stored(
-        held.select(F.explode(_terms(F.col("_t"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_held")).filter(F.col("n_held") >= support),
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_held"), F.sum("n_rows").alias("n_rows")).filter(F.col("n_held") >= support),
         "terms-held",
     )
     found = docs.select(F.explode(_terms(F.col("_t"))).alias("term")).join(broadcast_within(near.select("term")), "term")
-    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("n_all")).join(near, "term")
+    counts = counts.select("term", "n_held", (F.col("n_all") - F.col("n_rows") + F.col("n_held")).alias("n_term"))
     # no entity can be told by a term more often than any is, so most terms end here
     least = F.pow(F.lit(2.0), F.lit(-(1 - alpha)) * F.log2(F.lit(float(max(n_docs, 2)))))
-    likely = stored(counts.join(near, "term").filter(F.col("n_held") >= least * F.col("n_term")).select("term", "n_term"), "terms-likely")
+    likely = stored(counts.filter(F.col("n_held") >= least * F.col("n_term")).select("term", "n_term"), "terms-likely")
 
-    entities = spans.select("_id", "_print", F.explode("spans").alias("s"))
-    n_entity = entities.select("_id", "_print", _entity(F.col("s")).alias("entity")).distinct().groupBy("entity")
-    # rows with one id and one text are equal rows and count as often as they occur
-    n_entity = n_entity.agg(F.count(F.lit(1)).alias("n_entity"))
+    by_text = spans.select("_print", "spans").dropDuplicates(["_print"]).join(held.select("_print", "family"), "_print")
+    entities = by_text.select("_print", "family", F.explode("spans").alias("s")).select("_print", "family", _entity(F.col("s")).alias("entity")).distinct()
+    n_entity = entities.select("family", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
 
-    texts = held.select("_id", "_print", "_t").dropDuplicates(["_id", "_print"])
-    placed = _term_places(texts, "_t").select("_id", "_print", "_terms", F.array_min(F.transform("_terms", lambda x: F.xxhash64(F.lower(x["value"])))).alias("family"))
-    seen = placed.select("_id", "_print", "family", F.inline("_terms")).select("_id", "_print", "family", "start", ascii_lower(F.col("value")).alias("term"))
+    seen = _term_places(held, "_t").select("_print", F.inline("_terms")).select("_print", "start", ascii_lower(F.col("value")).alias("term"))
     seen = seen.join(broadcast_within(likely.select("term")), "term")
-    lists = seen.groupBy("_id", "_print", "family").agg(F.collect_set(F.struct("start", "term")).alias("_seen"))
-    lists = lists.select(F.col("_id").alias("_sid"), F.col("_print").alias("_sprint"), "family", "_seen")
-    both = spans.join(lists, spans["_id"].eqNullSafe(lists["_sid"]) & (spans["_print"] == lists["_sprint"]))
+    lists = seen.groupBy("_print").agg(F.collect_set(F.struct("start", "term")).alias("_seen"))
+    both = by_text.join(lists, "_print")
     # entities and terms of one text in the order of the text; each term meets the entity before and after it
-    marks = both.select("_id", "_print", "family", F.explode(F.concat(
+    marks = both.select("_print", "family", F.explode(F.concat(
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.lit(None).cast("string").alias("term"), _entity(s).alias("entity"))),
         F.transform("_seen", lambda x: F.struct(x["start"].alias("start"), x["term"].alias("term"), F.lit(None).cast("string").alias("entity"))),
-    )).alias("m")).select("_id", "_print", "family", "m.*")
-    order = Window.partitionBy("_id", "_print").orderBy("start")
+    )).alias("m")).select("_print", "family", "m.*")
+    order = Window.partitionBy("_print").orderBy("start")
     before = F.last("entity", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("entity", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
     beside = marks.withColumns({"_before": before, "_after": after}).filter("term IS NOT NULL")
-    met = beside.select("_id", "_print", "family", "term", F.explode(F.array_distinct(F.array("_before", "_after"))).alias("entity"))
+    met = beside.select("family", "term", F.explode(F.array_distinct(F.array("_before", "_after"))).alias("entity"))
     pairs = met.filter("entity IS NOT NULL").distinct()
-    by_family = pairs.groupBy("term", "entity", "family").agg(F.count(F.lit(1)).alias("n"))
-    joint = by_family.groupBy("term", "entity").agg(F.sum("n").alias("n_both"), F.max("n").alias("n_copies"))
-    backed = joint.filter((F.col("n_both") >= support) & (2 * F.col("n_copies") <= F.col("n_both")))
-    judged = backed.join(n_entity, "entity").join(likely, "term")
+    joint = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_both"))
+    judged = joint.filter(F.col("n_both") >= support).join(n_entity, "entity").join(likely, "term")
     total = F.lit(float(n_docs))
     pmi = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
     content = F.log2(total / F.col("n_entity"))

@@ -315,6 +315,53 @@ def test_revealing_terms(spark):
     assert clean[1] == texts[1]
 
 
+def marked_terms(frame, **how):
+    """The terms marked in each document, by id."""
+    texts, found = {r["doc_id"]: r["text"] for r in frame.collect()}, {}
+    for r in pii.find(frame, **how).collect():
+        found[r["_id"]] = {texts[r["_id"]][s["start"] : s["end"]].lower() for s in r["spans"] if s["kind"] == pii.KINDS.index("term")}
+    return found
+
+
+def test_texts_that_share_their_least_hash_are_no_copies(spark):
+    rng = random.Random(12)
+    texts = []
+    for i in range(300):
+        words = invented(rng, rng.randint(30, 60), "abcdefgh").split()
+        words.insert(5, "common")  # what hashes lowest in many of the texts
+        if i % 30 == 0:
+            words[9:9] = ["Quibnax", "qb@mail.example.org"]
+        texts.append((i, " ".join(words)))
+    least = [(spark.range(1).select(F.xxhash64(F.lit(w))).first()[0], w) for w in {w.lower() for i, t in texts[::30] for w in t.split() if w.isalpha()}]
+    frequent = min(least)[1]
+    frame = spark.createDataFrame([(i, f"{t} {frequent}") for i, t in texts], "doc_id bigint, text string")
+    found = marked_terms(frame)
+    assert all("quibnax" in found[i] for i in range(0, 300, 30))
+
+
+def test_families_match_brute_force(spark):
+    rng = random.Random(13)
+    texts = []
+    for g in range(12):
+        words = invented(rng, rng.randint(3, 60), "abcdefgh").split()
+        for _ in range(rng.randint(1, 6)):
+            copy = list(words)
+            for _ in range(rng.randint(0, 5)):
+                copy[rng.randrange(len(copy))] = invented(rng, 1)
+            texts.append(" ".join(copy))
+    texts = sorted(set(texts))
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (blank_words(lower(t)) for t in texts)]
+    name = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if 2 * len(sets[i] & sets[j]) >= len(sets[i] | sets[j]):
+                name = [name[j] if x == name[i] else x for x in name]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_print bigint, _t string")
+    got = {r["node"]: r["family"] for r in pii._families(frame).collect()}
+    pairs = {(i, j) for i in range(len(texts)) for j in range(i) if name[i] == name[j]}
+    assert pairs == {(i, j) for i in range(len(texts)) for j in range(i) if got.get(i, ~i) == got.get(j, ~j)}
+
+
 def test_sanitise_keeps_rows_and_columns(docs, rows, none):
     out = pii.sanitise(docs)
     assert out.columns == docs.columns and out.count() == len(rows)
