@@ -15,12 +15,15 @@ from pyspark.sql import DataFrame, functions as F
 #: Elements of HTML that stand inside a line of text; all others part blocks.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr output q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "annotation annotation-xml math merror mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is never text of the page.
-SKIPPED = frozenset("script style template noscript svg math head title iframe object canvas audio video select textarea option datalist button".split())
+SKIPPED = frozenset("annotation annotation-xml script style template noscript title iframe object audio video select textarea option datalist button".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
+#: What stands in a head; any other opening tag, or text, ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 #: An opening tag of the second kind closes an open one of the first.
 CLOSED_BY = {
     "p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
@@ -128,6 +131,9 @@ def leaf_blocks(page: str) -> list[Block]:
                     if last == tag:
                         break
             continue
+        if depth.get("head") and tag not in IN_HEAD and not state[0]:
+            while depth["head"]:
+                close()
         while open_ and tag in CLOSED_BY.get(open_[-1][0], ()):
             close()
         if not inline and depth.get("p") and tag in CLOSED_BY["p"]:

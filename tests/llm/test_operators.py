@@ -76,6 +76,18 @@ def test_page_text():
     assert html_crf.main_text(PAGE, html_crf.default_field()) == MAIN
 
 
+def test_open_heads_and_formulas():
+    def texts(page):
+        return [b.text for b in html_crf.leaf_blocks(page)]
+
+    for head in ("<head><title>T</title><meta charset=utf-8>", "<head><title>T</title><style>p{}</style>", "<title>T</title>", "<head><script>x</script>"):
+        for body in ("<body><p>One</p>", "<p>One</p>", "<body><p>One</p></body>"):
+            assert texts(f"<!doctype html><html>{head}{body}") == ["One"]
+    assert texts("<head>One") == ["One"]
+    assert texts("<p>Let <math><semantics><mi>x</mi><annotation>tex</annotation></semantics></math> be</p>") == ["Let x be"]
+    assert texts("<p>See <svg><title>no</title><text>axis</text></svg> and <canvas>no chart</canvas></p>") == ["See", "axis", "and", "no chart"]
+
+
 def test_field_learns_labelled_pages():
     field, wrong, total = html_crf.default_field(), 0, 0
     for page, labels in html_crf.labelled_pages(150, seed=99):
