@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sparkweave.llm.arrow_text import PLACE, U, each_words, mix
-from sparkweave.llm.common import broadcast_within
+from sparkweave.llm.common import broadcast_within, row_identity
 from sparkweave.operators.graphs import connected_components
 from sparkweave.sources.files import stored
 
@@ -362,17 +362,28 @@ def join_components(
 
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents that name their component, with all their columns; a repeated id keeps one row.
+    """One document of each component with all its columns: the one of the smallest id, of texts under it the one of least hash.
 
-    Texts without words belong to nothing and all stay.
+    Rows are told apart by id and text, so unlike texts under one id, also a null one, stay. A null id comes last.
+    Equal rows keep one. Texts without words belong to nothing and all stay.
     """
-    marks = stored(join_components(docs, doc_id, text, **how), "marks")
-    gone = marks.filter(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_llm_id")).distinct()
-    # what goes is the smaller part; its ids are broadcast within the bound, so texts are not moved
-    named = marks.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_named")).distinct()
-    gone = broadcast_within(stored(gone.join(named, F.col("_llm_id").eqNullSafe(F.col("_named")), "left_anti"), "gone"))
-    kept = docs.join(gone, docs[doc_id].eqNullSafe(gone["_llm_id"]), "left_anti")
-    twice = marks.groupBy(F.col("doc_id").alias("_llm_twice")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    clean = F.coalesce(F.col(text), F.lit(""))
+    # components of texts: their hash is the id, so a repeated id links nothing
+    texts = docs.select(*row_identity(F.col(doc_id), clean), clean.alias("_t"))
+    marks = stored(join_components(texts, "_print", "_t", **how).filter("n_shingles > 0").distinct(), "marks")
+    ids = texts.select("_id", "_print").join(marks.select(F.col("doc_id").alias("_print"), "component_id"), "_print")
+    ids = ids.groupBy("component_id", "_id", "_print").agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.struct(F.col("_id").isNull().alias("last"), F.col("_id"), F.col("_print"))
+    ids = stored(ids.withColumn("_rank", rank), "component-rows")
+    best = ids.groupBy("component_id").agg(F.min("_rank").alias("_best"))
+    gone = ids.join(best, "component_id").filter("NOT (_rank <=> _best)").select(F.col("_id").alias("_llm_id"), F.col("_print").alias("_llm_print"))
+    # what goes is the smaller part; it is broadcast within the bound, so texts are not moved
+    gone = broadcast_within(stored(gone, "gone"))
+    twice = ids.join(best, "component_id").filter("_rank <=> _best AND _n > 1").select(F.col("_id").alias("_llm_id"), F.col("_print").alias("_llm_print"))
     twice = broadcast_within(stored(twice, "repeated"))
-    again = F.col(doc_id).eqNullSafe(F.col("_llm_twice")) & F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return kept.join(twice, again, "left_anti").unionByName(kept.join(twice, again, "left_semi").dropDuplicates([doc_id]))
+
+    def same(of: DataFrame):
+        return F.col(doc_id).eqNullSafe(of["_llm_id"]) & (F.xxhash64(clean) == of["_llm_print"])
+
+    kept = docs.join(gone, same(gone), "left_anti")
+    return kept.join(twice, same(twice), "left_anti").unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates([doc_id, text]))

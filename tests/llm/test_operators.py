@@ -458,6 +458,15 @@ def test_one_stays_of_each_component(docs, rows):
     assert kept.filter("doc_id IN (100, 101, 102)").count() == 3
 
 
+def test_unlike_texts_under_one_id_stay(spark):
+    rng = random.Random(15)
+    a, b, c, d = (invented(rng, 40, "abcdefgh") for _ in range(4))
+    texts = [(None, a), (None, b), (5, c), (5, d), (4, f"{c} more"), (7, a), (7, a), (8, ""), (8, None)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    kept = [tuple(r) for r in ngram_join.one_per_component(frame).collect()]
+    assert sorted(kept, key=str) == sorted([(7, a), (None, b), (4, f"{c} more"), (5, d), (8, ""), (8, None)], key=str)
+
+
 def test_allocation_tolerates_what_sets_may_differ():
     for low, high in ngram_join.bands(3000, 85):
         exact, deletion = ngram_join.allocate(low, high, 10_000, 85)
