@@ -19,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: the one with the smallest id."""
-    return ngram_join.one_per_component(docs)
+    """Keeps one document of each group of near copies (five words, 0.8): the one with the smallest id."""
+    return ngram_join.one_per_component(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

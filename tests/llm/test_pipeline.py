@@ -42,6 +42,18 @@ def test_stages_in_order(spark, sf, tables):
     assert not docs.filter(F.col("text").rlike(r"[a-z0-9]@[a-z0-9]+\.example")).count()
 
 
+def test_near_duplicates_match_brute_force_at_five_words(spark, sf):
+    texts = []
+    for g in range(8):
+        words = [f"w{g}x{k}" for k in range(60)]
+        texts += [words, [*words, *(f"m{g}x{k}" for k in range(9 + g))]]  # 5-word similarity from 0.77 to 0.86
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in texts]
+    kept = {j for j in range(len(texts)) if not any(100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for i in range(j))}
+    assert 8 < len(kept) < 16
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, sf).collect()} == kept
+
+
 def test_empty_corpus(spark, sf, tables):
     docs = tables.documents.limit(0)
     for name, stage in corpus_pipeline.STAGES:
