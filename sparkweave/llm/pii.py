@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkweave.llm.common import BLANK, WORD, ascii_lower, broadcast_within, let, row_identity, same_row
@@ -106,6 +108,15 @@ def _entity(span: Column) -> Column:
     return F.concat_ws(":", span["kind"].cast("string"), F.when(number, _digits(span["value"])).otherwise(ascii_lower(span["value"])))
 
 
+def _entities(span: Column) -> Column:
+    """The protected values behind a span: its own and the wider one, a mailbox domain, a network or a number without its last four digits."""
+    value, digits = ascii_lower(span["value"]), _digits(span["value"])
+    wide = F.when(span["kind"] == KINDS.index("email"), F.regexp_extract(value, "@(.*)$", 1))
+    wide = wide.when(span["kind"] == KINDS.index("ip"), F.regexp_extract(value, r"^(.*)\.", 1))
+    wide = wide.otherwise(F.substring(digits, F.lit(1), F.char_length(digits) - 4))
+    return F.array(_entity(span), F.concat_ws(":", F.lit("wide"), span["kind"].cast("string"), wide))
+
+
 def _terms(text: Column) -> Column:
     """Distinct lower-case terms: words of letters, without the punctuation around them and never with digits inside."""
     words = F.split(ascii_lower(text), f"{BLANK}+")
@@ -167,14 +178,15 @@ def _families(texts: DataFrame) -> DataFrame:
     return comps.select("node", F.col("component").alias("family"))
 
 
-def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, support: int = 3) -> DataFrame:
+def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk: float = 0.05) -> DataFrame:
     """``term, strength``: terms whose presence discloses a protected entity.
 
     With n(.) counted over all documents, PMI(e; t) = log2(n(e, t) N / (n(e) n(t))) is what term t tells about
     entity e, and IC(e) = log2(N / n(e)) is all there is to tell. A term is revealing if PMI reaches ``alpha`` of
-    IC for some entity. A term meets the entities next to it on either side, at any distance, so a text costs its
-    length and not entities times terms. Near copies among the documents with identifiers are a family, and every
-    count takes a family once. The evidence must be ``support`` families or more.
+    IC for some entity. A term meets the entities next to it on either side. Protected are also wider entities (see ``_entities``). Near copies among the documents with identifiers are a family, and every
+    count takes a family once. Evidence must be beyond chance: if term and entity were independent, n(e, t) would be
+    about Poisson with mean n(e) n(t) / N, and its tail, times all pairs that the texts hold, must stay within ``risk``.
+    So two documents are enough in a large corpus; one never is, as each of its rare words would count.
 
     ``spans``: stored ``_id, _print, spans`` of documents with identifiers. ``docs``: ``_id, _print, _t``.
     """
@@ -190,7 +202,7 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, supp
     terms = held.select("family", "n_rows", F.explode("_held_terms").alias("term"))
     terms = terms.groupBy("term", "family").agg(F.sum("n_rows").alias("n_rows"))
     near = stored(
-        terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_held"), F.sum("n_rows").alias("n_rows")).filter(F.col("n_held") >= support),
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_held"), F.sum("n_rows").alias("n_rows")).filter("n_held > 1"),
         "terms-held",
     )
     found = docs.select(F.explode(_terms(F.col("_t"))).alias("term")).join(broadcast_within(near.select("term")), "term")
@@ -201,7 +213,9 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, supp
     likely = stored(counts.filter(F.col("n_held") >= least * F.col("n_term")).select("term", "n_term"), "terms-likely")
 
     by_text = spans.select("_print", "spans").dropDuplicates(["_print"]).join(held.select("_print", "family"), "_print")
-    entities = by_text.select("_print", "family", F.explode("spans").alias("s")).select("_print", "family", _entity(F.col("s")).alias("entity")).distinct()
+    entities = by_text.select("_print", "family", F.explode("spans").alias("s")).select("_print", "family", F.explode(_entities(F.col("s"))).alias("entity")).distinct()
+    sizes = entities.groupBy("_print").agg(F.count(F.lit(1)).alias("n")).join(held.select("_print", "family", F.size("_held_terms").alias("m")), "_print")
+    n_pairs = sizes.groupBy("family").agg(F.max(F.col("n") * F.col("m")).alias("n")).agg(F.sum("n")).first()[0] or 0
     n_entity = entities.select("family", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
 
     seen = _term_places(held, "_t").select("_print", F.inline("_terms")).select("_print", "start", ascii_lower(F.col("value")).alias("term"))
@@ -210,25 +224,29 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, supp
     both = by_text.join(lists, "_print")
     # entities and terms of one text in the order of the text; each term meets the entity before and after it
     marks = both.select("_print", "family", F.explode(F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.lit(None).cast("string").alias("term"), _entity(s).alias("entity"))),
-        F.transform("_seen", lambda x: F.struct(x["start"].alias("start"), x["term"].alias("term"), F.lit(None).cast("string").alias("entity"))),
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.lit(None).cast("string").alias("term"), _entities(s).alias("entity"))),
+        F.transform("_seen", lambda x: F.struct(x["start"].alias("start"), x["term"].alias("term"), F.lit(None).cast("array<string>").alias("entity"))),
     )).alias("m")).select("_print", "family", "m.*")
     order = Window.partitionBy("_print").orderBy("start")
     before = F.last("entity", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first("entity", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
     beside = marks.withColumns({"_before": before, "_after": after}).filter("term IS NOT NULL")
-    met = beside.select("family", "term", F.explode(F.array_distinct(F.array("_before", "_after"))).alias("entity"))
+    met = beside.select("family", "term", F.explode(F.array_distinct(F.concat(F.coalesce("_before", F.array().cast("array<string>")), F.coalesce("_after", F.array().cast("array<string>"))))).alias("entity"))
     pairs = met.filter("entity IS NOT NULL").distinct()
     joint = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_both"))
-    judged = joint.filter(F.col("n_both") >= support).join(n_entity, "entity").join(likely, "term")
+    judged = joint.filter("n_both > 1").join(n_entity, "entity").join(likely, "term")
     total = F.lit(float(n_docs))
+    # log of mean^k / k!, which is no less than the tail; the factorial by Stirling's lower bound
+    k, mean = F.col("n_both"), F.col("n_entity") * F.col("n_term") / total
+    tail = k * (1 + F.log(mean / k)) - F.log(2 * math.pi * k) / 2
+    judged = judged.filter(tail + math.log(max(n_pairs, 1)) <= math.log(risk))
     pmi = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
     content = F.log2(total / F.col("n_entity"))
     strength = F.when(content > 0, F.least(pmi / content, F.lit(1.0)))
     return judged.groupBy("term").agg(F.max(strength).alias("strength")).filter(F.col("strength") >= alpha)
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95, support: int = 3) -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95, risk: float = 0.05) -> DataFrame:
     """``_id, _print, spans``, one row per document: direct identifiers and revealing terms, by start and then kind.
 
     Spans are ``struct(start, kind, end, value)`` in code points, the end exclusive, ``kind`` an index into ``KINDS``.
@@ -242,7 +260,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: flo
     held = stored(base.filter(F.size("spans") > 0).select("_id", "_print", "spans").dropDuplicates(["_id", "_print"]), "identifiers")
     clean = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(*row_identity(F.col(doc_id), clean), clean.alias("_t"))
-    terms = broadcast_within(stored(revealing_terms(held, texts, alpha, support), "revealing"))
+    terms = broadcast_within(stored(revealing_terms(held, texts, alpha, risk), "revealing"))
 
     marked = texts.select("_id", "_print", F.explode(_terms(F.col("_t"))).alias("term")).join(terms.select("term"), "term")
     where = broadcast_within(stored(marked.select("_id", "_print").distinct(), "marked"))
