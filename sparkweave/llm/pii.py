@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkweave.llm.common import BLANK, WORD, ascii_lower, broadcast_within, let, row_identity, same_row
 from sparkweave.llm.ngram_join import _leader_pairs
@@ -183,7 +183,8 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk
 
     With n(.) counted over all documents, PMI(e; t) = log2(n(e, t) N / (n(e) n(t))) is what term t tells about
     entity e, and IC(e) = log2(N / n(e)) is all there is to tell. A term is revealing if PMI reaches ``alpha`` of
-    IC for some entity. A term meets the entities next to it on either side. Protected are also wider entities (see ``_entities``). Near copies among the documents with identifiers are a family, and every
+    IC for some entity. A term meets every entity of its text; terms and entities that cannot be evidence are left
+    out before they meet. Protected are also wider entities (see ``_entities``). Near copies among the documents with identifiers are a family, and every
     count takes a family once. Evidence must be beyond chance: if term and entity were independent, n(e, t) would be
     about Poisson with mean n(e) n(t) / N, and its tail, times all pairs that the texts hold, must stay within ``risk``.
     So two documents are enough in a large corpus; one never is, as each of its rare words would count.
@@ -218,21 +219,10 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk
     n_pairs = sizes.groupBy("family").agg(F.max(F.col("n") * F.col("m")).alias("n")).agg(F.sum("n")).first()[0] or 0
     n_entity = entities.select("family", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
 
-    seen = _term_places(held, "_t").select("_print", F.inline("_terms")).select("_print", "start", ascii_lower(F.col("value")).alias("term"))
-    seen = seen.join(broadcast_within(likely.select("term")), "term")
-    lists = seen.groupBy("_print").agg(F.collect_set(F.struct("start", "term")).alias("_seen"))
-    both = by_text.join(lists, "_print")
-    # entities and terms of one text in the order of the text; each term meets the entity before and after it
-    marks = both.select("_print", "family", F.explode(F.concat(
-        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.lit(None).cast("string").alias("term"), _entities(s).alias("entity"))),
-        F.transform("_seen", lambda x: F.struct(x["start"].alias("start"), x["term"].alias("term"), F.lit(None).cast("array<string>").alias("entity"))),
-    )).alias("m")).select("_print", "family", "m.*")
-    order = Window.partitionBy("_print").orderBy("start")
-    before = F.last("entity", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("entity", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    beside = marks.withColumns({"_before": before, "_after": after}).filter("term IS NOT NULL")
-    met = beside.select("family", "term", F.explode(F.array_distinct(F.concat(F.coalesce("_before", F.array().cast("array<string>")), F.coalesce("_after", F.array().cast("array<string>"))))).alias("entity"))
-    pairs = met.filter("entity IS NOT NULL").distinct()
+    entities = stored(entities.join(n_entity.filter("n_entity > 1").select("entity"), "entity"), "entities")
+    # each likely term of a text meets each entity of it that more than one family holds
+    seen = held.select("_print", F.explode("_held_terms").alias("term")).join(broadcast_within(likely.select("term")), "term")
+    pairs = seen.join(entities, "_print").select("family", "term", "entity").distinct()
     joint = pairs.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n_both"))
     judged = joint.filter("n_both > 1").join(n_entity, "entity").join(likely, "term")
     total = F.lit(float(n_docs))

@@ -351,6 +351,24 @@ def test_texts_that_share_their_least_hash_are_no_copies(spark):
     assert all("quibnax" in found[i] for i in range(0, 300, 30))
 
 
+def test_evidence_in_two_documents_and_of_far_entities(spark):
+    rng = random.Random(14)
+    texts = [invented(rng, rng.randint(30, 50), "abcdefghijklmn").split() for _ in range(4000)]
+    for i in (50, 2050):  # two documents, and the nearer entities differ
+        texts[i] += ["Quibnax", f"near{i}@one{i}.example.org", f"10.{i % 9}.7.{i % 200}", "far@two.example.org"]
+    for k, i in enumerate((70, 1070, 2070)):  # one domain, a mailbox each
+        texts[i] += ["Domaxin", f"box{k}@firm.example.net"]
+    for k, i in enumerate((80, 1080, 2080)):  # one prefix, a number each
+        texts[i] += ["Numaxin", f"+49 30 55512{k} {k}{k}0"]
+    texts[90] += ["Onceonly", "once@three.example.org"]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    found = marked_terms(frame)
+    assert all("quibnax" in found[i] for i in (50, 2050))
+    assert all("domaxin" in found[i] for i in (70, 1070, 2070))
+    assert all("numaxin" in found[i] for i in (80, 1080, 2080))
+    assert not found[90]
+
+
 def test_families_match_brute_force(spark):
     rng = random.Random(13)
     texts = []
