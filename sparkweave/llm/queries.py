@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkweave.llm import decontaminate, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
+from sparkweave.llm import (
+    cross_polytope, decontaminate, fill_middle, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, spelling, toxicity, url_filter,
+)
 from sparkweave.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +182,73 @@ URL_RULES = [
 def op10(t: Tables) -> DataFrame:
     verdicts = url_filter.judge_pages(t.pages, url_filter.rule_table(t.spark, URL_RULES))
     return verdicts.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query(
+    "op11_spelling",
+    r"""
+    WITH RECURSIVE step(i, k, v) AS (
+      SELECT i, 0, i FROM range(256) t(i) UNION ALL
+      SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM step WHERE k < 8),
+    tab AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
+    runs AS (
+      SELECT doc_id, run, count(*) AS c FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+      WHERE length(run) >= 6 GROUP BY 1, 2),
+    sums AS (
+      SELECT run, c, xor(list_reduce(list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+        lambda a, b: xor(t[xor(a, b) % 256 + 1], a >> 8), 4294967295::BIGINT), 4294967295::BIGINT) AS h
+      FROM (SELECT run, c, hex(encode(doc_id::VARCHAR || ':' || run)) AS x FROM runs), tab),
+    cut AS (
+      SELECT c, CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM sums),
+    w AS (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= 6 GROUP BY 1 HAVING sum(c) >= 5),
+    places AS (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w),
+    less AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+    near AS (
+      SELECT a.word AS word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND length(a.word) = length(b.word) WHERE a.word <> b.word
+      UNION SELECT l.word, s.word FROM less l JOIN w s ON s.word = l.rest UNION SELECT s.word, l.word FROM less l JOIN w s ON s.word = l.rest),
+    best AS (
+      SELECT near.word AS word, count(*) AS n_near, arg_min(other, (-o.n, other)) AS form, max(o.n) AS form_n FROM near JOIN w o ON o.word = other GROUP BY 1),
+    forms AS (
+      SELECT w.word AS word, w.n AS n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form,
+        CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)),
+    way(word, stop, d) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT way.word, f.form, d + 1 FROM way JOIN forms f ON f.word = way.stop WHERE f.form IS NOT NULL),
+    roots AS (SELECT word, arg_max(stop, d) AS root FROM way GROUP BY 1)
+    SELECT f.word AS word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON r.word = f.word
+    """,
+)
+def op11(t: Tables) -> DataFrame:
+    return spelling.variants(t.documents)
+
+
+@query(
+    "op12_fill_middle",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    w AS (
+      SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+    k AS (
+      SELECT *, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM w),
+    c AS (
+      SELECT doc_id, t, n, form, coalesce(array_to_string(w[1:a], ''), '') AS p, coalesce(array_to_string(w[a + 1:b], ''), '') AS m,
+        coalesce(array_to_string(w[b + 1:n], ''), '') AS s FROM k)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+      sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+      sha256(t) AS restored_sha256 FROM c
+    """,
+)
+def op12(t: Tables) -> DataFrame:
+    formed = fill_middle.fill_in_middle(t.documents)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return formed.select(
+        F.col("_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_nearest")
+def op13(t: Tables) -> DataFrame:
+    return cross_polytope.nearest(t.embeddings)
