@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from sparkweave.llm.common import row_identity
 
@@ -95,7 +96,7 @@ class BoundarySet:
         return at * SPAN + self.containers[at].select(k - int(self.before[at]))
 
 
-@F.arrow_udf("struct<n: bigint, low: bigint, high: bigint>")
+@F.arrow_udf(StructType([StructField(c, LongType()) for c in ("n", "low", "high")]))
 def cuts(texts: pa.Array, first: pa.Array, second: pa.Array) -> pa.Array:
     """Number of tokens, and the offsets after ``first`` and ``second`` modulo one more than that, the smaller one first."""
     n, low, high = [], [], []
