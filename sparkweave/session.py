@@ -5,11 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
-import sparkweave
-
 
 def build_session(app_name: str = "sparkweave", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on and the time zone pinned to UTC."""
@@ -25,8 +22,6 @@ def build_session(app_name: str = "sparkweave", master: str | None = None, **con
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    # functions of this package travel as values, so workers need not be able to import it
-    cloudpickle.register_pickle_by_value(sparkweave)
     return builder.getOrCreate()
 
 
