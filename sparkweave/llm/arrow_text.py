@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 
 CHUNK = 1 << 20  # bytes of text worked on at once
 
@@ -28,12 +26,74 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-@lru_cache(maxsize=2)
+#: Powers already computed by this worker, by name and number; plain values, so functions that use them can travel.
+_KEPT: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
-    up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64)
-    up[:1] = down[:1] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    if ("wide", n) not in _KEPT:
+        up, down = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64)
+        up[:1] = down[:1] = 1
+        _KEPT["wide", n] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _KEPT["wide", n]
+
+
+# -- word hashes: polynomials modulo a prime, so no two words of a structure agree for every base
+
+PRIME = (1 << 61) - 1
+PRIME_BASE = 0x1D2F5A7C3B9E6481 % PRIME
+_CODE = np.arange(1, 257, dtype=np.uint64)
+_CODE[65:91] = _CODE[97:123]  # A-Z count as a-z
+_LOW31, _LOW30, _P = U((1 << 31) - 1), U((1 << 30) - 1), U(PRIME)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _P) + (x >> U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo ``PRIME`` of values below it, by halves of 31 bits."""
+    ah, al, bh, bl = a >> U(31), a & _LOW31, b >> U(31), b & _LOW31
+    middle, low = ah * bl + al * bh, al * bl
+    return _reduced(U(2) * (ah * bh) + (middle >> U(30)) + ((middle & _LOW30) << U(31)) + (low & _P) + (low >> U(61)))
+
+
+def _prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo ``PRIME``."""
+    if ("prime", n) not in _KEPT:
+        both = []
+        for base in (PRIME_BASE, pow(PRIME_BASE, -1, PRIME)):
+            out = np.ones(n, dtype=np.uint64)
+            k = 1
+            while k < n:  # doubling: the second half is the first one times a power
+                m = min(k, n - k)
+                out[k : k + m] = _times(out[:m], np.full(m, pow(base, k, PRIME), dtype=np.uint64))
+                k += m
+            both.append(out)
+        _KEPT["prime", n] = both[0], both[1]
+    return _KEPT["prime", n]
+
+
+def span_values(buf: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial of the bytes of each span modulo ``PRIME``, A-Z as a-z; the buffer has ``CHUNK`` bytes at most.
+
+    Both halves of the powers are summed without a reduction: a code is at most 2**8, a half below 2**31, and there are
+    2**20 bytes, so sums stay below 2**60. Only spans, not bytes, are reduced.
+    """
+    n = len(buf)
+    up, down = _prime_powers(1 << max(n, 1).bit_length())
+    code = _CODE[buf]
+    high, low = np.zeros(n + 1, dtype=np.uint64), np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(code * (up[:n] >> U(31)), out=high[1:])
+    np.cumsum(code * (up[:n] & _LOW31), out=low[1:])
+    h, x = high[ends] - high[begins], low[ends] - low[begins]
+    return _times(_reduced((h >> U(30)) + ((h & _LOW30) << U(31)) + x), down[begins])
+
+
+def word_hash(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mix(values + lengths.astype(np.uint64) * PLACE[40])
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,9 +137,17 @@ def running_hash(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def hash_words(buf: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a buffer, and for each entry of ``first`` the number of words before it."""
     begins, ends = word_bounds(buf, first)
-    run, down = running_hash(buf)
-    words = mix((run[ends] - run[begins]) * down[begins] + (ends - begins).astype(np.uint64) * PLACE[40])
-    return words, np.searchsorted(begins, first)
+    return word_hash(span_values(buf, begins, ends), ends - begins), np.searchsorted(begins, first)
+
+
+def _long_word(buf: np.ndarray) -> np.ndarray:
+    """The hash of one word of any length: its polynomial is summed over pieces."""
+    total = 0
+    for at in range(0, len(buf), CHUNK):
+        piece = buf[at : at + CHUNK]
+        value = span_values(piece, np.zeros(1, dtype=np.int64), np.array([len(piece)]))[0]
+        total = (total + int(value) * pow(PRIME_BASE, at, PRIME)) % PRIME
+    return word_hash(np.array([total], dtype=np.uint64), np.array([len(buf)]))
 
 
 def _long_text(buf: np.ndarray) -> np.ndarray:
@@ -89,10 +157,13 @@ def _long_text(buf: np.ndarray) -> np.ndarray:
         end = min(at + CHUNK, len(buf))
         if end < len(buf):
             gaps = np.flatnonzero(~WORD_BYTE[buf[at:end]])
-            if not len(gaps):  # one word longer than a chunk
-                while end < len(buf) and WORD_BYTE[buf[end]]:
-                    end += 1
-                out.append(np.array([xxhash.xxh64_intdigest(bytes(buf[at:end]).lower())], dtype=np.uint64))
+            if not len(gaps):  # one word of a chunk or more
+                while end < len(buf):
+                    gaps = np.flatnonzero(~WORD_BYTE[buf[end : end + CHUNK]])
+                    end += int(gaps[0]) if len(gaps) else min(CHUNK, len(buf) - end)
+                    if len(gaps):
+                        break
+                out.append(_long_word(buf[at:end]))
                 at = end
                 continue
             end = at + int(gaps[-1]) + 1

@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkweave.llm.arrow_text import PLACE, U, each_words, mix
 from sparkweave.llm.common import broadcast_within, row_identity
+from sparkweave.operators.bucket_links import bucket_links, most_apart, sketch, sketches_close, sketches_near
 from sparkweave.operators.graphs import connected_components
 from sparkweave.sources.files import stored
 
 SEEDS = 8  # partitions tried for a set whose segments are too thin
-SKETCH_BITS = 1024
 SAMPLE = 64  # one set in so many is counted to find common shingles; steers cost, never results
 COMMON = 500  # a shingle in one of so many sets, or more, does not tell sets apart
-BLOCK = 4096  # members of a bucket compared in one task
+HOT = 2000  # a signature of one sampled set in so many, or more, is dealt to SALTS tasks
+SALTS = 64
+SEEN = 500_000  # sets a task remembers, so that copies write their signatures once
 VERIFY_COST = 20  # cost of a meeting, in signatures
 
 def _shingle_set(words: np.ndarray, n: int) -> np.ndarray:
@@ -47,18 +49,8 @@ def digest(s: np.ndarray) -> int:
     return int(mix(np.array([mix(s ^ PLACE[42]).sum(dtype=np.uint64) + U(len(s))], dtype=np.uint64)).view(np.int64)[0])
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Parities of the set in ``SKETCH_BITS`` places; sets differ in at least as many shingles as sketches in bits."""
-    return np.packbits(np.bincount((s >> U(20)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS).astype(np.uint8) & 1).tobytes()
-
-
 # -- size bands and the allocation of segments
 
-def most_apart(x: int, y: int, percent: int) -> int:
-    """Largest symmetric difference of linked sets of sizes ``x`` and ``y``."""
-    return (x + y) * (100 - percent) // (100 + percent)
-
-
 def bands(largest: int, percent: int) -> list[tuple[int, int]]:
     """Size bands: what links to a set of a band is in that band or a neighbour of it.
 
@@ -171,23 +163,40 @@ def _set_rows(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
     return picked.mapInArrow(run, f"doc {kind}, n bigint, node bigint, sketch binary, tokens array<bigint>")
 
 
-def _signature_rows(docs: DataFrame, text: str, n: int, common: np.ndarray, table, percent: int) -> DataFrame:
+def _signature_rows(docs: DataFrame, text: str, n: int, common: np.ndarray, table, percent: int, hot: np.ndarray) -> DataFrame:
+    """``sig, salt, node`` of every set; a task writes a set once, as far as it remembers. Hot signatures have salts from 1."""
+    schema = "sig bigint, salt int, node bigint"
+    mark = np.sort(hot)
+
+    def batch_of(got: list, nodes: list) -> pa.RecordBatch:
+        sig, node = np.concatenate(got).view(np.int64), np.concatenate(nodes)
+        is_hot = mark[np.minimum(np.searchsorted(mark, sig), len(mark) - 1)] == sig if len(mark) else np.zeros(len(sig), dtype=bool)
+        salt = np.where(is_hot, 1 + (mix(node.view(U)) % U(SALTS)).astype(np.int32), 0).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(salt), pa.array(node)], names=["sig", "salt", "node"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
             got, nodes, size = [], [], 0
             for s in shingle_sets(b.column(0), n):
-                sig = signatures(s, common, table, percent) if len(s) else s
+                node = digest(s)
+                if not len(s) or node in seen:
+                    continue
+                seen.add(node)
+                if len(seen) > SEEN:
+                    seen.clear()
+                sig = signatures(s, common, table, percent)
                 if len(sig):
                     got.append(sig)
-                    nodes.append(np.full(len(sig), digest(s), dtype=np.int64))
+                    nodes.append(np.full(len(sig), node, dtype=np.int64))
                     size += len(sig)
                 if size > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).view(np.int64)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+                    yield batch_of(got, nodes)
                     got, nodes, size = [], [], 0
             if got:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).view(np.int64)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+                yield batch_of(got, nodes)
 
-    return docs.select(F.col(text).alias("t")).mapInArrow(run, "sig bigint, node bigint")
+    return docs.select(F.col(text).alias("t")).mapInArrow(run, schema)
 
 
 def _set_lists(docs: DataFrame, text: str, n: int) -> DataFrame:
@@ -203,31 +212,29 @@ def _set_lists(docs: DataFrame, text: str, n: int) -> DataFrame:
     return docs.select(F.col(text).alias("t")).mapInArrow(run, "node bigint, s array<bigint>")
 
 
-def _common(sets: DataFrame) -> np.ndarray:
-    """Shingles of one sampled set in ``COMMON`` or more; at most ``COMMON`` times the mean set size, so it fits anywhere."""
-    sample = sets.filter("tokens IS NOT NULL").select("node", "tokens").dropDuplicates(["node"])
-    least = max(8, sample.count() // COMMON)
-    seen = sample.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least)
+def _frequent(lists: DataFrame, column: str, least: int) -> np.ndarray:
+    """The values that are in ``least`` lists or more, sorted."""
+    seen = lists.select(F.explode(column).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= least)
     return np.sort(np.array([r[0] for r in seen.select("t").toLocalIterator()], dtype=np.int64).view(np.uint64))
 
 
+def _hot(sample: DataFrame, size: int, common: np.ndarray, table, percent: int) -> np.ndarray:
+    """Signatures of one sampled set in ``HOT`` or more; at most ``HOT`` times the mean number of signatures. They are only dealt otherwise."""
+
+    @F.arrow_udf("array<bigint>")
+    def signed(tokens: pa.Array) -> pa.Array:
+        return pa.array([signatures(np.array(t.as_py(), dtype=np.int64).view(U), common, table, percent).view(np.int64) for t in tokens], pa.list_(pa.int64()))
+
+    return _frequent(sample.select(signed("tokens").alias("s")), "s", max(SAMPLE, size // HOT)).view(np.int64)
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that link: first by sizes and sketches, which never lose a link, then on the whole sets."""
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb"))
-    apart = F.lit(0)
-    for i in range(SKETCH_BITS // 64):
-        word = [F.conv(F.hex(F.substring(c, 8 * i + 1, 8)), 16, -10).cast("bigint") for c in ("_sa", "_sb")]
-        apart = apart + F.bit_count(word[0].bitwiseXOR(word[1]))
-    may = F.floor((F.col("_na") + F.col("_nb")) * (100 - percent) / (100 + percent))
-    alike = F.least("_na", "_nb") * 100 >= F.greatest("_na", "_nb") * percent
-    near = stored(pairs.join(left, "a").join(right, "b").filter(alike).filter(apart <= may).select("a", "b"), "near")
-
-    wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    """The stored pairs ``a, b`` that link, by their whole sets; only texts of sets that are asked for are read again."""
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     first = stored(nodes.join(wanted, "node", "left_semi").select(F.col("doc").alias("_doc")), "wanted")
     some = docs.join(broadcast_within(first), F.col(doc_id).eqNullSafe(F.col("_doc")), "left_semi")
     sets = stored(_set_lists(some, text, n).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    both = near.join(sets.select(F.col("node").alias("a"), F.col("s").alias("_a")), "a").join(
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("s").alias("_b")), "b"
     )
     shared = F.size(F.array_intersect("_a", "_b"))
@@ -235,83 +242,13 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, te
     return both.filter(shared * 100 >= union * percent).select("a", "b")
 
 
-def _unlike_pairs(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: members of one bucket that are in different components and near enough by size and sketch.
-
-    Buckets are compared inside tasks, in blocks of about ``BLOCK`` members, on sketches of ``SKETCH_BITS`` bits; only
-    pairs that pass come out. A bucket of more members is cut by node hash and its blocks meet in tasks of their own,
-    so memory is bounded and no bucket is too large. Sketches never rule out a link.
-    """
-    mixed = members.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_size"))
-    mixed = mixed.filter("_lo <> _hi").select("sig", F.ceil(F.col("_size") / BLOCK).cast("int").alias("_blocks"))
-    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
-    rest = members.join(mixed, "sig").withColumn("_own", own)
-    other = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    keyed = other.select("sig", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), (F.col("_own") > F.col("_other")).cast("int").alias("side"), "node", "comp")
-    keyed = keyed.join(nodes.select("node", "n", "sketch"), "node").select("sig", "i", "j", "side", "node", "comp", "n", "sketch")
-    dealt = keyed.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-
-    def near(table: pa.Table) -> pa.RecordBatch:
-        node, comp, n, side = (table.column(c).to_numpy() for c in ("node", "comp", "n", "side"))
-        bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(node), -1)
-        within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        left = np.arange(len(node)) if within else np.flatnonzero(side == 0)
-        right = left if within else np.flatnonzero(side == 1)
-        found = []
-        step = max(1, 200_000 // max(1, len(right)))
-        for k in range(0, len(left), step):
-            x = left[k : k + step]
-            total = n[x][:, None] + n[right][None, :]
-            less = np.minimum(n[x][:, None], n[right][None, :])
-            may = (comp[x][:, None] != comp[right][None, :]) & (less * 100 >= (total - less) * percent)
-            if within:
-                may &= x[:, None] < right[None, :]
-            r, c = np.nonzero(may)
-            for m in range(0, len(r), 50_000):
-                rr, cc = r[m : m + 50_000], c[m : m + 50_000]
-                apart = np.bitwise_count(bits[x[rr]] ^ bits[right[cc]]).sum(axis=1)
-                ok = apart <= total[rr, cc] * (100 - percent) // (100 + percent)
-                found.append(np.stack([node[x[rr[ok]]], node[right[cc[ok]]]]))
-        both = np.concatenate(found, axis=1) if found else np.empty((2, 0), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both.min(axis=0)), pa.array(both.max(axis=0))], names=["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []  # the group that may go on in the next batch
-        for batch in batches:
-            table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
-            key = np.stack([table.column(c).to_numpy() for c in ("sig", "i", "j")])
-            starts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1])
-            for lo, hi in zip(starts[:-1], starts[1:]):
-                yield near(table.slice(lo, hi - lo))
-            held = [table.slice(starts[-1])]
-        if held and len(held[0]):
-            yield near(held[0])
-
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def _leader_pairs(members: DataFrame, salt: int) -> DataFrame:
-    """Each member of a bucket with the bucket's leader, unless both are in one component already.
-
-    The leader is the member with the least salted hash; it is found by a grouped minimum, and the join back is
-    one that adaptive execution splits at a hot bucket.
-    """
-    rank = F.struct(F.xxhash64(F.lit(salt), F.col("node")).alias("h"), F.col("node"), F.col("comp"))
-    lead = members.groupBy("sig").agg(F.min(rank).alias("l"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    lead = lead.filter("low <> high").select("sig", F.col("l.node").alias("_lead"), F.col("l.comp").alias("_lcomp"))
-    met = members.join(lead, "sig").filter("comp <> _lcomp")
-    return met.select(F.least("node", "_lead").alias("a"), F.greatest("node", "_lead").alias("b")).distinct()
-
-
-def join_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85, rounds: int = 2
-) -> DataFrame:
+def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per document.
 
     Documents link when the Jaccard similarity of their ``n``-word shingle sets is ``percent`` or more; a component
     is what links reach, named by its smallest id. Equal sets are one node, so copies are never compared.
-    Members of a bucket first meet a leader, in ``rounds`` rounds with other leaders; then all members that are
-    still in different components are compared in blocks, so no link between components is lost.
+    Members of a bucket first meet a leader; those still in different components are compared in blocks inside tasks,
+    which return spanning forests, so what comes out grows with the members and no link between components is lost.
 
     Bounds: text is worked on in chunks; a set holds eight bytes a shingle. Sets and shingles are compared by
     64-bit hashes. Defined cases: null or empty text has no shingles and links with nothing; a text of fewer than
@@ -321,7 +258,9 @@ def join_components(
     rows = stored(_set_rows(docs, doc_id, text, n), "set-rows")
     full = rows.filter("n > 0")
     nodes = stored(full.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc").alias("doc")), "nodes")
-    common = _common(full)
+    sample = stored(full.filter("tokens IS NOT NULL").select("node", "tokens").dropDuplicates(["node"]), "sample")
+    size = sample.count()
+    common = _frequent(sample, "tokens", max(8, size // COMMON))
     largest = nodes.agg(F.max("n")).first()[0] or 0
     limits = bands(largest, percent)
     counts = nodes.select(F.explode(F.array(*[
@@ -330,29 +269,17 @@ def join_components(
     per_band = dict((r[0], r[1]) for r in counts)  # at most a hundred or so bands
     table = [(low, high, *allocate(low, high, per_band.get(i, 0) + per_band.get(i - 1, 0), percent)) for i, (low, high) in enumerate(limits)]
 
-    # copies write the same rows, which fall together in the grouped minimum; picking one of them would move the texts
-    sigs = _signature_rows(docs, text, n, common, table, percent)
-    shared = sigs.groupBy("sig").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("_lo <> _hi").select("sig")
-    members = stored(sigs.join(shared, "sig").distinct(), "members")
-
-    done = links = None
-    labelled = members.withColumn("comp", F.col("node"))
-    for turn in range(rounds + 1):
-        if turn < rounds:
-            pairs = _leader_pairs(labelled, turn)
-        else:
-            pairs = _unlike_pairs(labelled, nodes, percent)
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        found = stored(_linked(pairs, nodes, docs, doc_id, text, n, percent), "links")
-        if found.isEmpty() and turn < rounds:
-            continue
-        links = found if links is None else links.unionByName(found)
-        comps = stored(connected_components(links), "components")
-        labelled = members.join(comps, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("comp"))
+    # dealt out once and read twice: for the signatures that several sets have, and for their members
+    hot = _hot(sample, size, common, table, percent)
+    sigs = _signature_rows(docs, text, n, common, table, percent, hot).repartition("sig", "salt")
+    shared = sigs.groupBy("sig", "salt").agg(F.min("node").alias("_lo"), F.max("node").alias("_hi")).filter("salt > 0 OR _lo <> _hi").select("sig", "salt")
+    members = stored(sigs.join(shared, ["sig", "salt"]).select(F.col("sig").alias("bucket"), F.col("node").alias("id")).distinct(), "members")
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _linked(pairs, nodes, docs, doc_id, text, n, percent)
 
+    features = nodes.select(F.col("node").alias("id"), "n", "sketch")
+    comps = connected_components(bucket_links(members, features, sketches_near(percent), sketches_close(percent), verify))
     named = nodes.select("node", "doc").join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
     first = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
     by_node = named.select("node", "comp").join(first, "comp").select("node", "component_id")

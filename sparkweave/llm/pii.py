@@ -7,7 +7,6 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkweave.llm.common import BLANK, WORD, ascii_lower, broadcast_within, let, row_identity, same_row
-from sparkweave.llm.ngram_join import _leader_pairs
 from sparkweave.operators.graphs import connected_components
 from sparkweave.sources.files import stored
 
@@ -144,6 +143,14 @@ def _shingles(text: Column) -> Column:
     return let(words, runs)
 
 
+def _leader_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's leader; the join back is one that adaptive execution splits at a hot bucket."""
+    rank = F.struct(F.xxhash64("node").alias("h"), "node")
+    lead = members.groupBy("sig").agg(F.min(rank).alias("l"), F.max(rank).alias("r")).filter("l <> r").select("sig", F.col("l.node").alias("_lead"))
+    met = members.join(lead, "sig").filter("node <> _lead")
+    return met.select(F.least("node", "_lead").alias("a"), F.greatest("node", "_lead").alias("b")).distinct()
+
+
 def _families(texts: DataFrame) -> DataFrame:
     """``node, family`` for texts (``_print, _t``, each once) that have near copies: half or more of their runs of five words in common.
 
@@ -162,7 +169,7 @@ def _families(texts: DataFrame) -> DataFrame:
     labelled = members.withColumn("comp", F.col("node"))
     for turn in range(2):
         if turn == 0:
-            pairs = _leader_pairs(labelled, turn)
+            pairs = _leader_pairs(members)
         else:
             left, right = (labelled.select("sig", F.col("node").alias(x), F.col("comp").alias(f"_c{x}")) for x in "ab")
             pairs = left.join(right, "sig").filter("a < b AND _ca <> _cb").select("a", "b").distinct().join(done, ["a", "b"], "left_anti")

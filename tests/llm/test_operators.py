@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sparkweave.llm import decontaminate, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
+from sparkweave.operators import bucket_links
 from sparkweave.operators.graphs import connected_components
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, _id string, node int, size int"
@@ -442,7 +444,7 @@ def test_join_of_odd_rows(docs, rows, none):
 @pytest.mark.parametrize("block", [4096, 16])
 def test_join_of_chains_and_passages(spark, monkeypatch, block):
     """Families whose ends link only through others, loose families of unlike members, and one passage in many texts."""
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(bucket_links, "BLOCK", block)
     rng = random.Random(11)
     texts, passage = [], invented(rng, 40, "pq").split()
     for _ in range(4):
@@ -468,6 +470,53 @@ def test_join_of_chains_and_passages(spark, monkeypatch, block):
     assert components(frame) == plain_components(rows)
 
 
+def test_join_with_hot_signatures(spark, monkeypatch):
+    """Every set is sampled and every signature is hot, so all are salted; links are the same."""
+    monkeypatch.setattr(ngram_join, "SAMPLE", 1)
+    monkeypatch.setattr(ngram_join, "HOT", 10**9)
+    rng = random.Random(21)
+    base, texts = invented(rng, 120, "abcdef").split(), []
+    for _ in range(40):
+        words = list(base)
+        for _ in range(rng.randint(0, 5)):
+            words[rng.randrange(120)] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    assert components(spark.createDataFrame(rows, "doc_id bigint, text string")) == plain_components(rows)
+
+
+def test_rows_grow_with_the_members_of_a_loose_family(spark, monkeypatch):
+    """Members that are near but mostly do not link: what the block compare returns doubles with them, not more."""
+    made, plain = [], bucket_links._edges
+    monkeypatch.setattr(bucket_links, "_edges", lambda *a: made.append(plain(*a)) or made[-1])
+    seen = {}
+    for size in (100, 200, 400):
+        rng, made[:] = random.Random(31), []
+        base, texts = invented(rng, 70, "abcdef").split(), []
+        for _ in range(size):
+            words = list(base)
+            for k in rng.sample(range(70), 4):
+                words[k] = f"v{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+        ngram_join.join_components(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).count()
+        buckets = sum(m.select("bucket").distinct().count() for m in made)
+        seen[size] = sum(m.count() for m in made) / max(1, buckets)
+    assert seen[400] <= 2.5 * seen[200] + 10 and seen[200] <= 2.5 * seen[100] + 10
+
+
+def test_words_of_a_chunk_and_of_like_structure():
+    from sparkweave.llm import arrow_text
+
+    w = "w" * arrow_text.CHUNK
+    got = [x.tolist() for x in arrow_text.each_words(pa.array([w, w + " ", f" {w} q", w + "w", f"a {w}w", w.upper()]))]
+    assert got[0] == got[1] == got[5] and got[2][0] == got[0][0] and got[3][0] == got[4][1] != got[0][0]
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    first, second = (x.tolist() for x in arrow_text.each_words(pa.array([one, other])))
+    assert first != second
+    assert [x.tolist() for x in arrow_text.each_words(pa.array([one + " x", "x " + one]))] == [[first[0], got_x := next(arrow_text.each_words(pa.array(["x"]))).tolist()[0]], [got_x, first[0]]]
+
+
 def test_one_stays_of_each_component(docs, rows):
     kept = ngram_join.one_per_component(docs)
     assert kept.columns == docs.columns
