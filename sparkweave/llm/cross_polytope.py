@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from sparkweave.sources.files import stored
 
 TABLES = 4
-OCCUPANCY = 128  # members wanted in a bucket
+OCCUPANCY = 512  # members wanted in a bucket
 AXES = 64  # of one polytope at most; a table with more buckets wanted has a second one
 BLOCK = 4096  # members of a bucket that are compared in one task
 ASKING = 1024  # queries of a bucket that are compared in one task
+HELD = 300_000  # rows a task gathers before it keeps only the best of each query
 SAMPLE = 192  # queries that are searched exactly, to learn how many probes reach the wanted recall
 RECALL = 0.96  # of neighbours of the sampled queries that lie in probed buckets
 
@@ -113,11 +114,11 @@ def _buckets_of(hashes: Polytopes, probes: int | None):
 
 # -- comparing inside buckets
 
-def _best_of_group(table: pa.Table, k: int) -> pa.RecordBatch:
-    """For each query of one group its ``k`` members of largest inner product, more if they tie."""
+def _best_of_group(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and scores: for each query of one group its ``k`` members of largest inner product, more if they tie."""
     asks = table.column("asks").to_numpy(zero_copy_only=False).astype(bool)
     ident = np.stack([table.column(c).to_numpy() for c in ("id", "h")], axis=1)
-    v = matrix(table.column("v").combine_chunks())
+    v = matrix(pa.concat_arrays(table.column("v").chunks))
     q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
     rows, cols, scores = [], [], []
     for low in range(0, len(q), 256):
@@ -134,7 +135,21 @@ def _best_of_group(table: pa.Table, k: int) -> pa.RecordBatch:
         scores.extend((v[part[r[i : i + 8192]]] * v[m[c[i : i + 8192]]]).sum(axis=1) for i in range(0, len(r), 8192))
     r, c = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (rows, cols))
     s = np.concatenate(scores) if scores else np.empty(0)
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in (ident[r, 0], ident[r, 1], ident[c, 0], ident[c, 1], s)], names=["qid", "qh", "id", "h", "score"])
+    return np.concatenate([ident[r], ident[c]], axis=1), s
+
+
+def _best_of_task(pairs: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` best pairs of every query, each pair once; ``pairs`` has the columns qid, qh, id, h."""
+    order = np.lexsort((pairs[:, 3], pairs[:, 2], -scores, pairs[:, 1], pairs[:, 0]))
+    pairs, scores = pairs[order], scores[order]
+    new = np.ones(len(pairs), dtype=bool)
+    new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)  # a pair that meets in several tables has one score
+    pairs, scores = pairs[new], scores[new]
+    first = np.ones(len(pairs), dtype=bool)
+    first[1:] = (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)
+    begins = np.flatnonzero(first)
+    place = np.arange(len(pairs)) - np.repeat(begins, np.diff(np.append(begins, len(pairs))))
+    return pairs[place < k], scores[place < k]
 
 
 def _compared(members: DataFrame, asking: DataFrame, k: int) -> DataFrame:
@@ -142,7 +157,7 @@ def _compared(members: DataFrame, asking: DataFrame, k: int) -> DataFrame:
 
     ``members`` and ``asking`` have ``bucket, id, h, v``. Buckets are cut into blocks of about ``BLOCK`` members and
     ``ASKING`` queries, so a bucket that holds a third of all rows is many groups; each group is one matrix product.
-    A group passes on ``k`` members a query, and each task again only ``k`` a query.
+    A group passes on ``k`` members a query, and so does a task over all its groups, as far as it holds them.
     """
     count = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m")).join(asking.groupBy("bucket").agg(F.count(F.lit(1)).alias("_q")), "bucket")
     # one row a bucket: there are at most TABLES * (2 * AXES) ** 2 of them, or the blocks of the exact search
@@ -157,7 +172,7 @@ def _compared(members: DataFrame, asking: DataFrame, k: int) -> DataFrame:
     )
     dealt = left.unionByName(right).repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.Table] = []  # the group that may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
@@ -166,10 +181,28 @@ def _compared(members: DataFrame, asking: DataFrame, k: int) -> DataFrame:
             key = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
             starts = np.concatenate([[0], np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1])
             for low, high in zip(starts[:-1], starts[1:]):
-                yield _best_of_group(table.slice(low, high - low), k)
+                yield table.slice(low, high - low)
             held = [table.slice(starts[-1])]
-        if held:
-            yield _best_of_group(held[0], k)
+        yield from held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, scores = np.empty((0, 4), dtype=np.int64), np.empty(0)
+        got: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            columns = [*(pairs[:, c] for c in range(4)), scores]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["qid", "qh", "id", "h", "score"])
+
+        for group in groups(batches):
+            got.append(_best_of_group(group, k))
+            if sum(len(s) for _, s in got) > HELD:
+                pairs, scores = _best_of_task(np.concatenate([pairs, *(p for p, _ in got)]), np.concatenate([scores, *(s for _, s in got)]), k)
+                got = []
+                if len(scores) > HELD:  # too many queries in this task to go on holding them
+                    yield out()
+                    pairs, scores = pairs[:0], scores[:0]
+        pairs, scores = _best_of_task(np.concatenate([pairs, *(p for p, _ in got)]), np.concatenate([scores, *(s for _, s in got)]), k)
+        yield out()
 
     found = dealt.mapInArrow(run, "qid bigint, qh bigint, id bigint, h bigint, score double")
     # a pair that meets in several tables has one score and one rank

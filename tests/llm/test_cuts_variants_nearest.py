@@ -203,10 +203,9 @@ def test_codes_are_the_nearest_signed_axes():
     for t, values in enumerate(p.values(v, True)):
         turned = [cross_polytope.rotation(np.pad(v / np.linalg.norm(v, axis=1, keepdims=True), ((0, 0), (0, 6))), 1000 * t + j) for j in range(2)]
         for r in range(30):
-            closeness = [(max(s * turned[0][r, a] + z * turned[1][r, 0] for z in (1, -1)), a, s) for a in range(16) for s in (1, -1)]
-            best = max(closeness)
-            assert p.codes(v)[r, t] == t * 64 + (2 * best[1] + (best[2] < 0)) * 2 + (turned[1][r, 0] < 0)
-            assert np.isclose(values[r].max(), best[0])
+            closeness = {(2 * a + (s < 0)) * 2 + (z < 0): s * turned[0][r, a] + z * turned[1][r, 0] for a in range(16) for s in (1, -1) for z in (1, -1)}
+            assert np.allclose(values[r], [closeness[i] for i in range(64)])
+            assert np.isclose(closeness[p.codes(v)[r, t] - t * 64], max(closeness.values()))
 
 
 def test_search_reaches_its_recall(spark, tables):
