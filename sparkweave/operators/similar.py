@@ -1,4 +1,4 @@
-"""Near duplicates by hash buckets: leaders first, then what is left apart; every link verified exactly."""
+"""Near duplicates by hash buckets: links of a bucket closed with as many rows as it has members, every link verified exactly."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkweave.operators.bucket_links import bucket_links, sketch, sketches_close, sketches_near
 from sparkweave.operators.graphs import connected_components
 from sparkweave.operators.joins import salted_join
 from sparkweave.operators.text import words
@@ -16,41 +18,6 @@ from sparkweave.sources.files import stored
 SALTS = 8
 
 
-def verified_links(
-    members: DataFrame, features: DataFrame, score: Callable[[Column, Column], Column], keep: Callable, rounds: int = 1
-) -> DataFrame:
-    """``id, leader, score``: verified links that join whatever pairs of one bucket are similar.
-
-    ``members(id, bucket)``, ``features(id, f)``. First every member of a bucket meets its leader (in ``rounds`` rounds,
-    the lowest id of the bucket first); the links found are closed to components. Then all members of a bucket that
-    are still in different components meet. A similar pair is thus linked or inside one component: the closure of
-    the links is that of all similar pairs that share a bucket, and the number of rounds is fixed. Members of
-    one component are never paired, so a bucket of alike members costs its size; unlike ones cost their pairs.
-    """
-    members = stored(members.select("id", "bucket").distinct(), "members")
-    labelled, links, done = members.withColumn("comp", F.col("id")), None, None
-    for turn in range(rounds + 1):
-        rank = F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), "id", "comp") if turn else F.struct(F.lit(0).alias("h"), "id", "comp")
-        mixed = labelled.groupBy("bucket").agg(F.min(rank).alias("lead"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        if turn < rounds:
-            others = mixed.select("bucket", F.col("lead.id").alias("_id"), F.col("lead.comp").alias("_comp"))
-        else:
-            others = labelled.join(mixed.select("bucket"), "bucket").select("bucket", F.col("id").alias("_id"), F.col("comp").alias("_comp"))
-        met = salted_join(labelled, others, ["bucket"], F.col("id"), SALTS).filter("comp <> _comp")
-        pairs = met.select(F.greatest("id", "_id").alias("id"), F.least("id", "_id").alias("leader")).distinct()
-        pairs = stored(pairs if done is None else pairs.join(done, ["id", "leader"], "left_anti"), "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        lead = features.select(F.col("id").alias("leader"), F.col("f").alias("_lf"))
-        scored = salted_join(pairs.join(features.withColumnRenamed("f", "_f"), "id"), lead, ["leader"], F.col("id"), SALTS)
-        verified = scored.select("id", "leader", score(F.col("_f"), F.col("_lf")).alias("score"))
-        found = stored(verified.filter(keep(F.col("score"))), "links")
-        links = found if links is None else links.unionByName(found)
-        if turn < rounds:
-            named = connected_components(links.select(F.col("id").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("node", "id")
-            labelled = members.join(named, "id", "left").select("id", "bucket", F.coalesce("component", "id").alias("comp"))
-    return links
-
-
 def shingles(df: DataFrame, key: str, text: str, n: int = 3) -> DataFrame:
     """``id, f``: distinct hashes of the runs of ``n`` lower-case words of the whole text (shorter texts give one)."""
     # the word list is a column of its own, so it is built once and not once per run
@@ -88,23 +55,48 @@ def minhash_buckets(df: DataFrame, hashes: str, bands: int, rows: int, seed: int
     )
 
 
+def set_sketches(features: DataFrame) -> DataFrame:
+    """``id, n, sketch`` of ``features(id, f)``: size and parity sketch of every set of hashes."""
+
+    @F.arrow_udf("binary")
+    def made(sets: pa.Array) -> pa.Array:
+        return pa.array([sketch(np.asarray(s.values, dtype=np.int64)) for s in sets], pa.binary())
+
+    return features.select("id", F.size("f").cast("bigint").alias("n"), made("f").alias("sketch"))
+
+
 def near_duplicate_texts(df: DataFrame, key: str, text: str, threshold: float = 0.8, bands: int = 20, rows: int = 4) -> DataFrame:
-    """``id, leader, score``: exact copies (score 1) and near copies by Jaccard of word runs.
+    """``id, leader, score``: exact copies (score 1) and near copies by Jaccard of word runs; ``key`` is an integer column.
 
-    Exact copies collapse first, so a text copied a million times is hashed once.
+    Exact copies collapse first, so a text copied a million times is hashed once. The links' closure is that of all
+    similar pairs that share a band. Texts that are null link with nothing.
     """
-    docs = df.select(F.col(key).alias("id"), F.col(text).alias("t")).withColumn("digest", F.md5("t"))
+    docs = df.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("t")).filter("t IS NOT NULL").withColumn("digest", F.md5("t"))
     firsts = docs.groupBy("digest").agg(F.min("id").alias("leader"))
     copies = salted_join(docs.select("id", "digest"), firsts, ["digest"], F.col("id"), SALTS).filter("id <> leader")
     unique = docs.join(firsts.select(F.col("leader").alias("id")), "id", "left_semi")
     features = stored(shingles(unique, "id", "t"), "shingles")
-    members = minhash_buckets(features, "f", bands, rows)
-    near = verified_links(members, features, jaccard, lambda s: s >= threshold)
+    members = stored(minhash_buckets(features, "f", bands, rows).distinct(), "members")
+    sketches = stored(set_sketches(features), "sketches")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(features.select(F.col("id").alias("a"), F.col("f").alias("_fa")), "a").join(features.select(F.col("id").alias("b"), F.col("f").alias("_fb")), "b")
+        return both.select("a", "b", jaccard(F.col("_fa"), F.col("_fb")).alias("score"))
+
+    percent = int(threshold * 100)  # rounded down, so the sketches rule out no link
+    links = bucket_links(members, sketches, sketches_near(percent), sketches_close(percent), lambda p: scored(p).filter(F.col("score") >= threshold).select("a", "b"))
+    near = scored(links).select(F.col("b").alias("id"), F.col("a").alias("leader"), "score")
     return copies.select("id", "leader", F.lit(1.0).alias("score")).unionByName(near)
 
 
-def simhash(text: str) -> Column:
-    """64-bit fingerprint: each word hash votes on every bit, the majority wins."""
+def duplicate_groups(df: DataFrame, key: str, links: DataFrame) -> DataFrame:
+    """``<key>, group``: the least id that the links of ``links(id, leader)`` reach, for every row of ``df``."""
+    named = connected_components(links.select(F.col("id").alias("a"), F.col("leader").alias("b")))
+    return df.select(key).join(named.withColumnRenamed("node", key), key, "left").select(key, F.coalesce("component", key).alias("group"))
+
+
+def simhash(text: str, word_hash: Callable[[Column], Column] = F.xxhash64) -> Column:
+    """64-bit fingerprint: each word hash (a bigint) votes on every bit, the majority wins."""
 
     @F.pandas_udf("bigint")
     def vote(s: pd.Series) -> pd.Series:
@@ -121,23 +113,41 @@ def simhash(text: str) -> Column:
         return s.map(one)
 
     w = F.array_remove(F.split(F.lower(text), r"\W+"), "")
-    return vote(F.transform(w, lambda x: F.xxhash64(x)))
+    return vote(F.transform(w, lambda x: word_hash(x)))
+
+
+def bits_near(max_bits: int) -> Callable:
+    """Fingerprints ``f`` that differ in ``max_bits`` bits or fewer, as the near test of a bucket."""
+
+    def prepare(table: pa.Table):
+        f = table.column("f").to_numpy().view(np.uint64)
+
+        def near(left, right, label):
+            apart = np.bitwise_count(f[left][:, None] ^ f[right][None, :])
+            r, c = np.nonzero((apart <= max_bits) & (label[left][:, None] != label[right][None, :]))
+            return left[r], right[c], apart[r, c].astype(np.int64)
+
+        return near
+
+    return prepare
 
 
-def _bits_apart(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)).cast("double")
+def _bits_apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))).cast("double")
 
 
-def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3) -> DataFrame:
-    """``id, leader, score`` (score = differing bits) for pages whose fingerprints differ in few bits.
+def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3, word_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """``id, leader, score`` (score = differing bits) for pages whose fingerprints differ in few bits; ``key`` is an integer column.
 
     Six blocks of bits: with at most three differing bits, three blocks agree. Buckets are all
-    choices of three blocks, so every close pair shares a bucket, and a bucket key has 30 bits or more.
+    choices of three blocks, so every close pair shares a bucket, and a bucket key has 30 bits or more. Texts that are
+    null link with nothing.
     """
     if max_bits > 3:
         raise ValueError("six blocks find up to three differing bits")
-    prints = stored(df.select(F.col(key).alias("id"), simhash(text).alias("f")), "fingerprints")
-    firsts = prints.groupBy("f").agg(F.min("id").alias("leader"))
+    ids = df.filter(F.col(text).isNotNull()).select(F.col(key).cast("bigint").alias("id"), simhash(text, word_hash).alias("f"))
+    prints = stored(ids, "fingerprints")
+    firsts = stored(prints.groupBy("f").agg(F.min("id").alias("leader")), "first-prints")
     copies = salted_join(prints, firsts, ["f"], F.col("id"), SALTS).filter("id <> leader")
     unique = firsts.select(F.col("leader").alias("id"), "f")
     edges = [0, 11, 22, 33, 43, 53, 64]
@@ -147,6 +157,8 @@ def near_duplicate_pages(df: DataFrame, key: str, text: str, max_bits: int = 3)
     ]
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in choices]
     keys = F.array(*[F.xxhash64(F.lit(n), F.col("f").bitwiseAND(F.lit(m).cast("bigint"))) for n, m in enumerate(signed)])
-    members = unique.select("id", F.explode(keys).alias("bucket"))
-    near = verified_links(members, unique, _bits_apart, lambda s: s <= max_bits)
+    members = stored(unique.select("id", F.explode(keys).alias("bucket")), "members")
+    links = bucket_links(members, unique, bits_near(max_bits), lambda pairs: _bits_apart("f_a", "f_b") <= max_bits)
+    near = links.join(unique.select(F.col("id").alias("a"), F.col("f").alias("_fa")), "a").join(unique.select(F.col("id").alias("b"), F.col("f").alias("_fb")), "b")
+    near = near.select(F.col("b").alias("id"), F.col("a").alias("leader"), _bits_apart("_fa", "_fb").alias("score"))
     return copies.select("id", "leader", F.lit(0.0).alias("score")).unionByName(near)

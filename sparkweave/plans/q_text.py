@@ -125,14 +125,37 @@ def _(t):
     return bm25_ranking(t, 10)
 
 
-@query("V16_minhash_near_duplicates")
+#: Of every item the least one that its links reach; ``links(a, b)`` and ``items(id)`` come before.
+SQL_GROUPS = """ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach(node, goal) AS (SELECT DISTINCT a, a FROM ways UNION SELECT r.node, l.b FROM reach r JOIN ways l ON l.a = r.goal),
+least AS (SELECT node, min(goal) AS goal FROM reach GROUP BY 1)"""
+
+
+@query("V16_minhash_near_duplicates", rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {SQL_WORDS.format('lower(text)')} AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, coalesce(array_to_string(w[i:i + 2], ' '), '') AS s FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE c / (p.n + q.n - c) >= 0.8), {SQL_GROUPS}
+SELECT doc_id, coalesce(goal, doc_id) AS "group" FROM documents LEFT JOIN least ON node = doc_id""")
 def _(t):
-    return N.near_duplicate_texts(t.spread("documents"), "doc_id", "text", 0.8)
+    links = N.near_duplicate_texts(t.spread("documents"), "doc_id", "text", 0.8)
+    return N.duplicate_groups(t.documents, "doc_id", links)
 
 
-@query("V17_simhash_near_duplicates")
+def word_md5(word):
+    """The upper half of a word's md5 as a signed number: a hash that other engines have, too."""
+    return F.conv(F.substring(F.md5(word), 1, 16), 16, -10).cast("bigint")
+
+
+@query("V17_simhash_near_duplicates", rf"""
+WITH RECURSIVE w AS (SELECT page_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS h FROM (SELECT page_id, unnest(string_split_regex(lower(html), '\W+')) AS w FROM pages) WHERE w <> ''),
+v AS (SELECT page_id, i, 2 * sum((h >> i) & 1) > count(*) AS one FROM w, (SELECT unnest(generate_series(0, 63))::UBIGINT AS i) GROUP BY 1, 2),
+f AS (SELECT p.page_id AS page_id, coalesce(sum(CASE WHEN one THEN 1::HUGEINT << i::INTEGER ELSE 0::HUGEINT END), 0)::UBIGINT AS f FROM pages p LEFT JOIN v ON v.page_id = p.page_id WHERE html IS NOT NULL GROUP BY 1),
+links AS (SELECT x.page_id AS a, y.page_id AS b FROM f x JOIN f y ON x.page_id < y.page_id AND bit_count(xor(x.f, y.f)) <= 3), {SQL_GROUPS}
+SELECT page_id, coalesce(goal, page_id) AS "group" FROM pages LEFT JOIN least ON node = page_id""")
 def _(t):
-    return N.near_duplicate_pages(t.spread("pages"), "page_id", "html", 3)
+    links = N.near_duplicate_pages(t.spread("pages"), "page_id", "html", 3, word_md5)
+    return N.duplicate_groups(t.pages, "page_id", links)
 
 
 def sql_pii(c):
@@ -204,7 +227,7 @@ TURNS_PER_RECORD = 1000
 
 
 @query("V34_nested_conversations", """
-SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS speaker, md5(text) AS value, 0::BIGINT AS part FROM conversations WHERE turn < 1000""")
+SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END AS speaker, md5(text) AS value, turn // 1000 AS part FROM conversations""")
 def _(t):
     # a record holds at most a thousand turns; longer conversations go on in their next part
     names = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])

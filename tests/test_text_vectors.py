@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkweave.functions import scalars as S
 from sparkweave.functions import udfs as U
 from sparkweave.operators import geo
-from sparkweave.operators import similar as N
+from sparkweave.operators import bucket_links, similar as N
 from sparkweave.operators import text as X
 from sparkweave.operators import vectors as V
 
@@ -57,16 +57,59 @@ def test_near_duplicate_texts_match_brute_force(spark):
     assert closure([(r["id"], r["leader"]) for r in got]) == closure(want)
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 2])
-def test_chains_are_closed(spark, rounds):
-    """Members that only others of the bucket draw in, in one bucket and over several."""
+@pytest.mark.parametrize("block", [2, 8192])
+def test_chains_are_closed(spark, monkeypatch, block):
+    """Members that only others of the bucket draw in, in one bucket and over several, in one block and over several."""
+    monkeypatch.setattr(bucket_links, "BLOCK", block)
     prints = [0, 7, 63, 511, 4095, 1 << 40, (1 << 40) + 7, (1 << 40) + 63, 1 << 50, 7 << 50]
-    features = spark.createDataFrame(list(enumerate(prints)), "id int, f bigint")
-    members = features.select("id", F.lit(1).alias("bucket")).unionByName(features.filter("id > 3").select("id", F.lit(2).alias("bucket")))
-    links = N.verified_links(members, features, N._bits_apart, lambda s: s <= 3, rounds).collect()
-    near = [(b, a) for a in range(len(prints)) for b in range(a + 1, len(prints)) if (prints[a] ^ prints[b]).bit_count() <= 3]
-    assert {(r["id"], r["leader"]) for r in links} <= set(near)
-    assert closure([(r["id"], r["leader"]) for r in links]) == closure(near)
+    features = spark.createDataFrame(list(enumerate(prints)), "id bigint, f bigint")
+    members = features.select("id", F.lit(1).cast("bigint").alias("bucket")).unionByName(features.filter("id > 3").select("id", F.lit(2).cast("bigint").alias("bucket")))
+    links = bucket_links.bucket_links(members, features, N.bits_near(3), lambda p: N._bits_apart("f_a", "f_b") <= 3).collect()
+    near = [(a, b) for a in range(len(prints)) for b in range(a + 1, len(prints)) if (prints[a] ^ prints[b]).bit_count() <= 3]
+    assert {(r["a"], r["b"]) for r in links} <= set(near)
+    assert closure([(r["a"], r["b"]) for r in links]) == closure(near)
+
+
+def test_edges_that_fail_are_replaced(spark):
+    """Near pairs are not all linked: a bucket is gone through again until no near pair is left unverified."""
+    rng = np.random.default_rng(3)
+    n = 60
+    linked = {(int(a), int(b)) for a, b in zip(rng.integers(0, n, 90), rng.integers(0, n, 90)) if a < b}
+    wanted = spark.createDataFrame(sorted(linked), "a bigint, b bigint")
+    features = spark.createDataFrame([(i, 0) for i in range(n)], "id bigint, f bigint")  # all are near
+    members = features.select("id", F.lit(1).cast("bigint").alias("bucket"))
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return pairs.join(wanted, ["a", "b"], "left_semi")
+
+    links = [tuple(r) for r in bucket_links.bucket_links(members, features, N.bits_near(3), lambda p: F.lit(True), verify).collect()]
+    assert set(links) <= linked and closure(links) == closure(linked)
+    assert seen[0] == n - 1 and seen[1] <= n - 1 and len(seen) <= 6
+
+
+def test_forests_are_least_and_apart():
+    rng = np.random.default_rng(7)
+    for _ in range(60):
+        n = int(rng.integers(2, 25))
+        label = rng.integers(0, rng.integers(1, n) + 1, n)
+        u, v = rng.integers(0, n, 50), rng.integers(0, n, 50)
+        both = np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)])[:, label[u] != label[v]], axis=1)
+        u, v, w = both[0], both[1], rng.integers(0, 5, both.shape[1])
+
+        def groups(edges):
+            return len(closure([(int(label[u[e]]), int(label[v[e]])) for e in edges]) if len(edges) else set()), len({x for e in edges for x in (label[u[e]], label[v[e]])})
+
+        picks, taken, cost = bucket_links.forests(label, u, v, w, 1), [], 0
+        for e in np.argsort(w, kind="stable"):  # the greedy forest
+            before, touched = groups(taken)
+            after, touched_now = groups([*taken, e])
+            if touched_now - after > touched - before:
+                taken.append(e)
+                cost += w[e]
+        assert len(picks) == len(taken) and w[picks].sum() == cost
+        assert sorted(bucket_links.forests(label, u, v, w, 99)) == list(range(len(u)))
 
 
 def test_chain_of_texts_is_closed(spark):
