@@ -19,7 +19,7 @@ from sparkweave.sources.files import stored
 
 BLOCK = 8192  # members of a bucket that meet in one task
 PAIRS = 400_000  # pairs a task holds at a time
-PLACES = 4  # places of a parity sketch per element of its set
+PLACES = 1  # places of a parity sketch per element of its set
 LEAST_BITS = 512
 
 
