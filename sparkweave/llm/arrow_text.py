@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20  # bytes of text worked on at once
+CHUNK = 1 << 19  # bytes of text worked on at once
 
 U = np.uint64
 _TABLE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
@@ -80,7 +80,7 @@ def span_values(buf: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nda
     """The polynomial of the bytes of each span modulo ``PRIME``, A-Z as a-z; the buffer has ``CHUNK`` bytes at most.
 
     Both halves of the powers are summed without a reduction: a code is at most 2**8, a half below 2**31, and there are
-    2**20 bytes, so sums stay below 2**60. Only spans, not bytes, are reduced.
+    at most 2**20 bytes, so sums stay below 2**60. Only spans, not bytes, are reduced.
     """
     n = len(buf)
     up, down = _prime_powers(1 << max(n, 1).bit_length())

@@ -25,7 +25,7 @@ SAMPLE = 64  # one set in so many is counted to find common shingles; steers cos
 COMMON = 500  # a shingle in one of so many sets, or more, does not tell sets apart
 HOT = 2000  # a signature of one sampled set in so many, or more, is dealt to SALTS tasks
 SALTS = 64
-SEEN = 500_000  # sets a task remembers, so that copies write their signatures once
+SEEN = 100_000  # sets a task remembers, so that copies write their signatures once
 VERIFY_COST = 20  # cost of a meeting, in signatures
 
 def _shingle_set(words: np.ndarray, n: int) -> np.ndarray:
