@@ -8,12 +8,15 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkweave.operators import vector_groups as G
 from sparkweave.session import new_folder
 from sparkweave.sources.files import stored, write_partitioned
 
 MAX_QUERIES = 10_000  # in one portion
+CODE_QUERIES = 2_000  # in one portion of a search over codes, whose tables go to every task
 
 
 def _d(v: Column) -> Column:
@@ -83,16 +86,17 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def top_k(
-    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, match: Sequence[str] = (), measure: str = "cosine"
+    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, match: Sequence[str] = (), measure: str = "cosine", own: bool = True
 ) -> DataFrame:
     """Exact ``k`` nearest vectors per query: ``query, <key>, score, place``.
 
     ``queries(query, qvec, <match>)``. Each task scores whole batches by a matrix product and passes on only rows
     that can still be among the best ``k``; ``match`` columns must be equal on both sides (a filter per query).
-    Scores are rounded so that ties break by key.
+    Scores are rounded so that ties break by key. Without ``own`` a query is the name of a row, which it does not find.
     """
-    scored = in_portions(queries.select("query", "qvec", *match), lambda rows: _scored(vectors, key, vector, queries, rows, k, match, measure))
-    return best_per_query(scored, key, k)
+    most = k if own else k + 1
+    scored = in_portions(queries.select("query", "qvec", *match), lambda rows: _scored(vectors, key, vector, queries, rows, most, match, measure))
+    return best_per_query(scored if own else scored.filter(F.col("query") != F.col(key)), key, k)
 
 
 def _scored(vectors: DataFrame, key: str, vector: str, queries: DataFrame, rows: list, k: int, match: Sequence[str], measure: str) -> DataFrame:
@@ -199,99 +203,312 @@ def kmeans_centers(df: DataFrame, vector: str, k: int, seed: int = 11) -> np.nda
     return np.array(model.clusterCenters())
 
 
-def nearest_center(centers: np.ndarray):
-    """Pandas UDF: index of the closest center."""
+class Cells:
+    """Buckets are the cells around the centers of a clustering."""
 
-    @F.pandas_udf("int")
-    def assign(s: pd.Series) -> pd.Series:
-        v = np.stack(s.to_numpy()).astype(np.float64)
-        d = (v**2).sum(1)[:, None] - 2 * v @ centers.T + (centers**2).sum(1)[None, :]
-        return pd.Series(d.argmin(1).astype(np.int32))
+    def __init__(self, centers: np.ndarray):
+        self.centers, self.buckets = centers, len(centers)
 
-    return assign
+    def closeness(self, q: np.ndarray) -> np.ndarray:
+        return -np.maximum(0.0, (q**2).sum(1)[:, None] - 2 * q @ self.centers.T + (self.centers**2).sum(1)[None, :])
 
+    def codes(self, v: np.ndarray) -> np.ndarray:
+        return self.closeness(v).argmax(axis=1)[:, None]
 
-def ivf_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, cells: int, probe: int) -> DataFrame:
-    """Inverted file: vectors stored in one folder per nearest center; a search reads only the folders its queries probe.
 
-    Queries stay a frame: each is joined to its ``probe`` nearest cells. Only the numbers of the probed cells, at
-    most ``cells``, come to the driver, to prune the folders before anything is read.
+class Planes:
+    """Buckets are sign patterns against random planes, in several tables.
+
+    A query's distance to a bucket is what its vector must move to get there: the squared margins of the bits that differ.
+    So probes flip the least certain bits first, over all tables.
     """
-    centers = kmeans_centers(vectors, vector, cells)
-    folder = new_folder(vectors.sparkSession, "ivf")
-    coded = vectors.select(key, vector, nearest_center(centers)(vector).alias("cell"))
-    write_partitioned(coded, folder, ["cell"])
-    index = vectors.sparkSession.read.schema(coded.schema).parquet(folder)
 
-    @F.pandas_udf("array<int>")
-    def nearest(s: pd.Series) -> pd.Series:
-        v = np.stack(s.to_numpy()).astype(np.float64)
-        d = ((v[:, None, :] - centers[None, :, :]) ** 2).sum(2)
-        return pd.Series(list(np.argsort(d, axis=1, kind="stable")[:, :probe].astype(np.int32)))
+    def __init__(self, dims: int, tables: int, bits: int, seed: int = 5):
+        self.tables, self.bits, self.buckets = tables, bits, tables << bits
+        planes = np.random.default_rng(seed).standard_normal((dims, tables * bits))
+        self.planes = planes / np.linalg.norm(planes, axis=0)
+        self.flips = np.arange(1 << bits)
+
+    def _margins(self, v: np.ndarray) -> np.ndarray:
+        return (v @ self.planes).reshape(len(v), self.tables, self.bits)
 
-    plan = stored(queries.select("query", "qvec", F.explode(nearest(F.transform("qvec", lambda x: x.cast("double")))).alias("cell")), "probes")
-    probed = [r[0] for r in plan.select("cell").distinct().collect()]
-    pairs = index.filter(F.col("cell").isin(probed)).join(plan, "cell")
-    return best_per_query(pairs.select("query", key, F.round(cosine(F.col("qvec"), F.col(vector)), 6).alias("score")), key, k)
+    def _patterns(self, margins: np.ndarray) -> np.ndarray:
+        return ((margins > 0) << np.arange(self.bits)).sum(axis=2)
 
+    def codes(self, v: np.ndarray) -> np.ndarray:
+        return self._patterns(self._margins(v)) + (np.arange(self.tables) << self.bits)
 
-def plane_buckets(dims: int, tables: int, bits: int, seed: int = 5):
-    """Pandas UDF: per table, the sign pattern against ``bits`` random planes (tagged by table)."""
-    planes = np.random.default_rng(seed).standard_normal((dims, tables * bits))
-    weights = (1 << np.arange(bits)).astype(np.int64)
+    def closeness(self, q: np.ndarray) -> np.ndarray:
+        margins = self._margins(q)
+        cost = (margins**2) @ ((self.flips[None, :] >> np.arange(self.bits)[:, None]) & 1)
+        out = np.empty_like(cost)
+        np.put_along_axis(out, self._patterns(margins)[:, :, None] ^ self.flips[None, None, :], -cost, axis=2)
+        return out.reshape(len(q), -1)
 
-    @F.pandas_udf("array<bigint>")
-    def buckets(s: pd.Series) -> pd.Series:
-        v = np.stack(s.to_numpy()).astype(np.float64)
-        signs = (v @ planes > 0).reshape(len(v), tables, bits)
-        codes = (signs * weights).sum(2) + (np.arange(tables, dtype=np.int64) << bits)
-        return pd.Series(list(codes))
 
-    return buckets
+def _nodes(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.select(F.col(key).cast("bigint").alias("id"), G.unit(F.col(vector)).alias("v"))
 
 
-def lsh_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, tables: int, bits: int) -> DataFrame:
-    """Random-hyperplane hashing: candidates share a bucket with the query in some table, then exact rescore."""
-    b = plane_buckets(dims, tables, bits)
-    v = vectors.select(key, F.explode(b(vector)).alias("bucket"))
-    q = queries.select("query", F.explode(b("qvec")).alias("bucket"))
-    return rescore(v.join(q, "bucket"), vectors, key, vector, queries, k)
+def _ranked(found: DataFrame, key: str, k: int, own: bool) -> DataFrame:
+    """The best ``k`` of ``found(query, id, score)``; without ``own`` a query does not find the row of its name."""
+    rows = found if own else found.filter("query <> id")
+    return best_per_query(rows.withColumnRenamed("id", key), key, k)
 
 
-def pq_search(
-    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, parts: int, codes: int, oversample: int
+def ivf_search(
+    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, cells: int, probe: int | None = None, recall: float = 0.95, own: bool = True
 ) -> DataFrame:
-    """Product quantisation: one small code book per slice, scores by table lookups, then exact rescore.
+    """Inverted file: vectors stored in one folder per nearest center; a search reads only the folders its queries probe.
 
-    Only the codes are scanned; full vectors are read for ``k * oversample`` candidates per query.
+    The number of cells to probe is ``probe``, or as many as find ``recall`` of the exact neighbours of sampled queries. A query
+    goes through a quarter of them first. By the triangle inequality a cell is no closer than the distance to its
+    center less its radius; of the other cells only those are read that can still hold a closer row than the ``k`` found.
+    Queries stay a frame; only centers and the numbers of probed cells come to the driver.
     """
-    width, books = dims // parts, []
-    vectors = stored(vectors.select(key, vector), "vectors")  # the code books read it many times
-    for p in range(parts):
-        piece = vectors.select(F.slice(vector, p * width + 1, width).alias("x"))
-        books.append(kmeans_centers(piece, "x", codes, seed=100 + p))
-    encoded = vectors.select(key, F.array(*[nearest_center(books[p])(F.slice(vector, p * width + 1, width)) for p in range(parts)]).alias("codes"))
-    index = stored(encoded, "pq")
-    kind, qkind = vectors.schema[key].dataType.simpleString(), queries.schema["query"].dataType.simpleString()
+    nodes, asking = stored(_nodes(vectors, key, vector), "nodes"), stored(_nodes(queries, "query", "qvec"), "asking")
+    index, most = Cells(kmeans_centers(nodes, "v", cells)), k if own else k + 1
+    folder = new_folder(vectors.sparkSession, "ivf")
+    coded = nodes.select("id", "v", G.buckets_of(index)("v")[0].alias("bucket"))
+    write_partitioned(coded, folder, ["bucket"])
+    members = vectors.sparkSession.read.schema(coded.schema).parquet(folder)
+    if probe is None:
+        probe = G.probes_needed(index, *G.sampled_neighbours(nodes, asking, k), recall)
+    centers = vectors.sparkSession.createDataFrame([(i, c.tolist()) for i, c in enumerate(index.centers)], "bucket int, center array<double>")
+
+    def from_center(df: DataFrame, name: str) -> DataFrame:
+        return df.join(F.broadcast(centers), "bucket").withColumn(name, l2(F.col("v"), F.col("center"))).drop("center")
+
+    radius = from_center(members, "_d").groupBy("bucket").agg(F.max("_d").alias("_radius"))
+    plan = asking.select("id", "v", F.posexplode(G.buckets_of(index, min(probe, cells))("v")).alias("_turn", "bucket"))
+    plan = stored(from_center(plan, "_d").join(radius, "bucket"), "probes")  # cells without members are gone
+
+    def part_of(turns: DataFrame) -> DataFrame:
+        probed = [r[0] for r in turns.select("bucket").distinct().collect()]  # at most ``cells``
+        return G.best_in_groups(members.filter(F.col("bucket").isin(probed)).select("bucket", "id", "v"), turns.select("bucket", "id", "v"), most)
+
+    early = -(-min(probe, cells) // 4)
+    found = stored(part_of(plan.filter(F.col("_turn") < early)), "found")
+    last = found.groupBy("query").agg(F.min("score").alias("_least"), F.count(F.lit(1)).alias("_n"))
+    # unit vectors: the squared distance is two less twice the score, which is rounded to six digits
+    reach = F.when(F.col("_n") >= most, F.sqrt(F.greatest(2 - 2 * F.col("_least"), F.lit(0.0)) + 1e-5)).otherwise(F.lit(float("inf")))
+    later = plan.filter(F.col("_turn") >= early).join(last.withColumnRenamed("query", "id"), "id", "left")
+    later = stored(later.filter(F.col("_d") - F.col("_radius") <= F.coalesce(reach, F.lit(float("inf")))).select("bucket", "id", "v"), "later")
+    return _ranked(found.unionByName(part_of(later)), key, k, own)
+
+
+def lsh_search(
+    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, tables: int, bits: int, recall: float = 0.95, own: bool = True
+) -> DataFrame:
+    """Random-hyperplane hashing with probing sequences: few tables, and per query the buckets that differ in its least certain bits.
 
-    def search(rows: list) -> DataFrame:
-        tables = np.array([[((books[p] - np.array(r["qvec"][p * width : (p + 1) * width])) ** 2).sum(1) for p in range(parts)] for r in rows])
-        names = [r["query"] for r in rows]
+    As many probes as find ``recall`` of the exact neighbours of sampled queries; candidates are scored exactly.
+    """
+    nodes, asking = stored(_nodes(vectors, key, vector), "nodes"), stored(_nodes(queries, "query", "qvec"), "asking")
+    index = Planes(dims, tables, bits)
+    probes = G.probes_needed(index, *G.sampled_neighbours(nodes, asking, k), recall)
+    members = nodes.select(F.explode(G.buckets_of(index)("v")).alias("bucket"), "id", "v")
+    probing = asking.select(F.explode(G.buckets_of(index, probes)("v")).alias("bucket"), "id", "v")
+    return _ranked(G.best_in_groups(members, probing, k if own else k + 1), key, k, own)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                c, ids = np.stack(pdf["codes"].to_numpy()), pdf[key].to_numpy()
-                for j, name in enumerate(names):
-                    s = np.round(-sum(tables[j, p][c[:, p]] for p in range(parts)), 9)
-                    best = _best(ids, s, k * oversample)
-                    yield pd.DataFrame({"query": name, key: ids[best], "score": s[best]})
 
-        return index.mapInPandas(run, f"query {qkind}, {key} {kind}, score double")
+class SignCodes:
+    """One bit a component; the query stays as it is."""
 
-    near = in_portions(queries.select("query", "qvec"), search)
-    return rescore(best_per_query(near, key, k * oversample), vectors, key, vector, queries, k)
+    def __init__(self, dims: int):
+        self.dims = dims
+
+    def encode(self, v: np.ndarray) -> np.ndarray:
+        return np.packbits(v > 0, axis=1)
+
+    def asked(self, q: np.ndarray) -> np.ndarray:
+        return q
+
+    def scores(self, codes: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        return (np.unpackbits(codes, axis=1, count=self.dims) * 2.0 - 1) @ asked.T
+
+
+class ResidualCodes:
+    """The nearest center, and a code a part for what is left after a rotation."""
+
+    def __init__(self, centers: np.ndarray, rotation: np.ndarray, books: np.ndarray):
+        self.cells, self.rotation, self.books = Cells(centers), rotation, books  # books: parts, codes, width
+
+    def turned(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cells, and rotated residuals by part."""
+        cell = self.cells.codes(v)[:, 0]
+        return cell, ((v - self.cells.centers[cell]) @ self.rotation).reshape(len(v), len(self.books), -1)
+
+    def nearest_codes(self, parts: np.ndarray) -> np.ndarray:
+        out = np.empty(parts.shape[:2], dtype=np.uint8)
+        for p, book in enumerate(self.books):
+            out[:, p] = ((book**2).sum(1)[None, :] - 2 * parts[:, p] @ book.T).argmin(axis=1)
+        return out
+
+    def encode(self, v: np.ndarray) -> np.ndarray:
+        cell, parts = self.turned(v)
+        return np.concatenate([cell.astype("<u2")[:, None].view(np.uint8), self.nearest_codes(parts)], axis=1)
+
+    def asked(self, q: np.ndarray) -> np.ndarray:
+        """Per query its products with all centers and all code words, one after the other."""
+        turned = (q @ self.rotation).reshape(len(q), len(self.books), -1)
+        words = np.einsum("qpw,pcw->qpc", turned, self.books)
+        return np.concatenate([q @ self.cells.centers.T, words.reshape(len(q), -1)], axis=1)
+
+    def scores(self, codes: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        n, size = len(self.cells.centers), self.books.shape[1]
+        total = asked[:, np.ascontiguousarray(codes[:, :2]).view("<u2")[:, 0]]
+        for p in range(len(self.books)):
+            total = total + asked[:, n + p * size + codes[:, 2 + p].astype(np.int64)]
+        return total.T
+
+
+def learnt_codes(nodes: DataFrame, dims: int, cells: int, parts: int, codes: int, rounds: int = 6, seed: int = 3) -> ResidualCodes:
+    """Centers, a rotation and code books for residuals, learnt over all of ``nodes(v)`` by turns.
+
+    Each turn is one pass: every task sums up, for its rows, the members of each code word and the products of residuals with
+    their code words; from these sums follow the next books (means) and the rotation that brings residuals closest to
+    their code words (from a singular value decomposition of a ``dims`` by ``dims`` matrix). Only such sums come to the driver.
+    """
+    width, rng = dims // parts, np.random.default_rng(seed)
+    centers = kmeans_centers(nodes, "v", cells, seed=seed)
+    rotation = np.linalg.qr(rng.standard_normal((dims, dims)))[0]
+    start = nodes.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(codes).select("v").collect()
+    v = np.array([r["v"] for r in start], dtype=np.float64).reshape(-1, dims)
+    model = ResidualCodes(centers, rotation, np.zeros((parts, 1, width)))
+    books = np.zeros((parts, codes, width))
+    if len(v):
+        first = model.turned(v)[1].transpose(1, 0, 2)
+        books[:, : len(v)] = first
+        books[:, len(v) :] = first[:, :1]
+    for turn in range(rounds):
+        model = ResidualCodes(centers, rotation, books)
+
+        def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+            sums, cross = np.zeros((parts, codes, width + 1)), np.zeros((dims, dims))
+            for b in batches:
+                for low in range(0, b.num_rows, 2048):
+                    x = G.matrix(b.column(0).slice(low, 2048))
+                    cell, turned = model.turned(x)
+                    code = model.nearest_codes(turned)
+                    for p in range(parts):
+                        np.add.at(sums[p], code[:, p], np.concatenate([turned[:, p], np.ones((len(x), 1))], axis=1))
+                    worded = np.concatenate([model.books[p][code[:, p]] for p in range(parts)], axis=1)
+                    cross += (x - model.cells.centers[cell]).T @ worded
+            flat = np.concatenate([sums.ravel(), cross.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["slot", "total"])
+
+        total = nodes.select("v").mapInArrow(run, "slot bigint, total double").groupBy("slot").agg(F.sum("total").alias("total")).collect()
+        flat = np.zeros(parts * codes * (width + 1) + dims * dims)
+        for slot, x in total:
+            flat[slot] = x
+        sums, cross = flat[: parts * codes * (width + 1)].reshape(parts, codes, width + 1), flat[parts * codes * (width + 1) :].reshape(dims, dims)
+        count = sums[:, :, width:]
+        books = np.where(count > 0, sums[:, :, :width] / np.maximum(count, 1), books)
+        if turn < rounds - 1:
+            u, _, w = np.linalg.svd(cross)
+            rotation = u @ w
+    return ResidualCodes(centers, rotation, books)
+
+
+def _coded(nodes: DataFrame, model) -> DataFrame:
+    @F.arrow_udf("binary")
+    def encode(vectors: pa.Array) -> pa.Array:
+        return pa.array([x.tobytes() for x in model.encode(G.matrix(vectors))] if len(vectors) else [], pa.binary())
+
+    return stored(nodes.select("id", encode("v").alias("codes")), "codes")
+
+
+def _scored_batches(batches: Iterator[pa.RecordBatch], model, asked: np.ndarray):
+    """Per batch of codes and portion of queries: ids, the place of the first query, and scores of queries by rows."""
+    for b in batches:
+        raw = b.column(1).to_pylist()
+        if not raw:
+            continue
+        codes, ids = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(len(raw), -1), b.column(0).to_numpy()
+        for low in range(0, len(asked), 64):
+            yield ids, low, model.scores(codes, asked[low : low + 64]).T
+
+
+def _depth_needed(coded: DataFrame, nodes: DataFrame, asking: DataFrame, model, k: int, recall: float) -> int:
+    """How many rows in code order hold the share ``recall`` of the exact neighbours of sampled queries; one scan of the codes."""
+    queries, neighbours = G.sampled_neighbours(nodes, asking, k)
+    if not len(queries):
+        return k
+    asked = model.asked(queries)
+    codes = model.encode(neighbours)
+    goal = np.concatenate([np.diagonal(model.scores(codes[i : i + 64], asked[i : i + 64])) for i in range(0, len(codes), 64)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ahead = np.zeros(len(goal), dtype=np.int64)
+        for _, low, scores in _scored_batches(batches, model, asked):
+            ahead[low : low + len(scores)] += (scores > goal[low : low + len(scores), None] + 1e-12).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(goal))), pa.array(ahead)], names=["pair", "ahead"])
+
+    rows = coded.mapInArrow(run, "pair bigint, ahead bigint").groupBy("pair").agg(F.sum("ahead").alias("ahead")).collect()
+    return max(k, int(np.quantile([r["ahead"] for r in rows], recall, method="higher")) + 1)
+
+
+def coded_search(
+    vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, learn: Callable[[DataFrame], object], oversample: int | None = None, recall: float = 0.95, own: bool = True
+) -> DataFrame:
+    """Search over short codes, then exact cosine for the best rows in code order.
+
+    ``learn(nodes)`` gives the code (``SignCodes``, ``ResidualCodes``). Only the codes are scanned; full vectors are read for
+    ``k * oversample`` rows a query, or for as many as hold ``recall`` of the exact neighbours of sampled queries.
+    """
+    nodes, asking = stored(_nodes(vectors, key, vector), "nodes"), stored(_nodes(queries, "query", "qvec"), "asking")
+    model = learn(nodes)
+    coded = _coded(nodes, model)
+    # a query that is a row counts itself among the rows ahead
+    depth = k * oversample + (not own) if oversample else _depth_needed(coded, nodes, asking, model, k, recall)
+
+    def search(rows: list) -> DataFrame:
+        names = np.array([r["query"] for r in rows], dtype=np.int64)
+        asked = model.asked(np.array([r["v"] for r in rows], dtype=np.float64)) if rows else np.empty((0, 1))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pairs, scores, got = np.empty((0, 2), dtype=np.int64), np.empty(0), []
+
+            def kept():
+                return G.best_of_task(np.concatenate([pairs, *(p for p, _ in got)]), np.concatenate([scores, *(s for _, s in got)]), depth)
+
+            def out():
+                return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(scores)], names=["query", "id", "score"])
+
+            for ids, low, s in _scored_batches(batches, model, asked):
+                s = np.round(s, 9)
+                if s.shape[1] > depth:
+                    least = np.partition(s, s.shape[1] - depth, axis=1)[:, s.shape[1] - depth]
+                    r, c = np.nonzero(s >= least[:, None])
+                else:
+                    r, c = np.divmod(np.arange(s.size), s.shape[1])
+                got.append((np.stack([names[low + r], ids[c]], axis=1), s[r, c]))
+                if sum(len(x) for _, x in got) > G.HELD:
+                    pairs, scores = kept()
+                    got = []
+                    if len(scores) > G.HELD:
+                        yield out()
+                        pairs, scores = pairs[:0], scores[:0]
+            pairs, scores = kept()
+            yield out()
+
+        return coded.mapInArrow(run, "query bigint, id bigint, score double")
+
+    near = in_portions(asking.select(F.col("id").alias("query"), "v"), search, CODE_QUERIES)
+    short = best_per_query(near, "id", depth).select("query", "id").distinct()
+    full = short.join(nodes, "id").join(asking.select(F.col("id").alias("query"), F.col("v").alias("qvec")), "query")
+    return _ranked(full.select("query", "id", F.round(dot(F.col("qvec"), F.col("v")), 6).alias("score")), key, k, own)
+
+
+def binary_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, **how) -> DataFrame:
+    """Search over signs: the query's components are added with the signs of the stored vector, then exact rescore."""
+    return coded_search(vectors, key, vector, queries, k, lambda nodes: SignCodes(dims), **how)
+
+
+def pq_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, k: int, dims: int, parts: int, codes: int, cells: int = 8, **how) -> DataFrame:
+    """Product quantisation of the rotated residual to the nearest of ``cells`` centers, then exact rescore."""
+    return coded_search(vectors, key, vector, queries, k, lambda nodes: learnt_codes(nodes, dims, cells, parts, codes), **how)
 
 
 def fuse(rankings: DataFrame, key: str, k: int = 60) -> DataFrame:

@@ -10,6 +10,7 @@ from sparkweave.operators.maintenance import apply_changes
 from sparkweave.plans.common import n_rows, tagged
 from sparkweave.plans.q_text import SQL_BM25, bm25_ranking
 from sparkweave.plans.registry import query
+from sparkweave.sources.files import stored
 
 DIMS = 64
 
@@ -18,6 +19,17 @@ SQL_QV = "qv AS (SELECT label AS query, list(m ORDER BY i) AS qvec FROM (SELECT
 SQL_TOP = "SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM (SELECT query, vec_id, label, round(list_cosine_similarity(v, qvec), 6) AS score FROM e, qv))"
 
 
+#: Every twentieth row asks, and finds the others.
+SQL_RQ = "rq AS (SELECT vec_id AS query, label AS qlabel, v AS qvec FROM e WHERE vec_id % 20 = 0)"
+SQL_NEAR = "SELECT query, qlabel, vec_id, label, round(list_cosine_similarity(v, qvec), 6) AS score FROM e JOIN rq ON vec_id <> query"
+SQL_RTOP = f"SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM ({SQL_NEAR}))"
+
+
+def row_queries(t, *columns):
+    """Every twentieth row as a query."""
+    return t.embeddings.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("qvec"), *columns)
+
+
 def label_queries(t):
     """One query vector per label: the mean of its vectors."""
     return V.centroids(t.embeddings, "label", "embedding", DIMS).withColumnRenamed("label", "query")
@@ -46,34 +58,45 @@ def _(t):
     )
 
 
-@query("V12_exact_top_k", f"WITH {SQL_E}, {SQL_QV} {SQL_TOP} WHERE place <= 10")
+@query("V12_exact_top_k", f"WITH {SQL_E}, {SQL_RQ} {SQL_RTOP} WHERE place <= 10")
 def _(t):
-    return V.top_k(t.embeddings, "vec_id", "embedding", label_queries(t), 10)
+    return V.top_k(t.embeddings, "vec_id", "embedding", row_queries(t), 10, own=False)
 
 
 @query("V13_filtered_knn", f"""
-WITH {SQL_E}, {SQL_QV} SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM
- (SELECT query, vec_id, round(list_cosine_similarity(v, qvec), 6) AS score FROM e JOIN qv ON label = query JOIN documents ON doc_id = vec_id WHERE lang = 'en')) WHERE place <= 5""")
+WITH {SQL_E}, {SQL_RQ} SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM
+ ({SQL_NEAR}) JOIN documents ON doc_id = vec_id WHERE lang = 'en' AND label = qlabel) WHERE place <= 5""")
 def _(t):
     english = t.documents.filter("lang = 'en'").select(F.col("doc_id").alias("vec_id"))
-    q = label_queries(t).withColumn("label", F.col("query"))
-    return V.top_k(t.embeddings.join(english, "vec_id", "left_semi"), "vec_id", "embedding", q, 5, match=["label"])
+    candidates = t.embeddings.join(english, "vec_id", "left_semi")
+    return V.top_k(candidates, "vec_id", "embedding", row_queries(t, "label"), 5, match=["label"], own=False)
 
 
 def with_recall(t, approximate):
-    """An approximate result with its recall against the exact one."""
-    exact = V.top_k(t.embeddings, "vec_id", "embedding", label_queries(t), 10)
+    """The recall of an approximate result against the exact one, per query."""
+    exact = V.top_k(t.embeddings, "vec_id", "embedding", row_queries(t), 10, own=False)
     return V.recall(approximate, exact, "vec_id", 10)
 
 
-@query("V14_ivf")
+SQL_REACHED = "SELECT vec_id AS query, least(10, (SELECT count(*) - 1 FROM embeddings)) AS found, true AS reached FROM embeddings WHERE vec_id % 20 = 0"
+
+
+def reaching(t, approximate):
+    """Per query how many rows it found, and whether the mean recall of all queries is nine tenths or more."""
+    approximate = stored(approximate, "approximate")
+    mean = with_recall(t, approximate).agg(F.avg("recall")).scalar()
+    found = approximate.groupBy("query").agg(n_rows().alias("found"))
+    return found.select("query", "found", (mean >= 0.9).alias("reached"))
+
+
+@query("V14_ivf", SQL_REACHED)
 def _(t):
-    return with_recall(t, V.ivf_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, cells=8, probe=4))
+    return reaching(t, V.ivf_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, cells=16, own=False))
 
 
-@query("V15_hyperplane_lsh")
+@query("V15_hyperplane_lsh", SQL_REACHED)
 def _(t):
-    return with_recall(t, V.lsh_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, tables=16, bits=5))
+    return reaching(t, V.lsh_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, tables=4, bits=6, own=False))
 
 
 @query("V18_sq8", f"""
@@ -94,31 +117,34 @@ def _(t):
     )
 
 
-SQL_BITS = "list_sum(list_transform(generate_series(1, 64), lambda i: CASE WHEN {v}[i] > 0 THEN (1::HUGEINT << (i - 1)) ELSE 0::HUGEINT END))::HUGEINT"
-SQL_BINARY = f"""h AS (SELECT query, vec_id, v, qvec, len(list_filter(generate_series(1, 64), lambda i: (v[i] > 0) <> (qvec[i] > 0))) AS apart FROM e, qv),
-s AS (SELECT query, vec_id, round(list_cosine_similarity(v, qvec), 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY apart, vec_id) AS r FROM h) WHERE r <= 40),
-binary_top AS (SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM s) WHERE place <= 10)"""
+#: Rows in the order of the signs, as deep as 95% of the exact neighbours of all queries need it.
+SQL_BINARY = f"""sg AS (SELECT vec_id, list_transform(v, lambda x: CASE WHEN x > 0 THEN 1.0 ELSE -1.0 END) AS s, v FROM e),
+h AS (SELECT query, vec_id, list_inner_product(s, qvec) AS alike, round(list_cosine_similarity(v, qvec), 6) AS score FROM sg JOIN rq ON vec_id <> query),
+o AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY alike DESC, vec_id) AS r, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS x FROM h),
+depth AS (SELECT list(r ORDER BY r)[ceil(0.95 * (count(*) - 1))::INTEGER + 1] AS depth FROM o WHERE x <= 10),
+binary_top AS (SELECT query, vec_id, score, place FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM o, depth WHERE r <= depth) WHERE place <= 10)"""
 
 
-@query("V19_binary_quantisation", f"WITH {SQL_E}, {SQL_QV}, {SQL_BINARY} SELECT * FROM binary_top")
+@query("V19_binary_quantisation", f"WITH {SQL_E}, {SQL_RQ}, {SQL_BINARY} SELECT * FROM binary_top")
 def _(t):
-    return V.hamming_rescore(t.embeddings, "vec_id", "embedding", label_queries(t), 10, 4)
+    return V.binary_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, own=False)
 
 
-@query("V20_product_quantisation")
+@query("V20_product_quantisation", SQL_REACHED)
 def _(t):
-    return with_recall(t, V.pq_search(t.embeddings, "vec_id", "embedding", label_queries(t), 10, DIMS, parts=8, codes=16, oversample=8))
+    return reaching(t, V.pq_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, parts=16, codes=64, own=False))
 
 
 @query("V21_recall", f"""
-WITH {SQL_E}, {SQL_QV}, {SQL_BINARY}, exact AS ({SQL_TOP} WHERE place <= 10)
-SELECT query, count(binary_top.vec_id) / 10 AS recall FROM exact LEFT JOIN binary_top USING (query, vec_id) GROUP BY 1""")
+WITH {SQL_E}, {SQL_RQ}, {SQL_BINARY}, exact AS ({SQL_RTOP} WHERE place <= 10)
+SELECT query, count(binary_top.vec_id) / 10 AS recall, avg(count(binary_top.vec_id)) OVER () / 10 >= 0.9 AS reached FROM exact LEFT JOIN binary_top USING (query, vec_id) GROUP BY 1""")
 def _(t):
-    return with_recall(t, V.hamming_rescore(t.embeddings, "vec_id", "embedding", label_queries(t), 10, 4))
+    recalls = stored(with_recall(t, V.binary_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, own=False)), "recalls")
+    return recalls.withColumn("reached", recalls.agg(F.avg("recall")).scalar() >= 0.9)
 
 
 @query("V22_ranking_metrics", f"""
-WITH {SQL_E}, {SQL_QV}, r AS (SELECT x.*, CASE WHEN label = query THEN 1 ELSE 0 END AS rel FROM ({SQL_TOP} WHERE place <= 10) x JOIN e USING (vec_id)),
+WITH {SQL_E}, {SQL_RQ}, r AS (SELECT x.*, CASE WHEN label = qlabel THEN 1 ELSE 0 END AS rel FROM ({SQL_RTOP} WHERE place <= 10) x JOIN e USING (vec_id) JOIN rq USING (query)),
 a AS (SELECT *, sum(rel) OVER (PARTITION BY query ORDER BY place) AS found, row_number() OVER (PARTITION BY query ORDER BY rel DESC, place) AS ideal FROM r)
 SELECT query, max(rel)::DOUBLE AS hit, coalesce(max(CASE WHEN rel = 1 THEN 1 / place END), 0) AS reciprocal_rank,
  round(coalesce(sum((pow(2, rel) - 1) / log2(place + 1)) / nullif(sum((pow(2, rel) - 1) / log2(ideal + 1)), 0), 0), 6) AS ndcg,
@@ -126,23 +152,28 @@ SELECT query, max(rel)::DOUBLE AS hit, coalesce(max(CASE WHEN rel = 1 THEN 1 / p
 def _(t):
     from sparkweave.operators.rank_metrics import ranking_metrics
 
-    top = V.top_k(t.embeddings, "vec_id", "embedding", label_queries(t), 10)
-    judged = top.join(t.embeddings.select("vec_id", "label"), "vec_id").withColumn("rel", (F.col("label") == F.col("query")).cast("int"))
-    return ranking_metrics(judged, "query", "place", "rel")
+    q = row_queries(t, F.col("label").alias("qlabel"))
+    top = V.top_k(t.embeddings, "vec_id", "embedding", q, 10, own=False)
+    judged = top.join(t.embeddings.select("vec_id", "label"), "vec_id").join(q.select("query", "qlabel"), "query")
+    return ranking_metrics(judged.withColumn("rel", (F.col("label") == F.col("qlabel")).cast("int")), "query", "place", "rel")
+
+
+#: Depth of the lists that are fused, and of the shortlist that is made diverse.
+FUSED, HYBRID, SHORTLIST = 50, 20, 50
 
 
 def rankings(t):
     d = t.documents.join(t.labels, "doc_id").select(F.col("lang").alias("query"), "doc_id", "n_chars", "quality")
-    by_length = top_n_per_group(d, ["query"], [F.col("n_chars").desc(), F.col("doc_id")], 50)
-    by_label = top_n_per_group(d, ["query"], [F.col("quality").desc(), F.col("doc_id")], 50)
+    by_length = top_n_per_group(d, ["query"], [F.col("n_chars").desc(), F.col("doc_id")], FUSED)
+    by_label = top_n_per_group(d, ["query"], [F.col("quality").desc(), F.col("doc_id")], FUSED)
     cols = ["query", "doc_id", F.col("rank").alias("place")]
     return by_length.select(*cols).unionByName(by_label.select(*cols))
 
 
-@query("V23_rank_fusion", """
+@query("V23_rank_fusion", f"""
 WITH d AS (SELECT lang AS query, doc_id, n_chars, quality FROM documents JOIN labels USING (doc_id)),
 r AS (SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY n_chars DESC, doc_id) AS place FROM d UNION ALL SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY quality DESC, doc_id) FROM d)
-SELECT query, doc_id, round(sum(1 / (60 + place)), 9) AS fused FROM r WHERE place <= 50 GROUP BY 1, 2""")
+SELECT query, doc_id, round(sum(1 / (60 + place)), 9) AS fused FROM r WHERE place <= {FUSED} GROUP BY 1, 2""")
 def _(t):
     return V.fuse(rankings(t), "doc_id").withColumn("fused", F.round("fused", 9))
 
@@ -152,30 +183,43 @@ WITH {SQL_E}, {SQL_BM25}, dl AS (SELECT doc_id, lang, v FROM e JOIN documents ON
 lq AS (SELECT lang AS query, list(m ORDER BY i) AS qvec FROM (SELECT lang, i, round(avg(v[i]), 9) AS m FROM (SELECT lang, v, unnest(generate_series(1, len(v))) AS i FROM dl) GROUP BY 1, 2) GROUP BY 1),
 r AS (SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS place FROM bm UNION ALL
  SELECT query, doc_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) FROM (SELECT query, doc_id, round(list_cosine_similarity(v, qvec), 6) AS score FROM dl, lq)),
-f AS (SELECT query, doc_id, round(sum(1 / (60 + place)), 9) AS fused FROM r WHERE place <= 20 GROUP BY 1, 2)
+f AS (SELECT query, doc_id, round(sum(1 / (60 + place)), 9) AS fused FROM r WHERE place <= {HYBRID} GROUP BY 1, 2)
 SELECT query, doc_id, fused FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY fused DESC, doc_id) AS n FROM f) WHERE n <= 10""")
 def _(t):
     dense = t.embeddings.join(t.documents.select(F.col("doc_id").alias("vec_id"), "lang"), "vec_id").withColumnRenamed("vec_id", "doc_id")
     q = V.centroids(dense, "lang", "embedding", DIMS).withColumnRenamed("lang", "query")
-    near = V.top_k(dense, "doc_id", "embedding", q, 20).select("query", "doc_id", "place")
-    both = bm25_ranking(t, 20).select("query", "doc_id", "place").unionByName(near)
+    near = V.top_k(dense, "doc_id", "embedding", q, HYBRID).select("query", "doc_id", "place")
+    both = bm25_ranking(t, HYBRID).select("query", "doc_id", "place").unionByName(near)
     fused = V.fuse(both, "doc_id").withColumn("fused", F.round("fused", 9))
     return top_n_per_group(fused, ["query"], [F.col("fused").desc(), F.col("doc_id")], 10).drop("rank")
 
 
-@query("V25_mmr")
+def sql_mmr(k, weight):
+    """Greedy choice, one table a step: the row of largest value among those not chosen yet."""
+    steps = ["c1 AS (SELECT query, arg_max(vec_id, (rel, -vec_id)) AS pick, 1 AS place FROM s GROUP BY 1)"]
+    for i in range(2, k + 1):
+        chosen = " UNION ALL ".join(f"SELECT * FROM c{j}" for j in range(1, i))
+        steps.append(f"""c{i} AS (SELECT query, arg_max(vec_id, (value, -vec_id)) AS pick, {i} AS place FROM (
+ SELECT s.query AS query, s.vec_id AS vec_id, {weight} * any_value(s.rel) - (1 - {weight}) * max(list_cosine_similarity(s.v, p.v)) AS value
+ FROM s JOIN ({chosen}) c ON c.query = s.query JOIN e p ON p.vec_id = c.pick WHERE s.vec_id NOT IN (SELECT pick FROM ({chosen}) x WHERE x.query = s.query) GROUP BY 1, 2) GROUP BY 1)""")
+    return ",\n".join(steps) + "\n" + " UNION ALL ".join(f"SELECT query, pick AS vec_id, place FROM c{j}" for j in range(1, k + 1))
+
+
+@query("V25_mmr", f"""
+WITH {SQL_E}, {SQL_RQ}, s AS (SELECT t.query AS query, t.vec_id AS vec_id, e.v AS v, list_cosine_similarity(e.v, rq.qvec) AS rel FROM ({SQL_RTOP} WHERE place <= {SHORTLIST}) t JOIN e USING (vec_id) JOIN rq USING (query)),
+{sql_mmr(5, 0.5)}""")
 def _(t):
-    q = label_queries(t)
-    short = V.top_k(t.embeddings, "vec_id", "embedding", q, 50)
+    q = row_queries(t)
+    short = V.top_k(t.embeddings, "vec_id", "embedding", q, SHORTLIST, own=False)
     candidates = short.join(t.embeddings.select("vec_id", "embedding"), "vec_id").join(q, "query")
     return V.diversify(candidates, "vec_id", "embedding", 5)
 
 
 @query("V26_semantic_cache", f"""
-WITH {SQL_E}, {SQL_QV}, b AS (SELECT * FROM ({SQL_TOP} WHERE place <= 1)) SELECT query, CASE WHEN score > 0.55 THEN vec_id END AS cached, coalesce(score > 0.55, false) AS hit FROM qv LEFT JOIN b USING (query)""")
+WITH {SQL_E}, {SQL_RQ}, b AS (SELECT * FROM ({SQL_RTOP} WHERE place <= 1)) SELECT query, CASE WHEN score > 0.4 THEN vec_id END AS cached, coalesce(score > 0.4, false) AS hit FROM rq LEFT JOIN b USING (query)""")
 def _(t):
-    q = label_queries(t)
-    best = V.top_k(t.embeddings, "vec_id", "embedding", q, 1).filter("score > 0.55").select("query", F.col("vec_id").alias("cached"))
+    q = row_queries(t)
+    best = V.top_k(t.embeddings, "vec_id", "embedding", q, 1, own=False).filter("score > 0.4").select("query", F.col("vec_id").alias("cached"))
     return q.select("query").join(best, "query", "left").withColumn("hit", F.col("cached").isNotNull())
 
 
@@ -215,11 +259,11 @@ def _(t):
 
 
 @query("P20_filter_before_search", f"""
-WITH {SQL_E}, {SQL_QV}, p AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM (SELECT query, vec_id, label, round(list_cosine_similarity(v, qvec), 6) AS score FROM e, qv)),
-f AS (SELECT query, vec_id, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM (SELECT query, vec_id, round(list_cosine_similarity(v, qvec), 6) AS score FROM e, qv WHERE label = 3))
+WITH {SQL_E}, {SQL_RQ}, n AS ({SQL_NEAR}), p AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM n),
+f AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS place FROM n WHERE label = 3)
 SELECT query, vec_id, score, 'before' AS form FROM f WHERE place <= 5 UNION ALL SELECT query, vec_id, score, 'after' FROM p WHERE place <= 5 AND label = 3""")
 def _(t):
-    q = label_queries(t)
+    q = row_queries(t)
     mine = t.embeddings.filter("label = 3")
-    after = V.top_k(t.embeddings, "vec_id", "embedding", q, 5).join(mine.select("vec_id"), "vec_id", "left_semi")
-    return tagged(before=V.top_k(mine, "vec_id", "embedding", q, 5).drop("place"), after=after.drop("place"))
+    after = V.top_k(t.embeddings, "vec_id", "embedding", q, 5, own=False).join(mine.select("vec_id"), "vec_id", "left_semi")
+    return tagged(before=V.top_k(mine, "vec_id", "embedding", q, 5, own=False).drop("place"), after=after.drop("place"))

@@ -9,6 +9,7 @@ from sparkweave.functions import udfs as U
 from sparkweave.operators import geo
 from sparkweave.operators import bucket_links, similar as N
 from sparkweave.operators import text as X
+from sparkweave.operators import vector_groups as G
 from sparkweave.operators import vectors as V
 
 
@@ -239,22 +240,99 @@ def test_any_number_of_queries(cloud, monkeypatch):
     assert {tuple(r) for r in V.hamming_rescore(vectors, "id", "v", queries, 10, 6).collect()} == few
 
 
-def test_inverted_file_reads_probed_cells_only(cloud):
+def test_inverted_file_reads_probed_cells_only(cloud, monkeypatch):
     vectors, queries, _ = cloud
-    text = V.ivf_search(vectors, "id", "v", queries.limit(1), 5, 6, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [cell" in text
+    plain, plans = V.stored, {}
+
+    def planned(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(V, "stored", planned)
+    V.ivf_search(vectors, "id", "v", queries.limit(1), 5, 6, 2)
+    assert "PartitionFilters: [isnotnull(bucket" in plans["found"]
+
+
+def test_inverted_file_stops_where_cells_are_proven_farther(spark, monkeypatch):
+    """Tight clusters far apart: after the first cells the distance bound leaves none, and the result is exact."""
+    rng = np.random.default_rng(12)
+    centers = np.eye(8)
+    v = np.concatenate([c + 0.01 * rng.standard_normal((40, 8)) for c in centers])
+    vectors = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id int, v array<float>")
+    queries = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(centers)], "query int, qvec array<double>")
+    plain, seen = V.stored, {}
+
+    def counted(df, label):
+        seen[label] = plain(df, label)
+        return seen[label]
+
+    monkeypatch.setattr(V, "stored", counted)
+    got = pairs(V.ivf_search(vectors, "id", "v", queries, 10, 8, probe=8))
+    assert seen["probes"].count() == 64 and seen["later"].count() == 0
+    assert got == best(np.round(unit(centers) @ unit(v.astype(np.float32).astype(float)).T, 6), 10)
+
+
+@pytest.mark.parametrize("search", [
+    lambda v, q: V.ivf_search(v, "id", "v", q, 10, 6),
+    lambda v, q: V.lsh_search(v, "id", "v", q, 10, 16, 3, 5),
+    lambda v, q: V.binary_search(v, "id", "v", q, 10, 16),
+    lambda v, q: V.pq_search(v, "id", "v", q, 10, 16, 4, 16),
+    lambda v, q: V.hamming_rescore(v, "id", "v", q, 10, 12),
+], ids=["ivf", "lsh", "binary", "pq", "hamming"])
+def test_approximate_recall(cloud, search):
+    vectors, queries, sims = cloud
+    got = pairs(search(vectors, queries))
+    assert len(got & best(sims, 10)) / 60 >= 0.9
 
 
-@pytest.mark.parametrize("search,floor", [
-    (lambda v, q: V.ivf_search(v, "id", "v", q, 10, 6, 2), 0.9),
-    (lambda v, q: V.lsh_search(v, "id", "v", q, 10, 16, 12, 4), 0.8),
-    (lambda v, q: V.hamming_rescore(v, "id", "v", q, 10, 6), 0.8),
-    (lambda v, q: V.pq_search(v, "id", "v", q, 10, 16, 4, 16, 5), 0.8),
+@pytest.mark.parametrize("search", [
+    lambda v, q: V.ivf_search(v, "id", "v", q, 10, 6, own=False), lambda v, q: V.lsh_search(v, "id", "v", q, 10, 16, 3, 5, own=False),
+    lambda v, q: V.binary_search(v, "id", "v", q, 10, 16, own=False), lambda v, q: V.pq_search(v, "id", "v", q, 10, 16, 4, 16, own=False),
 ], ids=["ivf", "lsh", "binary", "pq"])
-def test_approximate_recall(cloud, search, floor):
-    vectors, queries, sims = cloud
-    got = pairs(search(vectors, queries))
-    assert len(got & best(sims, 10)) / 60 >= floor
+def test_rows_find_others_also_without_clusters(spark, search, monkeypatch):
+    """Rows of a cloud without structure ask for their neighbours; blocks are small, so buckets are many groups."""
+    monkeypatch.setattr(G, "BLOCK", 50)
+    monkeypatch.setattr(G, "ASKING", 7)
+    monkeypatch.setattr(G, "HELD", 200)
+    v = np.random.default_rng(14).standard_normal((400, 16)).astype(np.float32)
+    vectors = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id bigint, v array<float>")
+    queries = vectors.filter("id % 20 = 0").selectExpr("id AS query", "v AS qvec")
+    sims = np.round(unit(v[::20].astype(float)) @ unit(v.astype(float)).T, 6)
+    sims[np.arange(20), np.arange(0, 400, 20)] = -9
+    got = search(vectors, queries).collect()
+    assert len({(r["query"] // 20, r["id"]) for r in got} & best(sims, 10)) / 200 >= 0.9
+    assert len(got) == 200 and all(r["score"] == pytest.approx(sims[r["query"] // 20, r["id"]], abs=2e-6) for r in got)
+
+
+def test_probing_sequence_flips_the_least_margins():
+    index = V.Planes(8, 2, 3)
+    q = np.random.default_rng(3).standard_normal((4, 8))
+    close, margins = index.closeness(q).reshape(4, 2, 8), (q @ index.planes).reshape(4, 2, 3)
+    for r in range(4):
+        for t in range(2):
+            own = sum(1 << b for b in range(3) if margins[r, t, b] > 0)
+            assert index.codes(q)[r, t] == own + (t << 3)
+            for flip in range(8):
+                assert close[r, t, own ^ flip] == pytest.approx(-sum(margins[r, t, b] ** 2 for b in range(3) if flip >> b & 1))
+
+
+def test_learnt_rotation_lowers_the_error(spark):
+    """Correlated components: codes after the learnt rotation are closer to the vectors than after the first, random one."""
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((600, 3)) @ rng.standard_normal((3, 12)) + 0.1 * rng.standard_normal((600, 12))
+    nodes = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(unit(v))], "id bigint, v array<double>")
+
+    def error(model):
+        cell, parts = model.turned(unit(v))
+        code = model.nearest_codes(parts)
+        return sum(((parts[:, p] - model.books[p][code[:, p]]) ** 2).sum() for p in range(4))
+
+    first, last = (V.learnt_codes(nodes, 12, 4, 4, 8, rounds=n) for n in (1, 8))
+    assert np.allclose(last.rotation @ last.rotation.T, np.eye(12)) and error(last) < 0.8 * error(first)
+    q = unit(rng.standard_normal((5, 12)))
+    cell, parts = last.turned(unit(v))
+    decoded = last.cells.centers[cell] + np.concatenate([last.books[p][last.nearest_codes(parts)[:, p]] for p in range(4)], axis=1) @ last.rotation.T
+    assert np.allclose(last.scores(last.encode(unit(v)), last.asked(q)), decoded @ q.T)
 
 
 def test_quantisation_error_is_bounded(cloud):
