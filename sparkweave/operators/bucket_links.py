@@ -1,9 +1,9 @@
 """Links between members of hash buckets, closed: what comes out grows with the members, not with their pairs.
 
 Every member of a bucket first meets the bucket's leader. Members that are then still in different components are
-compared inside tasks, and a task returns only the edges of a spanning forest of what it finds near. Edges are
-verified; where one fails, the bucket is gone through again with more edge-disjoint forests, until none fails or all
-near pairs were verified. So no link between two components is lost, and pairs inside a component are never made.
+compared inside tasks, and a task returns only the edges of a few spanning forests of what it finds near. Edges are
+verified; where one fails and parts components, the bucket is gone through again with more edge-disjoint forests, until
+none does or all near pairs were verified. So no link between two components is lost, and pairs inside a component are never made.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from sparkweave.sources.files import stored
 
 BLOCK = 8192  # members of a bucket that meet in one task
 PAIRS = 400_000  # pairs a task holds at a time
+FORESTS = 8  # edge-disjoint forests of a bucket's near pairs that are verified; so many times more where edges fail
 PLACES = 1  # places of a parity sketch per element of its set
 LEAST_BITS = 512
 
@@ -157,21 +158,31 @@ def bucket_links(
     pairs = met.join(sides[0], "a").join(sides[1], "b")
     tried = stored(pairs.filter(close(pairs)).select("a", "b"), "leader-pairs")
     links = stored(verify(tried), "links") if verify else tried
-    again, n = members, 1
+    again, n, named = members, FORESTS, _components(links)
     while True:
-        named = connected_components(links).select(F.col("node").alias("id"), "component")
         labelled = again.join(named, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("comp"))
         edges = stored(_edges(labelled, features, prepare, n), "edges")
         new = edges.select("a", "b").distinct()
         if verify is None:
             return links.unionByName(new)
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "new-pairs")
-        links = links.unionByName(stored(verify(new), "links"))
-        failed = edges.filter(~F.col("all")).join(links, ["a", "b"], "left_anti").select("bucket").distinct()
-        failed = stored(failed, "failed")
+        found = new if new.isEmpty() else stored(verify(new), "links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            named = _components(links)
+        # an edge that fails does no harm if other links join its ends: what was left out because of it is joined, too
+        failed = edges.filter(~F.col("all")).join(links, ["a", "b"], "left_anti")
+        for x in "ab":
+            failed = failed.join(named.select(F.col("id").alias(x), F.col("component").alias(f"_{x}")), x, "left")
+        apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
+        failed = stored(failed.filter(apart).select("bucket").distinct(), "failed")
         if failed.isEmpty():
             return links
-        tried, again, n = tried.unionByName(new), members.join(failed, "bucket", "left_semi"), 4 * n
+        tried, again, n = tried.unionByName(new), members.join(failed, "bucket", "left_semi"), FORESTS * n
+
+
+def _components(links: DataFrame) -> DataFrame:
+    return connected_components(links).select(F.col("node").alias("id"), "component")
 
 
 # -- parity sketches of sets
