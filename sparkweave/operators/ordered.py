@@ -58,6 +58,18 @@ def running_totals(
     return both.select(*kept, "_own", *added).filter("_own = 1").drop("_own")
 
 
+def least_before(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bin_col: str, value: str, name: str) -> DataFrame:
+    """Add ``name``: the least ``value`` of the rows of the key that come before (null for its first row).
+
+    As with running totals, the least of all earlier bins joins a bin as one more row ahead of its own.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(bin_col).rowsBetween(Window.unboundedPreceding, -1)
+    carried = df.groupBy(*keys, bin_col).agg(F.min(value).alias("_m")).select(*keys, bin_col, F.min("_m").over(earlier).alias("_v"))
+    both = df.withColumns({"_v": F.col(value), "_own": F.lit(1)}).unionByName(carried.withColumn("_own", F.lit(0)), allowMissingColumns=True)
+    rows = Window.partitionBy(*keys, bin_col).orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, -1)
+    return both.withColumn(name, F.min("_v").over(rows)).filter("_own = 1").select(*df.columns, name)
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

@@ -362,19 +362,20 @@ def _(t):
     )
 
 
-def sql_token_bucket(capacity, rate):
-    """One request after the other, without cutting into bursts."""
-    return f"""RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS sec, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-s AS (SELECT user_id, event_id, rn, sec, true AS allowed, {capacity}::DOUBLE - 1 AS tokens FROM e WHERE rn = 1 UNION ALL
- SELECT user_id, event_id, rn, sec, filled >= 1, filled - CASE WHEN filled >= 1 THEN 1 ELSE 0 END FROM (
-  SELECT e.user_id, e.event_id, e.rn, e.sec, least({capacity}::DOUBLE, s.tokens + (e.sec - s.sec) * (1::DOUBLE / {rate})) AS filled
+def sql_token_bucket(capacity, refill):
+    """One request after the other, without cutting into runs; the bucket holds units of time."""
+    return f"""RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) AS at_us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+s AS (SELECT user_id, event_id, rn, at_us, true AS allowed, {(capacity - 1) * refill}::BIGINT AS held FROM e WHERE rn = 1 UNION ALL
+ SELECT user_id, event_id, rn, at_us, filled >= {refill}, filled - CASE WHEN filled >= {refill} THEN {refill} ELSE 0 END FROM (
+  SELECT e.user_id, e.event_id, e.rn, e.at_us, least({capacity * refill}::BIGINT, s.held + e.at_us - s.at_us) AS filled
   FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1))"""
 
 
-@query("T29_token_bucket", f"WITH {sql_token_bucket(3, 3600)} SELECT user_id, event_id, allowed, tokens FROM s")
+@query("T29_token_bucket", f"WITH {sql_token_bucket(3, 60 * MINUTE)} SELECT user_id, event_id, allowed, round(held / {60 * MINUTE}, 9) AS tokens FROM s")
 def _(t):
-    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
-    return R.token_bucket(e, "user_id", "sec", "event_id", capacity=3.0, per_second=1 / 3600, bin_col="minute")
+    e = instants(t).withColumn("minute", F.floor(F.col("at") / MINUTE))
+    out = R.token_bucket(e, "user_id", "at", "event_id", capacity=3, refill=60 * MINUTE, bin_col="minute")
+    return out.withColumn("tokens", F.round("tokens", 9))
 
 
 @query("T30_pending_messages", """

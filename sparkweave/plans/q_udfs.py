@@ -43,11 +43,11 @@ def _(t):
     return t.spark.sql("SELECT doc_id, c.chunk_no, md5(c.chunk) AS chunk FROM documents, LATERAL chunk_words(text, 300, 50) c")
 
 
-@query("U05_grouped_map", f"""WITH {sql_token_bucket(5, 1800)}
+@query("U05_grouped_map", f"""WITH {sql_token_bucket(5, 30 * MINUTE)}
 SELECT user_id, count(*) FILTER (WHERE allowed) AS allowed, count(*) AS n FROM s GROUP BY 1""")
 def _(t):
-    e = instants(t).withColumns({"sec": F.col("at") / 1e6, "minute": F.floor(F.col("at") / MINUTE)})
-    out = R.token_bucket(e, "user_id", "sec", "event_id", capacity=5.0, per_second=1 / 1800, bin_col="minute")
+    e = instants(t).withColumn("minute", F.floor(F.col("at") / MINUTE))
+    out = R.token_bucket(e, "user_id", "at", "event_id", capacity=5, refill=30 * MINUTE, bin_col="minute")
     return out.groupBy("user_id").agg(F.count_if(F.col("allowed")).alias("allowed"), n_rows().alias("n"))
 
 

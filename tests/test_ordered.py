@@ -165,29 +165,86 @@ def events(spark):
     return rows, spark.createDataFrame(rows, "u int, at double, id int").withColumn("bin", F.floor(F.col("at") / 100))
 
 
-def test_token_bucket(spark):
-    rows, df = events(spark)
-    got = {r["id"]: (r["allowed"], round(r["tokens"], 6)) for r in R.token_bucket(df, "u", "at", "id", 3.0, 0.05, "bin").collect()}
-    state = {}
+def plain_bucket(rows, capacity, refill):
+    """One request after the other: ``id -> allowed, tokens``."""
+    state, out = {}, {}
     for u, at, i in rows:
-        tokens, last = state.get(u, (3.0, at))
-        tokens = min(3.0, tokens + (at - last) * 0.05)
-        ok = tokens >= 1
-        tokens -= ok
-        state[u] = (tokens, at)
-        assert got[i] == (ok, round(tokens, 6))
-    assert 0 < sum(a for a, _ in got.values()) < len(got)
+        held, last = state.get(u, (capacity * refill, at))
+        held = min(capacity * refill, held + at - last)
+        ok = held >= refill
+        held -= refill if ok else 0
+        state[u] = (held, at)
+        out[i] = (ok, held / refill)
+    return out
 
 
-def test_first_in_span(spark):
-    rows, df = events(spark)
-    got = {r["id"] for r in R.first_in_span(df, "u", "at", "id", 60.0, "bin").collect()}
+#: Requests of one key in a hundred units of time: from hardly any to far more than the bucket allows, and uneven.
+LOADS = {"idle": (0.5, 1.0), "even": (5.0, 1.0), "busy": (40.0, 1.0), "bursts": (6.0, 6.0), "ties": (300.0, 1.0)}
+
+
+@pytest.mark.parametrize("load", LOADS)
+@pytest.mark.parametrize("long,turns", [(200_000, 12), (20, 12), (20, 2), (1, 400)])
+def test_token_bucket(spark, monkeypatch, load, long, turns):
+    """Short runs stream, long ones are worked on in bins, and both equal the plain form; also a null key."""
+    monkeypatch.setattr(R, "LONG", long)
+    monkeypatch.setattr(R, "TURNS", min(turns, 40))
+    monkeypatch.setattr(R, "BIN", 7)
+    rate, wave = LOADS[load]
+    rng = np.random.default_rng(8)
+    n = 160
+    gaps = rng.exponential(100 / rate, n) * np.where(np.arange(n) // 25 % 2 == 0, 1, wave)
+    at = np.cumsum(gaps).astype(int)
+    users = [None if x > 0.9 else 0 if x > 0.2 else 1 for x in rng.random(n)]
+    rows = [(u, int(t), i) for i, (u, t) in enumerate(zip(users, at))]
+    df = spark.createDataFrame(rows, "u int, at bigint, id int").withColumn("bin", F.floor(F.col("at") / 100))
+    got = R.token_bucket(df, "u", "at", "id", 4, 20, "bin").collect()
+    assert len(got) == n and {r["id"]: (r["allowed"], r["tokens"]) for r in got} == plain_bucket(rows, 4, 20)
+
+
+def busy_key(spark, n=6000):
+    """A key with three fifths of the rows and never a pause."""
+    rng = np.random.default_rng(18)
+    rows = [(int(u), int(t), i) for i, (u, t) in enumerate(zip(np.where(rng.random(n) < 0.6, 0, rng.integers(1, 9, n)), np.sort(rng.integers(0, 3000, n))))]
+    return rows, spark.createDataFrame(rows, "u int, at bigint, id int").withColumn("bin", F.floor(F.col("at") / 50))
+
+
+def test_a_busy_key_is_worked_on_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(R, "LONG", 500)
+    monkeypatch.setattr(R, "BIN", 200)
+    rows, df = busy_key(spark)
+    streamed, plain = [], R._scan_in_order
+    monkeypatch.setattr(R, "_scan_in_order", lambda d, keys, *a: streamed.append(d.groupBy(*keys).count()) or plain(d, keys, *a))
+    got = {r["id"]: (r["allowed"], r["tokens"]) for r in R.token_bucket(df, "u", "at", "id", 5, 20, "bin").collect()}
+    assert got == plain_bucket(rows, 5, 20)
+    most = [d.agg(F.max("count")).first()[0] or 0 for d in streamed]
+    assert max(most) <= 500  # nothing long went through one state
+    hot = df.filter("u = 0").withColumn("_run", F.lit(0)).withColumnRenamed("id", "_i")
+    tasks = R.least_before(hot.withColumn("_bin", F.floor(F.col("_i") / 200)), ["u", "_run"], [F.col("_i")], "_bin", "at", "m")
+    per_task = tasks.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 0.6 * hot.count()
+
+
+def plain_spans(rows, span):
     kept, want = {}, set()
     for u, at, i in rows:
-        if u not in kept or at - kept[u] >= 60.0:
+        if u not in kept or at - kept[u] >= span:
             kept[u] = at
             want.add(i)
-    assert got == want
+    return want
+
+
+@pytest.mark.parametrize("long", [200_000, 30, 1])
+def test_first_in_span(spark, monkeypatch, long):
+    monkeypatch.setattr(R, "LONG", long)
+    rows, df = events(spark)
+    assert {r["id"] for r in R.first_in_span(df, "u", "at", "id", 60.0, "bin").collect()} == plain_spans(rows, 60.0)
+
+
+def test_first_in_span_of_a_busy_key(spark, monkeypatch):
+    monkeypatch.setattr(R, "LONG", 500)
+    rows, df = busy_key(spark)
+    got = [r["id"] for r in R.first_in_span(df, "u", "at", "id", 35, "bin").collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_spans(rows, 35)
 
 
 def test_count_within(spark):
