@@ -221,7 +221,7 @@ def test_a_busy_key_is_worked_on_in_many_tasks(spark, monkeypatch):
     hot = df.filter("u = 0").withColumn("_run", F.lit(0)).withColumnRenamed("id", "_i")
     tasks = R.least_before(hot.withColumn("_bin", F.floor(F.col("_i") / 200)), ["u", "_run"], [F.col("_i")], "_bin", "at", "m")
     per_task = tasks.groupBy(F.spark_partition_id()).count().collect()
-    assert len(per_task) == 4 and max(r["count"] for r in per_task) < 0.6 * hot.count()
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 0.6 * hot.count()
 
 
 def plain_spans(rows, span):
