@@ -82,6 +82,26 @@ def walks(edges: DataFrame, start: DataFrame, max_depth: int) -> DataFrame:
     return reduce(DataFrame.unionByName, levels)
 
 
+def cyclic_core(edges: DataFrame) -> DataFrame:
+    """``node, component``: what is left of ``edges(src, dst)`` when nodes without edges in or out are peeled off, turn by turn.
+
+    Every cycle is in the core, and the core holds nothing but cycles and ways between them; its connected components are
+    named by their least node. No paths are kept, so rows never exceed edges. Turns grow with the longest way into or out
+    of a cycle. A node with an edge to itself is a cycle; nulls are dropped, repeated edges count once.
+    """
+    now = _step(edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    size = now.count()
+    while size:
+        heads, tails = now.select(F.col("dst").alias("src")).distinct(), now.select(F.col("src").alias("dst")).distinct()
+        now = _step(now.join(heads, "src", "left_semi").join(tails, "dst", "left_semi").select("src", "dst"))
+        before, size = size, now.count()
+        if size == before:
+            break
+    named = connected_components(now.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    nodes = now.select(F.col("src").alias("node")).unionByName(now.select(F.col("dst").alias("node"))).distinct()
+    return nodes.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
 def _lowest(edges: DataFrame) -> DataFrame:
     """Per node ``a`` the least of itself and its neighbours; summed up before the shuffle."""
     return edges.groupBy("a").agg(F.min("b").alias("_b")).select("a", F.least("a", "_b").alias("m"))

@@ -58,6 +58,22 @@ def running_totals(
     return both.select(*kept, "_own", *added).filter("_own = 1").drop("_own")
 
 
+ROWS_PER_BIN = 200_000
+
+
+def even_bins(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "_bin") -> DataFrame:
+    """Add a bin number that rises with ``order`` inside each key, with bins of about ``ROWS_PER_BIN`` rows whatever the values are.
+
+    ``order`` must be total. Bounds are sampled quantiles of keys and order together, so rows that tie in their first order
+    column are parted by the next ones. The rows are written once, since a sample may turn out otherwise when it is repeated.
+    """
+    from sparkweave.sources.files import stored
+
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_BIN))
+    ranged = df.repartitionByRange(parts, *[F.col(k) for k in keys], *order)
+    return stored(ranged.withColumn(name, F.spark_partition_id()), "even-bins")
+
+
 def least_before(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bin_col: str, value: str, name: str) -> DataFrame:
     """Add ``name``: the least ``value`` of the rows of the key that come before (null for its first row).
 

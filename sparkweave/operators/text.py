@@ -9,7 +9,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkweave.sources.files import stored
 
 
 def words(text: Column | str) -> Column:
@@ -119,15 +118,31 @@ def semantic_chunks(df: DataFrame, key: str, text: str, threshold: float) -> Dat
 
 
 
+def word_runs(w: Column) -> Column:
+    """``struct(term, tf)`` per distinct word of an array: equal words are neighbours in order, and each run is one term."""
+
+    def runs(sorted_words):
+        places = F.sequence(F.lit(0), F.size(sorted_words) - 1)
+        begins = F.filter(places, lambda i: (i == 0) | (F.get(sorted_words, i) != F.get(sorted_words, i - 1)))
+
+        def counted(at):
+            return F.transform(at, lambda b, i: F.struct(
+                F.get(sorted_words, b).alias("term"), (F.coalesce(F.get(at, i + 1), F.size(sorted_words)) - b).cast("bigint").alias("tf"),
+            ))
+
+        # each array is held once, however often a lambda names it
+        return F.transform(F.array(begins), counted)[0]
+
+    return F.when(F.size(w) > 0, F.transform(F.array(F.array_sort(w)), runs)[0])
+
+
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key, dl, term, tf`` of lower-case words, ``dl`` being the document's word count.
 
-    Texts are dealt out by key before they are cut into words; the counts then need no shuffle of their own, and a text
-    is smaller than its postings.
+    A row is a document, so words are counted inside the row and nothing is shuffled.
     """
-    doc = df.select(key, F.lower(text).alias("_t")).repartition(key).select(key, words("_t").alias("_w"))
-    flat = doc.select(key, F.size("_w").alias("dl"), F.explode("_w").alias("term"))
-    return flat.groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
+    doc = df.select(key, words(F.lower(text)).alias("_w"))
+    return doc.select(key, F.size("_w").alias("dl"), F.inline(word_runs(F.col("_w"))))
 
 
 def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -140,26 +155,6 @@ def tf_idf(df: DataFrame, key: str, text: str) -> DataFrame:
     return scored.select(key, "term", "tf", (F.col("tf") / F.col("dl") * F.log(n / F.col("df"))).alias("tf_idf"))
 
 
-def bm25(df: DataFrame, key: str, text: str, queries: DataFrame, k1: float = 1.5, b: float = 0.75) -> DataFrame:
-    """BM25 of every document that shares a term with a query; ``queries(query, term)`` is small.
-
-    Texts are cut into words once: their lengths and the words that a query asks for are stored, and all else
-    follows from those.
-    """
-    # the terms of the query set; a set too large for one array belongs in a join of postings
-    asked = F.array(*[F.lit(r["term"]) for r in queries.select("term").distinct().collect()]).cast("array<string>")
-    cut = df.select(key, words(F.lower(text)).alias("_w"))
-    doc = stored(cut.select(key, F.size("_w").alias("dl"), F.filter("_w", lambda x: F.array_contains(asked, x)).alias("_t")), "query-words")
-    stats = doc.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avg"))
-    n, avg = stats.select("n").scalar(), stats.select("avg").scalar()
-    post = doc.select(key, "dl", F.explode("_t").alias("term")).groupBy(key, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    frequency = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = queries.join(frequency, "term").select("query", "term", F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))
-    hits = post.join(weighted, "term")
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avg))
-    return hits.groupBy("query", key).agg(F.sum(part).alias("score"))
-
-
 # fixed values: patterns and phrase lists of the text checks
 PII_PATTERNS = {
     "credit_card": r"\b\d{4}[\s-]?\d{4}[\s-]?\d{4}[\s-]?\d{4}\b",

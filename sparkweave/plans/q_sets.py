@@ -8,6 +8,7 @@ from sparkweave.functions import money as M
 from sparkweave.operators import graphs as G
 from sparkweave.plans.common import EMP, day, employees, month, n_rows, sql_mean, sql_tagged, sql_total, tagged
 from sparkweave.plans.registry import query
+from sparkweave.sources.files import stored
 
 
 @query("Q01_union", sql_tagged(
@@ -140,7 +141,6 @@ WITH spend AS MATERIALIZED (SELECT o_custkey, {sql_total('o_totalprice')} AS tot
 SELECT o_custkey, total, CASE WHEN total > (SELECT {sql_mean('total')} FROM spend) THEN 'above' ELSE 'below' END AS side FROM spend""")
 def _(t):
     # the aggregate is written once to the shared folder and read twice
-    from sparkweave.sources.files import stored
 
     spend = stored(t.orders.groupBy("o_custkey").agg(M.total("o_totalprice").alias("total")), "spend")
     mean = spend.agg(M.mean("total")).scalar()
@@ -181,16 +181,29 @@ def _(t):
     return G.reach(edges, t.part.agg(F.min("p_partkey").alias("node")), 4)
 
 
-@query("Q15_cycle_guard", """
-WITH RECURSIVE m AS (SELECT count(*) AS n FROM supplier), e AS (SELECT s_suppkey AS src, (s_suppkey * 7 + 3) % n AS dst FROM supplier, m),
-w AS (SELECT s_suppkey AS node, 0 AS depth, [s_suppkey] AS path FROM supplier
- UNION ALL SELECT dst, depth + 1, list_append(path, dst) FROM w JOIN e ON src = node WHERE depth < 6 AND NOT list_contains(path, dst))
-SELECT node, depth, array_to_string(path, '>') AS path FROM w""")
-def _(t):
-    n = t.supplier.agg(n_rows()).scalar()
-    edges = t.supplier.select(F.col("s_suppkey").alias("src"), ((F.col("s_suppkey") * 7 + 3) % n).alias("dst"))
-    w = G.walks(edges, t.supplier.select(F.col("s_suppkey").alias("node")), 6)
-    return w.select("node", "depth", F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
+SQL_CYCLE_EDGES = "m AS (SELECT count(*) AS n FROM supplier), e AS (SELECT DISTINCT s_suppkey AS src, (s_suppkey * k + 3) % n AS dst FROM supplier, m, (VALUES (7), (5)) v(k) WHERE s_suppkey % 4 = 0 OR k = 7)"
+
+
+@query("Q15_cycle_guard", f"""
+WITH RECURSIVE {SQL_CYCLE_EDGES},
+ways(a, b) AS (SELECT src, dst FROM e UNION SELECT ways.a, e.dst FROM ways JOIN e ON e.src = ways.b),
+loops AS (SELECT a AS node FROM ways WHERE a = b),
+core AS (SELECT node FROM loops UNION SELECT x.b FROM ways x JOIN loops p ON p.node = x.a JOIN ways y ON y.a = x.b JOIN loops q ON q.node = y.b),
+links AS (SELECT src AS a, dst AS b FROM e WHERE src IN (SELECT node FROM core) AND dst IN (SELECT node FROM core)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links), joined(node, goal) AS (SELECT node, node FROM core UNION SELECT j.node, b FROM joined j JOIN both_ways w ON w.a = j.goal),
+first AS (SELECT node, min(goal) AS component FROM joined GROUP BY 1),
+r AS (SELECT (SELECT min(s_suppkey) FROM supplier) AS node, 0 AS depth UNION SELECT dst, depth + 1 FROM r JOIN e ON src = node WHERE depth < 6), d AS (SELECT node, min(depth) AS depth FROM r GROUP BY 1)
+SELECT s_suppkey AS node, depth, component IS NOT NULL AS cyclic, component FROM supplier LEFT JOIN d ON d.node = s_suppkey LEFT JOIN first f ON f.node = s_suppkey""")
+def _(t):
+    # a traversal that meets no node twice, and the nodes that a cycle can bring it back to
+    n, key = t.supplier.agg(n_rows()).scalar(), F.col("s_suppkey")
+    factors = F.when(key % 4 == 0, F.array(F.lit(7), F.lit(5))).otherwise(F.array(F.lit(7)))
+    edges = stored(t.supplier.select(key.alias("src"), F.explode(factors).alias("k")).select("src", ((F.col("src") * F.col("k") + 3) % n).alias("dst")).distinct(), "edges")
+    depth = G.reach(edges, t.supplier.agg(F.min("s_suppkey").alias("node")), 6)
+    core = G.cyclic_core(edges)
+    return t.supplier.select(key.alias("node")).join(depth, "node", "left").join(core, "node", "left").select(
+        "node", "depth", F.col("component").isNotNull().alias("cyclic"), "component"
+    )
 
 
 @query("Q16_generate_series", """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkweave.functions.scalars import first_reason
+from sparkweave.operators import inverted_index as I
 from sparkweave.operators import similar as N
 from sparkweave.operators import text as X
 from sparkweave.operators.aggregates import top_n_per_group
@@ -115,7 +116,8 @@ bm AS (SELECT query, doc_id, round(sum(ln((n - df + 0.5) / (df + 0.5) + 1) * tf
 def bm25_ranking(t, k):
     # the query terms are a few rows; written once, they are not counted again for every use
     queries = stored(language_queries(t), "queries")
-    scores = X.bm25(t.spread("documents"), "doc_id", "text", queries).withColumn("score", F.round("score", 6))
+    index = I.build_index(t.spread("documents"), "doc_id", "text")
+    scores = I.search(index, queries, k).withColumn("score", F.round("score", 6))
     return top_n_per_group(scores, ["query"], [F.col("score").desc(), F.col("doc_id")], k).withColumnRenamed("rank", "place")
 
 

@@ -7,24 +7,21 @@ from pyspark.sql import Window, functions as F
 from sparkweave.functions import money as M
 from sparkweave.operators import text_lines as L
 from sparkweave.operators.aggregates import top_n_per_group
-from sparkweave.operators.ordered import number_rows, previous_of_key, running_totals, value_positions, with_neighbours
+from sparkweave.operators.ordered import even_bins, number_rows, previous_of_key, running_totals, value_positions, with_neighbours
 from sparkweave.plans.common import EMP, day, employees, month, n_rows, sql_mean, sql_tagged, sql_total, sql_units, tagged
 from sparkweave.plans.registry import query
 
 SALARY_BAND = 20.0
 
 
-def banded(t):
-    return employees(t).withColumn("band", F.floor(F.col("salary") / SALARY_BAND))
-
-
 def by_salary():
     return [F.col("salary").desc(), F.col("emp_id").asc()]
 
 
 def numbered(t):
     """Employees numbered per department by falling salary."""
-    return number_rows(banded(t), ["dept_id"], by_salary(), "band", "rn", descending=True)
+    # half of a department may have one salary; bins are even, as ties are parted by the employee's id
+    return number_rows(even_bins(employees(t), ["dept_id"], by_salary()), ["dept_id"], by_salary(), "_bin", "rn")
 
 
 def orders_by_customer(t):

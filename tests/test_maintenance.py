@@ -224,3 +224,14 @@ def test_totals_beyond_bigint(spark):
     big = spark.createDataFrame([(9.0e15, 1), (9.0e15, 1), (-1.25, 1), (-0.5, 2), (None, 2)], "v double, k int").crossJoin(spark.range(20))
     got = {r["k"]: (r["t"], r["m"]) for r in big.groupBy("k").agg(M.total("v", 3).alias("t"), M.mean("v", 3).alias("m")).collect()}
     assert got[1][0] == pytest.approx(3.6e17, rel=1e-15) and got[2] == (-10.0, -0.5)
+
+
+def test_cyclic_core_is_linear(spark):
+    """Branching 3 and depth 30: far more paths than could be kept, one cycle at the end, one edge to itself, one way between."""
+    edges = [(100 * level + i, 100 * (level + 1) + (i * 2 + k) % 7) for level in range(30) for i in range(7) for k in range(3)]
+    edges += [(3000 + i, 3000 + (i + 1) % 7) for i in range(7)] + [(5000, 5000), (5000, 6000), (6000, 6001), (6001, 3000), (7000, 5000), (None, 1), (1, None)]
+    edges += edges[:40]
+    got = {r["node"]: r["component"] for r in G.cyclic_core(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
+    assert got == {**{3000 + i: 3000 for i in range(7)}, 5000: 3000, 6000: 3000, 6001: 3000}
+    assert G.cyclic_core(spark.createDataFrame([], "src bigint, dst bigint")).count() == 0
+    assert G.cyclic_core(spark.createDataFrame([(1, 2), (2, 3)], "src bigint, dst bigint")).count() == 0

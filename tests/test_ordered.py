@@ -262,3 +262,19 @@ def test_running_totals_property(spark, data):
     got = {r["id"]: r["s"] for r in O.running_totals(df, ["k"], [F.col("t"), F.col("id")], "bin", {"s": F.col("v")}).collect()}
     for k, t, i, _ in rows:
         assert got[i] == sum(v2 for k2, t2, i2, v2 in rows if k2 == k and (t2, i2) <= (t, i))
+
+
+def test_ties_are_parted_by_the_next_key(spark, monkeypatch):
+    """Half of one department has one salary: its rows spread over many bins, none much larger than the others."""
+    monkeypatch.setattr(O, "ROWS_PER_BIN", 100)
+    rng = np.random.default_rng(4)
+    rows = [(int(d), 500.0 if rng.random() < 0.5 else float(rng.integers(0, 1000)), i) for i, d in enumerate(np.where(rng.random(4000) < 0.7, 0, rng.integers(1, 4, 4000)))]
+    df = spark.createDataFrame(rows, "dept int, salary double, id int")
+    order = [F.col("salary").desc(), F.col("id")]
+    binned = O.even_bins(df, ["dept"], order)
+    tied = binned.filter("dept = 0 AND salary = 500").groupBy("_bin").count().collect()
+    assert len(tied) >= 8 and max(r["count"] for r in binned.groupBy("dept", "_bin").count().collect()) <= 300
+    got = {r["id"]: r["rn"] for r in O.number_rows(binned, ["dept"], order, "_bin", "rn").collect()}
+    for dept in range(4):
+        mine = sorted((x for x in rows if x[0] == dept), key=lambda x: (-x[1], x[2]))
+        assert [got[x[2]] for x in mine] == list(range(1, len(mine) + 1))

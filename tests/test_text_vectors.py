@@ -8,6 +8,7 @@ from sparkweave.functions import scalars as S
 from sparkweave.functions import udfs as U
 from sparkweave.operators import geo
 from sparkweave.operators import bucket_links, similar as N
+from sparkweave.operators import inverted_index as I
 from sparkweave.operators import text as X
 from sparkweave.operators import vector_groups as G
 from sparkweave.operators import vectors as V
@@ -414,3 +415,45 @@ def test_failing_model_call_is_retried(spark, tmp_path):
 
     df = spark.createDataFrame([(i, "x") for i in range(5)], "id int, t string").coalesce(1)
     assert U.embed_batches(df, "id", "t", flaky, batch_size=2).count() == 5
+
+
+def plain_bm25(texts, terms, k1=1.5, b=0.75):
+    docs = [t.lower().split() for t in texts]
+    avg, n = sum(map(len, docs)) / len(docs), len(docs)
+    out = {}
+    for term in set(terms):
+        df = sum(term in d for d in docs)
+        for i, d in enumerate(docs):
+            if term in d:
+                tf = d.count(term)
+                out[i] = out.get(i, 0) + np.log((n - df + 0.5) / (df + 0.5) + 1) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(d) / avg))
+    return sorted(((round(s, 6), -i) for i, s in out.items()), reverse=True)
+
+
+def test_inverted_index_reads_its_terms_only(spark):
+    rng = np.random.default_rng(13)
+    vocab = [f"t{i}" for i in range(300)]
+    p = 1 / np.arange(1, 301)
+    texts = [" ".join(rng.choice(vocab, int(rng.integers(3, 60)), p=p / p.sum())) for _ in range(400)] + ["", " "]
+    index = I.build_index(spark.createDataFrame(list(enumerate(texts)), "id int, t string"), "id", "t", folders=8)
+    asked = {0: ["t0", "t7", "t7", "t90"], 1: ["t250"], 2: ["t0", "t1", "t2"], 3: ["absent"], 4: ["t2"]}
+    queries = spark.createDataFrame([(q, x) for q, terms in asked.items() for x in terms], "query int, term string")
+    found = I.search(index, queries, 5)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query"], []).append((round(r["score"], 6), -r["id"]))
+    for q, terms in asked.items():
+        assert sorted(got.get(q, []), reverse=True)[:5] == plain_bm25(texts, terms)[:5]
+    plan = I.search(index, queries.filter("query = 1"), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(folder" in plan or "PartitionFilters: [folder" in plan or "(folder#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    # blocks that cannot hold one of the best are not read
+    read = I.wanted_blocks(index, queries, 5).filter("query = 4").join(index.blocks, ["term", "level"]).agg(F.sum("n")).first()[0]
+    every = index.postings.filter("term = 't2'").count()
+    assert 5 <= read < every
+
+
+def test_words_of_a_row_are_counted_in_the_row(spark):
+    df = spark.createDataFrame([(1, "b a b  B c"), (2, ""), (3, None), (4, "x")], "id int, t string")
+    got = {(r["id"], r["dl"], r["term"], r["tf"]) for r in X.postings(df, "id", "t").collect()}
+    assert got == {(1, 5, "a", 1), (1, 5, "b", 3), (1, 5, "c", 1), (4, 1, "x", 1)}
+    assert "Exchange" not in X.postings(df, "id", "t")._jdf.queryExecution().executedPlan().toString()
