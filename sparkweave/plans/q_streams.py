@@ -56,11 +56,11 @@ def _(t):
 
 @query("S21_buffered_delivery", "SELECT count(*) AS n, 4::BIGINT AS batches FROM events")
 def _(t):
-    fed = G.FedStream(t.spark, t.events.schema, "buffered", maxFilesPerTrigger=1)
-    parts = [t.events.filter(F.pmod(F.col("event_id"), F.lit(4)) == i).coalesce(1) for i in range(4)]
-    for p in parts:
-        fed.add(p)
-    rows = G.to_batches(fed.stream, "buffered", "append", f"{fed.folder}/out")
+    # each delivery is one run on the same checkpoint, and so one batch, whatever the number of its files
+    fed = G.FedStream(t.spark, t.events.schema, "buffered")
+    for i in range(4):
+        fed.add(t.events.filter(F.pmod(F.col("event_id"), F.lit(4)) == i))
+        rows = G.to_batches(fed.stream, "buffered", "append", f"{fed.folder}/out")
     return rows.groupBy("batch_id").agg(n_rows().alias("n")).filter("n > 0").agg(F.sum("n").alias("n"), n_rows().alias("batches"))
 
 
@@ -93,7 +93,8 @@ WITH a AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY
 b AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM a), s AS (SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS "end", count(*) AS n, CAST(sum({sql_units('value')}) AS BIGINT) / 1e2 AS total FROM b GROUP BY user_id, g)
 SELECT start, "end", user_id, n, total FROM s WHERE "end" <= {sql_mark('10 MINUTE')}""")
 def _(t):
-    return finished(G.to_table(W.sessions(events(t), "ts", ["user_id"], sum_u(), "2 hours", "10 minutes"), "sessions"))
+    with G.sessions_merged_early(t.spark):
+        return finished(G.to_table(W.sessions(events(t), "ts", ["user_id"], sum_u(), "2 hours", "10 minutes"), "sessions"))
 
 
 @query("T04_threshold_alert", f"SELECT start, \"end\", user_id, total FROM ({SQL_HOP}) WHERE total > 150")
@@ -181,7 +182,7 @@ SELECT a.event_id AS click, b.event_id AS purchase FROM events a JOIN events b O
 def _(t):
     clicks = events(t).filter("event_type = 'click'").select(F.col("event_id").alias("click"), "user_id", F.col("ts").alias("click_ts"))
     buys = events(t).filter("event_type = 'purchase'").select(F.col("event_id").alias("purchase"), "user_id", F.col("ts").alias("buy_ts"))
-    joined = W.pairs_within(clicks, buys, "user_id", "click_ts", "buy_ts", "30 MINUTES", "1 hour")
+    joined = W.pairs_within(clicks, buys, "user_id", "click_ts", "buy_ts", 30 * 60, "1 hour")
     return G.to_table(joined.select("click", "purchase"), "stream_join")
 
 

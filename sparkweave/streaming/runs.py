@@ -90,20 +90,33 @@ def run_steps(spark: SparkSession, steps: Sequence[DataFrame], build: Callable[[
     return result
 
 
-class rocksdb_state:
-    """State kept in RocksDB for the runs inside the block."""
-
-    KEY = "spark.sql.streaming.stateStore.providerClass"
+class settings:
+    """Session settings that hold for the runs inside the block."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, **values: str):
+        self.spark, self.values = spark, values
 
     def __enter__(self):
-        self.before = self.spark.conf.get(self.KEY, None)
-        self.spark.conf.set(self.KEY, ROCKSDB)
+        self.before = {k: self.spark.conf.get(k, None) for k in self.values}
+        for k, v in self.values.items():
+            self.spark.conf.set(k, v)
 
     def __exit__(self, *exc):
-        if self.before is None:
-            self.spark.conf.unset(self.KEY)
-        else:
-            self.spark.conf.set(self.KEY, self.before)
+        for k, v in self.before.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+
+
+def rocksdb_state(spark: SparkSession) -> settings:
+    """State kept in RocksDB for the runs inside the block."""
+    return settings(spark, **{"spark.sql.streaming.stateStore.providerClass": ROCKSDB})
+
+
+def sessions_merged_early(spark: SparkSession) -> settings:
+    """Sessions on two levels: every task merges what it read of a key, and only those partial sessions reach the key's state.
+
+    So a busy key sends as many rows as it has sessions in each task's part, not as many as it has records.
+    """
+    return settings(spark, **{"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"})

@@ -96,5 +96,46 @@ def test_stream_join_within_the_span(spark):
     f1, f2 = G.FedStream(spark, left.schema, "left"), G.FedStream(spark, right.schema, "right")
     f1.add(left)
     f2.add(right)
-    out = G.to_table(W.pairs_within(f1.stream, f2.stream, "user", "a_ts", "b_ts", "30 MINUTES", "1 hour").select("a", "b"), "pairs")
+    out = G.to_table(W.pairs_within(f1.stream, f2.stream, "user", "a_ts", "b_ts", 1800, "1 hour").select("a", "b"), "pairs")
     assert [tuple(r) for r in out.collect()] == [(1, 1)]
+
+
+def test_state_of_a_stream_join_is_kept_by_time(spark):
+    """One key in all rows: every pair within the span comes once, and the state is dealt by key and bucket, not by key."""
+    import random
+
+    rng = random.Random(4)
+    seconds = lambda x: at("00:00:00") + dt.timedelta(seconds=x)
+    left = [(rng.randrange(40_000), i) for i in range(150)] + [(900, 1000), (1800, 1001)]
+    right = [(rng.randrange(40_000), i) for i in range(150)] + [(900, 1000), (2700, 1001), (2701, 1002)]
+    frames = [spark.createDataFrame([("u", seconds(x), i) for x, i in rows_], f"user string, {n}_ts timestamp, {n} int") for rows_, n in ((left, "a"), (right, "b"))]
+    feeds = [G.FedStream(spark, f.schema, "hot") for f in frames]
+    for feed, f in zip(feeds, frames):
+        feed.add(f)
+    joined = W.pairs_within(feeds[0].stream, feeds[1].stream, "user", "a_ts", "b_ts", 900, "1 hour")
+    got = sorted(tuple(r) for r in G.to_table(joined.select("a", "b"), "hot").collect())
+    assert got == sorted((i, j) for x, i in left for y, j in right if x <= y <= x + 900)
+    buckets = W.pairs_within(frames[0], frames[1], "user", "a_ts", "b_ts", 900, "1 hour").select("a._bucket", "a").distinct().groupBy("_bucket").count()
+    assert buckets.count() > 30 and buckets.agg(F.max("count")).first()[0] < 20
+
+
+def test_sessions_of_a_busy_key_are_merged_where_they_are_read(spark):
+    minutes = [0, 10, 25, 50, 95, 100, 101, 160, 200] + [300 + i for i in range(200)]
+    data = spark.createDataFrame([(at("00:00:00") + dt.timedelta(minutes=m), "u", 1.0) for m in minutes] + [(at("20:00:00"), "z", 0.0)], SCHEMA)
+
+    def run(label):
+        fed = G.FedStream(spark, data.schema, label)
+        fed.add(data.repartition(6))
+        out = W.sessions(fed.stream, "ts", ["user"], [F.sum("amount").alias("a")], "30 minutes", "10 minutes")
+        query = out.writeStream.trigger(availableNow=True).format("memory").queryName(label).option("checkpointLocation", f"{fed.folder}/c").start()
+        query.awaitTermination()
+        return query._jsq.explainInternal(False), sorted(tuple(r) for r in spark.table(label).collect())
+
+    plain_plan, plain = run("plain_sessions")
+    with G.sessions_merged_early(spark):
+        plan, early = run("early_sessions")
+    assert early == plain and [r[-1] for r in early] == [4.0, 3.0, 1.0, 1.0, 200.0]
+    before_exchange = lambda text: text[text.rindex("Exchange hashpartitioning"):]
+    assert "MergingSessions" in before_exchange(plan) and "MergingSessions" not in before_exchange(plain_plan)
+    key = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    assert spark.conf.get(key) == "false"
