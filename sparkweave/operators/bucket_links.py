@@ -19,8 +19,9 @@ from sparkweave.sources.files import stored
 
 BLOCK = 8192  # members of a bucket that meet in one task
 PAIRS = 400_000  # pairs a task holds at a time
-FORESTS = 8  # edge-disjoint forests of a bucket's near pairs that are verified; so many times more where edges fail
-PLACES = 1  # places of a parity sketch per element of its set
+FORESTS = 8  # edge-disjoint forests of a bucket's near pairs that are verified
+MORE = 64  # times as many where edges fail
+PLACES = 2  # places of a parity sketch per element of its set
 LEAST_BITS = 512
 
 
@@ -144,7 +145,14 @@ def _edges(labelled: DataFrame, features: DataFrame, prepare: Callable, n: int)
 def bucket_links(
     members: DataFrame, features: DataFrame, prepare: Callable, close: Callable[[DataFrame], Column], verify: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
-    """``a, b`` (``a < b``): verified links whose closure is that of all linked pairs that share a bucket.
+    """``a, b`` (``a < b``): verified links whose closure is that of all linked pairs that share a bucket."""
+    return bucket_closure(members, features, prepare, close, verify)[0]
+
+
+def bucket_closure(
+    members: DataFrame, features: DataFrame, prepare: Callable, close: Callable[[DataFrame], Column], verify: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The links ``a, b`` of ``bucket_links``, and ``id, component`` for every id that has one (its least id).
 
     ``members(bucket, id)`` (bigint), ``features(id, ...)`` one row per id. ``prepare(table)`` takes the features of a group as an Arrow
     table and returns ``near(left, right, label) -> (rows, columns, weights)``, the near pairs with unlike labels; ``close(pairs)`` is
@@ -164,7 +172,8 @@ def bucket_links(
         edges = stored(_edges(labelled, features, prepare, n), "edges")
         new = edges.select("a", "b").distinct()
         if verify is None:
-            return links.unionByName(new)
+            links = links.unionByName(new)
+            return links, _components(links)
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "new-pairs")
         found = new if new.isEmpty() else stored(verify(new), "links")
         if not found.isEmpty():
@@ -177,8 +186,8 @@ def bucket_links(
         apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
         failed = stored(failed.filter(apart).select("bucket").distinct(), "failed")
         if failed.isEmpty():
-            return links
-        tried, again, n = tried.unionByName(new), members.join(failed, "bucket", "left_semi"), FORESTS * n
+            return links, named
+        tried, again, n = tried.unionByName(new), members.join(failed, "bucket", "left_semi"), MORE * n
 
 
 def _components(links: DataFrame) -> DataFrame:

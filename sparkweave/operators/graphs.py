@@ -110,7 +110,7 @@ def _lowest(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     led = both.join(_lowest(both), "a").filter("b > a")
-    return led.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    return led.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")  # repeated edges go in the small star
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

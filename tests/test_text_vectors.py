@@ -75,6 +75,7 @@ def test_chains_are_closed(spark, monkeypatch, block):
 def test_edges_that_fail_are_replaced(spark, monkeypatch):
     """Near pairs are not all linked: a bucket is gone through again until no near pair is left unverified."""
     monkeypatch.setattr(bucket_links, "FORESTS", 2)
+    monkeypatch.setattr(bucket_links, "MORE", 2)
     rng = np.random.default_rng(3)
     n = 60
     linked = {(int(a), int(b)) for a, b in zip(rng.integers(0, n, 90), rng.integers(0, n, 90)) if a < b}
