@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkweave.llm.arrow_text import PLACE, U, each_words, mix
 from sparkweave.llm.common import broadcast_within, row_identity
-from sparkweave.operators.bucket_links import bucket_links, most_apart, sketch, sketches_close, sketches_near
-from sparkweave.operators.graphs import connected_components
+from sparkweave.operators.bucket_links import bucket_closure, most_apart, sketch, sketches_close, sketches_near
 from sparkweave.sources.files import stored
 
 SEEDS = 8  # partitions tried for a set whose segments are too thin
@@ -279,7 +278,7 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return _linked(pairs, nodes, docs, doc_id, text, n, percent)
 
     features = nodes.select(F.col("node").alias("id"), "n", "sketch")
-    comps = connected_components(bucket_links(members, features, sketches_near(percent), sketches_close(percent), verify))
+    comps = bucket_closure(members, features, sketches_near(percent), sketches_close(percent), verify)[1].withColumnRenamed("id", "node")
     named = nodes.select("node", "doc").join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node"))
     first = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
     by_node = named.select("node", "comp").join(first, "comp").select("node", "component_id")
