@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkweave.llm.common import ascii_lower, broadcast_within, row_identity, same_row
+from sparkweave.llm.common import ascii_lower, broadcast_within, let, row_identity, same_row
 from sparkweave.sources.files import stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -122,15 +122,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 
 def without_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """``doc_id, text`` with the hit words cut out and all else unchanged; the other outcome than dropping documents."""
-    marks = benchmark_hits(docs, items, doc_id, text, **names)
-    base = docs.select(*row_identity(F.col(doc_id), F.col(text)), F.col(text).alias("_text")).distinct()
-    both = base.join(marks.dropDuplicates(["_id", "_print"]), same_row(base, marks))
+    """``docs`` with the hit words cut out of the texts and all else unchanged; the other outcome than dropping documents.
+
+    Every row stays with all its columns, repeated rows and null ids too. A text without hits, also a null one, is left as it is.
+    """
+    marks = benchmark_hits(docs, items, doc_id, text, **names).filter(F.size("spans") > 0)
+    marks = marks.select(F.col("_id").alias("_llm_id"), F.col("_print").alias("_llm_print"), F.col("spans").alias("_llm_spans"))
+    marks = stored(marks.dropDuplicates(["_llm_id", "_llm_print"]), "hit-spans")
+    marks = broadcast_within(marks, more=F.size("_llm_spans") * 8)
+    same = F.col(doc_id).eqNullSafe(marks["_llm_id"]) & (F.xxhash64(F.col(text)) == marks["_llm_print"])
+    both = docs.join(marks, same, "left")
     # separators and words alternate: piece i is what stands before word i
-    gaps = F.split("_text", ANY_CASE_WORD, -1)
-    words = F.regexp_extract_all("_text", F.lit(ANY_CASE_WORD), F.lit(0))
-    cut = both.select(base["_id"], "_text", "spans", gaps.alias("_g"), words.alias("_w")).withColumn("_kept", F.expr(
-        "transform(_w, (w, i) -> CASE WHEN exists(spans, s -> i BETWEEN s.first AND s.last) THEN '' ELSE w END)"
-    ))
-    joined = F.expr("array_join(transform(_g, (g, i) -> concat(g, coalesce(get(_kept, i), ''))), '')")
-    return cut.select(F.col("_id").alias(doc_id), F.when(F.size("spans") == 0, F.col("_text")).otherwise(joined).alias(text))
+    gaps = F.split(F.col(text), ANY_CASE_WORD, -1)
+    words = F.regexp_extract_all(F.col(text), F.lit(ANY_CASE_WORD), F.lit(0))
+    inside = lambda i: F.exists("_llm_spans", lambda s: (i >= s["first"]) & (i <= s["last"]))  # noqa: E731  spans are merged, so few
+
+    def joined(kept):
+        return F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(kept, i), F.lit("")))), "")
+
+    kept = F.transform(words, lambda w, i: F.when(inside(i), "").otherwise(w))
+    cut = F.when(F.col("_llm_spans").isNull(), F.col(text)).otherwise(let(kept, joined))
+    return both.select(*[cut.alias(c) if c == text else F.col(c) for c in docs.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sparkweave.llm.arrow_text import text_bytes
-from sparkweave.llm.common import fold, row_identity
+from sparkweave.llm.common import broadcast_within, fold, row_identity
 from sparkweave.sources.files import stored
 
 #: Languages by family. A language that is not listed is a family of its own.
@@ -35,7 +35,19 @@ PIECE = 1 << 20  # bytes of a text counted at once
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER[[*range(0, 65), *range(91, 97), *range(123, 128)]] = 32  # all that is no letter is a gap
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(raw: np.ndarray) -> bool:
+    """True if the bytes of a text hold a letter: a character of a Unicode category L."""
+    plain = (raw | 32) - 97
+    if (plain < 26).any():
+        return True
+    # distinct characters only; a piece may cut one, which the next piece begins with
+    for lo in range(0, len(raw), PIECE):
+        if (raw[lo : lo + PIECE] >= 128).any():
+            if any(unicodedata.category(c)[0] == "L" for c in set(bytes(raw[max(0, lo - 3) : lo + PIECE]).decode("utf-8", "ignore"))):
+                return True
+    return False
 
 
 def _vector(raw: np.ndarray) -> np.ndarray:
@@ -67,11 +79,7 @@ def vectors(texts: pa.Array) -> Iterator[np.ndarray | None]:
     data, at = text_bytes(texts)
     for k in range(len(texts)):
         raw = data[at[k] : at[k + 1]]
-        plain = (raw | 32) - 97
-        if not len(raw) or not ((plain < 26).any() or ((raw >= 128).any() and _LETTER.search(bytes(raw).decode("utf-8", "replace")))):
-            yield None
-        else:
-            yield _vector(raw)
+        yield _vector(raw) if has_letter(raw) else None
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -133,13 +141,12 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, folds: int, held:
     are never read for training.
     """
     usable = docs.filter(F.col(lang).isNotNull() & F.coalesce(fold(F.col(doc_id), folds) != held, F.lit(True)))
-    counts = {r[0]: r[1] for r in usable.groupBy(F.col(lang).cast("string").alias("l")).count().collect()}
-    names = sorted(counts)
-    rate = F.lit(0.0)
-    for name in names:
-        rate = F.when(F.col("_lang") == name, min(1.0, 1.3 * per_language / counts[name])).otherwise(rate)
+    # one row for each value of the language column, however many there are
+    sizes = stored(usable.groupBy(F.col(lang).cast("string").alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "language-sizes")
+    rate = F.least(F.lit(1.0), F.lit(1.3 * per_language) / F.col("_n"))
     point = F.pmod(F.xxhash64(F.lit("sample"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = usable.select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_t"), point.alias("_p")).filter(F.col("_p") < rate)
+    named = usable.select(F.col(lang).cast("string").alias("_lang"), F.col(text).alias("_t"), point.alias("_p"))
+    drawn = named.join(broadcast_within(sizes), "_lang").filter(F.col("_p") < rate)
 
     def featurise(batches):
         for b in batches:
@@ -151,7 +158,9 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, folds: int, held:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.binary())], names=["lang", "p", "v"])
 
     sample = stored(drawn.select("_lang", "_t", "_p").mapInArrow(featurise, "lang string, p double, v binary"), "language-sample")
-    names = sorted(r[0] for r in sample.select("lang").distinct().collect())
+    found = sample.select(F.col("lang").alias("_lang")).distinct().join(sizes, "_lang").collect()
+    counts = {r["_lang"]: r["_n"] for r in found}
+    names = sorted(counts)
     family = {name: FAMILY_OF.get(name, name) for name in names}
     families = sorted(set(family.values()))
     sides = [(f"family:{a}:{b}", [n for n in names if family[n] == a], [n for n in names if family[n] == b]) for i, a in enumerate(families) for b in families[i + 1 :]]
@@ -159,19 +168,13 @@ def learn(docs: DataFrame, doc_id: str, text: str, lang: str, folds: int, held:
     if not sides:
         return Languages(names, {})
     # each side of a machine has at most ``per_language`` documents, shared by its languages
-    which = F.lit(None).cast("array<struct<machine: string, y: int, most: int, p_most: double>>")
-    for name in names:
-        own = []
-        for machine, plus, minus in sides:
-            for y, side in ((1, plus), (-1, minus)):
-                if name in side:
-                    most = max(1, per_language // len(side))
-                    own.append(F.struct(
-                        F.lit(machine).alias("machine"), F.lit(y).alias("y"), F.lit(most).alias("most"),
-                        F.lit(min(1.0, 1.3 * most / counts[name])).alias("p_most"),
-                    ))
-        which = F.when(F.col("lang") == name, F.array(*own)).otherwise(which)
-    rows = sample.select("lang", "p", "v", F.inline(which)).filter("p < p_most")
+    roles = []
+    for machine, plus, minus in sides:
+        for y, side in ((1, plus), (-1, minus)):
+            most = max(1, per_language // len(side))
+            roles += [(name, machine, y, most, min(1.0, 1.3 * most / counts[name])) for name in side]
+    roles = docs.sparkSession.createDataFrame(roles, "lang string, machine string, y int, most int, p_most double")
+    rows = sample.select("lang", "p", "v").join(roles, "lang").filter("p < p_most")
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["lang", "p", "v"])

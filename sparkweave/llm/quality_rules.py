@@ -15,7 +15,7 @@ UNIT = 1_000_000  # features are summed as whole millionths, so totals do not de
 PRIOR_WORDS = 50  # short texts are drawn towards a typical text by so many words
 MIN_GROUP = 60
 SUBSET = 0.75
-STEPS = 4
+SETTLED = 1e-6  # a concentration step that lowers no log determinant by more ends them
 REJECT = 1e-5
 
 
@@ -162,7 +162,8 @@ def _moments(rows: DataFrame, names: list[str], factor: float) -> DataFrame:
             for k in range(j, i):
                 rest = rest - F.col(f"_l{i}_{k}") * F.col(f"w{k}_{j}")
             out = out.withColumn(f"w{i}_{j}", rest / F.col(f"_l{i}_{i}"))
-    return out.select("_group", *[f"m_{n}" for n in names], *[f"w{i}_{j}" for i, j in pairs])
+    log_det = sum((2 * F.log(F.col(f"_l{i}_{i}")) for i in range(len(names))), F.lit(0.0)).alias("_det")
+    return out.select("_group", *[f"m_{n}" for n in names], *[f"w{i}_{j}" for i, j in pairs], log_det)
 
 
 def _distance(names: list[str]) -> Column:
@@ -187,10 +188,12 @@ def _groups(rows: DataFrame, least: int) -> DataFrame:
 def outlier_distances(stats: DataFrame, least: int = MIN_GROUP) -> DataFrame:
     """``stats`` with ``distance`` (squared, null without an estimate): minimum covariance determinant per language and source.
 
-    Start: distances from medians and median deviations. Then concentration steps: the three quarters of a group
-    that lie nearest give the next mean and covariance, whose determinant cannot grow. A last estimate uses all
+    Three starts per group: distances from the medians in median deviations, the same by the largest feature, and
+    distances in the features' own units. Then concentration steps, for all groups and starts at once: the three quarters of
+    a group that lie nearest give the next mean and covariance, whose determinant cannot grow. They go on until no
+    determinant falls any more; each group keeps the start that ends with the least one. A last estimate uses all
     rows within the 97.5 % point. Cut points come from counts of fine distance bins, so each step is two grouped
-    sums of whole numbers and nothing is gathered. A covariance never gets below the floors of ``FLOORS``, so
+    sums of whole numbers and nothing is gathered; a step whose bins let a determinant grow is not taken. A covariance never gets below the floors of ``FLOORS``, so
     groups in which most rows are equal have an estimate too. Rows that fail a fixed limit are not estimated from.
     """
     names = list(FLOORS)
@@ -203,19 +206,36 @@ def outlier_distances(stats: DataFrame, least: int = MIN_GROUP) -> DataFrame:
 
     p = len(names)
     factor = SUBSET / chi_square_cdf(chi_square_quantile(SUBSET, p), p + 2)
-    start = broadcast_within(stored(_centres(sample, names), "centres"))
-    spread = [(F.col(n) - F.col(f"m_{n}")) / (F.col(f"s_{n}") + FLOORS[n] * UNIT) for n in names]
-    near = sample.join(start, "_group").select("_group", *names, sum((z * z for z in spread), F.lit(0.0)).alias("_d"))
-    estimate = None
-    for _ in range(STEPS):
+    centres = broadcast_within(stored(_centres(sample, names), "centres"))
+    off = [F.abs(F.col(n) - F.col(f"m_{n}")) for n in names]
+    spread = [d / (F.col(f"s_{n}") + FLOORS[n] * UNIT) for d, n in zip(off, names)]
+    squares = lambda of: sum((z * z for z in of), F.lit(0.0))
+    starts = [squares(spread), F.greatest(*spread) ** 2, squares([d / (FLOORS[n] * UNIT) for d, n in zip(off, names)])]
+    # a group under each of its starts is a group of its own: its name ends with the number of the start
+    tried = F.explode(F.array(*[F.struct(F.lit(str(i)).alias("s"), d.alias("d")) for i, d in enumerate(starts)]))
+    near = sample.join(centres, "_group").withColumn("_t", tried).select(F.concat("_group", "_t.s").alias("_group"), *names, F.col("_t.d").alias("_d"))
+    every = sample.withColumn("_s", F.explode(F.array(*[F.lit(str(i)) for i in range(len(starts))]))).select(F.concat("_group", "_s").alias("_group"), *names)
+    best, fell = None, 1
+    while True:
         binned = near.withColumn("bin", F.floor(64 * F.log2(F.col("_d") + 1e-6)).cast("bigint"))
         counts = binned.groupBy("_group", "bin").agg(F.count(F.lit(1)).alias("n"))
         cut = broadcast_within(stored(_fraction_bin(counts, ["_group"], SUBSET, "cut"), "cuts"))
-        inside = binned.join(cut, "_group").filter("bin <= cut")
-        estimate = broadcast_within(stored(_moments(inside, names, factor), "estimate"))
-        near = sample.join(estimate, "_group").select("_group", *names, _distance(names).alias("_d"))
+        estimate = stored(_moments(binned.join(cut, "_group").filter("bin <= cut"), names, factor), "estimate")
+        if best is not None:
+            before = best.select(F.col("_group").alias("_g"), F.struct(*[c for c in best.columns if c != "_group"]).alias("_old"))
+            both = estimate.join(before, F.col("_group") == F.col("_g")).withColumn("_falls", F.col("_det") < F.col("_old._det") - SETTLED)
+            fell = both.agg(F.count_if("_falls")).first()[0]
+            estimate = stored(both.select("_group", *[F.when(F.col("_falls"), F.col(c)).otherwise(F.col(f"_old.{c}")).alias(c) for c in estimate.columns if c != "_group"]), "estimate")
+        best = estimate
+        if not fell:
+            break
+        near = every.join(broadcast_within(best), "_group").select("_group", *names, _distance(names).alias("_d"))
+    least_first = Window.partitionBy("_of").orderBy("_det", "_group")
+    named = best.withColumn("_of", F.expr("left(_group, length(_group) - 1)")).withColumn("_place", F.row_number().over(least_first))
+    chosen = stored(named.filter("_place = 1").drop("_group", "_place").withColumnRenamed("_of", "_group"), "chosen")
+    near = sample.join(broadcast_within(chosen.drop("_det")), "_group").select("_group", *names, _distance(names).alias("_d"))
     inside = near.filter(F.col("_d") <= chi_square_quantile(0.975, p))
-    final = broadcast_within(stored(_moments(inside, names, 1.0), "final"))
+    final = broadcast_within(stored(_moments(inside, names, 1.0).drop("_det"), "final"))
     tested = rows.join(broadcast_within(groups), "_key", "left").join(final, "_group", "left")
     return tested.select(*stats.columns, _distance(names).alias("distance"))
 

@@ -5,11 +5,12 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkweave.llm import decontaminate, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
+from sparkweave.llm import common, decontaminate, html_crf, language_id, mixing, ngram_join, pii, quality_rff, quality_rules, toxicity, url_filter
 from sparkweave.operators import bucket_links
 from sparkweave.operators.graphs import connected_components
 
@@ -184,6 +185,33 @@ def test_language_of_odd_rows(spark, docs, none, rows):
     assert {r["_id"]: r["lang_pred"] for r in language_id.identify(digits, folds=1000, held=999).collect()} == {1: "und", 2: "ja", 3: "en", 5: "ja"}
 
 
+def test_letters_are_those_of_unicode():
+    got = [language_id.has_letter(np.frombuffer(t.encode(), dtype=np.uint8)) for t in ("½ ² 12", "①Ⅷ €", "", "_-7", "ª", "日", "é", "ʰ", "x", "\u0301")]
+    assert got == [False, False, False, False, True, True, True, True, True, False]
+    long = np.frombuffer(("½" * 600_000 + "é").encode(), dtype=np.uint8)
+    assert language_id.has_letter(long) and not language_id.has_letter(long[:-2])
+
+
+def test_machine_matches_a_plain_solve():
+    """The squared hinge loss of the accelerated steps is that of many plain, small gradient steps."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((60, 5))
+    y = np.where(x[:, 0] + 0.3 * rng.standard_normal(60) > 0.4, 1.0, -1.0)
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum())
+
+    def loss(w, b):
+        return (weight * np.maximum(0, 1 - y * (x @ w + b)) ** 2).sum() + 0.5e-2 * w @ w
+
+    w, b = np.zeros(5), 0.0
+    for _ in range(60_000):
+        short = np.maximum(0, 1 - y * (x @ w + b)) * weight * y
+        w, b = w + 0.02 * (2 * short @ x - 1e-2 * w), b + 0.02 * 2 * short.sum()
+    v, c = language_id.train_svm(x, y, penalty=1e-2)
+    scale = np.linalg.norm(w) / np.linalg.norm(v)  # margins are given on their own scale
+    assert loss(v * scale, c * scale) <= loss(w, b) * 1.01 + 1e-6
+    assert ((x @ v + c >= 0) == (x @ w + b >= 0)).mean() >= 0.98
+
+
 def test_pairs_inside_a_family_vote():
     machines = {"lang:a:b": ([1.0, 0.0], 0.0), "lang:a:c": ([0.0, 1.0], 0.0), "lang:b:c": ([1.0, 1.0], 0.0)}
     import numpy as np
@@ -560,7 +588,7 @@ def plain_hits(text, items):
     return len(w), len(hit), found
 
 
-def test_benchmark_hits(spark, docs, rows, none):
+def test_benchmark_hits(spark, docs, rows, none, monkeypatch):
     rng = random.Random(6)
     items = [(1, invented(rng, 30, "uvw")), (2, "One, TWO three"), (3, None), (4, "..."), (5, "Straße"), (6, invented(rng, 13, "uvw"))]
     items.append((7, items[0][1]))
@@ -575,8 +603,18 @@ def test_benchmark_hits(spark, docs, rows, none):
     bad = {i for i, n, hit, _ in want if hit and 20 * hit >= n}
     kept = decontaminate.decontaminate(frame, bench)
     assert kept.columns == frame.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, *_ in want if i not in bad)
-    cut = {r["doc_id"]: r["text"] for r in decontaminate.without_spans(frame, bench).collect()}
+    out = decontaminate.without_spans(frame, bench)
+    cut = {r["doc_id"]: r["text"] for r in out.collect()}
     assert item_words(cut[200]) == ["a", "b", "c"] and cut[201] == more[1][1] and cut[100] is None
+    # every row stays, repeated ones and null ids too, with all columns; texts without hits stay as they are
+    assert out.columns == frame.columns and out.count() == frame.count()
+    plain = sorted(((i, t) for i, t, *_ in [*rows, *more] if not plain_hits(t, items)[1]), key=str)
+    untouched = {i for i, _ in plain}
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] in untouched), key=str) == plain
+    for limit in (0, 32 << 20):  # joined by shuffle, or broadcast
+        monkeypatch.setattr(decontaminate, "broadcast_within", lambda df, more=None, limit=limit: common.broadcast_within(df, limit, more))
+        assert sorted(map(str, decontaminate.without_spans(frame, bench).collect())) == sorted(map(str, out.collect()))
+        assert sorted(str(r["doc_id"]) for r in decontaminate.decontaminate(frame, bench).collect()) == sorted(str(r["doc_id"]) for r in kept.collect())
     assert decontaminate.benchmark_hits(none, bench).count() == 0
     assert decontaminate.benchmark_hits(docs, bench.limit(0)).filter("size(spans) > 0").count() == 0
 
@@ -629,6 +667,49 @@ def test_distances_match_numpy(spark):
     assert np.allclose(got, np.sort(np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)), rtol=1e-6)
 
 
+def test_subset_matches_a_plain_search(spark):
+    """Forty rows with nine outliers of two kinds: the estimate is that of the least determinant over many random starts."""
+    rng = np.random.default_rng(9)
+    names = list(quality_rules.FLOORS)
+    texts = []
+    for i in range(40):
+        n, far = int(rng.integers(60, 160)), i >= 31
+        words = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(3, 8)) + 5 * (far and i % 2))) for _ in range(n)]
+        for k in range(0, n, 9 if far and not i % 2 else 40):
+            words[k] = "#$"
+        texts.append((i, " ".join(words), "en", "s"))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string, source string")
+    stats = quality_rules.base_statistics(docs).filter(~quality_rules.base_failed())
+    got = {r["_id"]: r["distance"] for r in quality_rules.outlier_distances(stats, least=20).collect()}
+    x = np.array([[round(r[n] * quality_rules.UNIT) for n in names] for r in stats.select("_id", *[f.alias(n) for n, f in quality_rules.features().items()]).orderBy("_id").collect()], dtype=float)
+    p, floors = len(names), np.diag([(quality_rules.FLOORS[n] * quality_rules.UNIT) ** 2 for n in names])
+    factor = quality_rules.SUBSET / quality_rules.chi_square_cdf(quality_rules.chi_square_quantile(quality_rules.SUBSET, p), p + 2)
+    h = int(np.ceil(quality_rules.SUBSET * len(x)))
+
+    def estimate(rows, by):
+        return rows.mean(0), np.cov(rows.T, bias=True) * by + floors
+
+    def distances(mean, cov):
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+    best = None
+    for _ in range(300):
+        rows = x[rng.choice(len(x), p + 1, replace=False)]
+        for _ in range(60):
+            mean, cov = estimate(rows, factor)
+            again = x[np.argsort(distances(mean, cov), kind="stable")[:h]]
+            if (again == rows).all() if again.shape == rows.shape else False:
+                break
+            rows = again
+        value = np.linalg.slogdet(cov)[1]
+        if best is None or value < best[0] - 1e-12:
+            best = (value, mean, cov)
+    inside = x[distances(*best[1:]) <= quality_rules.chi_square_quantile(0.975, p)]
+    want = distances(*estimate(inside, 1.0))
+    assert len(got) == 40 and np.allclose([got[i] for i in range(40)], want, rtol=0.1)
+    assert {i for i in range(40) if got[i] > 25} == {i for i in range(40) if want[i] > 25} and min(got[i] for i in range(31, 40)) > max(got[i] for i in range(31))
+
+
 def test_chi_square_points():
     assert quality_rules.chi_square_quantile(0.95, 1) == pytest.approx(3.8415, abs=1e-3)
     assert quality_rules.chi_square_quantile(0.975, 5) == pytest.approx(12.8325, abs=1e-3)
