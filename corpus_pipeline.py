@@ -46,7 +46,8 @@ STAGES = [
     ("mix", mix),
 ]
 
-#: Fitted scores and Newton steps have no SQL form; tests hold each stage against a plain version instead.
+#: Fitted scores and Newton steps have no SQL form. Tests hold the rows of every stage, by id, against a plain version
+#: (of the rule, where the decision follows from a fitted score or a planned number of copies).
 ORACLE_SQL = None
 
 
