@@ -15,13 +15,13 @@ from sparkweave.sources.files import stored
 BUCKETS = 1 << 20  # of hashed words and word beginnings
 BEGINNINGS = (4, 5, 6)  # bytes
 FEATURES = 4096  # buckets the classifier uses
-POSITIVES = 20_000  # training bounds, rows
-UNLABELLED = 60_000
+POSITIVES = 20_000  # confirmed texts that are fitted on; a bound on labelled rows, nothing else
 LEAST = 8  # confirmed texts that a feature must occur in, and their share of all
 LEAST_SHARE = 0.004
 PURE = 0.5  # estimated share of toxic texts among those with a feature
 DECAY = 1e-5
-STEPS = 400
+STEPS = 60  # gradient steps, each one pass over the stored features
+RATE = 0.1
 CUT = 0.5
 
 #: Punctuation at the ends of words is not part of them.
@@ -72,126 +72,208 @@ def buckets(texts: pa.Array) -> Iterator[np.ndarray]:
             yield pairs[cuts[k] : cuts[k + 1]] - k * BUCKETS
 
 
-def _bucket_rows(docs: DataFrame) -> DataFrame:
-    """``y, f`` of ``y, t`` rows."""
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(buckets(b.column(1))), pa.list_(pa.int64()))], names=["y", "f"])
+def _hits(sorted_values: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Places in ``sorted_values`` of those that are in ``f``."""
+    at = np.searchsorted(sorted_values, f)
+    at = at[at < len(sorted_values)] if len(sorted_values) else at[:0]
+    return at[sorted_values[at] == f[: len(at)]].astype(np.int32)
 
-    return docs.mapInArrow(run, "y int, f array<bigint>")
 
+# -- the risk
 
-def nnpu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int) -> tuple[np.ndarray, float]:
-    """Weights and offset of a linear classifier, by the non-negative risk estimator with the logistic loss.
+def risk_sums(rows: list[np.ndarray], times: np.ndarray, weights: np.ndarray, offset: float) -> np.ndarray:
+    """Sums over texts that each count ``times``: loss of calling them not toxic, scores, and the gradient of that loss.
 
-    Risk: prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)). Where the second part falls below zero, the step goes
-    against it, so that the classifier cannot win by memorising unlabelled texts. ``rows``: feature numbers per text.
+    ``rows``: feature numbers per text. The gradient of the scores themselves is in the last part, the offset first in each.
     """
-    w, b = np.zeros(width), -1.0
-    mw, vw, mb, vb = np.zeros(width), np.zeros(width), 0.0, 0.0
+    width = len(weights)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    cols = np.concatenate(rows) if len(rows) else np.empty(0, dtype=np.int64)
-    n_p, n_u = positive.sum(), (~positive).sum()
+    cols = np.concatenate(rows).astype(np.int64) if len(rows) else np.empty(0, dtype=np.int64)
+    score = np.bincount(owner, weights[cols], len(rows)) + offset
+    s = times / (1 + np.exp(-np.clip(score, -30, 30)))
+    head = [(times * np.logaddexp(0, score)).sum(), (times * score).sum(), times.sum()]
+    return np.concatenate([head, [s.sum()], np.bincount(cols, s[owner], width), [times.sum()], np.bincount(cols, times[owner].astype(float), width)])
+
+
+def risk(positive: np.ndarray, unlabelled: np.ndarray, prior: float, weights: np.ndarray) -> tuple[float, np.ndarray]:
+    """The non-negative positive-unlabelled risk with the logistic loss, and the direction to step against (offset first).
+
+    prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), from ``risk_sums``: toxic texts among the unlabelled ones are taken out of
+    the risk of calling them not toxic. Where that leaves less than nothing, the step goes against that part, so that
+    the classifier cannot win by memorising unlabelled texts.
+    """
+    width = len(weights)
+    n_p, n_u = positive[2], unlabelled[2]
+    called, drawn = positive[3 : 4 + width] / n_p, positive[4 + width :] / n_p
+    minus_p, plus_p = positive[0] / n_p, (positive[0] - positive[1]) / n_p
+    negative = unlabelled[0] / n_u - prior * minus_p
+    away = unlabelled[3 : 4 + width] / n_u - prior * called
+    direction = prior * (called - drawn) + away if negative >= 0 else -away
+    value = prior * plus_p + max(0.0, negative) + DECAY / 2 * weights @ weights
+    return value, direction + DECAY * np.concatenate([[0.0], weights])
+
+
+def least_risk(evaluate, width: int) -> tuple[np.ndarray, float]:
+    """Weights and offset after ``STEPS`` steps with running means of the directions and their squares.
+
+    ``evaluate(x)`` is one pass over the data; ``x`` is the offset and then the weights.
+    """
+    x = np.concatenate([[-1.0], np.zeros(width)])
+    mean, square = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        score = np.bincount(owner, w[cols], len(rows)) + b
-        s = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        loss = np.logaddexp(0, score)  # of calling a text not toxic
-        negative = loss[~positive].mean() - prior * loss[positive].mean()
-        minus = np.where(positive, -prior * s / n_p, s / n_u)
-        g = minus - np.where(positive, prior * (1 - s) / n_p, 0) if negative >= 0 else -minus
-        gw, gb = np.bincount(cols, g[owner], width) + DECAY * w, g.sum()
-        mw, vw = 0.9 * mw + 0.1 * gw, 0.999 * vw + 0.001 * gw * gw
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
-        rate = 0.05 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        w -= rate * mw / (np.sqrt(vw) + 1e-8)
-        b -= rate * mb / (np.sqrt(vb) + 1e-8)
-    return w, b
-
-
-class Scorer:
-    def __init__(self, chosen: np.ndarray, weights: np.ndarray, offset: float):
-        self.chosen, self.weights, self.offset = chosen, weights, offset
-
-    def __call__(self, f: np.ndarray) -> float:
-        if not len(self.chosen):
-            return self.offset
-        at = np.searchsorted(self.chosen, f)
-        hit = at[self.chosen[np.minimum(at, len(self.chosen) - 1)] == f]
-        return float(1 / (1 + np.exp(-np.clip(self.weights[hit].sum() + self.offset, -30, 30))))
-
-
-def learn(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, folds: int) -> Scorer:
-    """Fit on confirmed positives and unlabelled texts, both bounded samples by the hash of the row.
-
-    The class prior is the share of positives among the usable labels; labels say nothing else, and a text labelled
-    not toxic counts as unlabelled. At most ``POSITIVES`` and ``UNLABELLED`` rows (in expectation) are fitted on. The
-    ``FEATURES`` buckets that speak most for positives are picked by grouped counts: by Bayes' rule, prior times
-    share among positives over share among unlabelled text estimates how pure a bucket is.
+        direction = evaluate(x)[1]
+        mean, square = 0.9 * mean + 0.1 * direction, 0.999 * square + 0.001 * direction**2
+        x = x - RATE * np.sqrt(1 - 0.999**step) / (1 - 0.9**step) * mean / (np.sqrt(square) + 1e-8)
+    return x[1:], float(x[0])
+
+
+def _risk_pass(train: DataFrame, width: int, empty: dict[int, float], prior: float):
+    """``evaluate`` over stored rows ``y, c, n``: every task sums up its rows, and one vector for each side comes to the driver.
+
+    ``empty``: texts of each side without any feature, which are not stored.
     """
+    size = 2 * width + 5
+
+    def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
+        weights, offset = x[1:], float(x[0])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, size))
+            for b in batches:
+                y, n = b.column(0).to_numpy(), b.column(2).to_numpy().astype(float)
+                rows = [np.frombuffer(c, dtype=np.int32) for c in b.column(1).to_pylist()]
+                for side in (0, 1):
+                    at = np.flatnonzero(y == side)
+                    if len(at):
+                        total[side] += risk_sums([rows[i] for i in at], n[at], weights, offset)
+            place = np.flatnonzero(total.ravel())
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total.ravel()[place])], names=["slot", "total"])
+
+        sums = np.zeros(2 * size)
+        for slot, value in train.mapInArrow(run, "slot bigint, total double").groupBy("slot").agg(F.sum("total")).collect():
+            sums[slot] = value
+        sides = sums.reshape(2, size)
+        for side, n in empty.items():
+            sides[side] += risk_sums([np.empty(0, dtype=np.int32)], np.array([float(n)]), weights, offset)
+        return risk(sides[1], sides[0], prior, weights)
+
+    return evaluate
+
+
+def _confirmed(labels: DataFrame, label: str, folds: int) -> tuple[DataFrame, int, int]:
+    """Usable labels ``_lid, y``, their number and that of the toxic ones."""
     usable = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != 0))
     known = usable.groupBy(F.col("doc_id").alias("_lid")).agg(F.max(F.col(label).cast("int")).alias("y"))
     n, n_positive = known.agg(F.count(F.lit(1)), F.sum("y")).first()
-    n_positive = n_positive or 0
-    if not n_positive:
-        return Scorer(np.empty(0, dtype=np.int64), np.empty(0), 0.0 if n else 0.5)
-    if n_positive == n:
-        n = 2 * n_positive  # no usable negative: nothing is known of the prior
-    prior = min(0.9, max(0.001, n_positive / n))
-    n_docs = docs.count()
+    return known, n, n_positive or 0
 
-    def drawn(rate: float, salt: str):
-        return F.pmod(F.xxhash64(F.lit(salt), F.col(doc_id), F.col(text)), F.lit(1 << 30)) < int(min(1.0, rate) * (1 << 30))
 
-    confirmed = broadcast_within(stored(known.filter("y = 1").select("_lid"), "confirmed"))
-    positives = docs.filter(drawn(POSITIVES / n_positive, "p")).join(confirmed, F.col(doc_id) == F.col("_lid"), "left_semi")
-    others = docs.filter(drawn(UNLABELLED / max(1, n_docs), "u"))
-    picked = positives.select(F.lit(1).alias("y"), F.col(text).alias("t")).unionByName(others.select(F.lit(0).alias("y"), F.col(text).alias("t")))
-    sample = stored(_bucket_rows(picked), "toxic-sample")
-    sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
-    n_p, n_u = sizes.get(1, 0), sizes.get(0, 0)
-    if not n_p or not n_u:
-        return Scorer(np.empty(0, dtype=np.int64), np.empty(0), prior)
-    seen = sample.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("u"))
-    share_p, share_u = F.col("p") / n_p, (F.col("u") + 0.5) / n_u
-    worth = F.abs(share_p - share_u) * F.abs(F.log((share_p + 0.5 / n_p) / share_u))
-    least = max(LEAST, LEAST_SHARE * n_p)  # a bucket of few texts tells a family of copies, not toxicity
-    best = seen.filter((F.col("p") >= least) & (prior * share_p >= PURE * share_u)).orderBy(worth.desc(), "f").limit(FEATURES).select("f").collect()
-    chosen = np.sort(np.array([r["f"] for r in best], dtype=np.int64))
+def _choose(positives: DataFrame, texts: DataFrame, prior: float, n_p: int, n_u: int, candidates: np.ndarray, seen_p: np.ndarray) -> np.ndarray:
+    """Places among the candidates of the ``FEATURES`` that speak most for confirmed texts, by counts over all texts.
+
+    By Bayes' rule, prior times share among confirmed over share among all texts estimates how pure a bucket is.
+    """
+    width = len(candidates)
 
-    def narrowed(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width, dtype=np.int64)
         for b in batches:
-            rows = [np.flatnonzero(np.isin(chosen, f.values.to_numpy(), assume_unique=True)).astype(np.int32).tobytes() for f in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["y", "c"])
+            raw = b"".join(b.column(0).to_pylist())
+            total += np.bincount(np.frombuffer(raw, dtype=np.int32), minlength=width)
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[place])], names=["slot", "n"])
 
-    # bounded: at most the sample rows, each with the few chosen features it has
-    table = sorted((r["y"], r["c"]) for r in sample.select("y", "f").mapInArrow(narrowed, "y int, c binary").toLocalIterator())
-    rows = [np.frombuffer(c, dtype=np.int32) for _, c in table]
-    weights, offset = nnpu(rows, np.array([y == 1 for y, _ in table]), prior, len(chosen))
-    return Scorer(chosen, weights, offset)
+    seen_u = np.zeros(width)
+    for slot, n in texts.select("c").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n")).collect():
+        seen_u[slot] = n
+    share_p, share_u = seen_p / n_p, (seen_u + 0.5) / n_u
+    worth = np.abs(share_p - share_u) * np.abs(np.log((share_p + 0.5 / n_p) / share_u))
+    pure = np.flatnonzero(prior * share_p >= PURE * share_u)
+    return np.sort(pure[np.lexsort((candidates[pure], -worth[pure]))][:FEATURES])
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 5) -> DataFrame:
     """``_id, _print, held_out, score, predicted``, one row per document, from the whole text.
 
-    Confirmed toxic texts come from labels whose ``crc32(id) mod folds`` is not 0; everything else is unlabelled.
+    Confirmed toxic texts come from labels whose ``crc32(id) mod folds`` is not 0, at most ``POSITIVES`` of them (in
+    expectation, by row hash); every text of ``docs`` is unlabelled. The class prior is the share of toxic ones among the usable
+    labels; labels say nothing else. Texts are read once: what they have of the buckets that confirmed texts have is
+    stored, and counts, the risk and the scores all follow from that, over all texts.
+
     Defined cases: null text counts as empty and gets the score of a text without words; null labels and labels
     without a document are left out; a document labelled both ways is confirmed; without a confirmed text every
     score is 0, without any label 0.5; repeated rows are scored alike; a null id is never held out; no documents
     give no rows.
     """
-    model = learn(docs, labels, doc_id, text, label, folds)
     clean = F.coalesce(F.col(text), F.lit(""))
     held = F.coalesce(fold(F.col(doc_id), folds) == 0, F.lit(False))
     picked = docs.select(*row_identity(F.col(doc_id), clean), held.alias("held_out"), F.col(text).alias("_t"))
     kind = picked.schema["_id"].dataType.simpleString()
 
-    def run(batches):
+    def constant(value: float) -> DataFrame:
+        return picked.select("_id", "_print", "held_out", F.lit(value).alias("score"), F.lit(int(value >= CUT)).alias("predicted"))
+
+    known, n, n_positive = _confirmed(labels, label, folds)
+    if not n_positive:
+        return constant(0.0 if n else 0.5)
+    if n_positive == n:
+        n = 2 * n_positive  # no usable negative: nothing is known of the prior
+    prior = min(0.9, max(0.001, n_positive / n))
+
+    drawn = F.pmod(F.xxhash64(F.lit("p"), F.col(doc_id), F.col(text)), F.lit(1 << 30)) < int(min(1.0, POSITIVES / n_positive) * (1 << 30))
+    confirmed = broadcast_within(stored(known.filter("y = 1").select("_lid"), "confirmed"))
+    chosen_docs = docs.filter(drawn).join(confirmed, F.col(doc_id) == F.col("_lid"), "left_semi").select(F.col(text).alias("t"))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores = pa.array([model(f) for f in buckets(b.column(3))], pa.float64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), scores], names=["_id", "_print", "held_out", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(buckets(b.column(0))), pa.list_(pa.int64()))], names=["f"])
+
+    positives = stored(chosen_docs.mapInArrow(listed, "f array<bigint>"), "toxic-confirmed")
+    n_p = positives.count()
+    if not n_p:
+        return constant(prior)
+    least = max(LEAST, LEAST_SHARE * n_p)  # a bucket of few texts tells a family of copies, not toxicity
+    seen = positives.select(F.explode("f").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("p")).filter(F.col("p") >= least)
+    pairs = sorted((r["f"], r["p"]) for r in seen.collect())  # at most BUCKETS
+    candidates, seen_p = (np.array(x, dtype=np.int64) for x in (zip(*pairs) if pairs else ((), ())))
 
-    scored = picked.mapInArrow(run, f"_id {kind}, _print bigint, held_out boolean, score double")
-    return scored.withColumn("predicted", F.when(F.col("score") >= CUT, 1).otherwise(0))
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [_hits(candidates, f).tobytes() for f in buckets(b.column(3))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(rows, pa.binary())], names=["_id", "_print", "held_out", "c"])
+
+    texts = stored(picked.mapInArrow(marked, f"_id {kind}, _print bigint, held_out boolean, c binary"), "toxic-buckets")
+    n_u = texts.count()
+    chosen = _choose(positives, texts, prior, n_p, n_u, candidates, seen_p)
+    place = np.full(len(candidates) + 1, -1, dtype=np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def narrowed(raw: bytes) -> np.ndarray:
+        at = place[np.frombuffer(raw, dtype=np.int32)]
+        return at[at >= 0]
+
+    @F.arrow_udf("binary")
+    def narrow(column: pa.Array) -> pa.Array:
+        return pa.array([narrowed(c).tobytes() for c in column.to_pylist()], pa.binary())
+
+    @F.arrow_udf("binary")
+    def narrow_list(column: pa.Array) -> pa.Array:
+        return pa.array([narrowed(_hits(candidates, f.values.to_numpy()).tobytes()).tobytes() for f in column], pa.binary())
+
+    narrow_texts = stored(texts.select("_id", "_print", "held_out", narrow("c").alias("c")), "toxic-features")
+    sides = positives.select(F.lit(1).alias("y"), narrow_list("f").alias("c")).unionByName(narrow_texts.select(F.lit(0).alias("y"), "c"))
+    train = stored(sides.filter(F.octet_length("c") > 0).groupBy("y", "c").agg(F.count(F.lit(1)).alias("n")), "toxic-train")
+    with_some = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    empty = {1: n_p - with_some.get(1, 0), 0: n_u - with_some.get(0, 0)}
+    weights, offset = least_risk(_risk_pass(train, len(chosen), empty, prior), len(chosen))
+
+    @F.arrow_udf("double")
+    def scored(column: pa.Array) -> pa.Array:
+        totals = [weights[np.frombuffer(c, dtype=np.int32)].sum() + offset for c in column.to_pylist()]
+        return pa.array(1 / (1 + np.exp(-np.clip(np.array(totals, dtype=float), -30, 30))))
+
+    out = narrow_texts.select("_id", "_print", "held_out", scored("c").alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= CUT, 1).otherwise(0))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -266,6 +266,56 @@ def test_normal_equations_match_one_solve(spark):
     assert np.allclose(model.weights, w, atol=1e-6)
 
 
+def test_risk_and_its_direction_match_numeric_ones():
+    """The sums of a task against the formulas text by text, and the direction against differences of the risk."""
+    rng = np.random.default_rng(2)
+    width, prior = 6, 0.3
+
+    def drawn(n, most):
+        return [np.flatnonzero(rng.random(width) < most).astype(np.int32) for _ in range(n)], rng.integers(1, 4, n).astype(float)
+
+    (pos, pn), (unl, un) = drawn(9, 0.6), drawn(25, 0.3)
+
+    def plain(x):
+        score = lambda f: x[1 + f].sum() + x[0]
+        mean = lambda rows, n, loss: sum(k * loss(score(f)) for f, k in zip(rows, n)) / n.sum()
+        soft = lambda z: np.log1p(np.exp(z))
+        plus = prior * mean(pos, pn, lambda z: soft(-z))
+        return plus, mean(unl, un, soft) - prior * mean(pos, pn, soft), toxicity.DECAY / 2 * (x[1:] ** 2).sum()
+
+    signs = set()
+    for shift in (-6.0, -1.0, 0.5):
+        x = np.concatenate([[shift], rng.standard_normal(width)])
+        for scale in (1.0, 4.0):
+            z = x * scale
+            value, direction = toxicity.risk(toxicity.risk_sums(pos, pn, z[1:], z[0]), toxicity.risk_sums(unl, un, z[1:], z[0]), prior, z[1:])
+            plus, negative, decay = plain(z)
+            signs.add(negative >= 0)
+            assert value == pytest.approx(plus + max(0, negative) + decay, rel=1e-9)
+            goal = lambda y: (lambda p, m, d: (p + m if negative >= 0 else -m) + d)(*plain(y))
+            numeric = [(goal(z + 1e-6 * e) - goal(z - 1e-6 * e)) / 2e-6 for e in np.eye(width + 1)]
+            assert np.allclose(direction, numeric, atol=1e-6)
+    # confirmed texts that are called toxic by far, among unlabelled ones that are not: less than nothing is left
+    pos, unl, un = [np.arange(width, dtype=np.int32)] * 4, [np.empty(0, dtype=np.int32)] * 5, np.ones(5)
+    pn, far = np.ones(4), np.concatenate([[-3.0], np.full(width, 2.0)])
+    value, direction = toxicity.risk(toxicity.risk_sums(pos, pn, far[1:], far[0]), toxicity.risk_sums(unl, un, far[1:], far[0]), prior, far[1:])
+    plus, negative, decay = plain(far)
+    numeric = [((lambda a, b: (b[1] - a[1] + a[2] - b[2]) / 2e-6)(plain(far + 1e-6 * e), plain(far - 1e-6 * e))) for e in np.eye(width + 1)]
+    assert negative < 0 and value == pytest.approx(plus + decay) and np.allclose(direction, numeric, atol=1e-6) and True in signs
+
+
+def test_risk_pass_sums_over_tasks(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(y), np.flatnonzero(rng.random(8) < 0.4).astype(np.int32)) for y in rng.integers(0, 2, 50)]
+    counts = rng.integers(1, 5, 50)
+    train = spark.createDataFrame([(y, bytearray(c.tobytes()), int(n)) for (y, c), n in zip(rows, counts)], "y int, c binary, n bigint").repartition(7)
+    x = rng.standard_normal(9)
+    got = toxicity._risk_pass(train, 8, {1: 3, 0: 11}, 0.2)(x)
+    sides = [toxicity.risk_sums([c for y, c in rows if y == s] + [np.empty(0, dtype=np.int32)], np.array([*(float(n) for (y, _), n in zip(rows, counts) if y == s), more]), x[1:], x[0]) for s, more in ((0, 11.0), (1, 3.0))]
+    want = toxicity.risk(sides[1], sides[0], 0.2, x[1:])
+    assert got[0] == pytest.approx(want[0]) and np.allclose(got[1], want[1])
+
+
 def test_toxic_words_are_learnt(spark):
     rng = random.Random(9)
     bad = ["vileword", "nastyterm", "foulname"]
