@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sparkweave.operators.ordered import running_totals
-
-
-def within_rows(df: DataFrame, limit: int) -> bool:
-    """True if the frame has at most ``limit`` rows; reads no more than it needs."""
-    return df.limit(limit + 1).count() <= limit
+from sparkweave.sources.files import stored
 
 
 def bytes_of(df: DataFrame) -> int:
@@ -27,12 +23,25 @@ def broadcast_checked(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
     return F.broadcast(df) if bytes_of(df) <= limit else df
 
 
-def bounded_cross(left: DataFrame, right: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Every combination of two reference tables; refuses sides that are not reference sized."""
-    for side in (left, right):
-        if not within_rows(side, limit):
-            raise ValueError(f"cross join side has more than {limit} rows")
-    return left.crossJoin(F.broadcast(right))
+BLOCK_ROWS = 10_000
+
+
+def block_join(left: DataFrame, right: DataFrame, on: Column | None = None, limit: int = 32 << 20) -> DataFrame:
+    """Every combination of two tables for which ``on`` holds (all without it), as an equi join of blocks.
+
+    Both sides are cut into blocks by row hash and each block meets each other one in a task of its own, so neither side
+    need be small; a right side within ``limit`` bytes is one block that goes to every task instead.
+    """
+    if bytes_of(right) <= limit:
+        near, far = left.withColumn("_b", F.lit(0)), F.broadcast(right.withColumn("_c", F.lit(0)))
+        same = F.col("_b") == F.col("_c")
+    else:
+        rows, cols = (max(1, -(-side.count() // BLOCK_ROWS)) for side in (left, right))
+        own = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+        near = left.withColumn("_b", own(left, rows)).withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(cols - 1))))
+        far = right.withColumn("_c", own(right, cols)).withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+        same = (F.col("_b") == F.col("_p")) & (F.col("_o") == F.col("_c"))
+    return near.join(far, same if on is None else same & on).select(*left.columns, *right.columns)
 
 
 def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
@@ -51,9 +60,20 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
 ROWS_PER_TASK = 1_000_000
 
 
-def measured_salts(df: DataFrame, keys: Sequence[str]) -> int:
-    """How many tasks the hottest key needs at ``ROWS_PER_TASK`` rows each; one counting pass, summed up in the tasks."""
-    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+SAMPLED = 64
+
+
+def measured_salts(df: DataFrame, keys: Sequence[str], sample_by: Column | None = None) -> int:
+    """How many tasks the hottest key needs at ``ROWS_PER_TASK`` rows each.
+
+    One counting pass over the keys; with ``sample_by`` only one row in ``SAMPLED``, by hash, is counted.
+    """
+    rows, times = (df, 1) if sample_by is None else (df.filter(F.pmod(F.xxhash64(sample_by), F.lit(SAMPLED)) == 0), SAMPLED)
+    most = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    return salts_for(most * times)
+
+
+def salts_for(most: int) -> int:
     return -(-most // ROWS_PER_TASK)
 
 
@@ -65,7 +85,7 @@ def salted_join(
     Rows of ``big`` get a salt from ``salt_from`` (a value that varies inside a key); each row
     of ``small`` is copied once per salt. ``how`` may be inner, left or left_semi.
     """
-    salts = salts or measured_salts(big, keys)
+    salts = salts or measured_salts(big, keys, salt_from)
     left = big.withColumn("_salt", F.pmod(F.xxhash64(salt_from), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
@@ -183,12 +203,14 @@ def latest_per_author_timeline(
     if heavy_followers is None:
         fed = follows.join(recent, "author")
     else:
-        sizes = follows.groupBy("author").agg(F.count(F.lit(1)).alias("_n"))
+        # one pass counts followers; the largest count tells the salts, too
+        sizes = stored(follows.groupBy("author").agg(F.count(F.lit(1)).alias("_n")), "followers")
+        salts = salts_for(sizes.agg(F.max("_n")).first()[0] or 1)
         heavy = sizes.filter(F.col("_n") > heavy_followers).select("author")
-        light = salted_join(follows, heavy.withColumn("_h", F.lit(True)), ["author"], F.col("reader"), how="left")
+        light = salted_join(follows, heavy.withColumn("_h", F.lit(True)), ["author"], F.col("reader"), salts, how="left")
         pushed = light.filter(F.col("_h").isNull()).drop("_h").join(recent, "author")
         pulled = salted_join(
-            light.filter(F.col("_h")).drop("_h"), recent, ["author"], F.col("reader")
+            light.filter(F.col("_h")).drop("_h"), recent, ["author"], F.col("reader"), salts
         )
         fed = pushed.unionByName(pulled)
     per_reader = Window.partitionBy("reader").orderBy(*newest)

@@ -65,7 +65,7 @@ def _(t):
 
 @query("J06_cross_reference_tables", "SELECT n_name, r_name FROM nation CROSS JOIN region")
 def _(t):
-    return J.bounded_cross(t.nation.select("n_name"), t.region.select("r_name"))
+    return J.block_join(t.nation.select("n_name"), t.region.select("r_name"))
 
 
 @query("J07_date_spine_fill", f"""
@@ -340,10 +340,7 @@ def _(t):
 
 @query("J32_nested_loop_reference_tables", "SELECT n_name, r_name FROM nation JOIN region ON n_regionkey < r_regionkey")
 def _(t):
-    right = t.region
-    if not J.within_rows(right, 1000):
-        raise ValueError("a nested-loop join is for reference tables only")
-    return t.nation.join(F.broadcast(right), F.col("n_regionkey") < F.col("r_regionkey")).select("n_name", "r_name")
+    return J.block_join(t.nation, t.region, F.col("n_regionkey") < F.col("r_regionkey")).select("n_name", "r_name")
 
 
 @query("J33_co_located_join", f"""

@@ -139,9 +139,22 @@ def test_range_lookup_edges(spark):
     assert got == {0: "low", 9: "low", 10: "high", 24: "high", 25: None}
 
 
-def test_bounded_cross_refuses_large_sides(spark):
-    with pytest.raises(ValueError):
-        J.bounded_cross(spark.range(50), spark.range(3), limit=10)
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_blocks_meet_once(spark, monkeypatch, limit):
+    monkeypatch.setattr(J, "BLOCK_ROWS", 7)
+    left = spark.createDataFrame([(i, None if i == 3 else "x") for i in range(30)] + [(0, "x")], "a int, s string")
+    right = spark.range(20).withColumnRenamed("id", "b")
+    every = sorted((a, b) for a in [*range(30), 0] for b in range(20))
+    assert sorted((r["a"], r["b"]) for r in J.block_join(left, right, limit=limit).collect()) == every
+    some = J.block_join(left, right, F.col("a") < F.col("b"), limit)
+    assert sorted((r["a"], r["b"]) for r in some.collect()) == [(a, b) for a, b in every if a < b]
+    assert J.block_join(left.limit(0), right, limit=limit).count() == 0 == J.block_join(left, right.limit(0), limit=limit).count()
+
+
+def test_salts_from_a_sample(spark, monkeypatch):
+    monkeypatch.setattr(J, "ROWS_PER_TASK", 100)
+    rows = spark.range(20_000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+    assert 40 <= J.measured_salts(rows, ["k"], F.col("id")) <= 100  # the hottest key has 6,667 rows
 
 
 def test_salts_follow_the_hottest_key(hot, monkeypatch):
