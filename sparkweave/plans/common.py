@@ -44,3 +44,15 @@ def tagged(**frames: DataFrame) -> DataFrame:
 
 def sql_tagged(**texts: str) -> str:
     return " UNION ALL ".join(f"SELECT *, '{k}' AS form FROM ({v})" for k, v in texts.items())
+
+
+#: Checksums in a check text: ``crc_table`` goes before (in a recursive WITH), ``sql_crc32`` gives the checksum of a string.
+SQL_CRC_TABLE = """crc_steps(i, k, v) AS (SELECT i, 0, i FROM range(256) t(i) UNION ALL
+ SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM crc_steps WHERE k = 8)"""
+
+
+def sql_crc32(hexed: str) -> str:
+    """Of ``hex(encode(string))``, in a query that has ``crc_table`` in its FROM."""
+    return f"""xor(list_reduce(list_transform(range(0, len({hexed}) // 2), lambda i: ('0x' || substr({hexed}, 2 * i + 1, 2))::BIGINT),
+ lambda a, b: xor(crc_table.t[xor(a, b) % 256 + 1], a >> 8), 4294967295::BIGINT), 4294967295::BIGINT)"""

@@ -37,7 +37,23 @@ def _(t):
 SEPARATORS = ["\n\n", "\n", ".", "!", "?", ",", " ", ""]
 
 
-@query("V03_recursive_chunks")
+def sql_recursive_chunks(size, separators):
+    """Level by level: pieces too long are cut after each separator and packed again; what is left is cut by length."""
+    def quoted(x):
+        return "'" + x.replace("\n", "' || chr(10) || '") + "'"
+
+    levels = ["l0 AS (SELECT doc_id, [0::BIGINT] AS path, text AS t FROM documents WHERE text <> '')"]
+    for i, sep in enumerate(x for x in separators if x):
+        q = quoted(sep)
+        levels.append(f"""l{i + 1} AS (SELECT doc_id, list_append(path, n) AS path, c[n] AS t FROM (SELECT doc_id, path, c, unnest(generate_series(1, len(c))) AS n FROM (
+ SELECT doc_id, path, CASE WHEN length(t) > {size} AND contains(t, {q}) THEN list_reduce(list_transform(string_split(t, {q}), lambda p, k: [CASE WHEN k < len(string_split(t, {q})) THEN p || {q} ELSE p END]),
+  lambda a, b: CASE WHEN length(a[-1]) + length(b[1]) <= {size} THEN list_append(a[:-2], a[-1] || b[1]) ELSE list_concat(a, b) END) ELSE [t] END AS c FROM l{i})) WHERE c[n] <> '')""")
+    last = f"l{len(levels) - 1}"
+    levels.append(f"""cut AS (SELECT doc_id, list_append(path, i) AS path, substring(t, i + 1, {size}) AS t FROM (SELECT doc_id, path, t, unnest(generate_series(0, length(t) - 1, {size})) AS i FROM {last}))""")
+    return "WITH " + ",\n".join(levels) + " SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY path) - 1)::INTEGER AS chunk_no, t AS chunk FROM cut"
+
+
+@query("V03_recursive_chunks", sql_recursive_chunks(500, SEPARATORS))
 def _(t):
     return X.recursive_chunks(t.spread("documents"), "doc_id", "text", 500, SEPARATORS)
 

@@ -8,7 +8,7 @@ from sparkweave.functions import udfs as U
 from sparkweave.operators import limits as R
 from sparkweave.operators import text as X
 from sparkweave.operators import vectors as V
-from sparkweave.plans.common import n_rows, sql_units
+from sparkweave.plans.common import SQL_CRC_TABLE, n_rows, sql_crc32, sql_units
 from sparkweave.plans.q_streams import MINUTE, instants, sql_token_bucket
 from sparkweave.plans.q_text import SQL_WORDS, sql_word_chunks
 from sparkweave.plans.registry import query
@@ -62,7 +62,11 @@ def _(t):
     return log.groupBy("user_id").agg(F.max("event_id").alias("event_id"))
 
 
-@query("U07_batch_embedding")
+@query("U07_batch_embedding", f"""
+WITH RECURSIVE {SQL_CRC_TABLE}, w AS (SELECT DISTINCT doc_id, unnest({SQL_WORDS.format('lower(text)')}) AS w FROM documents),
+s AS (SELECT doc_id, count(DISTINCT {sql_crc32('x')} % 64) AS filled FROM (SELECT doc_id, hex(encode(w)) AS x FROM w), crc_table GROUP BY 1)
+SELECT doc_id, 64::INTEGER AS dims, coalesce(filled, 0)::INTEGER AS filled, CASE WHEN filled IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE AS norm FROM documents LEFT JOIN s USING (doc_id)""")
 def _(t):
     vectors = U.embed_batches(t.spread("documents"), "doc_id", "text", U.hash_embedder(64), batch_size=32, retries=2)
-    return vectors.select("doc_id", F.size("embedding").alias("dims"), F.round(V.norm(F.col("embedding")), 3).alias("norm"))
+    filled = F.size(F.filter("embedding", lambda x: x != 0))
+    return vectors.select("doc_id", F.size("embedding").alias("dims"), filled.alias("filled"), F.round(V.norm(F.col("embedding")), 3).alias("norm"))

@@ -247,15 +247,36 @@ def _(t):
     return facts.join(size, "object", "left").fillna(0, ["neighbour_facts"])
 
 
-@query("V29_pca")
+def sql_pca(k, squarings=13):
+    """Leading directions of the covariance matrix, one after the other: a high power of the matrix, by squaring it again and again, is
+    all but a multiple of the leading direction times itself; then that direction is taken out. The largest entry is positive."""
+    steps = ["""x AS MATERIALIZED (SELECT vec_id, i, v[i] AS x FROM (SELECT vec_id, v, unnest(generate_series(1, len(v))) AS i FROM e)),
+means AS MATERIALIZED (SELECT i, avg(x) AS m, count(*) AS n FROM x GROUP BY 1),
+c0 AS MATERIALIZED (SELECT a.i AS i, b.i AS j, sum((a.x - p.m) * (b.x - q.m)) / (any_value(p.n) - 1) AS v FROM x a JOIN x b USING (vec_id) JOIN means p ON p.i = a.i JOIN means q ON q.i = b.i GROUP BY 1, 2)"""]
+    for c in range(k):
+        steps.append(f"p{c}_0 AS (SELECT * FROM c{c})")
+        for s in range(squarings):
+            steps.append(f"p{c}_{s + 1} AS MATERIALIZED (SELECT i, j, v / max(abs(v)) OVER () AS v FROM (SELECT a.i AS i, b.j AS j, sum(a.v * b.v) AS v FROM p{c}_{s} a JOIN p{c}_{s} b ON a.j = b.i GROUP BY 1, 2))")
+        last = f"p{c}_{squarings}"
+        steps.append(f"""d{c} AS MATERIALIZED (SELECT i, v / sqrt(sum(v * v) OVER ()) * sign(first_value(v) OVER (ORDER BY abs(v) DESC, i)) AS v FROM {last} WHERE j = (SELECT arg_max(i, v) FROM {last} WHERE i = j))""")
+        steps.append(f"l{c} AS MATERIALIZED (SELECT sum(a.v * c.v * b.v) AS l FROM c{c} c JOIN d{c} a ON a.i = c.i JOIN d{c} b ON b.i = c.j)")
+        steps.append(f"c{c + 1} AS MATERIALIZED (SELECT c.i AS i, c.j AS j, c.v - l * a.v * b.v AS v FROM c{c} c JOIN d{c} a ON a.i = c.i JOIN d{c} b ON b.i = c.j, l{c})")
+    columns = ", ".join(f"round(sum(x * d{c}.v), 5) AS pc{c + 1}" for c in range(k))
+    joins = " ".join(f"JOIN d{c} ON d{c}.i = x.i" for c in range(k))
+    return f"WITH {SQL_E}, " + ",\n".join(steps) + f" SELECT vec_id, {columns} FROM x {joins} GROUP BY 1"
+
+
+@query("V29_pca", sql_pca(3))
 def _(t):
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     v = t.embeddings.select("vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("x"))
     model = PCA(k=3, inputCol="x", outputCol="p").fit(v)
+    # a direction is known but for its sign: its largest entry is made positive
+    sides = [1.0 if c[abs(c).argmax()] > 0 else -1.0 for c in model.pc.toArray().T]
     p = vector_to_array("p")
-    return model.transform(v).select("vec_id", *[F.round(p[i], 6).alias(f"pc{i + 1}") for i in range(3)])
+    return model.transform(v).select("vec_id", *[F.round(p[i] * side, 5).alias(f"pc{i + 1}") for i, side in enumerate(sides)])
 
 
 @query("P20_filter_before_search", f"""
