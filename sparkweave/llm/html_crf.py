@@ -36,6 +36,12 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-label)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
+UNSEEN = "hidden!"  # the attribute hidden or display:none; no class or id is read as this name
+HEADINGS = frozenset(f"<h{n}>" for n in range(1, 7))
+#: What the headings of reader comments say.
+_TALK = re.compile(
+    r"\b(?:comments?|replies|responses|discussion|leave a (?:reply|comment)|kommentare?|antworten|diskussion|comentarios?|respuestas|commentaires?|r[ée]ponses)\b", re.I
+)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -53,7 +59,7 @@ def _attribute_names(attributes: str) -> list[str]:
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or (key == "style" and "display:none" in value.replace(" ", "").lower()):
-            names.append("hidden")
+            names.append(UNSEEN)
         elif key != "style":
             names.extend(x.lower() for x in _NAME.findall(value))
     return names
@@ -164,9 +170,10 @@ def leaf_blocks(page: str) -> list[Block]:
 
 
 def features(blocks: list[Block]) -> list[list[str]]:
-    """Ancestor tags and names, and what the text itself looks like."""
+    """Ancestor tags and names, what the text itself looks like, and whether it stands under a heading of comments."""
     out = []
     n = len(blocks)
+    talk = None  # what stands around the last heading that speaks of comments, as long as its section goes on
     for k, b in enumerate(blocks):
         t = b.text
         words = t.count(" ") + 1
@@ -180,6 +187,14 @@ def features(blocks: list[Block]) -> list[list[str]]:
         if b.linked and ("|" in t or "»" in t or "·" in t):
             f.append("linked bars")
         f.append(f"place:{4 * k // n}")
+        heading = not HEADINGS.isdisjoint(b.around)
+        if talk is not None and (heading or not talk <= b.around):
+            talk = None
+        if heading and words <= 6 and _TALK.search(t):
+            talk = b.around - HEADINGS
+            f.append("heading of comments")
+        elif talk is not None:
+            f.append("below a heading of comments")
         out.append(f)
     return out
 
@@ -253,11 +268,17 @@ def labelled_pages(number: int = 1000, seed: int = 1) -> list[tuple[str, list[in
 
     def comments():
         n = rng.randint(1, 5)
+        said = rng.choice(["Comments", f"{n} comments", "Reader comments", "Leave a comment", "Discussion", f"{n} replies", "Responses", "Kommentare", "Comentarios", "Commentaires"])
+        if rng.random() < 0.4:  # nothing but the heading tells
+            tag, h = rng.choice(["section", "div", "section"]), rng.choice(["h2", "h3", "h4"])
+            one = rng.choice(["<p>{}</p>", "<div><p>{}</p></div>", "<li>{}</li>", "<li>{}</li>"])
+            body = "".join(one.format(f"{sentence()} {sentence() if rng.random() < 0.5 else ''}") for _ in range(n))
+            return f"<{tag}><{h}>{said}</{h}>{f'<ul>{body}</ul>' if 'li' in one else body}</{tag}>", [_BAD] * (n + 1)
         tag, one = rng.choice(["section", "div", "div"]), rng.choice(["div", "li", "article", "p"])
         body = "".join(
             f"<{one}{pick('comment', 'reply', 'comment-body') if rng.random() < 0.7 else ''}>{'' if one == 'p' else '<p>'}{sentence()} {sentence()}{'' if one == 'p' else '</p>'}</{one}>" for _ in range(n)
         )
-        return f"<{tag}{pick('comments', 'comment-list', 'disqus', 'responses', 'discussion')}><h3>{phrase()}</h3>{body}</{tag}>", [_BAD] * (n + 1)
+        return f"<{tag}{pick('comments', 'comment-list', 'disqus', 'responses', 'discussion')}><h3>{said if rng.random() < 0.5 else phrase()}</h3>{body}</{tag}>", [_BAD] * (n + 1)
 
     def share():
         n = rng.randint(2, 4)
@@ -441,7 +462,7 @@ def main_text(page: str | None, field: Field) -> str:
     """The blocks of the article, one a line; empty for null, for pages without text and for pages without an article."""
     if not page:
         return ""
-    blocks = [b for b in leaf_blocks(page) if ".hidden" not in b.around]
+    blocks = [b for b in leaf_blocks(page) if f".{UNSEEN}" not in b.around]
     return "\n".join(b.text for b, keep in zip(blocks, field.decode(features(blocks))) if keep)
 
 

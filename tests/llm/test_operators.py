@@ -79,6 +79,39 @@ def test_page_text():
     assert html_crf.main_text(PAGE, html_crf.default_field()) == MAIN
 
 
+def test_comments_that_only_a_heading_tells_and_hidden_names():
+    field = html_crf.default_field()
+    body = "<h1>A headline</h1><p>First one. It goes on and on, as it should.</p><p>Second one. It ends here after some more words.</p>"
+    for head in ("Reader comments", "3 comments", "Kommentare"):
+        talk = f"<section><h2>{head}</h2><ul><li>I liked it. Thanks a lot for this one.</li><li>So did I, but the end was weak.</li></ul></section>"
+        got = html_crf.main_text(f"<html><body><nav><a href=/>Home</a></nav><article>{body}{talk}</article><footer>&copy; 2020</footer></body></html>", field)
+        assert got == "A headline\nFirst one. It goes on and on, as it should.\nSecond one. It ends here after some more words."
+    # a class of that name hides nothing, the attribute and the style do
+    named = html_crf.main_text(f'<html><body><article class="hidden">{body}</article></body></html>', field)
+    assert named.startswith("A headline") and named.count("\n") == 2
+    for mark in ("hidden", 'style="display: none"'):
+        assert "Not seen" not in html_crf.main_text(f"<html><body><article>{body}<p {mark}>Not seen by anyone. It is hidden.</p></article></body></html>", field)
+
+
+def test_viterbi_matches_enumeration():
+    """The decoded labels of short chains are those of the largest score over all label sequences."""
+    import itertools
+
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        names = [f"f{i}" for i in range(5)]
+        field = html_crf.Field({n: i for i, n in enumerate(names)}, rng.standard_normal((5, 2)), rng.standard_normal((2, 2)))
+        rows = [[n for n in names if rng.random() < 0.5] for _ in range(int(rng.integers(1, 8)))]
+
+        def score(labels):
+            own = sum(field.unary[field.index[f], y] for row, y in zip(rows, labels) for f in row)
+            return own + sum(field.pair[a, b] for a, b in zip(labels, labels[1:]))
+
+        best = max(itertools.product((0, 1), repeat=len(rows)), key=score)
+        assert score(tuple(field.decode(rows))) == pytest.approx(score(best))
+    assert field.decode([]) == []
+
+
 def test_open_heads_and_formulas():
     def texts(page):
         return [b.text for b in html_crf.leaf_blocks(page)]
