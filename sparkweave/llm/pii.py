@@ -185,8 +185,8 @@ def _families(texts: DataFrame) -> DataFrame:
     return comps.select("node", F.col("component").alias("family"))
 
 
-def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk: float = 0.05) -> DataFrame:
-    """``term, strength``: terms whose presence discloses a protected entity.
+def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk: float = 0.05) -> tuple[DataFrame, DataFrame]:
+    """``term, strength``: terms whose presence discloses a protected entity; and ``_print, term``: where such terms can be.
 
     With n(.) counted over all documents, PMI(e; t) = log2(n(e, t) N / (n(e) n(t))) is what term t tells about
     entity e, and IC(e) = log2(N / n(e)) is all there is to tell. A term is revealing if PMI reaches ``alpha`` of
@@ -213,7 +213,9 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk
         terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_held"), F.sum("n_rows").alias("n_rows")).filter("n_held > 1"),
         "terms-held",
     )
-    found = docs.select(F.explode(_terms(F.col("_t"))).alias("term")).join(broadcast_within(near.select("term")), "term")
+    # the one pass that cuts all texts into terms; where a term is found is looked up here afterwards
+    found = docs.select("_print", F.explode(_terms(F.col("_t"))).alias("term")).join(broadcast_within(near.select("term")), "term")
+    found = stored(found.select("_print", "term"), "terms-found")
     counts = found.groupBy("term").agg(F.count(F.lit(1)).alias("n_all")).join(near, "term")
     counts = counts.select("term", "n_held", (F.col("n_all") - F.col("n_rows") + F.col("n_held")).alias("n_term"))
     # no entity can be told by a term more often than any is, so most terms end here
@@ -240,7 +242,7 @@ def revealing_terms(spans: DataFrame, docs: DataFrame, alpha: float = 0.95, risk
     pmi = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
     content = F.log2(total / F.col("n_entity"))
     strength = F.when(content > 0, F.least(pmi / content, F.lit(1.0)))
-    return judged.groupBy("term").agg(F.max(strength).alias("strength")).filter(F.col("strength") >= alpha)
+    return judged.groupBy("term").agg(F.max(strength).alias("strength")).filter(F.col("strength") >= alpha), found
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: float = 0.95, risk: float = 0.05) -> DataFrame:
@@ -257,11 +259,11 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", alpha: flo
     held = stored(base.filter(F.size("spans") > 0).select("_id", "_print", "spans").dropDuplicates(["_id", "_print"]), "identifiers")
     clean = F.coalesce(F.col(text), F.lit(""))
     texts = docs.select(*row_identity(F.col(doc_id), clean), clean.alias("_t"))
-    terms = broadcast_within(stored(revealing_terms(held, texts, alpha, risk), "revealing"))
+    revealing, found = revealing_terms(held, texts, alpha, risk)
+    terms = broadcast_within(stored(revealing, "revealing"))
 
-    marked = texts.select("_id", "_print", F.explode(_terms(F.col("_t"))).alias("term")).join(terms.select("term"), "term")
-    where = broadcast_within(stored(marked.select("_id", "_print").distinct(), "marked"))
-    some = texts.join(where, same_row(texts, where), "left_semi").dropDuplicates(["_id", "_print"])
+    where = broadcast_within(stored(found.join(terms.select("term"), "term").select("_print").distinct(), "marked"))
+    some = texts.join(where, "_print", "left_semi").dropDuplicates(["_id", "_print"])
     places = _term_places(some, "_t").select("_id", "_print", F.inline("_terms")).withColumn("term", ascii_lower(F.col("value")))
     hits = places.join(terms, "term")
     action = F.when(F.col("strength") >= 1.0, "removed").otherwise("generalised")
