@@ -438,6 +438,14 @@ def test_revealing_terms(spark):
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(frame.withColumn("n_chars", F.lit(0))).collect()}
     assert all("orblatt" not in t and "@" not in t for t in clean.values())
     assert clean[1] == texts[1]
+    # the same through the registered query
+    from sparkweave.llm.queries import QUERIES
+    from sparkweave.session import new_folder
+
+    folder = new_folder(spark, "planted")
+    frame.write.parquet(f"{folder}/documents.parquet")
+    told = {r["doc_id"] for r in QUERIES["op5_pii"](spark, folder).collect() if "term:" in r["spans"]}
+    assert told == {*range(0, 300, 30), 7}
 
 
 def marked_terms(frame, **how):
