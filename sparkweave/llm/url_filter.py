@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkweave.llm.common import ascii_lower, broadcast_within
-from sparkweave.operators.graphs import connected_components
 from sparkweave.sources.files import stored
 
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
@@ -95,6 +94,30 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.select("url", _resolved(F.col("_href"), F.col("url")).alias("target")).filter("target IS NOT NULL").distinct()
 
 
+def alias_classes(links: DataFrame) -> DataFrame:
+    """``node, component`` (the least node) for every node of ``links(a, b)``, by hooking and shortcuts.
+
+    Every class hangs itself below the least class that a link of one of its nodes leads to, and then every node points
+    to what its class points to. Minima are summed up before they are shuffled, joins are ones that adaptive execution
+    splits at a hub, and each turn is written to the shared folder. Turns grow with the logarithm of the longest way.
+    Nulls and links to the node itself are dropped; no links give no rows.
+    """
+    one = links.select("a", "b").filter("a <> b").distinct()
+    both = stored(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "alias-links")
+    low = both.groupBy("a").agg(F.min("b").alias("_b"))
+    now = stored(low.select(F.col("a").alias("node"), F.least("a", "_b").alias("component")), "alias-classes")
+    while True:
+        met = both.join(now.select(F.col("node").alias("b"), F.col("component").alias("_c")), "b").groupBy("a").agg(F.min("_c").alias("_c"))
+        hooks = now.join(met, F.col("node") == F.col("a")).groupBy("component").agg(F.min("_c").alias("_c"))
+        hung = stored(now.join(hooks, "component").select("node", F.least("component", "_c").alias("component")), "alias-hooks")
+        on = hung.select(F.col("node").alias("component"), F.col("component").alias("_next"))
+        after = stored(hung.join(on, "component").select("node", F.col("_next").alias("component")), "alias-classes")
+        moved = after.join(now.withColumnRenamed("component", "_old"), "node").filter("component <> _old")
+        if moved.isEmpty():
+            return after
+        now = after
+
+
 def judge_pages(
     pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
     redirects: DataFrame | None = None,
@@ -113,7 +136,7 @@ def judge_pages(
     if redirects is not None:
         links = links.unionByName(redirects.select("url", "target"))
     links = stored(links.filter("url IS NOT NULL AND target IS NOT NULL").distinct(), "links")
-    members = connected_components(links.select(url_key(F.col("url")).alias("a"), url_key(F.col("target")).alias("b")))
+    members = alias_classes(links.select(url_key(F.col("url")).alias("a"), url_key(F.col("target")).alias("b")))
 
     ends = links.select("url").unionByName(links.select(F.col("target").alias("url")))
     ends = ends.select(url_key(F.col("url")).alias("node"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).distinct()

@@ -835,8 +835,23 @@ def test_blocks_spread_over_links(spark):
     assert {r["verdict"] for r in url_filter.judge_pages(frame, url_filter.rule_table(spark, [])).collect()} == {"allow"}
 
 
-def test_components_of_paths_hubs_and_loops(spark):
+@pytest.mark.parametrize("connected_components", [connected_components, url_filter.alias_classes], ids=["stars", "hooks"])
+def test_components_of_paths_hubs_and_loops(spark, connected_components):
     edges = [(i, i + 1) for i in range(60)] + [(200, 200 + i) for i in range(50)] + [(300, 301), (301, 302), (302, 300), (5, 5), (None, 7), (300, 301)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a int, b int")).collect())
     assert got == {**{i: 0 for i in range(61)}, **{200 + i: 200 for i in range(50)}, 300: 300, 301: 300, 302: 300}
     assert connected_components(spark.createDataFrame([], "a int, b int")).count() == 0
+    rng = random.Random(2)
+    made = [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(45)]
+    lead = {}
+
+    def find(x):
+        while lead.setdefault(x, x) != x:
+            x = lead[x]
+        return x
+
+    for a, b in made:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            lead[b] = a
+    assert dict(tuple(r) for r in connected_components(spark.createDataFrame(made, "a string, b string")).collect()) == {x: find(x) for x in list(lead)}
