@@ -113,7 +113,11 @@ def contaminated() -> Column:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The documents without contaminated ones; every other row keeps its columns and its text."""
+    """The documents without contaminated ones; every other row keeps its columns and its text.
+
+    Rows go by id and text: repeated rows stay or go together, null ids are ids. Null and empty texts have no words and stay;
+    texts of any length are read whole. Without items, or with none that has words, all stay; no documents give no rows.
+    """
     marks = benchmark_hits(docs, items, doc_id, text, **names)
     bad = stored(marks.filter(contaminated()).select("_id", "_print").distinct(), "contaminated")
     bad = broadcast_within(bad)

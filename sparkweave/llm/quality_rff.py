@@ -209,7 +209,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The documents predicted good, with all their columns."""
+    """The documents predicted good, with all their columns.
+
+    Rows go by id and text: repeated rows stay or go together, null ids are ids, a null text is judged as an empty one; texts
+    of any length are read whole. Without usable labels nothing goes; no documents give no rows.
+    """
     bad = score_documents(docs, labels, doc_id, text, **how).filter("predicted = 0").select("_id", "_print").distinct()
     bad = broadcast_within(stored(bad, "poor"))
     same = F.col(doc_id).eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == bad["_print"])

@@ -257,7 +257,11 @@ def judge(docs: DataFrame, reject: float = REJECT, least: int = MIN_GROUP, **nam
 
 
 def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:
-    """The kept documents with all their columns."""
+    """The kept documents with all their columns.
+
+    Rows go by id and text: repeated rows stay or go together, null ids are ids, null and empty texts fail the fixed limits and
+    go; texts of any length are read whole; no documents give no rows.
+    """
     bad = judge(docs, doc_id=doc_id, text=text, **names).filter(~F.col("kept")).select("_id", "_print").distinct()
     bad = broadcast_within(stored(bad, "rejected"))
     return docs.join(bad, F.col(doc_id).eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == bad["_print"]), "left_anti")

@@ -758,6 +758,26 @@ def test_distances_match_numpy(spark):
     assert np.allclose(got, np.sort(np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)), rtol=1e-6)
 
 
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_filters_keep_rows_and_columns(spark, docs, rows, none, monkeypatch, limit):
+    """What goes is what the verdicts say, joined by shuffle or broadcast; repeated rows and null ids share their fate."""
+    for module in (quality_rules, quality_rff, toxicity):
+        monkeypatch.setattr(module, "broadcast_within", lambda df, bound=0, more=None: common.broadcast_within(df, limit, more))
+    verdicts = {(r["_id"], r["_print"]): r["kept"] for r in quality_rules.judge(docs).collect()}
+    prints = [(r["doc_id"], r["p"], r["text"]) for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("p")).collect()]
+    kept = quality_rules.filter_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(((i, t) for i, p, t in prints if verdicts[i, p]), key=str)
+    some = labels_of(spark, [(i, i % 2, i % 2) for i in range(24)])
+    for operator, keep, bad in ((quality_rff, quality_rff.keep_good, 0), (toxicity, toxicity.drop_toxic, 1)):
+        predicted = {(r["_id"], r["_print"]): r["predicted"] for r in operator.score_documents(docs, some).collect()}
+        left = keep(docs, some)
+        assert left.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(((i, t) for i, p, t in prints if predicted[i, p] != bad), key=str)
+        assert keep(none, some).count() == 0
+    assert quality_rules.filter_documents(none).count() == 0
+
+
 def test_subset_matches_a_plain_search(spark):
     """Forty rows with nine outliers of two kinds: the estimate is that of the least determinant over many random starts."""
     rng = np.random.default_rng(9)
