@@ -190,8 +190,8 @@ def mixing_rates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", so
 def mix_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: DataFrame | None = None, most: int = MOST) -> DataFrame:
     """The mix itself: each document as often as it is taken, all columns kept, with ``copy`` from 1 (``_copy`` if there is a ``copy``).
 
-    A null source is a source of its own, null ids are ids; null and empty texts have size 0 and are taken once or not at
-    all, as their rate says; repeated rows are taken each; no documents give no rows.
+    A null source is a source of its own, null ids are ids; null and empty texts have size 0 and count for nothing, so they are
+    taken as often as their rate says; repeated rows are taken each; no documents give no rows.
 
     Only the few rows per source that decide the copies are joined; texts are not moved.
     """
