@@ -56,20 +56,6 @@ def test_large_side_is_not_broadcast(spark):
     assert J.broadcast_checked(spark.range(100), limit=1000)._jdf.queryExecution().analyzed().toString().find("broadcast") < 0
 
 
-REFERENCE_ONLY = {"J06_cross_reference_tables", "J32_nested_loop_reference_tables"}
-
-
-def test_no_cross_products(spark, sf):
-    bad = []
-    for name, fn in QUERIES.items():
-        if name[0] == "T" or name in REFERENCE_ONLY:  # streams have no plan of their own here
-            continue
-        text = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
-        if "CartesianProduct" in text or "BroadcastNestedLoopJoin" in text:
-            bad.append(name)
-    assert not bad
-
-
 def test_flagship_needs_no_expand(spark, sf, plan):
     """The distinct count of orders is a plain count over rows already grouped by order."""
     assert "Expand" not in plan(QUERIES["A30_monthly_brand_revenue"](spark, sf))

@@ -1,4 +1,4 @@
-"""Every query against its DuckDB check: columns, rows and values, in any order."""
+"""Every query against its DuckDB check: columns, rows and values, in any order; none multiplies tables."""
 
 import datetime
 import math
@@ -32,6 +32,16 @@ def rows(data):
     return sorted((tuple(plain(v) for v in r) for r in data), key=repr)
 
 
+#: Joins of reference tables, whose right side is broadcast while it is small.
+REFERENCE_ONLY = {"J06_cross_reference_tables", "J32_nested_loop_reference_tables"}
+
+
+def no_cross_product(name, df):
+    """Streams have no plan of their own here."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert name[0] == "T" or name in REFERENCE_ONLY or not ("CartesianProduct" in text or "BroadcastNestedLoopJoin" in text)
+
+
 # types DuckDB would widen to, which would not compare equal with ours
 WIDE = ("HUGEINT", "DECIMAL")
 
@@ -39,6 +49,7 @@ WIDE = ("HUGEINT", "DECIMAL")
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_matches_check(spark, sf, duck, name):
     df = QUERIES[name](spark, sf)
+    no_cross_product(name, df)
     cols = sorted(df.columns)
     ours = rows(tuple(r) for r in df.select(*[f"`{c}`" for c in cols]).collect())
     cur = duck.execute(CHECKS[name])
@@ -52,7 +63,9 @@ def test_matches_check(spark, sf, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
 def test_runs_and_has_rows(spark, sf, name):
-    assert QUERIES[name](spark, sf).count() > 0
+    df = QUERIES[name](spark, sf)
+    no_cross_product(name, df)
+    assert df.count() > 0
 
 
 def test_flagship(spark):
