@@ -19,6 +19,7 @@ from sparkweave.sources.files import stored
 
 BLOCK = 8192  # members of a bucket that meet in one task
 PAIRS = 400_000  # pairs a task holds at a time
+LISTED = 8  # buckets that a member carries with it, so that a pair is an edge of one of its common buckets only
 FORESTS = 8  # edge-disjoint forests of a bucket's near pairs that are verified
 MORE = 64  # times as many where edges fail
 PLACES = 2  # places of a parity sketch per element of its set
@@ -76,12 +77,27 @@ def _group_edges(table: pa.Table, prepare: Callable, n: int) -> pa.RecordBatch |
         return None
     node = table.column("id").to_numpy()
     left, right = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("left", "right"))
+    bucket, listed = table.column("bucket")[0].as_py(), np.full((len(node), LISTED), np.iinfo(np.int64).max)
+    for k, own in enumerate(table.column("listed").to_pylist()):
+        listed[k, : len(own)] = own
+
+    def elsewhere(r: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """True where both members list a bucket before this one: the pair is an edge there."""
+        out = np.zeros(len(r), dtype=bool)
+        for k in range(0, len(r), PAIRS // LISTED):
+            a, b = listed[r[k : k + PAIRS // LISTED]], listed[c[k : k + PAIRS // LISTED]]
+            for j in range(LISTED):
+                out[k : k + len(a)] |= (a[:, j] < bucket) & (a[:, j, None] == b).any(axis=1)
+        return out
+
     near = prepare(table)
     u = v = w = np.empty(0, dtype=np.int64)
     everything = True
     step = max(1, PAIRS // max(1, len(right)))
     for low in range(0, len(left), step):
         r, c, weight = near(left[low : low + step], right, label)
+        own = ~elsewhere(r, c)
+        r, c, weight = r[own], c[own], weight[own]
         a, b = np.minimum(r, c), np.maximum(r, c)
         u, v, w = np.concatenate([u, a]), np.concatenate([v, b]), np.concatenate([w, weight])
         _, once = np.unique(u * len(node) + v, return_index=True)
@@ -94,7 +110,7 @@ def _group_edges(table: pa.Table, prepare: Callable, n: int) -> pa.RecordBatch |
         return None
     a, b = node[u], node[v]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(u), table.column("bucket")[0].as_py(), dtype=np.int64)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(u), everything))],
+        [pa.array(np.full(len(u), bucket, dtype=np.int64)), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.full(len(u), everything))],
         names=["bucket", "a", "b", "all"],
     )
 
@@ -102,7 +118,8 @@ def _group_edges(table: pa.Table, prepare: Callable, n: int) -> pa.RecordBatch |
 def _edges(labelled: DataFrame, features: DataFrame, prepare: Callable, n: int) -> DataFrame:
     """``bucket, a, b, all``: forests of near pairs between the components of each bucket of ``labelled(bucket, id, comp)``.
 
-    In a bucket all members meet those outside its largest component. Members go to columns and those outside also to
+    In a bucket all members meet those outside its largest component. A pair that is in several buckets is an edge of the
+    first one that both its members list, so it is not found again in each. Members go to columns and those outside also to
     rows of about ``BLOCK``, so a group is bounded, and a bucket in which few are left apart is read about once.
     """
     sizes = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("_n"))
@@ -122,7 +139,9 @@ def _edges(labelled: DataFrame, features: DataFrame, prepare: Callable, n: int)
         "bucket", F.col("_s.i").alias("i"), F.col("_s.j").alias("j"), "id", "comp",
         (F.col("_apart") & (F.col("_s.i") == F.col("_r"))).alias("left"), (F.col("_s.j") == F.col("_c")).alias("right"),
     )
-    dealt = dealt.join(features, "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    # the first buckets of every member, by number; numbers are hashes
+    listed = rows.select("bucket", "id").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("bucket")), 1, LISTED).alias("listed"))
+    dealt = dealt.join(features.join(listed, "id"), "id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []  # the group that may go on in the next batch
