@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import math
+import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkweave.sources.files import stored
 
+WHITE = re.compile(r"\s+", re.ASCII)
 
 def words(text: Column | str) -> Column:
     """Words between white space, empty ones left out."""
@@ -96,26 +102,45 @@ def hashed_counts(text: str, dims: int = 256) -> np.ndarray:
     return np.bincount(slots, minlength=dims).astype(float) if slots else np.zeros(dims)
 
 
+def first_sentences(said: Sequence[str], threshold: float) -> list[int]:
+    """Where chunks begin: at the first sentence, and at each whose word counts have a cosine below ``threshold`` with the one before it."""
+    out, before, last = [], {}, 0
+    for i, sentence in enumerate(said):
+        counts = Counter(w for w in WHITE.split(sentence) if w)
+        own = sum(c * c for c in counts.values())
+        small, large = (counts, before) if len(counts) < len(before) else (before, counts)
+        shared = sum(c * large.get(w, 0) for w, c in small.items())
+        if not (own and last and shared / math.sqrt(float(own) * last) >= threshold):
+            out.append(i)
+        before, last = counts, own
+    return out
+
+
 def semantic_chunks(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """``<key>, chunk_no, chunk``: a chunk ends where the next sentence is unlike the one before it.
 
-    Alike is a cosine of word counts of ``threshold`` or more. Counts of neighbouring sentences meet in an equi join on
-    the word, so a long sentence costs its length; a running sum over the cuts numbers the chunks of a text.
+    Alike is a cosine of word counts of ``threshold`` or more. A row is a text, so it is cut where it is read and only
+    key and hash of each text are shuffled, to find repeated rows, which count once; texts of repeated rows alone are moved.
+    A text without a key is cut at every sentence.
     """
-    place = [key, "_print", "_no"]
-    s = df.select(key, F.xxhash64(text).alias("_print"), F.posexplode(sentences(text)).alias("_no", "_s")).distinct()
-    counts = s.select(*place, F.explode(words(F.lower("_s"))).alias("_word")).groupBy(*place, "_word").agg(F.count(F.lit(1)).alias("_c"))
-    norms = counts.groupBy(*place).agg(F.sum(F.col("_c") * F.col("_c")).alias("_n"))
-    before = counts.select(key, "_print", (F.col("_no") + 1).alias("_no"), "_word", F.col("_c").alias("_b"))
-    dots = counts.join(before, [*place, "_word"]).groupBy(*place).agg(F.sum(F.col("_c") * F.col("_b")).alias("_dot"))
-    in_text = Window.partitionBy(key, "_print").orderBy("_no")
-    both = s.join(norms, place, "left").join(dots, place, "left").withColumn("_m", F.lag("_n").over(in_text))
-    alike = F.coalesce(F.col("_dot"), F.lit(0)) / F.sqrt(F.col("_n").cast("double") * F.col("_m")) >= threshold
-    cut = both.withColumn("_cut", F.when(alike, 0).otherwise(1))
-    numbered = cut.withColumn("chunk_no", (F.sum("_cut").over(in_text.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int"))
-    pieces = numbered.groupBy(key, "_print", "chunk_no").agg(F.sort_array(F.collect_list(F.struct("_no", "_s"))).alias("_p"))
-    return pieces.select(key, "chunk_no", F.array_join(F.transform("_p", lambda x: x["_s"]), " ").alias("chunk"))
-
+    rows = df.select(key, text).withColumn("_print", F.xxhash64(text)).filter(F.col(text).isNotNull())
+    repeated = rows.groupBy(key, "_print").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    repeated = stored(repeated.select(F.col(key).alias("_key"), F.col("_print").alias("_same")), "repeated")
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_print") == F.col("_same"))
+    once = rows.join(repeated, same, "left_anti").unionByName(rows.join(repeated, same, "left_semi").dropDuplicates([key, "_print"]))
+
+    @F.arrow_udf("array<int>")
+    def begins(said: pa.Array) -> pa.Array:
+        return pa.array([first_sentences(x.as_py(), threshold) for x in said], pa.list_(pa.int32()))
+
+    s = once.select(key, sentences(text).alias("_s"))
+    low = F.when(F.col(key).isNotNull(), F.transform("_s", F.lower)).otherwise(F.array().cast("array<string>"))
+    every = F.transform("_s", lambda x, i: i)
+    cut = s.withColumn("_own", begins(low)).withColumn("_at", F.when(F.col(key).isNotNull(), F.col("_own")).otherwise(every))
+    pieces = F.transform("_at", lambda b, i: F.array_join(
+        F.slice("_s", b + 1, F.coalesce(F.get("_at", i + 1), F.size("_s")) - b), " "
+    ))
+    return cut.select(key, F.posexplode(pieces).alias("chunk_no", "chunk"))
 
 
 def word_runs(w: Column) -> Column:

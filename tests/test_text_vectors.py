@@ -182,6 +182,24 @@ def test_similar_sentences_join(spark):
     assert got == [(1, 0, "Red green blue. Red green blue."), (1, 1, "One two three."), (1, 2, "One.")]
 
 
+def test_similar_sentences_stay_in_their_row(spark):
+    """Only keys and hashes are shuffled; repeated rows count once, a text without a key is cut at every sentence."""
+    said = "Red\u00a0x green. RED\u00a0x green!  \n Red\u00a0x\tgreen? x y. . y x."
+    rows = [(1, said), (1, said), (1, "A b. A b."), (None, "A b. A b."), (2, None), (3, "   "), (4, "No stop")]
+    found = X.semantic_chunks(spark.createDataFrame(rows, "id int, t string"), "id", "t", 0.75)
+    got = sorted(((r["id"] or 0, r["chunk_no"], r["chunk"]) for r in found.collect()))
+    assert got == [
+        (0, 0, "A b."), (0, 1, "A b."), (1, 0, "A b. A b."), (1, 0, "Red\u00a0x green."), (1, 1, "RED\u00a0x green!"),
+        (1, 2, "Red\u00a0x\tgreen?"), (1, 3, "x y."), (1, 4, "."), (1, 5, "y x."), (3, 0, "   "), (4, 0, "No stop"),
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_word" not in plan and "Window" not in plan
+
+
+def test_first_sentences():
+    assert X.first_sentences(["a b", "b a", "a c", "", "a c", "a c"], 0.75) == [0, 2, 3, 4]
+
+
 def test_sentence_windows(spark):
     df = spark.createDataFrame([(1, "A b. C d! E f?")], "id int, t string")
     got = {r["sentence_no"]: r["window"] for r in X.sentence_windows(df, "t", 1, "id").collect()}
