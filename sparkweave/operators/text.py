@@ -9,12 +9,12 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkweave.sources.files import stored
 
+HELD = 1_000_000  # characters of chunks that a task holds
 WHITE = re.compile(r"\s+", re.ASCII)
 
 def words(text: Column | str) -> Column:
@@ -64,16 +64,33 @@ def split_recursively(text: str, size: int, separators: Sequence[str]) -> list[s
 
 
 def recursive_chunks(df: DataFrame, key: str, text: str, size: int, separators: Sequence[str]) -> DataFrame:
-    """``key, chunk_no, chunk`` by ``split_recursively``, batch by batch."""
+    """``key, chunk_no, chunk`` by ``split_recursively``, text by text; a task holds the chunks of about ``HELD`` characters."""
     seps = list(separators)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(k, i, c) for k, x in zip(pdf[key], pdf[text]) for i, c in enumerate(split_recursively(x or "", size, seps))]
-            yield pd.DataFrame(rows, columns=[key, "chunk_no", "chunk"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, texts = b.columns
+            row, no, chunks, held = [], [], [], 0
+
+            def out():
+                return pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(row, pa.int64())), pa.array(no, pa.int32()), pa.array(chunks, pa.string())], names=[key, "chunk_no", "chunk"]
+                )
+
+            for i in range(b.num_rows):
+                for j, c in enumerate(split_recursively(texts[i].as_py() or "", size, seps)):
+                    row.append(i)
+                    no.append(j)
+                    chunks.append(c)
+                    held += len(c)
+                    if held > HELD:
+                        yield out()
+                        row, no, chunks, held = [], [], [], 0
+            if row:
+                yield out()
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInPandas(run, f"{key} {kind}, chunk_no int, chunk string")
+    return df.select(key, text).mapInArrow(run, f"{key} {kind}, chunk_no int, chunk string")
 
 
 def sentences(text: Column | str) -> Column:

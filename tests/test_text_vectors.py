@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,26 @@ def test_first_sentences():
     assert X.first_sentences(["a b", "b a", "a c", "", "a c", "a c"], 0.75) == [0, 2, 3, 4]
 
 
+def test_recursive_chunks_come_in_bounded_batches(spark, monkeypatch):
+    monkeypatch.setattr(X, "HELD", 300)
+
+    class Frame:
+        schema = spark.createDataFrame([], "id bigint").schema
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = ["a b " * 300, None, "", "One. Two!\n\nThree? " * 90, "short"]
+    run = X.recursive_chunks(Frame(), "id", "t", 100, [" ", ""])
+    out = list(run(iter([pa.RecordBatch.from_arrays([pa.array([1, 2, 3, None, 5]), pa.array(texts)], names=["id", "t"])])))
+    assert max(sum(map(len, b.column(2).to_pylist())) for b in out) <= 400
+    got = [(r["id"], r["chunk_no"], r["chunk"]) for b in out for r in b.to_pylist()]
+    assert got == [(k, i, c) for k, x in zip([1, 2, 3, None, 5], texts) for i, c in enumerate(X.split_recursively(x or "", 100, [" ", ""]))]
+
+
 def test_sentence_windows(spark):
     df = spark.createDataFrame([(1, "A b. C d! E f?")], "id int, t string")
     got = {r["sentence_no"]: r["window"] for r in X.sentence_windows(df, "t", 1, "id").collect()}
