@@ -175,7 +175,7 @@ def word_runs(w: Column) -> Column:
         # each array is held once, however often a lambda names it
         return F.transform(F.array(begins), counted)[0]
 
-    return F.when(F.size(w) > 0, F.transform(F.array(F.array_sort(w)), runs)[0])
+    return F.when(F.size(w) > 0, F.transform(F.array(F.sort_array(w)), runs)[0])
 
 
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -535,3 +535,9 @@ def test_words_of_a_row_are_counted_in_the_row(spark):
     got = {(r["id"], r["dl"], r["term"], r["tf"]) for r in X.postings(df, "id", "t").collect()}
     assert got == {(1, 5, "a", 1), (1, 5, "b", 3), (1, 5, "c", 1), (4, 1, "x", 1)}
     assert "Exchange" not in X.postings(df, "id", "t")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_sorted_by_their_own_order(spark):
+    """A comparator that is a lambda is run in the interpreter for every two words."""
+    plan = X.postings(spark.createDataFrame([(1, "b a")], "id int, t string"), "id", "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
