@@ -206,7 +206,8 @@ def bucket_closure(
         failed = stored(failed.filter(apart).select("bucket").distinct(), "failed")
         if failed.isEmpty():
             return links, named
-        tried, again, n = tried.unionByName(new), members.join(failed, "bucket", "left_semi"), MORE * n
+        # written once: it is read for sizes, places and lists
+        tried, again, n = tried.unionByName(new), stored(members.join(failed, "bucket", "left_semi"), "again"), MORE * n
 
 
 def _components(links: DataFrame) -> DataFrame:

@@ -95,6 +95,19 @@ def test_edges_that_fail_are_replaced(spark, monkeypatch):
     assert seen[0] == n - 1 and seen[1] <= 2 * (n - 1) and 2 < len(seen) <= 12  # the leader's pairs, then 2, 4, 8... forests
 
 
+def test_members_that_are_read_again_are_written_once(spark, monkeypatch):
+    """Sizes, places and lists of a further turn come from one join of the members with the buckets that failed."""
+    monkeypatch.setattr(bucket_links, "FORESTS", 1)
+    monkeypatch.setattr(bucket_links, "MORE", 2)
+    plain, plans = bucket_links._edges, []
+    monkeypatch.setattr(bucket_links, "_edges", lambda labelled, *a: (plans.append(labelled._jdf.queryExecution().optimizedPlan().toString()), plain(labelled, *a))[1])
+    features = spark.createDataFrame([(i, 0) for i in range(6)], "id bigint, f bigint")
+    members = features.select("id", F.lit(1).cast("bigint").alias("bucket"))
+    links = bucket_links.bucket_links(members, features, N.bits_near(3), lambda p: F.lit(True), lambda pairs: pairs.filter("a = 4 AND b = 5"))
+    assert [tuple(r) for r in links.collect()] == [(4, 5)]
+    assert len(plans) > 1 and not any("LeftSemi" in p for p in plans)
+
+
 def test_forests_are_least_and_apart():
     rng = np.random.default_rng(7)
     for _ in range(60):
