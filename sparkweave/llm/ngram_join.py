@@ -18,7 +18,9 @@ from sparkweave.llm.arrow_text import PLACE, U, each_words, mix
 from sparkweave.llm.common import broadcast_within, row_identity
 from sparkweave.operators.bucket_links import bucket_closure, most_apart, sketch, sketches_close, sketches_near
 from sparkweave.sources.files import stored
+from sparkweave.streaming.runs import settings
 
+BATCH = "4m"  # bytes of text that a task gets at once
 SEEDS = 8  # partitions tried for a set whose segments are too thin
 SAMPLE = 64  # one set in so many is counted to find common shingles; steers cost, never results
 COMMON = 500  # a shingle in one of so many sets, or more, does not tell sets apart
@@ -249,11 +251,17 @@ def join_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Members of a bucket first meet a leader; those still in different components are compared in blocks inside tasks,
     which return spanning forests, so what comes out grows with the members and no link between components is lost.
 
-    Bounds: text is worked on in chunks; a set holds eight bytes a shingle. Sets and shingles are compared by
-    64-bit hashes. Defined cases: null or empty text has no shingles and links with nothing; a text of fewer than
-    ``n`` words is one shingle; repeated rows share a component; a null id is never a component's name unless all
+    Bounds: texts reach a task in batches of ``BATCH`` and are worked on in chunks; a set holds eight bytes a shingle. Sets
+    and shingles are compared by 64-bit hashes. Defined cases: null or empty text has no shingles and links with nothing; a
+    text of fewer than ``n`` words is one shingle; repeated rows share a component; a null id is never a component's name unless all
     its ids are null; an empty table gives no rows. Only the named columns are read.
     """
+    # every step that reads texts ends inside; the frame returned joins stored ones
+    with settings(docs.sparkSession, **{"spark.sql.execution.arrow.maxBytesPerBatch": BATCH}):
+        return _joined(docs, doc_id, text, n, percent)
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, n: int, percent: int) -> DataFrame:
     rows = stored(_set_rows(docs, doc_id, text, n), "set-rows")
     full = rows.filter("n > 0")
     nodes = stored(full.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("doc").alias("doc")), "nodes")

@@ -623,6 +623,22 @@ def test_rows_grow_with_the_members_of_a_loose_family(spark, monkeypatch):
     assert seen[400] <= 2.5 * seen[200] + 10 and seen[200] <= 2.5 * seen[100] + 10
 
 
+def test_texts_reach_the_join_in_bounded_batches(spark, monkeypatch):
+    """A task holds a few MB of texts at once, however long they are, and the session keeps its own setting."""
+    plain, most, key = ngram_join.each_words, 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def bounded(texts):
+        assert texts.nbytes <= most
+        return plain(texts)
+
+    monkeypatch.setattr(ngram_join, "each_words", bounded)
+    before = spark.conf.get(key)
+    long = F.repeat(F.concat(F.lit("ab cd ef gh "), F.col("id").cast("string"), F.lit(" ")), 60_000)
+    long_docs = spark.range(0, 24, 1, 1).select(F.col("id").alias("doc_id"), long.alias("text"))
+    assert [r["component_id"] for r in ngram_join.join_components(long_docs).orderBy("doc_id").collect()] == list(range(24))
+    assert spark.conf.get(key) == before
+
+
 def test_words_of_a_chunk_and_of_like_structure():
     from sparkweave.llm import arrow_text
 
