@@ -72,10 +72,13 @@ def _(t):
     return V.top_k(candidates, "vec_id", "embedding", row_queries(t, "label"), 5, match=["label"], own=False)
 
 
+def exact_rows(t):
+    return V.top_k(t.embeddings, "vec_id", "embedding", row_queries(t), 10, own=False)
+
+
 def with_recall(t, approximate):
     """The recall of an approximate result against the exact one, per query."""
-    exact = V.top_k(t.embeddings, "vec_id", "embedding", row_queries(t), 10, own=False)
-    return V.recall(approximate, exact, "vec_id", 10)
+    return V.recall(approximate, exact_rows(t), "vec_id", 10)
 
 
 SQL_REACHED = "SELECT vec_id AS query, least(10, (SELECT count(*) - 1 FROM embeddings)) AS found, true AS reached FROM embeddings WHERE vec_id % 20 = 0"
@@ -139,7 +142,9 @@ def _(t):
 WITH {SQL_E}, {SQL_RQ}, {SQL_BINARY}, exact AS ({SQL_RTOP} WHERE place <= 10)
 SELECT query, count(binary_top.vec_id) / 10 AS recall, avg(count(binary_top.vec_id)) OVER () / 10 >= 0.9 AS reached FROM exact LEFT JOIN binary_top USING (query, vec_id) GROUP BY 1""")
 def _(t):
-    recalls = stored(with_recall(t, V.binary_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, own=False)), "recalls")
+    exact = stored(exact_rows(t), "exact")
+    approximate = V.binary_search(t.embeddings, "vec_id", "embedding", row_queries(t), 10, DIMS, own=False, exact=exact)
+    recalls = stored(V.recall(approximate, exact, "vec_id", 10), "recalls")
     return recalls.withColumn("reached", recalls.agg(F.avg("recall")).scalar() >= 0.9)
 
 

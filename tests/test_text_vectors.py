@@ -14,6 +14,7 @@ from sparkweave.operators import inverted_index as I
 from sparkweave.operators import text as X
 from sparkweave.operators import sign_codes as C, vector_groups as G
 from sparkweave.operators import vectors as V
+from sparkweave.plans import CHECKS, QUERIES
 
 
 def grams(text, n=3):
@@ -468,6 +469,24 @@ def test_binary_search_keeps_the_best_rows_only(copied, monkeypatch):
     assert len(rows) >= 3 and sum(n for n, columns in rows if "score" in columns) <= 2 * 210 * 11 * 3  # exact and rescored, three tasks
 
 
+@pytest.mark.parametrize("name", ["V19_binary_quantisation", "V21_recall"])
+def test_queries_over_signs_agree_with_their_check_on_more_rows_than_a_sample(spark, tmp_path, monkeypatch, name):
+    duckdb = pytest.importorskip("duckdb")
+    monkeypatch.setattr(G, "SAMPLE", 5)
+    v = np.random.default_rng(18).standard_normal((600, 64)).astype(np.float32)
+    rows = spark.createDataFrame([(i, [float(x) for x in r], i % 7) for i, r in enumerate(v)], "vec_id bigint, embedding array<float>, label int")
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    plain, exact = V.top_k, []
+    monkeypatch.setattr(V, "top_k", lambda *a, **how: exact.append(a) or plain(*a, **how))
+    got = QUERIES[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = con.execute(CHECKS[name]).df()[got.columns]
+    keys = ["query", "place"] if "place" in got.columns else ["query"]
+    pd.testing.assert_frame_equal(got.toPandas().sort_values(keys, ignore_index=True), want.sort_values(keys, ignore_index=True), check_dtype=False)
+    assert len(exact) == 1  # the exact neighbours are looked for once
+
+
 def vectors_asking(vectors, names):
     return vectors.filter(vectors["id"].isin([int(i) for i in names])).selectExpr("id AS query", "v AS qvec")
 
